@@ -51,10 +51,214 @@ def q_user_item_features(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    return {
+    return register_more({
         "item_topk": q_item_topk,
         "parse_pairs": q_parse_pairs,
         "malformed_pairs": q_malformed_pairs,
         "used_items": q_used_items,
         "user_item_features": q_user_item_features,
-    }
+    })
+
+
+# ------------------------------------------------------------------ labels & metrics
+
+from pyspark.ml.feature import IndexToString  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from entiscore.functions.vectors import vector_elements  # noqa: E402
+from entiscore.operators import features as FE  # noqa: E402
+from entiscore.operators import labels as L  # noqa: E402
+from entiscore.operators import metrics as M  # noqa: E402
+from entiscore.operators import models as MO  # noqa: E402
+
+ROUND = 6
+HARD_CUT = 0.8          # fixed rule turning the document score into a class
+PRUNE_AT = 0.5          # fixed threshold of the pruning query
+KMEANS_K = 4
+
+
+def rounded(df: DataFrame, cols: list[str], places: int = ROUND) -> DataFrame:
+    return df.select(*[F.round(F.col(c), places).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def _doubles(df: DataFrame) -> list[str]:
+    return [c for c, t in df.dtypes if t in ("double", "float")]
+
+
+def _round_all(df: DataFrame, places: int = ROUND) -> DataFrame:
+    return rounded(df, _doubles(df), places)
+
+
+def hard_predictions(spark, sf_dir):
+    s = X.scored_documents(spark, sf_dir)
+    return s.withColumn("prediction", F.when(F.col("score") > HARD_CUT, 1.0).otherwise(0.0))
+
+
+def q_labeled_features(spark, sf_dir):
+    return L.labeled_features(X.known_labels(spark, sf_dir), features_frame(spark, sf_dir))
+
+
+def q_split_train_predict(spark, sf_dir):
+    return L.split_train_predict(X.known_labels(spark, sf_dir), features_frame(spark, sf_dir))
+
+
+def q_class_counts(spark, sf_dir):
+    return L.class_counts(X.known_labels(spark, sf_dir))
+
+
+def q_label_profile(spark, sf_dir):
+    prof = L.label_profile(X.credit_table(spark, sf_dir), "label", ["n_orders", "total_price", "mean_price"])
+    return rounded(prof, ["avg_n_orders", "avg_total_price", "avg_mean_price"], 4)
+
+
+def q_threshold_sweep(spark, sf_dir):
+    return _round_all(M.threshold_sweep(X.scored_documents(spark, sf_dir)))
+
+
+def q_best_threshold(spark, sf_dir):
+    return _round_all(M.best_threshold(M.threshold_sweep(X.scored_documents(spark, sf_dir))))
+
+
+def q_prune_positives(spark, sf_dir):
+    return _round_all(M.prune_positives(X.scored_documents(spark, sf_dir), PRUNE_AT))
+
+
+def q_metrics_by_threshold(spark, sf_dir):
+    return _round_all(M.metrics_by_threshold(X.scored_documents(spark, sf_dir), beta=1.0))
+
+
+def q_fmeasure_half(spark, sf_dir):
+    m = M.metrics_by_threshold(X.scored_documents(spark, sf_dir), beta=0.5)
+    return _round_all(m.select("threshold", "f_measure"))
+
+
+def q_roc_curve(spark, sf_dir):
+    return _round_all(M.roc_curve(X.scored_documents(spark, sf_dir)))
+
+
+def q_pr_curve(spark, sf_dir):
+    return _round_all(M.pr_curve(X.scored_documents(spark, sf_dir)))
+
+
+def q_area_under_roc(spark, sf_dir):
+    return _round_all(M.area_under_roc(X.scored_documents(spark, sf_dir)))
+
+
+def q_area_under_pr(spark, sf_dir):
+    return _round_all(M.area_under_pr(X.scored_documents(spark, sf_dir)))
+
+
+def q_accuracy(spark, sf_dir):
+    return _round_all(M.accuracy(hard_predictions(spark, sf_dir)))
+
+
+def q_class_recall(spark, sf_dir):
+    return _round_all(M.class_recall(hard_predictions(spark, sf_dir), positive=1.0))
+
+
+def q_match_counts(spark, sf_dir):
+    return M.match_counts(hard_predictions(spark, sf_dir))
+
+
+def q_evaluate_binary(spark, sf_dir):
+    return _round_all(M.evaluate_binary(hard_predictions(spark, sf_dir)))
+
+
+def q_drop_majority_errors_step(spark, sf_dir):
+    from entiscore.operators.training import drop_majority_errors
+    p = hard_predictions(spark, sf_dir).withColumn("label_text", F.col("label").cast("string"))
+    indexed, model = FE.index_labels(p, "label_text", "indexed_label")
+    pred_class = F.when(F.col("score") > HARD_CUT, F.lit("1")).otherwise(F.lit("0"))
+    indexed = indexed.withColumn("predicted_index", FE.label_index_expr(pred_class, list(model.labels)))
+    kept = drop_majority_errors(indexed, "indexed_label", "predicted_index")
+    return kept.select("doc_id", "label", "indexed_label", F.col("predicted_index").alias("prediction"))
+
+
+def q_index_labels(spark, sf_dir):
+    o = X.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    indexed, model = FE.index_labels(o, "o_orderpriority", "priority_index")
+    decoded = IndexToString(inputCol="priority_index", outputCol="decoded", labels=list(model.labels))
+    return decoded.transform(indexed)
+
+
+def q_one_hot(spark, sf_dir):
+    o = X.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    indexed, _ = FE.index_labels(o, "o_orderpriority", "priority_index")
+    enc, _ = FE.one_hot(indexed, "priority_index", "priority_vec")
+    arr = vector_elements("priority_vec")
+    return enc.select("o_orderkey", "priority_index",
+                      F.size(arr).cast("long").alias("onehot_size"),
+                      (F.array_position(arr, 1.0) - 1).cast("long").alias("onehot_active"))
+
+
+CREDIT_MEASURES = ["nation", "n_orders", "total_price", "mean_price"]
+
+
+def q_assemble(spark, sf_dir):
+    c = X.credit_table(spark, sf_dir)
+    out, _ = FE.assemble(c, CREDIT_MEASURES, "features", label_col="label")
+    arr = vector_elements("features")
+    return _round_all(out.select("customer_id", *[arr.getItem(i).alias(f"f{i}") for i in range(len(CREDIT_MEASURES))]))
+
+
+def q_standardize(spark, sf_dir):
+    c = X.credit_table(spark, sf_dir)
+    out, _ = FE.assemble(c, ["nation", "n_orders", "total_price"], "features")
+    sc, _ = FE.standardize(out, "features", "scaled")
+    arr = vector_elements("scaled")
+    return _round_all(sc.select("customer_id", arr.getItem(0).alias("nation_scaled"),
+                                arr.getItem(1).alias("orders_scaled"), arr.getItem(2).alias("price_scaled")))
+
+
+def q_split_by_key(spark, sf_dir):
+    c = X.credit_table(spark, sf_dir).select("customer_id", "label")
+    train, test = FE.split_by_key(c, "customer_id", [0.8, 0.2])
+    return train.withColumn("part", F.lit(0)).unionByName(test.withColumn("part", F.lit(1)))
+
+
+def q_undersample(spark, sf_dir):
+    c = X.credit_table(spark, sf_dir).select("customer_id", "label")
+    return FE.undersample_by_key(c, "label", {0: 0.3, 1: 1.0}, "customer_id")
+
+
+def kmeans_fixed_centers(spark, sf_dir, k=KMEANS_K):
+    e = X.table(spark, sf_dir, "embeddings")
+    rows = e.where(F.col("vec_id") < k).orderBy("vec_id").select("embedding").collect()  # k rows
+    return [[float(x) for x in r["embedding"]] for r in rows]
+
+
+def q_kmeans_assign(spark, sf_dir):
+    e = X.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    out = MO.kmeans_assign(e, kmeans_fixed_centers(spark, sf_dir))
+    return _round_all(out.select("vec_id", "cluster", "distance"), 4)
+
+
+def register_more(q: dict) -> dict:
+    q.update({
+        "labeled_features": q_labeled_features,
+        "split_train_predict": q_split_train_predict,
+        "class_counts": q_class_counts,
+        "label_profile": q_label_profile,
+        "threshold_sweep": q_threshold_sweep,
+        "best_threshold": q_best_threshold,
+        "prune_positives": q_prune_positives,
+        "metrics_by_threshold": q_metrics_by_threshold,
+        "fmeasure_by_threshold_half": q_fmeasure_half,
+        "roc_curve": q_roc_curve,
+        "pr_curve": q_pr_curve,
+        "area_under_roc": q_area_under_roc,
+        "area_under_pr": q_area_under_pr,
+        "accuracy": q_accuracy,
+        "class_recall": q_class_recall,
+        "match_counts": q_match_counts,
+        "evaluate_binary": q_evaluate_binary,
+        "drop_majority_errors_step": q_drop_majority_errors_step,
+        "index_labels": q_index_labels,
+        "one_hot": q_one_hot,
+        "assemble": q_assemble,
+        "standardize": q_standardize,
+        "split_by_key": q_split_by_key,
+        "undersample": q_undersample,
+        "kmeans_assign": q_kmeans_assign,
+    })
+    return q

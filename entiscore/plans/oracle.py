@@ -69,4 +69,172 @@ def oracle_sql() -> dict[str, str]:
                               body="SELECT entity_id, token, status FROM classified WHERE status <> 'ok'")
     q["used_items"] = _q(*BEHAVIOR_CHAIN[:7], body="SELECT item_code, dim_code, item_name, column_index FROM used")
     q["user_item_features"] = _q(*BEHAVIOR_CHAIN, body="SELECT entity_id, features FROM features")
+    q.update(more_sql())
+    return q
+
+
+# ----------------------------------------------------------------- labels & metrics
+
+HARD_CUT = 0.8
+PRUNE_AT = 0.5
+
+CLEAN_SQL = """clean AS (
+  SELECT entity_id, MIN(CAST(label AS DOUBLE)) AS label FROM known GROUP BY entity_id
+  HAVING MIN(label) = MAX(label))"""
+
+GRID_SQL = """grid AS (SELECT CAST(range AS DOUBLE) / 100 AS threshold FROM range(1, 100))"""
+
+SWEEP_SQL = """sweep AS (
+  SELECT threshold, n11, n10, n00, n01,
+         CASE WHEN n11 + n01 = 0 THEN 0.0 ELSE n11 / (n11 + n01) END AS pre1,
+         CASE WHEN n00 + n10 = 0 THEN 0.0 ELSE n00 / (n00 + n10) END AS pre0,
+         CASE WHEN num1 = 0 THEN 0.0 ELSE n11 / num1 END AS cov1,
+         CASE WHEN num0 = 0 THEN 0.0 ELSE n00 / num0 END AS cov0,
+         sqrt((CASE WHEN num1 = 0 THEN 0.0 ELSE n11 / num1 END) * (CASE WHEN num0 = 0 THEN 0.0 ELSE n00 / num0 END)) AS gmean
+  FROM (SELECT g.threshold,
+               CAST(COUNT(*) FILTER (WHERE s.label = 1 AND s.score > g.threshold) AS BIGINT) AS n11,
+               CAST(COUNT(*) FILTER (WHERE s.label = 1 AND s.score <= g.threshold) AS BIGINT) AS n10,
+               CAST(COUNT(*) FILTER (WHERE s.label = 0 AND s.score <= g.threshold) AS BIGINT) AS n00,
+               CAST(COUNT(*) FILTER (WHERE s.label = 0 AND s.score > g.threshold) AS BIGINT) AS n01,
+               (SELECT COUNT(*) FROM scored WHERE label = 1) AS num1,
+               (SELECT COUNT(*) FROM scored WHERE label = 0) AS num0
+        FROM grid g CROSS JOIN scored s GROUP BY g.threshold))"""
+
+CURVE_SQL = """curve AS (
+  SELECT score AS threshold, pos, neg, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, P, N,
+         CASE WHEN tp + fp = 0 THEN 1.0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END AS prec,
+         CASE WHEN P = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / P END AS rec,
+         CASE WHEN N = 0 THEN 0.0 ELSE CAST(fp AS DOUBLE) / N END AS fpr,
+         row_number() OVER (ORDER BY score DESC) AS ord
+  FROM (SELECT score, pos, neg,
+               SUM(pos) OVER (ORDER BY score DESC) AS tp, SUM(neg) OVER (ORDER BY score DESC) AS fp,
+               SUM(pos) OVER () AS P, SUM(neg) OVER () AS N
+        FROM (SELECT score, SUM(CASE WHEN label > 0.5 THEN 1 ELSE 0 END) AS pos,
+                     SUM(CASE WHEN label > 0.5 THEN 0 ELSE 1 END) AS neg
+              FROM scored GROUP BY score)))"""
+
+HARD_SQL = f"""hard AS (SELECT doc_id, label, score, CASE WHEN score > {HARD_CUT} THEN 1.0 ELSE 0.0 END AS prediction FROM scored)"""
+
+
+def _fm(beta: float) -> str:
+    b2 = float(beta) * float(beta)
+    return (f"CASE WHEN prec + rec = 0 THEN 0.0 ELSE CAST({1.0 + b2} AS DOUBLE) * "
+            f"(prec * rec / (CAST({b2} AS DOUBLE) * prec + rec)) END")
+
+
+def _roc_points() -> str:
+    return """roc AS (
+  SELECT 0 AS ord, CAST(0.0 AS DOUBLE) AS x, CAST(0.0 AS DOUBLE) AS y
+  UNION ALL SELECT ord, fpr, rec FROM curve
+  UNION ALL SELECT (SELECT COUNT(*) FROM curve) + 1, CAST(1.0 AS DOUBLE), CAST(1.0 AS DOUBLE))"""
+
+
+def _pr_points() -> str:
+    return """prp AS (
+  SELECT 0 AS ord, CAST(0.0 AS DOUBLE) AS x, (SELECT prec FROM curve WHERE ord = 1) AS y
+  UNION ALL SELECT ord, rec, prec FROM curve)"""
+
+
+def _trapezoid(points: str, name: str) -> str:
+    return (f"SELECT round(SUM((x - px) * (y + py) / 2), {ROUND_PLACES}) AS {name} FROM "
+            f"(SELECT x, y, lag(x) OVER (ORDER BY ord) AS px, lag(y) OVER (ORDER BY ord) AS py FROM {points}) "
+            f"WHERE px IS NOT NULL")
+
+
+CREDIT_MEASURES = ["nation", "n_orders", "total_price", "mean_price"]
+
+
+def more_sql() -> dict[str, str]:
+    r = ROUND_PLACES
+    q: dict[str, str] = {}
+    q["labeled_features"] = _q(*BEHAVIOR_CHAIN, LABELS_SQL, body="""
+SELECT k.entity_id, k.label, f.features, CAST(k.label AS VARCHAR) || ' ' || f.features AS line
+FROM known k JOIN features f ON k.entity_id = f.entity_id WHERE length(f.features) > 0""")
+    q["split_train_predict"] = _q(*BEHAVIOR_CHAIN, LABELS_SQL, CLEAN_SQL, body="""
+SELECT f.entity_id, c.label, f.features, CASE WHEN c.label IS NULL THEN 'predict' ELSE 'train' END AS role
+FROM features f LEFT JOIN clean c ON f.entity_id = c.entity_id WHERE length(f.features) > 0""")
+    q["class_counts"] = _q(LABELS_SQL, body="""
+SELECT CAST(COUNT(*) AS BIGINT) AS n, CAST(COUNT(*) FILTER (WHERE label = 1) AS BIGINT) AS n1,
+       CAST(COUNT(*) FILTER (WHERE label = 0) AS BIGINT) AS n0 FROM known""")
+    q["label_profile"] = _q(CREDIT_SQL, body="""
+SELECT label, CAST(COUNT(*) AS BIGINT) AS n, round(AVG(n_orders), 4) AS avg_n_orders,
+       round(AVG(total_price), 4) AS avg_total_price, round(AVG(mean_price), 4) AS avg_mean_price
+FROM credit GROUP BY label""")
+    sweep_cols = (f"round(threshold, {r}) AS threshold, n11, n10, n00, n01, round(pre1, {r}) AS pre1, "
+                  f"round(pre0, {r}) AS pre0, round(cov1, {r}) AS cov1, round(cov0, {r}) AS cov0, "
+                  f"round(gmean, {r}) AS gmean")
+    q["threshold_sweep"] = _q(SCORED_SQL, GRID_SQL, SWEEP_SQL, body=f"SELECT {sweep_cols} FROM sweep")
+    q["best_threshold"] = _q(SCORED_SQL, GRID_SQL, SWEEP_SQL, body=f"""
+SELECT {sweep_cols} FROM sweep WHERE gmean > 0 ORDER BY gmean DESC, threshold ASC LIMIT 1""")
+    q["prune_positives"] = _q(SCORED_SQL, body=f"""
+SELECT doc_id, label, round(score, {r}) AS score FROM scored
+WHERE (label = 1 AND score >= {PRUNE_AT}) OR label = 0""")
+    q["metrics_by_threshold"] = _q(SCORED_SQL, CURVE_SQL, body=f"""
+SELECT round(threshold, {r}) AS threshold, tp, fp, round(prec, {r}) AS "precision", round(rec, {r}) AS recall,
+       round(fpr, {r}) AS fpr, round({_fm(1.0)}, {r}) AS f_measure FROM curve""")
+    q["fmeasure_by_threshold_half"] = _q(SCORED_SQL, CURVE_SQL, body=f"""
+SELECT round(threshold, {r}) AS threshold, round({_fm(0.5)}, {r}) AS f_measure FROM curve""")
+    q["roc_curve"] = _q(SCORED_SQL, CURVE_SQL, body=f"""
+SELECT CAST(NULL AS DOUBLE) AS threshold, CAST(0.0 AS DOUBLE) AS fpr, CAST(0.0 AS DOUBLE) AS tpr
+UNION ALL SELECT CAST(NULL AS DOUBLE), CAST(1.0 AS DOUBLE), CAST(1.0 AS DOUBLE)
+UNION ALL SELECT round(threshold, {r}), round(fpr, {r}), round(rec, {r}) FROM curve""")
+    q["pr_curve"] = _q(SCORED_SQL, CURVE_SQL, body=f"""
+SELECT CAST(NULL AS DOUBLE) AS threshold, CAST(0.0 AS DOUBLE) AS recall, round(prec, {r}) AS "precision"
+FROM curve WHERE ord = 1
+UNION ALL SELECT round(threshold, {r}), round(rec, {r}), round(prec, {r}) FROM curve""")
+    q["area_under_roc"] = _q(SCORED_SQL, CURVE_SQL, _roc_points(), body=_trapezoid("roc", "area_under_roc"))
+    q["area_under_pr"] = _q(SCORED_SQL, CURVE_SQL, _pr_points(), body=_trapezoid("prp", "area_under_pr"))
+    q["accuracy"] = _q(SCORED_SQL, HARD_SQL, body=f"""
+SELECT n, correct, round(acc, {r}) AS accuracy, round(1.0 - acc, {r}) AS error FROM (
+  SELECT CAST(COUNT(*) AS BIGINT) AS n, CAST(COUNT(*) FILTER (WHERE label = prediction) AS BIGINT) AS correct,
+         CASE WHEN COUNT(*) = 0 THEN 0.0 ELSE COUNT(*) FILTER (WHERE label = prediction) / COUNT(*) END AS acc
+  FROM hard)""")
+    q["class_recall"] = _q(SCORED_SQL, HARD_SQL, body=f"""
+SELECT n, correct, round(CASE WHEN n = 0 THEN 0.0 ELSE correct / n END, {r}) AS recall FROM (
+  SELECT CAST(COUNT(*) AS BIGINT) AS n, CAST(COUNT(*) FILTER (WHERE prediction = label) AS BIGINT) AS correct
+  FROM hard WHERE label = 1)""")
+    q["match_counts"] = _q(SCORED_SQL, HARD_SQL, body="""
+SELECT CAST(COUNT(*) FILTER (WHERE label - prediction = 0) AS BIGINT) AS matched,
+       CAST(COUNT(*) FILTER (WHERE label - prediction <> 0) AS BIGINT) AS unmatched FROM hard""")
+    hard_curve = CURVE_SQL.replace("FROM scored GROUP BY score", "FROM (SELECT label, prediction AS score FROM hard) GROUP BY score")
+    q["evaluate_binary"] = _q(SCORED_SQL, HARD_SQL, hard_curve, _roc_points(), body=f"""
+SELECT (SELECT area_under_roc FROM ({_trapezoid("roc", "area_under_roc")})) AS area_under_roc,
+       round((SELECT COUNT(*) FILTER (WHERE label = prediction) / COUNT(*) FROM hard), {r}) AS accuracy""")
+    idx_sql = """idx AS (SELECT lab, CAST(row_number() OVER (ORDER BY c DESC, lab ASC) - 1 AS DOUBLE) AS i
+          FROM (SELECT CAST(label AS VARCHAR) AS lab, COUNT(*) AS c FROM hard GROUP BY 1))"""
+    q["drop_majority_errors_step"] = _q(SCORED_SQL, HARD_SQL, idx_sql, body=f"""
+SELECT h.doc_id, h.label, li.i AS indexed_label, pi.i AS prediction
+FROM hard h JOIN idx li ON CAST(h.label AS VARCHAR) = li.lab
+LEFT JOIN idx pi ON (CASE WHEN h.score > {HARD_CUT} THEN '1' ELSE '0' END) = pi.lab
+WHERE (li.i = 0 AND pi.i = li.i) OR li.i = 1""")
+    prio_idx = """pidx AS (SELECT lab, CAST(row_number() OVER (ORDER BY c DESC, lab ASC) - 1 AS DOUBLE) AS i
+  FROM (SELECT o_orderpriority AS lab, COUNT(*) AS c FROM orders GROUP BY 1))"""
+    q["index_labels"] = _q(prio_idx, body="""
+SELECT o.o_orderkey, o.o_orderpriority, p.i AS priority_index, p.lab AS decoded
+FROM orders o JOIN pidx p ON o.o_orderpriority = p.lab""")
+    q["one_hot"] = _q(prio_idx, body="""
+SELECT o.o_orderkey, p.i AS priority_index, CAST((SELECT COUNT(*) FROM pidx) - 1 AS BIGINT) AS onehot_size,
+       CAST(CASE WHEN p.i < (SELECT COUNT(*) FROM pidx) - 1 THEN p.i ELSE -1 END AS BIGINT) AS onehot_active
+FROM orders o JOIN pidx p ON o.o_orderpriority = p.lab""")
+    q["assemble"] = _q(CREDIT_SQL, body="SELECT customer_id, " + ", ".join(
+        f"round(CAST({c} AS DOUBLE), {r}) AS f{i}" for i, c in enumerate(CREDIT_MEASURES)) + " FROM credit")
+    std = ", ".join(
+        f"round(CASE WHEN stddev_samp({c}) OVER () = 0 THEN 0.0 ELSE {c} / stddev_samp({c}) OVER () END, {r}) AS {n}"
+        for c, n in (("nation", "nation_scaled"), ("n_orders", "orders_scaled"), ("total_price", "price_scaled")))
+    q["standardize"] = _q(CREDIT_SQL, body=f"SELECT customer_id, {std} FROM credit")
+    q["split_by_key"] = _q(CREDIT_SQL, body="""
+SELECT customer_id, label, CASE WHEN customer_id % 100 < 80 THEN 0 ELSE 1 END AS part FROM credit""")
+    q["undersample"] = _q(CREDIT_SQL, body="""
+SELECT customer_id, label FROM credit
+WHERE (label = 0 AND customer_id % 100 < 30) OR (label = 1 AND customer_id % 100 < 100)""")
+    q["kmeans_assign"] = f"""
+WITH c AS (SELECT vec_id AS cid, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS cv
+           FROM embeddings WHERE vec_id < 4),
+d AS (SELECT e.vec_id, c.cid,
+             list_sum(list_transform(list_zip(list_transform(e.embedding, lambda x: CAST(x AS DOUBLE)), c.cv),
+                                     lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS dist
+      FROM embeddings e CROSS JOIN c)
+SELECT vec_id, CAST(cid AS INTEGER) AS cluster, round(dist, 4) AS distance FROM (
+  SELECT vec_id, cid, dist, row_number() OVER (PARTITION BY vec_id ORDER BY dist, cid) AS rn FROM d)
+WHERE rn = 1"""
     return q
