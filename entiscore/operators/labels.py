@@ -43,13 +43,15 @@ def split_train_predict(labels: DataFrame, features: DataFrame) -> DataFrame:
 
     Entities with a label but no features carry no information and are left
     out, so one left join on the feature side does the work of the full outer
-    join.  Returns ``entity_id, label, features, role``.
+    join.  Returns ``entity_id, label, features, role`` (plus any other
+    feature columns, e.g. index arrays).
     """
     clean = clean_labels(labels)
     feats = features.where(F.col("features").isNotNull() & (F.length("features") > 0))
     j = feats.join(clean, "entity_id", "left")
     role = F.when(F.col("label").isNull(), F.lit("predict")).otherwise(F.lit("train"))
-    return j.select("entity_id", "label", "features", role.alias("role"))
+    extra = [c for c in features.columns if c not in ("entity_id", "features")]
+    return j.select("entity_id", "label", "features", *extra, role.alias("role"))
 
 
 def train_rows(tagged: DataFrame) -> DataFrame:

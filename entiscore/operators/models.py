@@ -133,3 +133,28 @@ def kmeans_assign(vectors: DataFrame, centers: list[list[float]], array_col: str
         F.zip_with(x, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v))
     best = F.array_min(F.transform(dists, lambda d, i: F.struct(d.alias("d"), i.alias("i"))))
     return vectors.withColumn("cluster", best["i"].cast("int")).withColumn("distance", best["d"])
+
+
+def logistic_score(entity_indices: DataFrame, weights: DataFrame, entity_col: str = "entity_id",
+                   indices_col: str = "indices", values_col: str | None = None,
+                   intercept: float = 0.0) -> DataFrame:
+    """``sigmoid(intercept + Σ w[i]·x[i])`` per entity for a weight table ``(column_index, weight)``.
+
+    The weight table has one row per feature slot (bounded by the dimension)
+    and is broadcast; the per-entity sum is a partial aggregate, so a hot
+    entity does not land in one task whole.
+    """
+    if values_col is None:
+        long = entity_indices.select(entity_col, F.explode(indices_col).alias("column_index"),
+                                     ).withColumn("value", F.lit(1.0))
+    else:
+        long = entity_indices.select(entity_col, F.explode(F.arrays_zip(indices_col, values_col)).alias("_p")
+                                     ).select(entity_col, F.col(f"_p.{indices_col}").alias("column_index"),
+                                              F.col(f"_p.{values_col}").alias("value"))
+    w = F.broadcast(weights.select(F.col("column_index").cast("long"), F.col("weight").cast("double")))
+    margin = (long.withColumn("column_index", F.col("column_index").cast("long"))
+              .join(w, "column_index", "left")
+              .groupBy(entity_col)
+              .agg(F.sum(F.coalesce(F.col("weight"), F.lit(0.0)) * F.col("value")).alias("margin")))
+    m = F.col("margin") + F.lit(float(intercept))
+    return margin.select(entity_col, m.alias("margin"), (F.lit(1.0) / (F.lit(1.0) + F.exp(-m))).alias("score"))

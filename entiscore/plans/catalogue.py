@@ -51,13 +51,13 @@ def q_user_item_features(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    return register_more({
+    return register_io_models(register_more({
         "item_topk": q_item_topk,
         "parse_pairs": q_parse_pairs,
         "malformed_pairs": q_malformed_pairs,
         "used_items": q_used_items,
         "user_item_features": q_user_item_features,
-    })
+    }))
 
 
 # ------------------------------------------------------------------ labels & metrics
@@ -65,7 +65,7 @@ def queries() -> dict[str, Query]:
 from pyspark.ml.feature import IndexToString  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from entiscore.functions.vectors import vector_elements  # noqa: E402
+from entiscore.functions.vectors import to_sparse_vector, vector_elements  # noqa: E402
 from entiscore.operators import features as FE  # noqa: E402
 from entiscore.operators import labels as L  # noqa: E402
 from entiscore.operators import metrics as M  # noqa: E402
@@ -77,8 +77,14 @@ PRUNE_AT = 0.5          # fixed threshold of the pruning query
 KMEANS_K = 4
 
 
+def half_up(c, places: int = ROUND):
+    """``floor(x·10^p + 0.5) / 10^p`` — the same IEEE steps as the oracle's rounding."""
+    scale = float(10 ** places)
+    return F.floor(c * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+
+
 def rounded(df: DataFrame, cols: list[str], places: int = ROUND) -> DataFrame:
-    return df.select(*[F.round(F.col(c), places).alias(c) if c in cols else F.col(c) for c in df.columns])
+    return df.select(*[half_up(F.col(c), places).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def _doubles(df: DataFrame) -> list[str]:
@@ -262,3 +268,233 @@ def register_more(q: dict) -> dict:
         "kmeans_assign": q_kmeans_assign,
     })
     return q
+
+
+# ------------------------------------------------------------------ sources & sinks
+
+import datetime as _dt  # noqa: E402
+
+from entiscore.functions.dates import run_day  # noqa: E402
+from entiscore.session import scratch_path  # noqa: E402
+from entiscore.sources import readers as R  # noqa: E402
+from entiscore.sources import sinks as K  # noqa: E402
+
+CSV_INT_COLUMNS = ["customer_id", "nation", "label", "n_orders"]
+
+
+def q_sparse_text_roundtrip(spark, sf_dir):
+    lab = L.labeled_features(X.known_labels(spark, sf_dir), features_frame(spark, sf_dir))
+    path = scratch_path(spark, "sparse-text")
+    K.write_sparse_text(lab, path, mode="overwrite")
+    back = R.read_sparse_text(spark, path)
+    arr = vector_elements("features")
+    nz = F.filter(F.sequence(F.lit(0), F.size(arr) - 1), lambda i: F.element_at(arr, i + 1) != 0.0)
+    return back.select("label", F.size(arr).cast("long").alias("num_features"),
+                       F.array_join(nz, " ").alias("indices"))
+
+
+def q_dense_text_roundtrip(spark, sf_dir):
+    e = X.table(spark, sf_dir, "embeddings")
+    # Doubles print in a form that parses back to the same value.
+    text = F.concat_ws(" ", F.col("vec_id").cast("string"),
+                       F.array_join(F.transform("embedding", lambda x: x.cast("double").cast("string")), " "))
+    path = scratch_path(spark, "dense-text")
+    e.select(text.alias("value")).write.mode("overwrite").text(path)
+    back = R.read_dense_text(spark, path)
+    arr = vector_elements("features")
+    body = F.slice(arr, 2, F.size(arr) - 1)
+    return _round_all(back.select(arr.getItem(0).cast("long").alias("vec_id"),
+                                  F.size(body).cast("long").alias("size"),
+                                  F.aggregate(body, F.lit(0.0), lambda a, v: a + v).alias("total")), 4)
+
+
+def _csv_ints(spark, sf_dir):
+    c = X.credit_table(spark, sf_dir)
+    return c.select(*[F.col(n).cast("int").alias(n) for n in CSV_INT_COLUMNS])
+
+
+def q_csv_typed_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "csv-typed")
+    _csv_ints(spark, sf_dir).write.mode("overwrite").option("header", True).csv(path)
+    return R.read_csv_typed(spark, path, R.int_schema(CSV_INT_COLUMNS))
+
+
+def q_csv_raw_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "csv-raw")
+    X.known_labels(spark, sf_dir).write.mode("overwrite").option("header", True).csv(path)
+    return R.read_csv_raw(spark, path)
+
+
+def q_labeled_csv(spark, sf_dir):
+    c = X.credit_table(spark, sf_dir)
+    path = scratch_path(spark, "csv-labeled")
+    c.select("label", *CREDIT_MEASURES).write.mode("overwrite").option("header", True).csv(path)
+    back = R.read_labeled_csv(spark, path)
+    arr = vector_elements("features")
+    return _round_all(back.select("label", *[arr.getItem(i).alias(f"f{i}") for i in range(len(CREDIT_MEASURES))]), 4)
+
+
+PARTITION_DAYS = (run_day(_dt.date(2024, 1, 2)), run_day(_dt.date(2024, 1, 3)))
+
+
+def q_partition_overwrite(spark, sf_dir):
+    path = scratch_path(spark, "day-table")
+    known = X.known_labels(spark, sf_dir)
+    first, second = PARTITION_DAYS
+    K.overwrite_partition(known, path, first)
+    K.overwrite_partition(known, path, second)
+    K.overwrite_partition(known.where(F.col("label") == 1), path, first)   # re-run of the first day
+    days = [R.read_partition(spark, path, d) for d in PARTITION_DAYS]
+    return days[0].unionByName(days[1]).select("entity_id", "label", F.col("stat_date").cast("string"))
+
+
+# ------------------------------------------------------------------- scoring
+
+# Integer weights keep every margin exact, so ``score > 0.5`` cannot flip on summation order.
+def weight_rule():
+    return ((F.col("column_index") % 7) - 3).cast("double")
+SCORE_AT = 0.5
+
+
+def fixed_weights(used: DataFrame) -> DataFrame:
+    return used.select("column_index", weight_rule().alias("weight"))
+
+
+def _scored_entities(spark, sf_dir):
+    pairs = _pairs(spark, sf_dir)
+    used = B.used_items(_top(spark, sf_dir), pairs)
+    arr = B.user_item_features(pairs, used, keep_arrays=True)
+    return arr, used
+
+
+def q_logistic_score(spark, sf_dir):
+    arr, used = _scored_entities(spark, sf_dir)
+    return _round_all(MO.logistic_score(arr, fixed_weights(used)))
+
+
+def q_assign_classes(spark, sf_dir):
+    arr, used = _scored_entities(spark, sf_dir)
+    tagged = L.split_train_predict(X.known_labels(spark, sf_dir), arr)
+    scored = MO.logistic_score(L.predict_rows(tagged), fixed_weights(used))
+    return L.assign_classes(L.train_rows(tagged), scored, SCORE_AT)
+
+
+# ------------------------------------------------------------------- models (rows-only)
+
+def behavior_vectors(spark, sf_dir):
+    """Tagged entities with a sparse ``vec`` column and the dimension."""
+    arr, used = _scored_entities(spark, sf_dir)
+    dim = used.count()                                   # ≤ K
+    tagged = L.split_train_predict(X.known_labels(spark, sf_dir), arr)
+    return to_sparse_vector(tagged, dim, "indices", output_col="vec"), dim
+
+
+def q_train_logistic(spark, sf_dir):
+    vecs, _ = behavior_vectors(spark, sf_dir)
+    train = L.train_rows(vecs).select("entity_id", "label", F.col("vec").alias("features"))
+    model = MO.train_logistic(train)
+    pred = L.predict_rows(vecs).select("entity_id", F.col("vec").alias("features"))
+    return _round_all(MO.score(model, pred, keep=["entity_id"]))
+
+
+def q_train_with_pruning(spark, sf_dir):
+    from entiscore.operators.training import train_with_pruning
+    vecs, _ = behavior_vectors(spark, sf_dir)
+    train = L.train_rows(vecs).select("entity_id", "label", F.col("vec").alias("features"))
+    return _round_all(train_with_pruning(train, rounds=10).report)
+
+
+def _credit_vectors(spark, sf_dir):
+    c = X.credit_table(spark, sf_dir)
+    out, _ = FE.assemble(c, CREDIT_MEASURES, "features", label_col="label")
+    return out.withColumn("label", F.col("label").cast("double"))
+
+
+def q_train_forest(spark, sf_dir):
+    from entiscore.plans.jobs import credit_forest_job
+    _, pred, _, _ = credit_forest_job(X.credit_table(spark, sf_dir), CREDIT_MEASURES)
+    return pred.select("customer_id", "label", "prediction", "predicted_label")
+
+
+def q_train_tree(spark, sf_dir):
+    c = _credit_vectors(spark, sf_dir)
+    train, test = FE.split_by_key(c, "customer_id", [0.8, 0.2])
+    model = MO.train_tree(train, max_depth=15, max_bins=100)
+    return model.transform(test).select("customer_id", "label", "prediction")
+
+
+def q_train_cv(spark, sf_dir):
+    c = _credit_vectors(spark, sf_dir)
+    train, test = FE.split_by_key(c, "customer_id", [0.8, 0.2])
+    est = MO.logistic(fit_intercept=True, max_iter=20)
+    cv = MO.train_cv(train, est, {est.regParam: [0.0, 0.1]}, folds=3)
+    return _round_all(MO.score(cv.bestModel, test, keep=["customer_id", "label"]))
+
+
+def q_drop_majority_errors(spark, sf_dir):
+    from pyspark.ml.classification import LogisticRegression
+    from entiscore.operators.training import retrain_dropping_errors
+    vecs, _ = behavior_vectors(spark, sf_dir)
+    train = L.train_rows(vecs).select("entity_id", F.col("label").cast("int").cast("string").alias("label"),
+                                      F.col("vec").alias("features"))
+    indexed, _ = FE.index_labels(train, "label", "indexed_label")
+    _, _, sizes = retrain_dropping_errors(
+        indexed, lambda: LogisticRegression(labelCol="indexed_label", regParam=0.01, maxIter=10), rounds=2)
+    return spark.createDataFrame(sizes, "round int, rows long")
+
+
+def q_index_vector(spark, sf_dir):
+    out, _ = FE.index_vector(_credit_vectors(spark, sf_dir), "features", "indexed", max_categories=20)
+    arr = vector_elements("indexed")
+    return _round_all(out.select("customer_id", *[arr.getItem(i).alias(f"f{i}") for i in range(len(CREDIT_MEASURES))]))
+
+
+def _embedding_vectors(spark, sf_dir):
+    from pyspark.ml.functions import array_to_vector
+    e = X.table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+
+
+def q_kmeans_centers(spark, sf_dir):
+    return _round_all(MO.kmeans_centers(_embedding_vectors(spark, sf_dir), k=KMEANS_K).drop("center"))
+
+
+def q_kmeans_cost_sweep(spark, sf_dir):
+    return _round_all(MO.kmeans_cost_sweep(_embedding_vectors(spark, sf_dir)), 2)
+
+
+def q_model_roundtrip(spark, sf_dir):
+    from pyspark.ml import Pipeline, PipelineModel
+    c = _credit_vectors(spark, sf_dir)
+    model = Pipeline(stages=[MO.logistic(fit_intercept=True, max_iter=20)]).fit(c)
+    path = scratch_path(spark, "model")
+    MO.save_model(model, path)
+    loaded = MO.load_model(path, PipelineModel)
+    a = MO.score(model, c, keep=["customer_id"]).withColumnRenamed("score", "score_saved").drop("prediction")
+    b = MO.score(loaded, c, keep=["customer_id"]).withColumnRenamed("score", "score_loaded").drop("prediction")
+    j = a.join(b, "customer_id")
+    return _round_all(j.withColumn("same", F.col("score_saved") == F.col("score_loaded")))
+
+
+def register_io_models(q: dict) -> dict:
+    q.update({
+        "sparse_text_roundtrip": q_sparse_text_roundtrip,
+        "dense_text_roundtrip": q_dense_text_roundtrip,
+        "csv_typed_roundtrip": q_csv_typed_roundtrip,
+        "csv_raw_roundtrip": q_csv_raw_roundtrip,
+        "labeled_csv": q_labeled_csv,
+        "partition_overwrite": q_partition_overwrite,
+        "logistic_score": q_logistic_score,
+        "assign_classes": q_assign_classes,
+        "train_logistic": q_train_logistic,
+        "train_with_pruning": q_train_with_pruning,
+        "train_forest": q_train_forest,
+        "train_tree": q_train_tree,
+        "train_cv": q_train_cv,
+        "drop_majority_errors": q_drop_majority_errors,
+        "index_vector": q_index_vector,
+        "kmeans_centers": q_kmeans_centers,
+        "kmeans_cost_sweep": q_kmeans_cost_sweep,
+        "model_roundtrip": q_model_roundtrip,
+    })
+    return q

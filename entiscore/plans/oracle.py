@@ -59,7 +59,40 @@ def _q(*ctes: str, body: str) -> str:
     return with_ctes(*ctes) + body
 
 
+def half_up_sql(sql: str) -> str:
+    """Rewrite every ``round(expr, p)`` as ``floor(expr * 10^p + 0.5) / 10^p``.
+
+    DuckDB and Spark round decimal halves differently; this form performs the
+    same IEEE operations as the Spark side's rounding.
+    """
+    out, i, key = [], 0, "round("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        out.append(sql[i:j])
+        k, depth, comma = j + len(key), 1, -1
+        while depth:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                comma = k
+            k += 1
+        expr = half_up_sql(sql[j + len(key):comma])
+        places = int(sql[comma + 1:k - 1].strip())
+        out.append(f"(floor(({expr}) * 1e{places} + 0.5) / 1e{places})")
+        i = k
+
+
 def oracle_sql() -> dict[str, str]:
+    return {name: half_up_sql(sql) for name, sql in _oracle_sql().items()}
+
+
+def _oracle_sql() -> dict[str, str]:
     r = ROUND_PLACES
     q: dict[str, str] = {}
     q["item_topk"] = _q(ITEMS_SQL, TOP_SQL, body="SELECT item_code, item_name, installs FROM top_items")
@@ -70,6 +103,7 @@ def oracle_sql() -> dict[str, str]:
     q["used_items"] = _q(*BEHAVIOR_CHAIN[:7], body="SELECT item_code, dim_code, item_name, column_index FROM used")
     q["user_item_features"] = _q(*BEHAVIOR_CHAIN, body="SELECT entity_id, features FROM features")
     q.update(more_sql())
+    q.update(io_sql())
     return q
 
 
@@ -238,3 +272,45 @@ SELECT vec_id, CAST(cid AS INTEGER) AS cluster, round(dist, 4) AS distance FROM
   SELECT vec_id, cid, dist, row_number() OVER (PARTITION BY vec_id ORDER BY dist, cid) AS rn FROM d)
 WHERE rn = 1"""
     return q
+
+
+# ------------------------------------------------------------------ sources, sinks, scoring
+
+EP_SQL = """ep AS (SELECT DISTINCT p.entity_id, u.column_index FROM pairs p JOIN used u ON p.item_code = u.item_code)"""
+MARGIN_SQL = """sc AS (SELECT entity_id, SUM(CAST((column_index % 7) - 3 AS DOUBLE)) AS margin FROM ep GROUP BY entity_id)"""
+
+
+def io_sql() -> dict[str, str]:
+    r = ROUND_PLACES
+    q: dict[str, str] = {}
+    lab = """lab AS (SELECT CAST(k.label AS DOUBLE) AS label, f.features FROM known k
+               JOIN features f ON k.entity_id = f.entity_id WHERE length(f.features) > 0)"""
+    q["sparse_text_roundtrip"] = _q(*BEHAVIOR_CHAIN, LABELS_SQL, lab, body="""
+SELECT label,
+       (SELECT MAX(CAST(split_part(string_split(features, ' ')[-1], ':', 1) AS BIGINT)) + 1 FROM lab) AS num_features,
+       replace(features, ':1', '') AS indices
+FROM lab""")
+    q["dense_text_roundtrip"] = """
+SELECT vec_id, CAST(len(embedding) AS BIGINT) AS size,
+       round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 4) AS total
+FROM embeddings"""
+    q["csv_typed_roundtrip"] = _q(CREDIT_SQL, body="""
+SELECT CAST(customer_id AS INTEGER) AS customer_id, CAST(nation AS INTEGER) AS nation,
+       CAST(label AS INTEGER) AS label, CAST(n_orders AS INTEGER) AS n_orders FROM credit""")
+    q["csv_raw_roundtrip"] = _q(LABELS_SQL, body="SELECT entity_id, CAST(label AS VARCHAR) AS label FROM known")
+    q["labeled_csv"] = _q(CREDIT_SQL, body="SELECT CAST(CAST(label AS INTEGER) AS DOUBLE) AS label, " + ", ".join(
+        f"round(CAST({c} AS DOUBLE), 4) AS f{i}" for i, c in enumerate(CREDIT_MEASURES)) + " FROM credit")
+    q["partition_overwrite"] = _q(LABELS_SQL, body="""
+SELECT entity_id, label, '20240101' AS stat_date FROM known WHERE label = 1
+UNION ALL SELECT entity_id, label, '20240102' AS stat_date FROM known""")
+    q["logistic_score"] = _q(*BEHAVIOR_CHAIN, EP_SQL, MARGIN_SQL, body=f"""
+SELECT entity_id, round(margin, {r}) AS margin, round(1 / (1 + exp(-margin)), {r}) AS score FROM sc""")
+    tagged = """tagged AS (SELECT f.entity_id, c.label FROM features f LEFT JOIN clean c ON f.entity_id = c.entity_id
+                 WHERE length(f.features) > 0)"""
+    q["assign_classes"] = _q(*BEHAVIOR_CHAIN, LABELS_SQL, CLEAN_SQL, tagged, EP_SQL, MARGIN_SQL, body="""
+SELECT entity_id, CASE WHEN label = 1 THEN '1' ELSE '0' END AS class, 'known' AS source
+FROM tagged WHERE label IS NOT NULL
+UNION ALL
+SELECT t.entity_id, CASE WHEN 1 / (1 + exp(-s.margin)) > 0.5 THEN '1' ELSE '0' END AS class, 'model' AS source
+FROM tagged t JOIN sc s ON t.entity_id = s.entity_id WHERE t.label IS NULL""")
+    return q
