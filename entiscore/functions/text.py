@@ -6,13 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Java's String.trim removes every character up to U+0020 (control characters
-# included); Spark's trim removes spaces only.
-_EDGE_CONTROL = r"^[\x00-\x20]+|[\x00-\x20]+$"
+# included); Spark's trim removes spaces only.  btrim with an explicit set is a
+# plain character scan (no regex).
+_EDGE_CHARS = "".join(chr(i) for i in range(0x21))
 
 
 def jvm_trim(col: Column | str) -> Column:
     """Trim spaces and control characters from both ends."""
-    return F.regexp_replace(F.col(col) if isinstance(col, str) else col, _EDGE_CONTROL, "")
+    return F.btrim(F.col(col) if isinstance(col, str) else col, F.lit(_EDGE_CHARS))
+
+
+def rtrim_chars(col: Column | str, chars: str) -> Column:
+    """Remove any of ``chars`` from the right end.
+
+    Spark SQL's two-argument ``rtrim`` takes the character set first.
+    """
+    return F.call_function("rtrim", F.lit(chars), F.col(col) if isinstance(col, str) else col)
 
 
 def strip_newlines(col: Column | str) -> Column:

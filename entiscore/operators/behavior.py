@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from entiscore.functions.text import jvm_trim, prefixed_code, strip_newlines, strip_prefix
+from entiscore.functions.text import jvm_trim, prefixed_code, rtrim_chars, strip_newlines, strip_prefix
 from entiscore.functions.vectors import indices_text
 
 PAIR_SEPARATOR = " "
@@ -50,34 +50,48 @@ def top_k_items(items: DataFrame, k: int = 1000, prefix: str = "",
     return norm.orderBy(F.desc("installs"), F.desc("item_code"), F.desc("item_name")).limit(int(k))
 
 
-def pair_tokens(behavior: DataFrame, entity_col: str = "entity_id", text_col: str = "text") -> DataFrame:
-    """Explode behaviour text into classified tokens.
+def _token_parts(token):
+    """Cheap per-token pieces: (trimmed token, colon count, code, value text).
 
-    Returns ``entity_id, token, item_code, value_text, value, status``.  A token
-    is trimmed, trailing ``:`` are dropped (the JVM split drops trailing empty
-    parts), and it must then have exactly two ``:``-separated parts with a
-    non-empty code and a numeric value.
+    Trailing ``:`` are dropped first (the JVM split drops trailing empty
+    parts); "exactly two parts" is then "exactly one colon".  Only plain
+    string scans, no regex and no array.
     """
-    exploded = behavior.select(
+    tok = jvm_trim(token)
+    core = rtrim_chars(tok, VALUE_SEPARATOR)
+    colons = F.length(core) - F.length(F.replace(core, F.lit(VALUE_SEPARATOR), F.lit("")))
+    code = jvm_trim(F.substring_index(core, VALUE_SEPARATOR, 1))
+    value_text = jvm_trim(F.substring_index(core, VALUE_SEPARATOR, -1))
+    return tok, colons, code, value_text
+
+
+def _explode_tokens(behavior: DataFrame, entity_col: str, text_col: str) -> DataFrame:
+    return behavior.select(
         jvm_trim(F.col(entity_col).cast("string")).alias("entity_id"),
         F.explode(F.split(jvm_trim(F.col(text_col)), PAIR_SEPARATOR)).alias("token"),
     )
-    core = F.regexp_replace(jvm_trim(F.col("token")), VALUE_SEPARATOR + "+$", "")
-    parts = F.split(core, VALUE_SEPARATOR)
-    with_parts = exploded.select(
-        "entity_id", "token",
-        F.size(parts).alias("_n"),
-        jvm_trim(parts.getItem(0)).alias("item_code"),
-        jvm_trim(parts.getItem(1)).alias("value_text"),
-    ).withColumn("value", F.expr("try_cast(value_text AS DOUBLE)"))
+
+
+def pair_tokens(behavior: DataFrame, entity_col: str = "entity_id", text_col: str = "text") -> DataFrame:
+    """Explode behaviour text into classified tokens.
+
+    Returns ``entity_id, token, item_code, value_text, value, status``.  A token
+    is trimmed, trailing ``:`` are dropped, and it must then have exactly two
+    ``:``-separated parts with a non-empty code and a numeric value.
+    """
+    exploded = _explode_tokens(behavior, entity_col, text_col)
+    tok, colons, code, value_text = _token_parts(F.col("token"))
+    staged = exploded.select("entity_id", "token", tok.alias("_tok"), colons.alias("_n"),
+                             code.alias("item_code"), value_text.alias("value_text"))
+    staged = staged.withColumn("value", F.col("value_text").try_cast("double"))
     status = (
-        F.when(jvm_trim(F.col("token")) == "", F.lit(STATUS_EMPTY))
-        .when(F.col("_n") != 2, F.lit(STATUS_ARITY))
+        F.when(F.col("_tok") == "", F.lit(STATUS_EMPTY))
+        .when(F.col("_n") != 1, F.lit(STATUS_ARITY))
         .when(F.col("item_code") == "", F.lit(STATUS_EMPTY_CODE))
         .when(F.col("value").isNull(), F.lit(STATUS_BAD_NUMBER))
         .otherwise(F.lit(STATUS_OK))
     )
-    return with_parts.withColumn("status", status).drop("_n")
+    return staged.withColumn("status", status).drop("_tok", "_n")
 
 
 def parse_pairs(behavior: DataFrame, lenient: bool = False, entity_col: str = "entity_id",
@@ -86,17 +100,18 @@ def parse_pairs(behavior: DataFrame, lenient: bool = False, entity_col: str = "e
 
     Strict mode (default) fails the job on a value that is not a number, as the
     text-to-number conversion does; lenient mode drops such tokens.  Narrow:
-    a ``Generate`` inside whole-stage codegen, no shuffle.
+    a ``Generate`` and string scans inside whole-stage codegen, no shuffle.
     """
-    tokens = pair_tokens(behavior, entity_col, text_col)
+    exploded = _explode_tokens(behavior, entity_col, text_col)
+    _, colons, code, value_text = _token_parts(F.col("token"))
+    staged = exploded.select("entity_id", "token", colons.alias("_n"), code.alias("item_code"),
+                             value_text.alias("_v"))
+    kept = staged.where((F.col("_n") == 1) & (F.col("item_code") != ""))
+    parsed = F.col("_v").try_cast("double")
     if lenient:
-        kept = tokens.where(F.col("status") == STATUS_OK)
-        value = F.col("value")
-    else:
-        kept = tokens.where(F.col("status").isin(STATUS_OK, STATUS_BAD_NUMBER))
-        value = F.when(F.col("value").isNull(),
-                       F.raise_error(F.concat(F.lit("not a number in pair: "), F.col("token")))
-                       ).otherwise(F.col("value"))
+        return kept.select("entity_id", "item_code", parsed.alias("value")).where(F.col("value").isNotNull())
+    value = F.when(parsed.isNull(), F.raise_error(F.concat(F.lit("not a number in pair: "), F.col("token")))
+                   ).otherwise(parsed)
     return kept.select("entity_id", "item_code", value.cast("double").alias("value"))
 
 
@@ -123,7 +138,7 @@ def used_items(top_items: DataFrame, pairs: DataFrame, prefix_len: int = 2) -> D
     seen = (pairs.select("item_code")
             .join(F.broadcast(top.select("item_code")), "item_code", "left_semi")
             .distinct())
-    used = top.join(seen, "item_code", "left_semi")
+    used = top.join(F.broadcast(seen), "item_code", "left_semi")     # both sides ≤ K
     order = Window.orderBy(F.desc("installs"), F.desc("item_code"), F.desc("item_name"))
     return used.select(
         "item_code",
@@ -170,3 +185,53 @@ def user_item_features(pairs: DataFrame, used: DataFrame, value_mode: str = "bin
     out = arr.withColumn("features", text)
     cols = ["entity_id", "features"] + (["indices", "values"] if keep_arrays else [])
     return out.select(*cols)
+
+
+# ----------------------------------------------------------------- one-pass build
+
+def rank_items(top_items: DataFrame) -> DataFrame:
+    """Top-K items with their 0-based rank in top-K order (≤ K rows)."""
+    order = Window.orderBy(F.desc("installs"), F.desc("item_code"), F.desc("item_name"))
+    return top_items.select("item_code", "item_name", "installs",
+                            (F.row_number().over(order) - 1).cast("int").alias("top_rank"))
+
+
+def entity_top_ranks(pairs: DataFrame, ranked: DataFrame) -> DataFrame:
+    """Per entity: sorted distinct top-K ranks of the items it used (≤ K each)."""
+    j = pairs.join(F.broadcast(ranked.select("item_code", "top_rank")), "item_code")
+    return j.groupBy("entity_id").agg(F.array_sort(F.collect_set("top_rank")).alias("ranks"))
+
+
+def build_item_features(pairs: DataFrame, top_items: DataFrame, prefix_len: int = 2,
+                        materialize: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Used items and entity features from **one** pass over the behaviour.
+
+    The raw pairs are read once: joined to the broadcast top-K (≤ K rows) and
+    reduced to one sorted rank set per entity, which is written with
+    ``checkpoint()``.  Used items are the distinct ranks of that (much smaller)
+    table; the dense column index of each rank is a ≤ K-entry literal array, so
+    the final features are a narrow ``transform`` with no second join.
+
+    Returns ``(used, features)`` with the same rows as :func:`used_items` and
+    :func:`user_item_features` (binary mode).
+    """
+    ranked = rank_items(top_items)
+    per_entity = entity_top_ranks(pairs, ranked)
+    if materialize:
+        per_entity = per_entity.checkpoint(eager=True)
+    seen = per_entity.select(F.explode("ranks").alias("top_rank")).distinct()
+    used_ranked = ranked.join(F.broadcast(seen), "top_rank", "left_semi")
+    order = Window.orderBy("top_rank")
+    used = used_ranked.select(
+        "item_code", strip_prefix("item_code", prefix_len).alias("dim_code"), "item_name",
+        (F.row_number().over(order) - 1).cast("long").alias("column_index"), "top_rank")
+    pairs_list = used.select("top_rank", "column_index").collect()        # ≤ K rows
+    k = max([r["top_rank"] for r in pairs_list], default=-1) + 1
+    slots = [-1] * k
+    for r in pairs_list:
+        slots[r["top_rank"]] = int(r["column_index"])
+    lookup = F.array(*[F.lit(v).cast("long") for v in slots]) if slots else F.array().cast("array<bigint>")
+    idx = F.transform("ranks", lambda r: F.element_at(lookup, r + 1))
+    features = per_entity.select("entity_id", idx.alias("indices")).select(
+        "entity_id", indices_text("indices").alias("features"), "indices")
+    return used.drop("top_rank"), features

@@ -41,9 +41,9 @@ def q_used_items(spark, sf_dir):
 
 
 def features_frame(spark, sf_dir, keep_arrays=False):
-    pairs = _pairs(spark, sf_dir)
-    used = B.used_items(_top(spark, sf_dir), pairs)
-    return B.user_item_features(pairs, used, keep_arrays=keep_arrays)
+    """Entity features built in one pass over the behaviour (see ``build_item_features``)."""
+    _, feats = B.build_item_features(_pairs(spark, sf_dir), _top(spark, sf_dir))
+    return feats if keep_arrays else feats.select("entity_id", "features")
 
 
 def q_user_item_features(spark, sf_dir):
@@ -57,6 +57,7 @@ def queries() -> dict[str, Query]:
         "malformed_pairs": q_malformed_pairs,
         "used_items": q_used_items,
         "user_item_features": q_user_item_features,
+        "user_item_features_join": q_user_item_features_join,
     }))
 
 
@@ -286,11 +287,9 @@ def q_sparse_text_roundtrip(spark, sf_dir):
     lab = L.labeled_features(X.known_labels(spark, sf_dir), features_frame(spark, sf_dir))
     path = scratch_path(spark, "sparse-text")
     K.write_sparse_text(lab, path, mode="overwrite")
-    back = R.read_sparse_text(spark, path)
-    arr = vector_elements("features")
-    nz = F.filter(F.sequence(F.lit(0), F.size(arr) - 1), lambda i: F.element_at(arr, i + 1) != 0.0)
-    return back.select("label", F.size(arr).cast("long").alias("num_features"),
-                       F.array_join(nz, " ").alias("indices"))
+    back = R.read_sparse_text(spark, path, keep_arrays=True)
+    return back.select("label", F.size(vector_elements("features")).cast("long").alias("num_features"),
+                       F.array_join("indices", " ").alias("indices"))
 
 
 def q_dense_text_roundtrip(spark, sf_dir):
@@ -361,12 +360,16 @@ def fixed_weights(used: DataFrame) -> DataFrame:
 
 
 def _scored_entities(spark, sf_dir):
-    pairs = _pairs(spark, sf_dir)
-    used = B.used_items(_top(spark, sf_dir), pairs)
-    arr = B.user_item_features(pairs, used, keep_arrays=True)
+    used, arr = B.build_item_features(_pairs(spark, sf_dir), _top(spark, sf_dir))
     return arr, used
 
 
+def q_user_item_features_join(spark, sf_dir):
+    """The same features through the join form (used items given)."""
+    pairs = _pairs(spark, sf_dir)
+    return B.user_item_features(pairs, B.used_items(_top(spark, sf_dir), pairs))
+
+
 def q_logistic_score(spark, sf_dir):
     arr, used = _scored_entities(spark, sf_dir)
     return _round_all(MO.logistic_score(arr, fixed_weights(used)))

@@ -102,6 +102,7 @@ def _oracle_sql() -> dict[str, str]:
                               body="SELECT entity_id, token, status FROM classified WHERE status <> 'ok'")
     q["used_items"] = _q(*BEHAVIOR_CHAIN[:7], body="SELECT item_code, dim_code, item_name, column_index FROM used")
     q["user_item_features"] = _q(*BEHAVIOR_CHAIN, body="SELECT entity_id, features FROM features")
+    q["user_item_features_join"] = q["user_item_features"]
     q.update(more_sql())
     q.update(io_sql())
     return q
