@@ -51,14 +51,14 @@ def q_user_item_features(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    return register_io_models(register_more({
+    return register_streaming(register_io_models(register_more({
         "item_topk": q_item_topk,
         "parse_pairs": q_parse_pairs,
         "malformed_pairs": q_malformed_pairs,
         "used_items": q_used_items,
         "user_item_features": q_user_item_features,
         "user_item_features_join": q_user_item_features_join,
-    }))
+    })))
 
 
 # ------------------------------------------------------------------ labels & metrics
@@ -501,3 +501,71 @@ def register_io_models(q: dict) -> dict:
         "model_roundtrip": q_model_roundtrip,
     })
     return q
+
+
+# ------------------------------------------------------------------- streaming
+
+from entiscore.streaming import stream as S  # noqa: E402
+
+
+def _stream_dir(spark, frame: DataFrame, name: str, order_col: str) -> str:
+    """Write a frame as several parquet files (the stream's arriving files)."""
+    path = scratch_path(spark, name)
+    frame.repartitionByRange(X.STREAM_FILES, order_col).write.mode("overwrite").parquet(path)
+    return path
+
+
+def q_stream_tokens(spark, sf_dir):
+    src_df = X.event_bodies(spark, sf_dir)
+    src = _stream_dir(spark, src_df, "stream-bodies", "event_id")
+    stream = S.stream_source(spark, src, src_df.schema, max_files_per_trigger=1)
+    words = S.stream_tokens(stream, "value", keep=["event_id"])
+    sink, ckpt = scratch_path(spark, "stream-words"), scratch_path(spark, "stream-words-ckpt")
+    q = (words.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    S.run_to_end(q)
+    return spark.read.parquet(sink)
+
+
+def q_stream_batch_counts(spark, sf_dir):
+    src_df = X.table(spark, sf_dir, "events")
+    src = _stream_dir(spark, src_df, "stream-events", "event_id")
+    stream = S.stream_source(spark, src, src_df.schema, max_files_per_trigger=1)
+    sink, ckpt = scratch_path(spark, "stream-counts"), scratch_path(spark, "stream-counts-ckpt")
+    S.run_to_end(S.stream_batch_counts(stream, sink, ckpt, available_now=True))
+    counts = spark.read.parquet(sink)
+    return counts.agg(F.count(F.lit(1)).alias("batches"), F.sum("n_rows").cast("long").alias("n_rows"))
+
+
+def event_model(spark, sf_dir):
+    """Pipeline fitted on the events table: type one-hot + value → logistic model."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+    e = X.table(spark, sf_dir, "events").withColumn("label", (F.col("value") > 10).cast("double"))
+    stages = [StringIndexer(inputCol="event_type", outputCol="type_index"),
+              OneHotEncoder(inputCols=["type_index"], outputCols=["type_vec"]),
+              VectorAssembler(inputCols=["type_vec", "user_id"], outputCol="features"),
+              MO.logistic(fit_intercept=True, max_iter=20)]
+    return Pipeline(stages=stages).fit(e)
+
+
+def q_stream_score(spark, sf_dir):
+    from pyspark.ml import PipelineModel
+    path = scratch_path(spark, "event-model")
+    MO.save_model(event_model(spark, sf_dir), path)
+    model = MO.load_model(path, PipelineModel)
+    src_df = X.table(spark, sf_dir, "events")
+    src = _stream_dir(spark, src_df, "stream-score-src", "event_id")
+    stream = S.stream_source(spark, src, src_df.schema, max_files_per_trigger=1)
+    sink, ckpt = scratch_path(spark, "stream-score"), scratch_path(spark, "stream-score-ckpt")
+    S.run_to_end(S.stream_score(stream, model, sink, ckpt, keep=["event_id"], available_now=True))
+    return _round_all(spark.read.parquet(sink))
+
+
+def register_streaming(q: dict) -> dict:
+    q.update({
+        "stream_tokens": q_stream_tokens,
+        "stream_batch_counts": q_stream_batch_counts,
+        "stream_score": q_stream_score,
+    })
+    return q

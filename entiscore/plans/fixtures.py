@@ -151,3 +151,19 @@ SCORED_SQL = """scored AS (
 
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+# --------------------------------------------------------------------------- stream
+
+STREAM_FILES = 4
+
+
+def event_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``event_id, value`` text bodies of the event stream: ``<type> u<user>``."""
+    e = table(spark, sf_dir, "events")
+    body = F.concat_ws(" ", F.col("event_type"), F.concat(F.lit("u"), F.col("user_id").cast("string")))
+    return e.select("event_id", body.alias("value"))
+
+
+EVENT_BODIES_SQL = """bodies AS (
+  SELECT event_id, event_type || ' ' || 'u' || CAST(user_id AS VARCHAR) AS value FROM events)"""

@@ -9,6 +9,8 @@ rounded to ``ROUND_PLACES`` on both sides.
 from __future__ import annotations
 
 from entiscore.plans.fixtures import (
+    EVENT_BODIES_SQL,
+    STREAM_FILES,
     CODE_PREFIX,
     CREDIT_SQL,
     ITEMS_SQL,
@@ -105,6 +107,7 @@ def _oracle_sql() -> dict[str, str]:
     q["user_item_features_join"] = q["user_item_features"]
     q.update(more_sql())
     q.update(io_sql())
+    q.update(stream_sql())
     return q
 
 
@@ -315,3 +318,12 @@ UNION ALL
 SELECT t.entity_id, CASE WHEN 1 / (1 + exp(-s.margin)) > 0.5 THEN '1' ELSE '0' END AS class, 'model' AS source
 FROM tagged t JOIN sc s ON t.entity_id = s.entity_id WHERE t.label IS NULL""")
     return q
+
+
+def stream_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["stream_tokens"] = _q(EVENT_BODIES_SQL, body="""
+SELECT event_id, word FROM (SELECT event_id, unnest(string_split(value, ' ')) AS word FROM bodies)
+WHERE word <> ''""")
+    q["stream_batch_counts"] = f"SELECT CAST({STREAM_FILES} AS BIGINT) AS batches, CAST(COUNT(*) AS BIGINT) AS n_rows FROM events"
+    return q
