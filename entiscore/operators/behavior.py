@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from entiscore.functions.text import jvm_trim, prefixed_code, rtrim_chars, strip_newlines, strip_prefix
+from entiscore.functions.literals import long_array
 from entiscore.functions.vectors import indices_text
 
 PAIR_SEPARATOR = " "
@@ -230,7 +231,7 @@ def build_item_features(pairs: DataFrame, top_items: DataFrame, prefix_len: int
     slots = [-1] * k
     for r in pairs_list:
         slots[r["top_rank"]] = int(r["column_index"])
-    lookup = F.array(*[F.lit(v).cast("long") for v in slots]) if slots else F.array().cast("array<bigint>")
+    lookup = long_array(slots)
     idx = F.transform("ranks", lambda r: F.element_at(lookup, r + 1))
     features = per_entity.select("entity_id", idx.alias("indices")).select(
         "entity_id", indices_text("indices").alias("features"), "indices")

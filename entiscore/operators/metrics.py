@@ -22,6 +22,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from entiscore.functions.literals import double_array
 from entiscore.functions.numeric import safe_div
 from entiscore.operators.cumulative import descending_cumsum
 
@@ -54,7 +55,7 @@ def threshold_sweep(scored: DataFrame, thresholds: list[float] | None = None,
     # Bucketizer gives #thresholds <= score; drop one when the score equals a threshold.
     # Null / NaN scores compare false both ways: they only count in the class totals.
     b = F.col("_b").cast("int")
-    grid_arr = F.array(*[F.lit(t) for t in ts])
+    grid_arr = double_array(ts)
     at = F.element_at(grid_arr, F.greatest(b, F.lit(1)))
     m = (F.when(F.col("_s").isNull() | F.isnan(F.col("_s")), F.lit(-1))
          .when((b >= 1) & (at == F.col("_s")), b - 1)

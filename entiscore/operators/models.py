@@ -19,6 +19,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from entiscore.functions.literals import double_matrix
 from entiscore.functions.numeric import probability_of_one
 
 
@@ -127,7 +128,7 @@ def kmeans_assign(vectors: DataFrame, centers: list[list[float]], array_col: str
     The centre list is a model parameter (k rows); the distance is a JVM
     expression over array columns, so no UDF and no join.
     """
-    cent = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centers])
+    cent = double_matrix(centers)
     x = F.col(array_col).cast("array<double>")
     dists = F.transform(cent, lambda c: F.aggregate(
         F.zip_with(x, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v))

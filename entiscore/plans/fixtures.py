@@ -22,8 +22,18 @@ TOP_K = 1000
 LABEL_BALANCE = 4500.0
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The supplied table; one DataFrame per session and path (file listing and
+    footers are read once, the plan is still lazy)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), spark.sparkContext.applicationId, path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 # --------------------------------------------------------------------------- items
