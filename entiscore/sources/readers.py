@@ -75,7 +75,8 @@ def parse_sparse_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
 
 def sparse_dimension(parsed: DataFrame) -> int:
     """``max(last index) + 1`` over all lines (one scalar to the driver)."""
-    row = parsed.agg(F.max(F.element_at("indices", -1)).alias("m")).first()
+    last = F.coalesce(F.try_element_at("indices", F.lit(-1)), F.lit(0))   # empty line → 0
+    row = parsed.agg(F.max(last).alias("m")).first()
     return 0 if row is None or row["m"] is None else int(row["m"]) + 1
 
 
