@@ -51,25 +51,32 @@ def top_k_items(items: DataFrame, k: int = 1000, prefix: str = "",
     return norm.orderBy(F.desc("installs"), F.desc("item_code"), F.desc("item_name")).limit(int(k))
 
 
+# Control characters at a token edge or next to ':' — what a per-token and a
+# per-part JVM trim would remove.  One regex per text row replaces a trim per
+# token and per part: tokens come from a split on single spaces, so they never
+# carry edge spaces themselves.
+_EDGE_CONTROL = r"(?<=^| |:)[\x00-\x1f]+|[\x00-\x1f]+(?= |:|$)"
+
+
 def _token_parts(token):
-    """Cheap per-token pieces: (trimmed token, colon count, code, value text).
+    """Cheap per-token pieces: (colon count, code, value text).
 
     Trailing ``:`` are dropped first (the JVM split drops trailing empty
-    parts); "exactly two parts" is then "exactly one colon".  Only plain
-    string scans, no regex and no array.
+    parts); "exactly two parts" is then "exactly one colon".  Plain string
+    scans only: no regex, no array, no trim.
     """
-    tok = jvm_trim(token)
-    core = rtrim_chars(tok, VALUE_SEPARATOR)
+    core = rtrim_chars(token, VALUE_SEPARATOR)
     colons = F.length(core) - F.length(F.replace(core, F.lit(VALUE_SEPARATOR), F.lit("")))
-    code = jvm_trim(F.substring_index(core, VALUE_SEPARATOR, 1))
-    value_text = jvm_trim(F.substring_index(core, VALUE_SEPARATOR, -1))
-    return tok, colons, code, value_text
+    code = F.substring_index(core, VALUE_SEPARATOR, 1)
+    value_text = F.substring_index(core, VALUE_SEPARATOR, -1)
+    return colons, code, value_text
 
 
 def _explode_tokens(behavior: DataFrame, entity_col: str, text_col: str) -> DataFrame:
+    text = F.regexp_replace(F.col(text_col), _EDGE_CONTROL, "")
     return behavior.select(
         jvm_trim(F.col(entity_col).cast("string")).alias("entity_id"),
-        F.explode(F.split(jvm_trim(F.col(text_col)), PAIR_SEPARATOR)).alias("token"),
+        F.explode(F.split(text, PAIR_SEPARATOR)).alias("token"),
     )
 
 
@@ -81,8 +88,8 @@ def pair_tokens(behavior: DataFrame, entity_col: str = "entity_id", text_col: st
     ``:``-separated parts with a non-empty code and a numeric value.
     """
     exploded = _explode_tokens(behavior, entity_col, text_col)
-    tok, colons, code, value_text = _token_parts(F.col("token"))
-    staged = exploded.select("entity_id", "token", tok.alias("_tok"), colons.alias("_n"),
+    colons, code, value_text = _token_parts(F.col("token"))
+    staged = exploded.select("entity_id", "token", F.col("token").alias("_tok"), colons.alias("_n"),
                              code.alias("item_code"), value_text.alias("value_text"))
     staged = staged.withColumn("value", F.col("value_text").try_cast("double"))
     status = (
@@ -104,7 +111,7 @@ def parse_pairs(behavior: DataFrame, lenient: bool = False, entity_col: str = "e
     a ``Generate`` and string scans inside whole-stage codegen, no shuffle.
     """
     exploded = _explode_tokens(behavior, entity_col, text_col)
-    _, colons, code, value_text = _token_parts(F.col("token"))
+    colons, code, value_text = _token_parts(F.col("token"))
     staged = exploded.select("entity_id", "token", colons.alias("_n"), code.alias("item_code"),
                              value_text.alias("_v"))
     kept = staged.where((F.col("_n") == 1) & (F.col("item_code") != ""))
