@@ -6,12 +6,25 @@ full; the matching DuckDB statement lives in :mod:`entiscore.plans.oracle`.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
+from pyspark.ml.feature import IndexToString
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from entiscore.functions.dates import run_day
+from entiscore.functions.vectors import to_sparse_vector, vector_elements
 from entiscore.operators import behavior as B
+from entiscore.operators import features as FE
+from entiscore.operators import labels as L
+from entiscore.operators import metrics as M
+from entiscore.operators import models as MO
 from entiscore.plans import fixtures as X
+from entiscore.session import scratch_path
+from entiscore.sources import readers as R
+from entiscore.sources import sinks as K
+from entiscore.streaming import stream as S
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,14 +76,6 @@ def queries() -> dict[str, Query]:
 
 # ------------------------------------------------------------------ labels & metrics
 
-from pyspark.ml.feature import IndexToString  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
-
-from entiscore.functions.vectors import to_sparse_vector, vector_elements  # noqa: E402
-from entiscore.operators import features as FE  # noqa: E402
-from entiscore.operators import labels as L  # noqa: E402
-from entiscore.operators import metrics as M  # noqa: E402
-from entiscore.operators import models as MO  # noqa: E402
 
 ROUND = 6
 HARD_CUT = 0.8          # fixed rule turning the document score into a class
@@ -273,12 +278,6 @@ def register_more(q: dict) -> dict:
 
 # ------------------------------------------------------------------ sources & sinks
 
-import datetime as _dt  # noqa: E402
-
-from entiscore.functions.dates import run_day  # noqa: E402
-from entiscore.session import scratch_path  # noqa: E402
-from entiscore.sources import readers as R  # noqa: E402
-from entiscore.sources import sinks as K  # noqa: E402
 
 CSV_INT_COLUMNS = ["customer_id", "nation", "label", "n_orders"]
 
@@ -479,6 +478,33 @@ def q_model_roundtrip(spark, sf_dir):
     return _round_all(j.withColumn("same", F.col("score_saved") == F.col("score_loaded")))
 
 
+def q_undersample_random(spark, sf_dir):
+    c = X.credit_table(spark, sf_dir).select("customer_id", "label")
+    return FE.undersample(c, "label", {0: 0.3, 1: 1.0}, seed=42)
+
+
+def q_behavior_model_job(spark, sf_dir):
+    """The whole batch behaviour model for one day; returns the written predictions."""
+    from entiscore.plans.jobs import behavior_model_job
+    res = behavior_model_job(spark, X.items(spark, sf_dir), X.behavior_text(spark, sf_dir),
+                             X.known_labels(spark, sf_dir), PARTITION_DAYS[0],
+                             scratch_path(spark, "behavior-job"), k=X.TOP_K, prefix=X.CODE_PREFIX)
+    return res.predictions.select("entity_id", "class", F.col("stat_date").cast("string"))
+
+
+def q_pipeline_model_job(spark, sf_dir):
+    """Labels ⋈ features → scaler + tree → AUC/accuracy → two error-dropping refits."""
+    from entiscore.plans.jobs import pipeline_model_job
+    vecs, _ = behavior_vectors(spark, sf_dir)
+    data = L.train_rows(vecs).select("entity_id", "label", F.col("vec").alias("features"))
+    res = pipeline_model_job(data)
+    rec = res.final_recall.first()
+    row = (res.area_under_roc, res.accuracy, int(res.sizes[0][1]), int(res.sizes[-1][1]),
+           float(rec["recall"]) if rec["recall"] is not None else None)
+    return spark.createDataFrame([row], "area_under_roc double, accuracy double, rows_first long, "
+                                        "rows_last long, class1_recall double")
+
+
 def register_io_models(q: dict) -> dict:
     q.update({
         "sparse_text_roundtrip": q_sparse_text_roundtrip,
@@ -499,14 +525,15 @@ def register_io_models(q: dict) -> dict:
         "kmeans_centers": q_kmeans_centers,
         "kmeans_cost_sweep": q_kmeans_cost_sweep,
         "model_roundtrip": q_model_roundtrip,
+        "undersample_random": q_undersample_random,
+        "behavior_model_job": q_behavior_model_job,
+        "pipeline_model_job": q_pipeline_model_job,
     })
     return q
 
 
 # ------------------------------------------------------------------- streaming
 
-from entiscore.streaming import stream as S  # noqa: E402
-
 
 def _stream_dir(spark, frame: DataFrame, name: str, order_col: str) -> str:
     """Write a frame as several parquet files (the stream's arriving files)."""
