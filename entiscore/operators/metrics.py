@@ -114,12 +114,19 @@ def prune_positives(scored: DataFrame, threshold: float, score_col: str = "score
 # ------------------------------------------------------------------- curve metrics
 
 def _curve_base(scored: DataFrame, score_col: str, label_col: str,
-                num_buckets: int | None = None) -> DataFrame:
-    """One row per distinct score: ``score, pos, neg, tp, fp, P, N`` (tp/fp inclusive)."""
+                num_buckets: int | None = None, materialize: bool = True) -> DataFrame:
+    """One row per distinct score: ``score, pos, neg, tp, fp, P, N`` (tp/fp inclusive).
+
+    The per-score counts are read three times (quantile sketch, range totals,
+    running sums); ``materialize`` writes them once with ``checkpoint()`` so the
+    scored rows (often a model's output) are computed and scanned only once.
+    """
     positive = F.col(label_col).cast("double") > 0.5
     counts = (scored.select(F.col(score_col).cast("double").alias("score"), positive.alias("_p"))
               .groupBy("score")
               .agg(F.count_if(F.col("_p")).alias("pos"), F.count_if(~F.col("_p")).alias("neg")))
+    if materialize:
+        counts = counts.checkpoint(eager=True)
     c = descending_cumsum(counts, "score", ["pos", "neg"], num_buckets)
     return c.select("score", "pos", "neg", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
                     F.col("total_pos").alias("P"), F.col("total_neg").alias("N"))

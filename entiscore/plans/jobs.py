@@ -49,13 +49,14 @@ def behavior_model_job(spark: SparkSession, items: DataFrame, behavior: DataFram
     root = out_root.rstrip("/")
     top = B.top_k_items(items, k, prefix)
     pairs = B.parse_pairs(behavior)
-    used = B.used_items(top, pairs).checkpoint(eager=True)          # ≤ k rows
+    # One pass over the raw behaviour: per-entity rank sets are checkpointed,
+    # used items and dense indexes come from them.
+    used, feats = B.build_item_features(pairs, top, prefix_len=len(prefix))
+    used = used.checkpoint(eager=True)                               # ≤ k rows
     overwrite_partition(used.select(F.col("dim_code").alias("code"), F.col("item_name").alias("name"),
                                     "column_index"), f"{root}/items", day)
     dim = used.count()
-
-    feats = B.user_item_features(pairs, used)
-    overwrite_partition(feats, f"{root}/features", day)
+    overwrite_partition(feats.select("entity_id", "features"), f"{root}/features", day)
     # Re-read the written partition: it is the lineage cut for everything below.
     written = read_partition(spark, f"{root}/features", day).drop("stat_date")
     idx, _ = feature_text_arrays("features")
