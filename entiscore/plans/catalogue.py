@@ -332,6 +332,15 @@ def q_labeled_csv(spark, sf_dir):
     return _round_all(back.select("label", *[arr.getItem(i).alias(f"f{i}") for i in range(len(CREDIT_MEASURES))]), 4)
 
 
+def q_table_roundtrip(spark, sf_dir):
+    """Known labels saved as a catalog table, then scanned back with a projection."""
+    import uuid
+    name = f"entiscore_known_{uuid.uuid4().hex[:10]}"
+    K.save_table(X.known_labels(spark, sf_dir), name, mode="errorifexists",
+                 path=scratch_path(spark, "table"))
+    return spark.table(name).select("entity_id", "label")
+
+
 PARTITION_DAYS = (run_day(_dt.date(2024, 1, 2)), run_day(_dt.date(2024, 1, 3)))
 
 
@@ -513,6 +522,7 @@ def register_io_models(q: dict) -> dict:
         "csv_raw_roundtrip": q_csv_raw_roundtrip,
         "labeled_csv": q_labeled_csv,
         "partition_overwrite": q_partition_overwrite,
+        "table_roundtrip": q_table_roundtrip,
         "logistic_score": q_logistic_score,
         "assign_classes": q_assign_classes,
         "train_logistic": q_train_logistic,

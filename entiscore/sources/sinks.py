@@ -30,6 +30,14 @@ def overwrite_partition(df: DataFrame, path: str, day: str, partition_col: str =
        .save(path))
 
 
-def save_table(df: DataFrame, name: str, mode: str = "errorifexists") -> None:
-    """Managed table; fails when it exists unless another ``mode`` is given."""
-    df.write.mode(mode).saveAsTable(name)
+def save_table(df: DataFrame, name: str, mode: str = "errorifexists", path: str | None = None,
+               fmt: str = "parquet") -> None:
+    """Catalog table; fails when it exists unless another ``mode`` is given.
+
+    With ``path`` the data lives there (a shared location) instead of the
+    session's warehouse folder.
+    """
+    writer = df.write.mode(mode).format(fmt)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
