@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from entiscore.functions.text import jvm_trim, prefixed_code, rtrim_chars, strip_newlines, strip_prefix
 from entiscore.functions.literals import long_array
 from entiscore.functions.vectors import indices_text
+from entiscore.session import checkpointed
 
 PAIR_SEPARATOR = " "
 VALUE_SEPARATOR = ":"
@@ -226,7 +227,7 @@ def build_item_features(pairs: DataFrame, top_items: DataFrame, prefix_len: int
     ranked = rank_items(top_items)
     per_entity = entity_top_ranks(pairs, ranked)
     if materialize:
-        per_entity = per_entity.checkpoint(eager=True)
+        per_entity = checkpointed(per_entity)
     seen = per_entity.select(F.explode("ranks").alias("top_rank")).distinct()
     used_ranked = ranked.join(F.broadcast(seen), "top_rank", "left_semi")
     order = Window.orderBy("top_rank")

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from entiscore.functions.literals import double_array
 from entiscore.functions.numeric import safe_div
 from entiscore.operators.cumulative import descending_cumsum
+from entiscore.session import checkpointed
 
 # The sweep grid: 0.01, 0.02, …, 0.99.
 DEFAULT_THRESHOLDS = [i / 100 for i in range(1, 100)]
@@ -126,7 +127,7 @@ def _curve_base(scored: DataFrame, score_col: str, label_col: str,
               .groupBy("score")
               .agg(F.count_if(F.col("_p")).alias("pos"), F.count_if(~F.col("_p")).alias("neg")))
     if materialize:
-        counts = counts.checkpoint(eager=True)
+        counts = checkpointed(counts)
     c = descending_cumsum(counts, "score", ["pos", "neg"], num_buckets)
     return c.select("score", "pos", "neg", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
                     F.col("total_pos").alias("P"), F.col("total_neg").alias("N"))

@@ -19,6 +19,7 @@ from entiscore.operators.features import split_by_key
 from entiscore.operators.labels import class_counts
 from entiscore.operators.metrics import best_threshold, prune_positives, threshold_sweep
 from entiscore.operators.models import logistic, save_model
+from entiscore.session import checkpointed
 
 
 class NoUsableThreshold(ValueError):
@@ -69,8 +70,8 @@ def train_with_pruning(labeled: DataFrame, rounds: int = 10, holdout: float = 0.
     cols = [id_col, label_col, features_col]
     base = labeled.select(*cols)
     train, held = split_by_key(base, id_col, [1.0 - holdout, holdout])
-    held = held.checkpoint(eager=True)
-    train = train.checkpoint(eager=True)
+    held = checkpointed(held)
+    train = checkpointed(train)
     estimator = estimator or logistic(label_col=label_col, features_col=features_col)
 
     best_gmean, best = 0.0, None
@@ -95,7 +96,7 @@ def train_with_pruning(labeled: DataFrame, rounds: int = 10, holdout: float = 0.
             best_gmean, best = float(top["gmean"]), (float(top["threshold"]), model, k)
         before = counts["n"]
         pruned = prune_positives(_with_score(model, train), float(top["threshold"]), "score", label_col)
-        pruned = pruned.select(*cols).checkpoint(eager=True)
+        pruned = checkpointed(pruned.select(*cols))
         after = pruned.count()
         train = pruned
         if after == before:
@@ -120,12 +121,12 @@ def retrain_dropping_errors(train: DataFrame, make_estimator, rounds: int = 2,
     rows, the final model and one ``(round, rows)`` pair per round.
     """
     keep_cols = keep_cols or train.columns
-    data = train.select(*keep_cols).checkpoint(eager=True)
+    data = checkpointed(train.select(*keep_cols))
     model = make_estimator().fit(data)
     sizes = [(0, data.count())]
     for r in range(1, int(rounds) + 1):
         kept = drop_majority_errors(model.transform(data), indexed_label_col, "prediction")
-        data = kept.select(*keep_cols).checkpoint(eager=True)
+        data = checkpointed(kept.select(*keep_cols))
         sizes.append((r, data.count()))
         model = make_estimator().fit(data)
     return data, model, sizes

@@ -30,6 +30,7 @@ from entiscore.operators import models as MO
 from entiscore.operators.training import retrain_dropping_errors, train_with_pruning
 from entiscore.sources.readers import read_partition
 from entiscore.sources.sinks import overwrite_partition
+from entiscore.session import checkpointed
 
 
 @dataclass
@@ -52,7 +53,7 @@ def behavior_model_job(spark: SparkSession, items: DataFrame, behavior: DataFram
     # One pass over the raw behaviour: per-entity rank sets are checkpointed,
     # used items and dense indexes come from them.
     used, feats = B.build_item_features(pairs, top, prefix_len=len(prefix))
-    used = used.checkpoint(eager=True)                               # ≤ k rows
+    used = checkpointed(used)                               # ≤ k rows
     overwrite_partition(used.select(F.col("dim_code").alias("code"), F.col("item_name").alias("name"),
                                     "column_index"), f"{root}/items", day)
     dim = used.count()

@@ -65,3 +65,12 @@ def local_path(uri: str) -> str:
     if uri.startswith("file:"):
         return uri[len("file:"):]
     return uri if os.path.isabs(uri) else uri
+
+
+def checkpointed(df):
+    """Reliable, eager checkpoint into the shared checkpoint folder (lineage cut).
+
+    Never ``localCheckpoint``: executor-local blocks die with the executor.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
