@@ -93,3 +93,20 @@ def test_sum_mode(spark):
     feats = {r.entity_id: r.features for r in B.user_item_features(pairs, B.used_items(top, pairs), "sum").collect()}
     assert feats["u1"] == "0:1.0 2:9.0"
     assert feats["u4"] == "0:3.0"
+
+
+def test_hot_entity_is_exact_and_partially_aggregated(spark):
+    """One entity holds a third of all rows: result exact, set aggregated map-side."""
+    n = 3000
+    rows = [("hot" if i % 3 == 0 else f"u{i}", f"12{i % 5}:1 12{(i + 1) % 5}:2") for i in range(n)]
+    beh = spark.createDataFrame(rows, "entity_id string, text string").repartition(8)
+    items = spark.createDataFrame([(str(i), f"n{i}", 100 - i) for i in range(5)],
+                                  "item_id string, item_name string, installs long")
+    top = B.top_k_items(items, 3, "12")
+    pairs = B.parse_pairs(beh)
+    used, feats = B.build_item_features(pairs, top)
+    got = {r.entity_id: r.features for r in feats.select("entity_id", "features").collect()}
+    assert got["hot"] == "0:1 1:1 2:1"
+    assert len(got) == 1 + sum(1 for i in range(n) if i % 3 and (i % 5 < 3 or (i + 1) % 5 < 3))
+    plan = B.entity_top_ranks(pairs, B.rank_items(top))._jdf.queryExecution().executedPlan().toString()
+    assert "partial_collect_set" in plan
