@@ -501,12 +501,12 @@ def q_behavior_model_job(spark, sf_dir):
     return res.predictions.select("entity_id", "class", F.col("stat_date").cast("string"))
 
 
-def q_pipeline_model_job(spark, sf_dir):
+def q_tree_refit_job(spark, sf_dir):
     """Labels ⋈ features → scaler + tree → AUC/accuracy → two error-dropping refits."""
-    from entiscore.plans.jobs import pipeline_model_job
+    from entiscore.plans.jobs import tree_refit_job
     vecs, _ = behavior_vectors(spark, sf_dir)
     data = L.train_rows(vecs).select("entity_id", "label", F.col("vec").alias("features"))
-    res = pipeline_model_job(data)
+    res = tree_refit_job(data)
     rec = res.final_recall.first()
     row = (res.area_under_roc, res.accuracy, int(res.sizes[0][1]), int(res.sizes[-1][1]),
            float(rec["recall"]) if rec["recall"] is not None else None)
@@ -537,7 +537,7 @@ def register_io_models(q: dict) -> dict:
         "model_roundtrip": q_model_roundtrip,
         "undersample_random": q_undersample_random,
         "behavior_model_job": q_behavior_model_job,
-        "pipeline_model_job": q_pipeline_model_job,
+        "tree_refit_job": q_tree_refit_job,
     })
     return q
 

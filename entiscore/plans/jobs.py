@@ -4,7 +4,7 @@
   and entity features (each written to its day partition) → train/predict
   split → logistic model with threshold sweep and positive pruning → final
   classes written to the day partition.
-* :func:`pipeline_model_job` — labels ⋈ features → vectors → label index,
+* :func:`tree_refit_job` — labels ⋈ features → vectors → label index,
   scaler, tree pipeline → AUC and accuracy → error-dropping refits.
 * :func:`credit_forest_job` — numeric table → group-by profile → assembled
   vector → random forest → accuracy.
@@ -78,7 +78,7 @@ def behavior_model_job(spark: SparkSession, items: DataFrame, behavior: DataFram
 
 
 @dataclass
-class PipelineJobResult:
+class TreeRefitResult:
     area_under_roc: float
     accuracy: float
     tree_text: str
@@ -86,8 +86,8 @@ class PipelineJobResult:
     final_recall: DataFrame
 
 
-def pipeline_model_job(labeled_vectors: DataFrame, seed: int = 42, drop_rounds: int = 2,
-                       tree_depth: int = 15, tree_bins: int = 100) -> PipelineJobResult:
+def tree_refit_job(labeled_vectors: DataFrame, seed: int = 42, drop_rounds: int = 2,
+                       tree_depth: int = 15, tree_bins: int = 100) -> TreeRefitResult:
     """``labeled_vectors``: ``entity_id, label, features`` (vector)."""
     data = labeled_vectors.withColumn("label_text", F.col("label").cast("int").cast("string"))
     train, test = FE.split_by_key(data, "entity_id", [0.8, 0.2])
@@ -109,7 +109,7 @@ def pipeline_model_job(labeled_vectors: DataFrame, seed: int = 42, drop_rounds:
     kept, final, sizes = retrain_dropping_errors(
         train_idx, refit, drop_rounds, keep_cols=["entity_id", "label", "features", "indexed_label"])
     recall = M.class_recall(final.transform(test_idx), 1.0, "indexed_label", "prediction")
-    return PipelineJobResult(float(ev["area_under_roc"]), float(ev["accuracy"]),
+    return TreeRefitResult(float(ev["area_under_roc"]), float(ev["accuracy"]),
                              MO.describe_model(model.stages[-1]), sizes, recall)
 
 
