@@ -85,6 +85,14 @@ def describe_model(model) -> str:
     return str(model)
 
 
+def feature_importances(model, spark) -> DataFrame:
+    """``feature, importance`` of a tree model (one row per vector slot with weight)."""
+    imp = model.featureImportances                       # vector of the model's dimension
+    rows = [(int(i), float(v)) for i, v in zip(imp.indices, imp.values)] if hasattr(imp, "indices") \
+        else [(i, float(v)) for i, v in enumerate(imp.toArray()) if v != 0.0]
+    return spark.createDataFrame(rows, "feature int, importance double")
+
+
 def save_model(model, path: str) -> str:
     """Save, replacing whatever is at ``path``."""
     model.write().overwrite().save(path)

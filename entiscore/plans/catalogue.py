@@ -427,6 +427,12 @@ def q_train_forest(spark, sf_dir):
     return pred.select("customer_id", "label", "prediction", "predicted_label")
 
 
+def q_forest_importances(spark, sf_dir):
+    c = _credit_vectors(spark, sf_dir)
+    forest = MO.train_forest(c, num_trees=10, seed=5043)
+    return MO.feature_importances(forest, spark)
+
+
 def q_train_tree(spark, sf_dir):
     c = _credit_vectors(spark, sf_dir)
     train, test = FE.split_by_key(c, "customer_id", [0.8, 0.2])
@@ -529,6 +535,7 @@ def register_io_models(q: dict) -> dict:
         "train_with_pruning": q_train_with_pruning,
         "train_forest": q_train_forest,
         "train_tree": q_train_tree,
+        "forest_importances": q_forest_importances,
         "train_cv": q_train_cv,
         "drop_majority_errors": q_drop_majority_errors,
         "index_vector": q_index_vector,

@@ -143,6 +143,8 @@ def test_tree_forest_cv(spark):
     assert "If (" in MO.describe_model(MO.train_tree(df, max_depth=3, max_bins=8))
     forest = MO.train_forest(df, num_trees=3, max_depth=3)
     assert forest.getNumTrees == 3
+    imp = MO.feature_importances(forest, spark).collect()
+    assert abs(sum(r.importance for r in imp) - 1.0) < 1e-9
     est = MO.logistic(fit_intercept=True, max_iter=10)
     cv = MO.train_cv(df, est, {est.regParam: [0.0, 0.1]}, folds=2)
     assert len(cv.avgMetrics) == 2
