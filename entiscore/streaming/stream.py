@@ -58,16 +58,18 @@ def _trigger(writer, interval: str | None, available_now: bool):
 
 def stream_batch_counts(stream: DataFrame, sink_path: str, checkpoint: str,
                         interval: str | None = DEFAULT_INTERVAL, available_now: bool = False) -> StreamingQuery:
-    """Append ``(batch_id, n_rows)`` for every micro-batch to a parquet table.
+    """Write ``n_rows`` of every micro-batch to ``sink_path/batch_id=<id>``.
 
-    The count is a distributed aggregate of the batch; the appended row is
-    keyed by batch id, so a replayed batch overwrites nothing and duplicates
-    can be removed by key.
+    The count is a distributed aggregate of the batch.  ``foreachBatch`` may
+    replay a batch after a failure; each batch overwrites only its own
+    directory, so a replay rewrites the same row (idempotent, exactly-once
+    effect).  Read back, ``batch_id`` is the partition column.
     """
+    root = sink_path.rstrip("/")
+
     def write(batch: DataFrame, batch_id: int) -> None:
         (batch.agg(F.count(F.lit(1)).alias("n_rows"))
-              .select(F.lit(int(batch_id)).cast("long").alias("batch_id"), "n_rows")
-              .write.mode("append").parquet(sink_path))
+              .write.mode("overwrite").parquet(f"{root}/batch_id={int(batch_id)}"))
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(writer, interval, available_now).start()
