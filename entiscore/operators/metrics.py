@@ -64,8 +64,13 @@ def threshold_sweep(scored: DataFrame, thresholds: list[float] | None = None,
     counts = (bucketed.select(m.alias("m"), "_l")
               .groupBy("m")
               .agg(F.count_if(F.col("_l") == 1.0).alias("c1"), F.count_if(F.col("_l") == 0.0).alias("c0")))
-    grid = spark.createDataFrame([(i + 1, t) for i, t in enumerate(ts)], "m int, threshold double")
-    j = grid.join(counts, "m", "full_outer").na.fill(0, ["c1", "c0"])
+    # Attach the grid by union + group (no join): m = i is threshold i's slot.
+    grid = spark.createDataFrame([(i + 1, t, 0, 0) for i, t in enumerate(ts)],
+                                 "m int, threshold double, c1 long, c0 long")
+    j = (counts.select("m", F.lit(None).cast("double").alias("threshold"), "c1", "c0")
+         .unionByName(grid)
+         .groupBy("m").agg(F.max("threshold").alias("threshold"), F.sum("c1").alias("c1"),
+                           F.sum("c0").alias("c0")))
     suffix = Window.orderBy(F.desc("m")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     every = Window.orderBy(F.desc("m")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     s = j.select(
