@@ -333,14 +333,30 @@ def q_labeled_csv(spark, sf_dir):
 
 
 def q_table_roundtrip(spark, sf_dir):
-    """Known labels saved as a catalog table, then scanned back with a projection."""
+    """Header CSV read as text columns, saved as a catalog table, scanned back."""
     import uuid
+    csv_path = scratch_path(spark, "table-csv")
+    X.known_labels(spark, sf_dir).write.mode("overwrite").option("header", True).csv(csv_path)
     name = f"entiscore_known_{uuid.uuid4().hex[:10]}"
-    K.save_table(X.known_labels(spark, sf_dir), name, mode="errorifexists",
+    K.save_table(R.read_csv_raw(spark, csv_path), name, mode="errorifexists",
                  path=scratch_path(spark, "table"))
     return spark.table(name).select("entity_id", "label")
 
 
+def q_labeled_csv_forest(spark, sf_dir):
+    """Labelled CSV → forest (5 trees, gini, depth 6, 32 bins) → precision/recall/F by threshold."""
+    c = X.credit_table(spark, sf_dir)
+    parts = []
+    for i, part in enumerate(FE.split_by_key(c, "customer_id", [0.8, 0.2])):
+        path = scratch_path(spark, f"csv-forest-{i}")
+        part.select("label", *CREDIT_MEASURES).write.mode("overwrite").option("header", True).csv(path)
+        parts.append(R.read_labeled_csv(spark, path))
+    train, test = parts
+    forest = MO.train_forest(train, num_trees=5, max_depth=6, max_bins=32, impurity="gini", seed=42)
+    pred = forest.transform(test).select("label", "prediction")
+    return _round_all(M.metrics_by_threshold(pred, beta=1.0, score_col="prediction"))
+
+
 PARTITION_DAYS = (run_day(_dt.date(2024, 1, 2)), run_day(_dt.date(2024, 1, 3)))
 
 
@@ -536,6 +552,7 @@ def register_io_models(q: dict) -> dict:
         "train_forest": q_train_forest,
         "train_tree": q_train_tree,
         "forest_importances": q_forest_importances,
+        "labeled_csv_forest": q_labeled_csv_forest,
         "train_cv": q_train_cv,
         "drop_majority_errors": q_drop_majority_errors,
         "index_vector": q_index_vector,

@@ -304,7 +304,7 @@ SELECT CAST(customer_id AS INTEGER) AS customer_id, CAST(nation AS INTEGER) AS n
     q["csv_raw_roundtrip"] = _q(LABELS_SQL, body="SELECT entity_id, CAST(label AS VARCHAR) AS label FROM known")
     q["labeled_csv"] = _q(CREDIT_SQL, body="SELECT CAST(CAST(label AS INTEGER) AS DOUBLE) AS label, " + ", ".join(
         f"round(CAST({c} AS DOUBLE), 4) AS f{i}" for i, c in enumerate(CREDIT_MEASURES)) + " FROM credit")
-    q["table_roundtrip"] = _q(LABELS_SQL, body="SELECT entity_id, label FROM known")
+    q["table_roundtrip"] = _q(LABELS_SQL, body="SELECT entity_id, CAST(label AS VARCHAR) AS label FROM known")
     q["partition_overwrite"] = _q(LABELS_SQL, body="""
 SELECT entity_id, label, '20240101' AS stat_date FROM known WHERE label = 1
 UNION ALL SELECT entity_id, label, '20240102' AS stat_date FROM known""")
