@@ -503,10 +503,13 @@ def q_model_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "model")
     MO.save_model(model, path)
     loaded = MO.load_model(path, PipelineModel)
-    a = MO.score(model, c, keep=["customer_id"]).withColumnRenamed("score", "score_saved").drop("prediction")
-    b = MO.score(loaded, c, keep=["customer_id"]).withColumnRenamed("score", "score_loaded").drop("prediction")
+    a = MO.score(model, c, keep=["customer_id"]).withColumnRenamed("score", "score_saved") \
+        .withColumnRenamed("prediction", "prediction_saved")
+    b = MO.score(loaded, c, keep=["customer_id"]).withColumnRenamed("score", "score_loaded") \
+        .withColumnRenamed("prediction", "prediction_loaded")
     j = a.join(b, "customer_id")
-    return _round_all(j.withColumn("same", F.col("score_saved") == F.col("score_loaded")))
+    same = (F.col("score_saved") == F.col("score_loaded")) & (F.col("prediction_saved") == F.col("prediction_loaded"))
+    return j.select("customer_id", same.alias("same"))
 
 
 def q_undersample_random(spark, sf_dir):
@@ -610,23 +613,46 @@ def event_model(spark, sf_dir):
     return Pipeline(stages=stages).fit(e)
 
 
-def q_stream_score(spark, sf_dir):
+def fixed_event_model():
+    """A saved-and-loadable scoring pipeline with fixed weights (fixed values):
+    margin = 0.1·value − 1 + 0.5·[purchase]; score = sigmoid(margin); class = score > 0.5."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+    margin = "0.1D * value - 1.0D + CASE WHEN event_type = 'purchase' THEN 0.5D ELSE 0.0D END"
+    score = SQLTransformer(statement=f"SELECT *, 1.0D / (1.0D + exp(-({margin}))) AS score FROM __THIS__")
+    label = SQLTransformer(statement="SELECT *, CASE WHEN score > 0.5D THEN 1.0D ELSE 0.0D END AS prediction "
+                                     "FROM __THIS__")
+    return PipelineModel(stages=[score, label])
+
+
+def _score_events_stream(spark, sf_dir, model, name):
     from pyspark.ml import PipelineModel
-    path = scratch_path(spark, "event-model")
-    MO.save_model(event_model(spark, sf_dir), path)
-    model = MO.load_model(path, PipelineModel)
+    path = scratch_path(spark, f"{name}-model")
+    MO.save_model(model, path)
+    loaded = MO.load_model(path, PipelineModel)
     src_df = X.table(spark, sf_dir, "events")
-    src = _stream_dir(spark, src_df, "stream-score-src", "event_id")
+    src = _stream_dir(spark, src_df, f"{name}-src", "event_id")
     stream = S.stream_source(spark, src, src_df.schema, max_files_per_trigger=1)
-    sink, ckpt = scratch_path(spark, "stream-score"), scratch_path(spark, "stream-score-ckpt")
-    S.run_to_end(S.stream_score(stream, model, sink, ckpt, keep=["event_id"], available_now=True))
+    sink, ckpt = scratch_path(spark, name), scratch_path(spark, f"{name}-ckpt")
+    S.run_to_end(S.stream_score(stream, loaded, sink, ckpt, keep=["event_id"], available_now=True))
     return _round_all(spark.read.parquet(sink))
 
 
+def q_stream_score(spark, sf_dir):
+    """Stream scored by a saved fixed-weight pipeline (checkable against SQL)."""
+    return _score_events_stream(spark, sf_dir, fixed_event_model(), "stream-score")
+
+
+def q_stream_score_model(spark, sf_dir):
+    """Stream scored by a saved, trained logistic pipeline."""
+    return _score_events_stream(spark, sf_dir, event_model(spark, sf_dir), "stream-score-model")
+
+
 def register_streaming(q: dict) -> dict:
     q.update({
         "stream_tokens": q_stream_tokens,
         "stream_batch_counts": q_stream_batch_counts,
         "stream_score": q_stream_score,
+        "stream_score_model": q_stream_score_model,
     })
     return q

@@ -304,6 +304,16 @@ SELECT CAST(customer_id AS INTEGER) AS customer_id, CAST(nation AS INTEGER) AS n
     q["csv_raw_roundtrip"] = _q(LABELS_SQL, body="SELECT entity_id, CAST(label AS VARCHAR) AS label FROM known")
     q["labeled_csv"] = _q(CREDIT_SQL, body="SELECT CAST(CAST(label AS INTEGER) AS DOUBLE) AS label, " + ", ".join(
         f"round(CAST({c} AS DOUBLE), 4) AS f{i}" for i, c in enumerate(CREDIT_MEASURES)) + " FROM credit")
+    # Vector index: a slot with ≤ 20 distinct values becomes categorical; 0.0 maps
+    # to 0 when present, the other values follow in ascending order.
+    cols = []
+    for i, c in enumerate(CREDIT_MEASURES):
+        cat = (f"CASE WHEN {c} = 0 THEN 0 ELSE DENSE_RANK() OVER (PARTITION BY ({c} = 0) ORDER BY {c}) - 1 "
+               f"+ (SELECT MAX(CASE WHEN {c} = 0 THEN 1 ELSE 0 END) FROM credit) END")
+        cols.append(f"round(CASE WHEN (SELECT COUNT(DISTINCT {c}) FROM credit) <= 20 "
+                    f"THEN CAST({cat} AS DOUBLE) ELSE CAST({c} AS DOUBLE) END, {ROUND_PLACES}) AS f{i}")
+    q["index_vector"] = _q(CREDIT_SQL, body="SELECT customer_id, " + ", ".join(cols) + " FROM credit")
+    q["model_roundtrip"] = "SELECT c_custkey AS customer_id, TRUE AS same FROM customer"
     q["table_roundtrip"] = _q(LABELS_SQL, body="SELECT entity_id, CAST(label AS VARCHAR) AS label FROM known")
     q["partition_overwrite"] = _q(LABELS_SQL, body="""
 SELECT entity_id, label, '20240101' AS stat_date FROM known WHERE label = 1
@@ -326,5 +336,10 @@ def stream_sql() -> dict[str, str]:
     q["stream_tokens"] = _q(EVENT_BODIES_SQL, body="""
 SELECT event_id, word FROM (SELECT event_id, unnest(string_split(value, ' ')) AS word FROM bodies)
 WHERE word <> ''""")
+    r = ROUND_PLACES
+    margin = "0.1 * value - 1.0 + CASE WHEN event_type = 'purchase' THEN 0.5 ELSE 0.0 END"
+    q["stream_score"] = f"""
+SELECT event_id, round(CASE WHEN score > 0.5 THEN 1.0 ELSE 0.0 END, {r}) AS prediction, round(score, {r}) AS score
+FROM (SELECT event_id, 1.0 / (1.0 + exp(-(CAST({margin} AS DOUBLE)))) AS score FROM events)"""
     q["stream_batch_counts"] = f"SELECT CAST({STREAM_FILES} AS BIGINT) AS batches, CAST(COUNT(*) AS BIGINT) AS n_rows FROM events"
     return q

@@ -76,11 +76,13 @@ def stream_batch_counts(stream: DataFrame, sink_path: str, checkpoint: str,
 
 
 def score_stream(stream: DataFrame, model: Transformer, keep: list[str] | None = None) -> DataFrame:
-    """``model.transform`` on a stream, with the class-1 probability as ``score``."""
+    """``model.transform`` on a stream; ``score`` is the class-1 probability (or the
+    model's own ``score`` column)."""
     out = model.transform(stream)
     cols = list(keep or []) + ["prediction"]
     if "probability" in out.columns:
         out = out.withColumn("score", probability_of_one("probability"))
+    if "score" in out.columns:
         cols.append("score")
     return out.select(*cols)
 
