@@ -246,6 +246,5 @@ def evaluate_binary(predictions: DataFrame, label_col: str = "label", score_col:
     """Area under ROC of ``score_col`` (hard predictions by default) and accuracy."""
     auc = area_under_roc(predictions, score_col, label_col, num_buckets)
     acc = accuracy(predictions, label_col, prediction_col).select("accuracy")
-    # Both sides are single rows: attach by a constant key (no cross product).
-    return (auc.withColumn("_k", F.lit(1)).join(acc.withColumn("_k", F.lit(1)), "_k")
-            .drop("_k"))
+    # Accuracy is one value: a scalar subquery, no join.
+    return auc.select("area_under_roc", acc.scalar().alias("accuracy"))
