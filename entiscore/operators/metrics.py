@@ -129,6 +129,7 @@ def _curve_base(scored: DataFrame, score_col: str, label_col: str,
     """
     positive = F.col(label_col).cast("double") > 0.5
     counts = (scored.select(F.col(score_col).cast("double").alias("score"), positive.alias("_p"))
+              .where(F.col("score").isNotNull())         # a missing score is no point of any curve
               .groupBy("score")
               .agg(F.count_if(F.col("_p")).alias("pos"), F.count_if(~F.col("_p")).alias("neg")))
     if materialize:
