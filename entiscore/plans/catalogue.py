@@ -71,6 +71,7 @@ def queries() -> dict[str, Query]:
         "used_items": q_used_items,
         "user_item_features": q_user_item_features,
         "user_item_features_join": q_user_item_features_join,
+        "user_item_features_sum": q_user_item_features_sum,
     })))
 
 
@@ -388,6 +389,12 @@ def _scored_entities(spark, sf_dir):
     return arr, used
 
 
+def q_user_item_features_sum(spark, sf_dir):
+    """Features carrying the summed behaviour value instead of 1."""
+    pairs = _pairs(spark, sf_dir)
+    return B.user_item_features(pairs, B.used_items(_top(spark, sf_dir), pairs), value_mode="sum")
+
+
 def q_user_item_features_join(spark, sf_dir):
     """The same features through the join form (used items given)."""
     pairs = _pairs(spark, sf_dir)

@@ -105,6 +105,11 @@ def _oracle_sql() -> dict[str, str]:
     q["used_items"] = _q(*BEHAVIOR_CHAIN[:7], body="SELECT item_code, dim_code, item_name, column_index FROM used")
     q["user_item_features"] = _q(*BEHAVIOR_CHAIN, body="SELECT entity_id, features FROM features")
     q["user_item_features_join"] = q["user_item_features"]
+    sums = """sums AS (SELECT p.entity_id, u.column_index, SUM(p.value) AS v
+             FROM pairs p JOIN used u ON p.item_code = u.item_code GROUP BY p.entity_id, u.column_index)"""
+    q["user_item_features_sum"] = _q(*BEHAVIOR_CHAIN[:7], sums, body="""
+SELECT entity_id, string_agg(CAST(column_index AS VARCHAR) || ':' || CAST(v AS VARCHAR), ' ' ORDER BY column_index)
+       AS features FROM sums GROUP BY entity_id""")
     q.update(more_sql())
     q.update(io_sql())
     q.update(stream_sql())
