@@ -78,8 +78,8 @@ def train_with_pruning(labeled: DataFrame, rounds: int = 10, holdout: float = 0.
     report_rows: list = []
     sizes: list = []
     rounds_run = 0
+    counts = class_counts(train, label_col).first()
     for k in range(int(rounds)):
-        counts = class_counts(train, label_col).first()
         sizes.append((k, int(counts["n1"]), int(counts["n0"])))
         model = estimator.fit(train)
         rounds_run = k + 1
@@ -94,13 +94,12 @@ def train_with_pruning(labeled: DataFrame, rounds: int = 10, holdout: float = 0.
             break
         if top["gmean"] > best_gmean:
             best_gmean, best = float(top["gmean"]), (float(top["threshold"]), model, k)
-        before = counts["n"]
         pruned = prune_positives(_with_score(model, train), float(top["threshold"]), "score", label_col)
-        pruned = checkpointed(pruned.select(*cols))
-        after = pruned.count()
-        train = pruned
-        if after == before:
-            break
+        train = checkpointed(pruned.select(*cols))
+        after = class_counts(train, label_col).first()      # next round's sizes, one aggregate
+        if after["n"] == counts["n"]:
+            break                                            # nothing pruned: later rounds repeat this one
+        counts = after
     if best is None:
         raise NoUsableThreshold("no threshold separates the classes in any round")
     schema = "iteration int, train1 long, train0 long, " + ", ".join(
