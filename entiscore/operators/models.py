@@ -120,12 +120,20 @@ def kmeans_centers(vectors: DataFrame, k: int = 4, max_iter: int = 10, seed: int
 
 
 def kmeans_cost_sweep(vectors: DataFrame, ks=(2, 3, 4, 5, 6), max_iter: int = 10, seed: int = 1,
-                      features_col: str = "features") -> DataFrame:
-    """Within-cluster sum of squares for each k, largest cost first."""
-    rows = []
-    for k in ks:
-        model = fit_kmeans(vectors, k, max_iter, seed, features_col)
-        rows.append((int(k), float(model.summary.trainingCost)))
+                      features_col: str = "features", parallelism: int = 4) -> DataFrame:
+    """Within-cluster sum of squares for each k, largest cost first.
+
+    The fits are independent Spark jobs; up to ``parallelism`` of them are
+    submitted at once (as cross-validation does), each seeded, so the result
+    does not depend on the order they finish in.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    def cost(k):
+        return int(k), float(fit_kmeans(vectors, k, max_iter, seed, features_col).summary.trainingCost)
+
+    with ThreadPoolExecutor(max_workers=max(1, min(int(parallelism), len(ks)))) as pool:
+        rows = list(pool.map(cost, ks))
     df = vectors.sparkSession.createDataFrame(rows, "k int, cost double")
     return df.orderBy(F.desc("cost"))
 
