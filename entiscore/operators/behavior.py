@@ -215,7 +215,8 @@ def build_item_features(pairs: DataFrame, top_items: DataFrame, prefix_len: int
                         materialize: bool = True) -> tuple[DataFrame, DataFrame]:
     """Used items and entity features from **one** pass over the behaviour.
 
-    The raw pairs are read once: joined to the broadcast top-K (≤ K rows) and
+    The top-K list (≤ K rows) is written once.  The raw pairs are read once:
+    joined to the broadcast top-K and
     reduced to one sorted rank set per entity, which is written with
     ``checkpoint()``.  Used items are the distinct ranks of that (much smaller)
     table; the dense column index of each rank is a ≤ K-entry literal array, so
@@ -225,6 +226,10 @@ def build_item_features(pairs: DataFrame, top_items: DataFrame, prefix_len: int
     :func:`user_item_features` (binary mode).
     """
     ranked = rank_items(top_items)
+    if materialize:
+        # ≤ K rows, but they summarise a scan of the whole item source: written
+        # once so the later jobs (used items, index lookup, weights) reuse them.
+        ranked = checkpointed(ranked)
     per_entity = entity_top_ranks(pairs, ranked)
     if materialize:
         per_entity = checkpointed(per_entity)
