@@ -89,7 +89,8 @@ class TreeRefitResult:
 def tree_refit_job(labeled_vectors: DataFrame, seed: int = 42, drop_rounds: int = 2,
                        tree_depth: int = 15, tree_bins: int = 100) -> TreeRefitResult:
     """``labeled_vectors``: ``entity_id, label, features`` (vector)."""
-    data = labeled_vectors.withColumn("label_text", F.col("label").cast("int").cast("string"))
+    # Read by the indexer fit, the pipeline fit and the evaluation: written once.
+    data = checkpointed(labeled_vectors.withColumn("label_text", F.col("label").cast("int").cast("string")))
     train, test = FE.split_by_key(data, "entity_id", [0.8, 0.2])
     # The label index is fitted once, on training rows, and reused by every round.
     train_idx, indexer = FE.index_labels(train, "label_text", "indexed_label")
@@ -118,8 +119,9 @@ def credit_forest_job(credit: DataFrame, measures: list[str], label_col: str = "
     """Profile, assemble, index the label, fit a forest and report accuracy."""
     profile = L.label_profile(credit, label_col, measures[:2])
     assembled, _ = FE.assemble(credit, measures, "features", label_col=label_col)
-    indexed, indexer = FE.index_labels(assembled.withColumn("_lt", F.col(label_col).cast("string")),
-                                       "_lt", "indexed_label")
+    # Read by the indexer fit, the forest fit and the test scoring: written once.
+    assembled = checkpointed(assembled.withColumn("_lt", F.col(label_col).cast("string")))
+    indexed, indexer = FE.index_labels(assembled, "_lt", "indexed_label")
     train, test = indexed.randomSplit([0.7, 0.3], seed)
     forest = MO.train_forest(train, "indexed_label", "features", num_trees=num_trees, seed=seed)
     pred, _ = FE.decode_labels(forest.transform(test), indexer, "prediction", "predicted_label")
