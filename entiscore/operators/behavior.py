@@ -52,24 +52,24 @@ def top_k_items(items: DataFrame, k: int = 1000, prefix: str = "",
     return norm.orderBy(F.desc("installs"), F.desc("item_code"), F.desc("item_name")).limit(int(k))
 
 
-# Control characters at a token edge or next to ':' — what a per-token and a
-# per-part JVM trim would remove.  One regex per text row replaces a trim per
-# token and per part: tokens come from a split on single spaces, so they never
-# carry edge spaces themselves.
-_EDGE_CONTROL = r"(?<=^| |:)[\x00-\x1f]+|[\x00-\x1f]+(?= |:|$)"
+# Control characters at a token edge — what the per-token JVM trim removes.
+# One regex per text row replaces a trim per token: tokens come from a split on
+# single spaces, so they never carry edge spaces themselves.
+_EDGE_CONTROL = r"(?<=^| )[\x00-\x1f]+|[\x00-\x1f]+(?= |$)"
 
 
 def _token_parts(token):
-    """Cheap per-token pieces: (colon count, code, value text).
+    """Per-token pieces: (colon count, code, value text).
 
     Trailing ``:`` are dropped first (the JVM split drops trailing empty
-    parts); "exactly two parts" is then "exactly one colon".  Plain string
-    scans only: no regex, no array, no trim.
+    parts; a part of control characters only is not empty there and still
+    counts); "exactly two parts" is then "exactly one colon".  Code and value
+    are trimmed like the JVM trims each part.
     """
     core = rtrim_chars(token, VALUE_SEPARATOR)
     colons = F.length(core) - F.length(F.replace(core, F.lit(VALUE_SEPARATOR), F.lit("")))
-    code = F.substring_index(core, VALUE_SEPARATOR, 1)
-    value_text = F.substring_index(core, VALUE_SEPARATOR, -1)
+    code = jvm_trim(F.substring_index(core, VALUE_SEPARATOR, 1))
+    value_text = jvm_trim(F.substring_index(core, VALUE_SEPARATOR, -1))
     return colons, code, value_text
 
 

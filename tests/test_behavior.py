@@ -21,6 +21,8 @@ def _pairs(spark, texts, lenient=False):
     (None, []),
     (" \ta:3\x01 ", [("a", 3.0)]),    # control characters trimmed like the JVM trim
     ("a:5::", [("a", 5.0)]),
+    ("a:1:\t:", []),                 # a part of control characters only still counts
+    ("a\t:1", [("a", 1.0)]),          # parts are trimmed
 ])
 def test_parse_edge_cases(spark, text, expected):
     assert _pairs(spark, [text]) == expected
@@ -110,3 +112,53 @@ def test_hot_entity_is_exact_and_partially_aggregated(spark):
     assert len(got) == 1 + sum(1 for i in range(n) if i % 3 and (i % 5 < 3 or (i + 1) % 5 < 3))
     plan = B.entity_top_ranks(pairs, B.rank_items(top))._jdf.queryExecution().executedPlan().toString()
     assert "partial_collect_set" in plan
+
+
+# ------------------------------------------------------------------ JVM-rule model
+
+def _java_trim(s):
+    i, j = 0, len(s)
+    while i < j and ord(s[i]) <= 32:
+        i += 1
+    while j > i and ord(s[j - 1]) <= 32:
+        j -= 1
+    return s[i:j]
+
+
+def _java_split(s, sep):
+    if sep not in s:
+        return [s]
+    parts = s.split(sep)
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def _model_pairs(text):
+    """The reference's parse, in plain Python; empty codes dropped (our ruling)."""
+    out = []
+    if text is None:
+        return out
+    for tok in _java_split(_java_trim(text), " "):
+        parts = _java_split(_java_trim(tok), ":")
+        if len(parts) != 2:
+            continue
+        code, val = _java_trim(parts[0]), _java_trim(parts[1])
+        try:
+            v = float(val)
+        except ValueError:
+            continue
+        if code:
+            out.append((code, v))
+    return out
+
+
+def test_parse_matches_jvm_rules_on_random_texts(spark):
+    import random
+    rnd = random.Random(20240101)
+    alphabet = ["a", "b", "1", "2", ":", ":", " ", " ", "\t", "\x01", ".", "x"]
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 14))) for _ in range(3000)]
+    df = spark.createDataFrame([(f"e{i}", t) for i, t in enumerate(texts)], "entity_id string, text string")
+    got = sorted((r.entity_id, r.item_code, r.value) for r in B.parse_pairs(df, lenient=True).collect())
+    want = sorted((f"e{i}", c, v) for i, t in enumerate(texts) for c, v in _model_pairs(t))
+    assert got == want
