@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from entiscore.functions.text import jvm_trim
 from entiscore.functions.vectors import to_sparse_vector
 
 
@@ -55,7 +56,7 @@ def parse_sparse_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     Lines are trimmed; blank lines and ``#`` comments are skipped; empty items
     are ignored.  Indexes must strictly increase, else the job fails.
     """
-    line = F.trim(F.col(value_col))
+    line = jvm_trim(F.col(value_col))                    # JVM trim: control characters too
     kept = lines.where(~((line == "") | line.startswith("#"))).select(line.alias("_line"))
     items = F.split(F.col("_line"), " ")
     pairs = F.transform(F.filter(F.slice(items, 2, F.greatest(F.size(items) - 1, F.lit(1))),

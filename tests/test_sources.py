@@ -18,7 +18,7 @@ def _write_lines(path, lines):
 
 def test_sparse_text_reader(spark, tmp_dir):
     p = os.path.join(tmp_dir, "svm")
-    _write_lines(p, ["# comment", "", "1 0:1.5 3:2", "  0 2:1  ", "1"])
+    _write_lines(p, ["# comment", "", "1 0:1.5 3:2", "\t 0 2:1 \x01", "1", " \t# indented comment"])
     rows = R.read_sparse_text(spark, p).collect()
     got = [(r.label, r.features) for r in rows]
     assert got == [(1.0, SparseVector(4, [0, 3], [1.5, 2.0])), (0.0, SparseVector(4, [2], [1.0])),
