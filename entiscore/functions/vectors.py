@@ -25,13 +25,15 @@ def feature_text_arrays(text: Column | str) -> tuple[Column, Column]:
 
     Pairs without exactly two parts are skipped; empty text gives empty arrays.
     """
-    pairs = F.filter(
-        F.split(F.trim(F.coalesce(_c(text), F.lit(""))), " "),
-        lambda t: F.size(F.split(F.trim(t), ":")) == 2,
-    )
-    parts = F.transform(pairs, lambda t: F.split(F.trim(t), ":"))
-    idx = F.transform(parts, lambda p: F.trim(p.getItem(0)).cast("int"))
-    val = F.transform(parts, lambda p: F.trim(p.getItem(1)).cast("double"))
+    from entiscore.functions.text import jvm_trim, rtrim_chars
+
+    # Trailing ':' dropped first: the JVM split drops trailing empty parts.
+    cores = F.transform(F.split(jvm_trim(F.coalesce(_c(text), F.lit(""))), " "),
+                        lambda t: rtrim_chars(jvm_trim(t), ":"))
+    pairs = F.filter(cores, lambda t: F.size(F.split(t, ":")) == 2)
+    parts = F.transform(pairs, lambda t: F.split(t, ":"))
+    idx = F.transform(parts, lambda p: jvm_trim(p.getItem(0)).cast("int"))
+    val = F.transform(parts, lambda p: jvm_trim(p.getItem(1)).cast("double"))
     return idx, val
 
 

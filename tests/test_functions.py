@@ -46,3 +46,12 @@ def test_save_table_modes(spark, tmp_dir):
     save_table(df.union(df), "t_entiscore_modes", mode="overwrite", path=os.path.join(tmp_dir, "t"))
     assert spark.table("t_entiscore_modes").count() == 2
     spark.sql("DROP TABLE t_entiscore_modes")
+
+
+def test_feature_text_arrays_follow_jvm_split(spark):
+    from entiscore.functions.vectors import feature_text_arrays
+    df = spark.createDataFrame([("3:1 5: 7:2: 9:1:4  11:0.5",), (None,), ("",)], "t string")
+    idx, val = feature_text_arrays("t")
+    rows = df.select(idx.alias("i"), val.alias("v")).collect()
+    assert (rows[0].i, rows[0].v) == ([3, 7, 11], [1.0, 2.0, 0.5])
+    assert rows[1].i == [] and rows[2].i == []
