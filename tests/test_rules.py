@@ -21,5 +21,7 @@ def test_no_local_checkpoint_or_cross_join():
 
 
 def test_query_names():
-    for name in E.queries():
+    from entiscore.plans import catalogue
+    for name in catalogue.queries():
         assert not name.startswith("pipeline") and not re.match(r"op\d+_", name), name
+    assert set(E.oracle_sql()) <= set(E.queries())
