@@ -47,3 +47,36 @@ def word_count(text: Column) -> Column:
 def once(value: Column, use) -> Column:
     """``use(x)`` with ``value`` evaluated once and bound to ``x`` however often ``use`` names it."""
     return F.transform(F.array(value), use)[0]
+
+
+def fold(doc_id: Column, parts: int) -> Column:
+    """``crc32(doc_id as text) mod parts``; a null ``doc_id`` counts as an empty text."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts
+
+
+def uniform(key: Column, seed: str) -> Column:
+    """A number in [0, 1) that depends on ``key`` alone, for samples that reruns repeat."""
+    return F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 40)).cast("double") / F.lit(float(1 << 40))
+
+
+def class_sample(rows: DataFrame, label: str, key: str, per_class: int, most: int, seed: str) -> DataFrame:
+    """About ``per_class`` rows of each class by a hash of ``key``, ``most`` rows at most in all.
+
+    For fitting only.  The class counts are one small aggregate; the rows that are
+    picked are a filter on the hash, so no class is sorted or gathered as a whole.
+    """
+    counts = {r[label]: r["n"] for r in rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
+        return rows.limit(0)
+    rate = F.lit(0.0)
+    for value, n in counts.items():
+        rate = F.when(F.col(label) == F.lit(value), F.lit(min(1.0, per_class / n))).otherwise(rate)
+    u = uniform(F.col(key), seed)
+    return rows.where(u < rate).orderBy(u, key).limit(most)
+
+
+def modest_batches(spark) -> None:
+    """Arrow batches of 512 rows unless the session says otherwise: texts may be long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, "10000") == "10000":
+        spark.conf.set(key, "512")

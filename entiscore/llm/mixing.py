@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from entiscore.llm.common import field, packed, unpacked, word_count
+from entiscore.llm.common import ROW, unpacked, word_count
 from entiscore.session import checkpointed
 
 
@@ -60,13 +60,20 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share
 
 
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share_pct: int = 150, most: int = 2,
-                seed: str = "mix") -> DataFrame:
-    """``docs`` with ``size, source_size, target, copies, taken``; 0 copies: not in the mix."""
-    rows = packed(docs)
-    sized = rows.select("_row", field("source").alias("source"), field("doc_id").alias("_id"),
-                        word_count(field("text")).alias("size"), F.crc32(F.coalesce(field("text"), F.lit(""))).alias("_tie"))
+                seed: str = "mix", carry: list[str] | None = None) -> DataFrame:
+    """``docs`` with ``size, source_size, target, copies, taken``; 0 copies: not in the mix.
+
+    ``carry`` names the columns of ``docs`` to return (all); without ``text`` among
+    them the texts are read once and never shuffled.
+    """
+    carry = docs.columns if carry is None else carry
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias(ROW), F.col("source").alias("source"),
+                        F.col("doc_id").alias("_id"), word_count(F.col("text")).alias("size"), F.crc32(text).alias("_tie"))
     cell = F.conv(F.substring(F.md5(F.coalesce(F.col("_id").cast("string"), F.lit(""))), 1, 3), 16, 10).cast("int")
     sized = sized.withColumn("_cell", cell)
+    if "text" not in carry:
+        sized = checkpointed(sized)
 
     cells = checkpointed(sized.groupBy("source", "size", "_cell").agg(F.count(F.lit(1)).alias("_n")))
     by_size = cells.groupBy("source", "size").agg(F.sum("_n").alias("_m"))

@@ -11,8 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entiscore.llm import line_dedup, mixing, packing, quality_rules
-from entiscore.llm.common import word_count
+from entiscore.llm import labelled, langid, line_dedup, mixing, packing, quality, quality_rules, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,10 +43,34 @@ def q_best_fit_packing(spark, sf_dir):
     return packing.best_fit_pack(read(spark, sf_dir, "documents"), vocabulary())
 
 
+def q_toxicity(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"))
+    score = F.col("score")
+    return toxicity.score_documents(docs, model).select(
+        "doc_id", labelled.held_out(F.col("doc_id")).alias("held_out"), score,
+        (score >= 0.3).cast("int").alias("predicted"))
+
+
+def q_language_id(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    held_out = langid.held_out(F.col("doc_id"))
+    model = langid.train(docs.where(~held_out))
+    return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def q_mixing(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
-    # the mix is decided on sizes: the texts themselves need not travel
-    return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
+    return mixing.mix_sources(docs, carry=["doc_id"]).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def q_quality(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    model = quality.train(docs, read(spark, sf_dir, "labels"))
+    score = F.col("score")
+    return quality.score_documents(docs, model).select(
+        "doc_id", labelled.held_out(F.col("doc_id")).alias("held_out"), score,
+        (score >= 0.7).cast("int").alias("predicted"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -55,5 +78,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_line_dedup": q_line_dedup,
         "op4_quality_rules": q_quality_rules,
         "op5_best_fit_packing": q_best_fit_packing,
+        "op6_toxicity": q_toxicity,
+        "op7_language_id": q_language_id,
         "op8_mixing": q_mixing,
+        "op9_quality": q_quality,
     }
