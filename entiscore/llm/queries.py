@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entiscore.llm import labelled, langid, line_dedup, mixing, packing, quality, quality_rules, toxicity
+from entiscore.llm import ann, labelled, langid, line_dedup, mixing, packing, quality, quality_rules, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def q_nearest(spark, sf_dir):
+    return ann.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def q_line_dedup(spark, sf_dir):
     """Per document: lines, lines removed, and the hash of the text that is left."""
     out = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
@@ -75,6 +79,7 @@ def q_quality(spark, sf_dir):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_nearest": q_nearest,
         "op2_line_dedup": q_line_dedup,
         "op4_quality_rules": q_quality_rules,
         "op5_best_fit_packing": q_best_fit_packing,
