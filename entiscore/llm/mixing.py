@@ -8,7 +8,7 @@ close to the target.
 
 The running sum is a count times a constant, so it needs no sort of a whole
 source: documents are counted by (source, size, cell), where the cell is one of
-4096 values of a hash of ``doc_id``; starts are summed over sizes and then over
+256 values of a hash of ``doc_id``; starts are summed over sizes and then over
 cells, and only the documents of one cell are numbered together.
 
 Edge cases: null text has size 0; a null source is a source of its own, placed
@@ -70,7 +70,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share_pct
     text = F.coalesce("text", F.lit("")).cast("binary")
     sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias(ROW), F.col("source").alias("source"),
                         F.col("doc_id").alias("_id"), word_count(F.col("text")).alias("size"), F.crc32(text).alias("_tie"))
-    cell = F.conv(F.substring(F.md5(F.coalesce(F.col("_id").cast("string"), F.lit(""))), 1, 3), 16, 10).cast("int")
+    cell = F.conv(F.substring(F.md5(F.coalesce(F.col("_id").cast("string"), F.lit(""))), 1, 2), 16, 10).cast("int")
     sized = sized.withColumn("_cell", cell)
     if "text" not in carry:
         sized = checkpointed(sized)

@@ -71,7 +71,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 MIXING = rf"""
 WITH d AS (
   SELECT doc_id, source, len({_WORDS})::BIGINT AS size,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 3))::INT AS cell FROM documents
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 2))::INT AS cell FROM documents
 ), src AS (
   SELECT source, sum(size)::BIGINT AS source_size,
          row_number() OVER (ORDER BY source NULLS LAST) - 1 AS nth FROM d GROUP BY source
