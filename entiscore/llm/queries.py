@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entiscore.llm import ann, labelled, langid, line_dedup, mixing, packing, quality, quality_rules, toxicity
+from entiscore.llm import ann, labelled, langid, line_dedup, mixing, packing, quality, quality_rules, substring_dedup, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,11 @@ def q_line_dedup(spark, sf_dir):
                       F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def q_substring_dedup(spark, sf_dir):
+    out = substring_dedup.dedup_substrings(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def q_quality_rules(spark, sf_dir):
     entries = quality_rules.apply_policy(quality_rules.ledger(read(spark, sf_dir, "documents")))
     base_failed = ~quality_rules.passes(quality_rules.BASE)
@@ -81,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_nearest": q_nearest,
         "op2_line_dedup": q_line_dedup,
+        "op3_substring_dedup": q_substring_dedup,
         "op4_quality_rules": q_quality_rules,
         "op5_best_fit_packing": q_best_fit_packing,
         "op6_toxicity": q_toxicity,
