@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entiscore.llm import ann, labelled, langid, line_dedup, mixing, packing, quality, quality_rules, substring_dedup, toxicity
+from entiscore.llm import ann, jaccard, labelled, langid, line_dedup, mixing, packing, quality, quality_rules, substring_dedup, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +82,10 @@ def q_quality(spark, sf_dir):
         (score >= 0.7).cast("int").alias("predicted"))
 
 
+def q_jaccard_join(spark, sf_dir):
+    return jaccard.jaccard_classes(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_nearest": q_nearest,
@@ -93,4 +97,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_language_id": q_language_id,
         "op8_mixing": q_mixing,
         "op9_quality": q_quality,
+        "op10_jaccard_join": q_jaccard_join,
     }
