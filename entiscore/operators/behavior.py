@@ -138,16 +138,16 @@ def used_items(top_items: DataFrame, pairs: DataFrame, prefix_len: int = 2) -> D
     is stable run to run.  ``dim_code`` is the code without its prefix, as
     published in the item dimension.
 
-    Plan: behaviour codes are semi-joined against the broadcast top-K codes
-    (bounded by K) map-side, de-duplicated with a partial aggregate (at most K
-    keys per task) and only then shuffled; the index window runs over at most K
-    rows.
+    Plan: behaviour codes are semi-joined against the top-K codes (broadcast by
+    Catalyst when the list is as small as a top-K list is), de-duplicated with a
+    partial aggregate (at most K keys per task) and only then shuffled; the index
+    window runs over at most K rows.
     """
     top = top_items.select("item_code", "item_name", "installs")
     seen = (pairs.select("item_code")
-            .join(F.broadcast(top.select("item_code")), "item_code", "left_semi")
+            .join(top.select("item_code"), "item_code", "left_semi")
             .distinct())
-    used = top.join(F.broadcast(seen), "item_code", "left_semi")     # both sides ≤ K
+    used = top.join(seen, "item_code", "left_semi")
     order = Window.orderBy(F.desc("installs"), F.desc("item_code"), F.desc("item_name"))
     return used.select(
         "item_code",
@@ -162,7 +162,7 @@ def entity_item_indices(pairs: DataFrame, used: DataFrame, value_mode: str = "bi
 
     Returns ``entity_id, indices array<bigint>, values array<double>``.
     """
-    dims = F.broadcast(used.select("item_code", "column_index"))
+    dims = used.select("item_code", "column_index")
     joined = pairs.join(dims, "item_code")
     if value_mode == "binary":
         agg = joined.groupBy("entity_id").agg(F.array_sort(F.collect_set("column_index")).alias("indices"))
@@ -207,7 +207,7 @@ def rank_items(top_items: DataFrame) -> DataFrame:
 
 def entity_top_ranks(pairs: DataFrame, ranked: DataFrame) -> DataFrame:
     """Per entity: sorted distinct top-K ranks of the items it used (≤ K each)."""
-    j = pairs.join(F.broadcast(ranked.select("item_code", "top_rank")), "item_code")
+    j = pairs.join(ranked.select("item_code", "top_rank"), "item_code")
     return j.groupBy("entity_id").agg(F.array_sort(F.collect_set("top_rank")).alias("ranks"))
 
 

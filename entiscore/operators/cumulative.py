@@ -57,7 +57,8 @@ def descending_cumsum(df: DataFrame, order_col: str, sum_cols: list[str],
     )
     within = (Window.partitionBy(_BUCKET).orderBy(F.desc(order_col))
               .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    joined = bucketed.join(F.broadcast(offsets), _BUCKET)
+    # each range in a partition of its own: hashed ranges would share some tasks and leave others idle
+    joined = bucketed.join(F.broadcast(offsets), _BUCKET).repartitionByRange(len(splits) + 1, _BUCKET)
     return joined.select(
         *df.columns,
         *[(F.sum(c).over(within) + F.col(f"_off_{c}")).alias(f"cum_{c}") for c in sum_cols],

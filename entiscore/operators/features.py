@@ -75,27 +75,32 @@ def index_vector(df: DataFrame, input_col: str = "features", output_col: str = "
     return model.transform(df), model
 
 
-def split_by_key(df: DataFrame, key: str, weights: list[float], modulus: int = 100) -> list[DataFrame]:
-    """Deterministic split: ``pmod(key, modulus)`` against cumulative weights.
+#: Slots a key split cuts [0, 1) into; weights are exact to one part in this many.
+SLOTS = 100
 
-    Integer keys use the key itself; other keys use their 64-bit hash.  The
-    split is reproducible (unlike a random split) and needs no shuffle.
-    """
-    total = float(sum(weights))
+
+def _slot(df: DataFrame, key: str, modulus: int):
+    """``pmod(key, modulus)`` of integer keys, of the 64-bit hash for others; 0 for null."""
     dtype = dict(df.dtypes)[key]
     base = F.col(key) if dtype in ("int", "bigint", "smallint", "tinyint") else F.xxhash64(F.col(key))
-    slot = F.pmod(base, F.lit(modulus))
-    parts, lo = [], 0.0
-    for i, w in enumerate(weights):
-        hi = lo + w / total * modulus
-        upper = modulus if i == len(weights) - 1 else hi
-        parts.append(df.where((slot >= F.lit(round(lo))) & (slot < F.lit(round(upper)))))
-        lo = hi
-    return parts
+    return F.coalesce(F.pmod(base, F.lit(modulus)), F.lit(0))
 
 
-def random_split(df: DataFrame, weights: list[float], seed: int = 42) -> list[DataFrame]:
-    return df.randomSplit(weights, seed)
+def split_by_key(df: DataFrame, key: str, weights: list[float], modulus: int = SLOTS) -> list[DataFrame]:
+    """Deterministic split: the key's slot against cumulative weights.
+
+    Every row falls in exactly one part (null keys in the first).  A part's bounds
+    are compared as they are, unrounded; for parts below ``1 / modulus`` pass a
+    larger ``modulus``.  Reproducible (unlike a random split), without a shuffle.
+    """
+    total = float(sum(weights))
+    slot = _slot(df, key, modulus)
+    edges, at = [0.0], 0.0
+    for w in weights:
+        at += w
+        edges.append(round(at / total * modulus, 9))
+    edges[-1] = float(modulus)
+    return [df.where((slot >= F.lit(lo)) & (slot < F.lit(hi))) for lo, hi in zip(edges, edges[1:])]
 
 
 def undersample(df: DataFrame, label_col: str, fractions: dict, seed: int = 42) -> DataFrame:
@@ -104,11 +109,11 @@ def undersample(df: DataFrame, label_col: str, fractions: dict, seed: int = 42)
 
 
 def undersample_by_key(df: DataFrame, label_col: str, fractions: dict, key: str,
-                       modulus: int = 100) -> DataFrame:
-    """Deterministic form of :func:`undersample`: keep rows with ``pmod(key, m) < f·m``."""
-    slot = F.pmod(F.col(key), F.lit(modulus))
+                       modulus: int = SLOTS) -> DataFrame:
+    """Deterministic form of :func:`undersample`: keep rows whose key's slot is below ``f * modulus``."""
+    slot = _slot(df, key, modulus)
     keep = F.lit(False)
     lab = F.col(label_col)
     for cls, frac in fractions.items():
-        keep = keep | ((lab == F.lit(cls)) & (slot < F.lit(int(round(frac * modulus)))))
+        keep = keep | ((lab == F.lit(cls)) & (slot < F.lit(round(frac * modulus, 9))))
     return df.where(keep)

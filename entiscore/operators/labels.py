@@ -14,9 +14,10 @@ from entiscore.functions.text import jvm_trim
 
 
 def clean_labels(labels: DataFrame, entity_col: str = "entity_id", label_col: str = "label") -> DataFrame:
-    """One ``(entity_id, label double)`` row per entity whose labels agree."""
+    """One ``(entity_id, label double)`` row per entity whose labels agree; rows whose
+    label is empty or no number are dropped."""
     norm = labels.select(jvm_trim(F.col(entity_col).cast("string")).alias("entity_id"),
-                         jvm_trim(F.col(label_col).cast("string")).cast("double").alias("label"))
+                         jvm_trim(F.col(label_col).cast("string")).try_cast("double").alias("label"))
     agg = norm.where(F.col("label").isNotNull()).groupBy("entity_id").agg(
         F.min("label").alias("_lo"), F.max("label").alias("_hi"))
     return agg.where(F.col("_lo") == F.col("_hi")).select("entity_id", F.col("_lo").alias("label"))

@@ -102,14 +102,6 @@ def best_threshold(sweep: DataFrame) -> DataFrame:
     return sweep.where(F.col("gmean") > 0).orderBy(F.desc("gmean"), F.asc("threshold")).limit(1)
 
 
-def threshold_report(sweep: DataFrame, iteration: int, train1: int | None = None,
-                     train0: int | None = None) -> DataFrame:
-    """Sweep rows tagged with the training round (and its class sizes)."""
-    return sweep.select(F.lit(int(iteration)).alias("iteration"),
-                        F.lit(train1).cast("long").alias("train1"),
-                        F.lit(train0).cast("long").alias("train0"), *sweep.columns)
-
-
 def prune_positives(scored: DataFrame, threshold: float, score_col: str = "score",
                     label_col: str = "label") -> DataFrame:
     """Keep every negative and the positives scored at or above ``threshold``."""
@@ -178,9 +170,11 @@ def pr_curve(scored: DataFrame, score_col: str = "score", label_col: str = "labe
     base = _curve_base(scored, score_col, label_col, num_buckets)
     pts = base.select(F.col("score").alias("threshold"), safe_div("tp", "P").alias("recall"),
                       _precision().alias("precision"), ((F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))).alias("_first"))
-    first = pts.where("_first").select(F.lit(None).cast("double").alias("threshold"),
-                                       F.lit(0.0).alias("recall"), "precision")
-    return first.unionByName(pts.drop("_first"))
+    # the highest score also gives the start point: one pass over the curve
+    own = F.struct("threshold", "recall", "precision")
+    start = F.struct(F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("recall"), F.col("precision"))
+    points = F.when(F.col("_first"), F.array(start, own)).otherwise(F.array(own))
+    return pts.select(F.explode(points).alias("p")).select("p.threshold", "p.recall", "p.precision")
 
 
 def area_under_roc(scored: DataFrame, score_col: str = "score", label_col: str = "label",
@@ -244,8 +238,27 @@ def match_counts(predictions: DataFrame, label_col: str = "label", prediction_co
 
 def evaluate_binary(predictions: DataFrame, label_col: str = "label", score_col: str = "prediction",
                     prediction_col: str = "prediction", num_buckets: int | None = None) -> DataFrame:
-    """Area under ROC of ``score_col`` (hard predictions by default) and accuracy."""
-    auc = area_under_roc(predictions, score_col, label_col, num_buckets)
-    acc = accuracy(predictions, label_col, prediction_col).select("accuracy")
-    # Accuracy is one value: a scalar subquery, no join.
-    return auc.select("area_under_roc", acc.scalar().alias("accuracy"))
+    """Area under ROC of ``score_col`` and accuracy.
+
+    With hard predictions as the score (the default) both follow from the counts by
+    label and prediction: one aggregate, one pass.  Rows are ranked by the score, so
+    the area is P(score of a positive > of a negative) + half of the ties.
+    """
+    if score_col != prediction_col:
+        auc = area_under_roc(predictions, score_col, label_col, num_buckets)
+        acc = accuracy(predictions, label_col, prediction_col).select("accuracy")
+        return auc.select("area_under_roc", acc.scalar().alias("accuracy"))
+    label, score = F.col(label_col).cast("double"), F.col(score_col).cast("double")
+    hard = predictions.select((label > 0.5).alias("p"), (label == score).alias("hit"), (score > 0.5).alias("up"),
+                              score.isNotNull().alias("has"), (score.isNotNull() & (score != 0) & (score != 1)).alias("soft"))
+    c = hard.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("hit").alias("hits"), F.count_if(F.col("soft")).alias("soft"),
+        F.count_if(F.col("has") & F.col("p") & F.col("up")).alias("tp"),
+        F.count_if(F.col("has") & F.col("p") & ~F.col("up")).alias("fn"),
+        F.count_if(F.col("has") & ~F.col("p") & F.col("up")).alias("fp"),
+        F.count_if(F.col("has") & ~F.col("p") & ~F.col("up")).alias("tn"))
+    tpr = safe_div(F.col("tp"), F.col("tp") + F.col("fn"))
+    fpr = safe_div(F.col("fp"), F.col("fp") + F.col("tn"))
+    area = (fpr * tpr + (F.lit(1.0) - fpr) * (tpr + F.lit(1.0))) / 2.0
+    checked = F.when(F.col("soft") > 0, F.raise_error(F.lit("hard predictions must be 0 or 1")).cast("double")).otherwise(area)
+    return c.select(checked.alias("area_under_roc"), safe_div("hits", "n").alias("accuracy"))

@@ -7,7 +7,7 @@ read out of the probability vector in the JVM.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LogisticRegression,
@@ -16,11 +16,12 @@ from pyspark.ml.classification import (
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entiscore.functions.literals import double_matrix
-from entiscore.functions.numeric import probability_of_one
+from entiscore.functions.literals import double_array, double_matrix
+from entiscore.functions.numeric import probability_of_one, sigmoid
 
 
 def train_forest(train: DataFrame, label_col: str = "label", features_col: str = "features",
@@ -50,11 +51,6 @@ def train_logistic(train: DataFrame, **params):
     return logistic(**params).fit(train)
 
 
-def train_pipeline(train: DataFrame, stages: list) -> PipelineModel:
-    """Fit a pipeline of fitted and unfitted stages on the training rows only."""
-    return Pipeline(stages=list(stages)).fit(train)
-
-
 def train_cv(train: DataFrame, estimator, grid: dict, evaluator=None, folds: int = 3,
              seed: int = 42, parallelism: int = 1) -> CrossValidatorModel:
     """Cross-validated fit over a parameter grid ``{param: [values]}``."""
@@ -130,10 +126,14 @@ def kmeans_cost_sweep(vectors: DataFrame, ks=(2, 3, 4, 5, 6), max_iter: int = 10
     from concurrent.futures import ThreadPoolExecutor
 
     def cost(k):
-        return int(k), float(fit_kmeans(vectors, k, max_iter, seed, features_col).summary.trainingCost)
-
-    with ThreadPoolExecutor(max_workers=max(1, min(int(parallelism), len(ks)))) as pool:
-        rows = list(pool.map(cost, ks))
+        return int(k), float(fit_kmeans(kept, k, max_iter, seed, features_col).summary.trainingCost)
+
+    kept = vectors.select(features_col).persist(StorageLevel.DISK_ONLY)    # read by every fit
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, min(int(parallelism), len(ks)))) as pool:
+            rows = list(pool.map(cost, ks))
+    finally:
+        kept.unpersist()
     df = vectors.sparkSession.createDataFrame(rows, "k int, cost double")
     return df.orderBy(F.desc("cost"))
 
@@ -152,26 +152,34 @@ def kmeans_assign(vectors: DataFrame, centers: list[list[float]], array_col: str
     return vectors.withColumn("cluster", best["i"].cast("int")).withColumn("distance", best["d"])
 
 
+#: Weight tables are turned into one array literal up to this many feature slots.
+MOST_SLOTS = 1_000_000
+
+
 def logistic_score(entity_indices: DataFrame, weights: DataFrame, entity_col: str = "entity_id",
                    indices_col: str = "indices", values_col: str | None = None,
                    intercept: float = 0.0) -> DataFrame:
     """``sigmoid(intercept + Σ w[i]·x[i])`` per entity for a weight table ``(column_index, weight)``.
 
-    The weight table has one row per feature slot (bounded by the dimension)
-    and is broadcast; the per-entity sum is a partial aggregate, so a hot
-    entity does not land in one task whole.
+    The weight table has one row per feature slot (checked against ``MOST_SLOTS``)
+    and becomes an array literal; each entity is scored by one narrow expression
+    over its own indices.  An entity without indices scores ``sigmoid(intercept)``.
     """
+    rows = weights.select(F.col("column_index").cast("long").alias("i"), F.col("weight").cast("double").alias("w")
+                          ).limit(MOST_SLOTS + 1).collect()
+    if len(rows) > MOST_SLOTS:
+        raise ValueError(f"more than {MOST_SLOTS} feature slots")
+    table = [0.0] * (max((r["i"] for r in rows), default=-1) + 1)
+    for r in rows:
+        table[r["i"]] += r["w"]
+    w = double_array(table)
+    weight = lambda i: F.coalesce(F.get(w, i.cast("int")), F.lit(0.0))
+    none = F.array().cast("array<int>")
     if values_col is None:
-        long = entity_indices.select(entity_col, F.explode(indices_col).alias("column_index"),
-                                     ).withColumn("value", F.lit(1.0))
+        terms = F.transform(F.coalesce(F.col(indices_col), none), weight)
     else:
-        long = entity_indices.select(entity_col, F.explode(F.arrays_zip(indices_col, values_col)).alias("_p")
-                                     ).select(entity_col, F.col(f"_p.{indices_col}").alias("column_index"),
-                                              F.col(f"_p.{values_col}").alias("value"))
-    w = F.broadcast(weights.select(F.col("column_index").cast("long"), F.col("weight").cast("double")))
-    margin = (long.withColumn("column_index", F.col("column_index").cast("long"))
-              .join(w, "column_index", "left")
-              .groupBy(entity_col)
-              .agg(F.sum(F.coalesce(F.col("weight"), F.lit(0.0)) * F.col("value")).alias("margin")))
-    m = F.col("margin") + F.lit(float(intercept))
-    return margin.select(entity_col, m.alias("margin"), (F.lit(1.0) / (F.lit(1.0) + F.exp(-m))).alias("score"))
+        terms = F.zip_with(F.coalesce(F.col(indices_col), none), F.coalesce(F.col(values_col), F.array().cast("array<double>")),
+                           lambda i, v: weight(i) * F.coalesce(v.cast("double"), F.lit(0.0)))
+    m = F.lit(float(intercept)) + F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
+    scored = entity_indices.select(entity_col, m.alias("margin"))
+    return scored.select(entity_col, "margin", sigmoid("margin").alias("score"))

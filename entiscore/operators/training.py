@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from entiscore.functions.numeric import probability_of_one
 from entiscore.operators.features import split_by_key
 from entiscore.operators.labels import class_counts
-from entiscore.operators.metrics import best_threshold, prune_positives, threshold_sweep
+from entiscore.operators.metrics import prune_positives, threshold_sweep
 from entiscore.operators.models import logistic, save_model
-from entiscore.session import checkpointed
+from entiscore.session import checkpointed, delete_path
 
 
 class NoUsableThreshold(ValueError):
@@ -64,7 +64,9 @@ def train_with_pruning(labeled: DataFrame, rounds: int = 10, holdout: float = 0.
     thresholds on the held-out rows (one aggregate), take the best geometric
     mean, then keep every negative and the positives scored at or above that
     round's threshold.  The round with the highest geometric mean wins (first
-    on ties).  Stops early when a round prunes nothing.
+    on ties).  Every round runs, reports and saves its model, whatever it prunes; a
+    round without a usable threshold keeps its rows.  ``model_dir`` is emptied first,
+    so no model of an earlier run stays.
     """
     spark = labeled.sparkSession
     cols = [id_col, label_col, features_col]
@@ -79,6 +81,8 @@ def train_with_pruning(labeled: DataFrame, rounds: int = 10, holdout: float = 0.
     sizes: list = []
     rounds_run = 0
     counts = class_counts(train, label_col).first()
+    if model_dir:
+        delete_path(spark, model_dir)
     for k in range(int(rounds)):
         sizes.append((k, int(counts["n1"]), int(counts["n0"])))
         model = estimator.fit(train)
@@ -89,17 +93,16 @@ def train_with_pruning(labeled: DataFrame, rounds: int = 10, holdout: float = 0.
         rows = sweep.collect()                       # at most len(thresholds) rows
         for r in rows:
             report_rows.append((k, int(counts["n1"]), int(counts["n0"])) + tuple(r))
-        top = best_threshold(spark.createDataFrame(rows, sweep.schema)).first() if rows else None
-        if top is None:
-            break
+        usable = [r for r in rows if r["gmean"] > 0]
+        if not usable:
+            continue
+        top = max(usable, key=lambda r: (r["gmean"], -r["threshold"]))     # the rule of best_threshold
         if top["gmean"] > best_gmean:
             best_gmean, best = float(top["gmean"]), (float(top["threshold"]), model, k)
-        pruned = prune_positives(_with_score(model, train), float(top["threshold"]), "score", label_col)
-        train = checkpointed(pruned.select(*cols))
-        after = class_counts(train, label_col).first()      # next round's sizes, one aggregate
-        if after["n"] == counts["n"]:
-            break                                            # nothing pruned: later rounds repeat this one
-        counts = after
+        if k + 1 < int(rounds):
+            pruned = prune_positives(_with_score(model, train), float(top["threshold"]), "score", label_col)
+            train = checkpointed(pruned.select(*cols))
+            counts = class_counts(train, label_col).first()      # next round's sizes, one aggregate
     if best is None:
         raise NoUsableThreshold("no threshold separates the classes in any round")
     schema = "iteration int, train1 long, train0 long, " + ", ".join(
@@ -109,19 +112,20 @@ def train_with_pruning(labeled: DataFrame, rounds: int = 10, holdout: float = 0.
                          report=report, rounds_run=rounds_run, train_sizes=sizes)
 
 
-def retrain_dropping_errors(train: DataFrame, make_estimator, rounds: int = 2,
+def retrain_dropping_errors(train: DataFrame, model: Transformer, make_estimator, rounds: int = 2,
                             indexed_label_col: str = "indexed_label",
                             keep_cols: list[str] | None = None):
-    """Fit, drop the majority-class rows the model gets wrong, refit; ``rounds`` times.
-
-    ``train`` already carries ``indexed_label_col`` from an indexer fitted
-    once, so index 0 keeps its meaning across rounds.  ``make_estimator``
-    returns a fresh (unfitted) estimator or pipeline.  Returns the final
-    rows, the final model and one ``(round, rows)`` pair per round.
+    """Drop the majority-class rows ``model`` gets wrong, refit; ``rounds`` times.
+
+    The first round drops the errors of the model that is handed in, each later one
+    those of the refit before it; there are exactly ``rounds`` fits.  ``train``
+    already carries ``indexed_label_col`` from an indexer fitted once, so index 0
+    keeps its meaning.  ``make_estimator`` returns a fresh (unfitted) estimator or
+    pipeline.  Returns the final rows, the final model and one ``(round, rows)``
+    pair per round (round 0: the rows handed in).
     """
     keep_cols = keep_cols or train.columns
     data = checkpointed(train.select(*keep_cols))
-    model = make_estimator().fit(data)
     sizes = [(0, data.count())]
     for r in range(1, int(rounds) + 1):
         kept = drop_majority_errors(model.transform(data), indexed_label_col, "prediction")

@@ -21,7 +21,7 @@ from entiscore.operators import labels as L
 from entiscore.operators import metrics as M
 from entiscore.operators import models as MO
 from entiscore.plans import fixtures as X
-from entiscore.session import scratch_path
+from entiscore.session import checkpointed, scratch_path
 from entiscore.sources import readers as R
 from entiscore.sources import sinks as K
 from entiscore.streaming import stream as S
@@ -116,7 +116,7 @@ def q_split_train_predict(spark, sf_dir):
 
 
 def q_class_counts(spark, sf_dir):
-    return L.class_counts(X.known_labels(spark, sf_dir))
+    return L.class_counts(X.customer_labels(spark, sf_dir))
 
 
 def q_label_profile(spark, sf_dir):
@@ -320,7 +320,7 @@ def q_csv_typed_roundtrip(spark, sf_dir):
 
 def q_csv_raw_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "csv-raw")
-    X.known_labels(spark, sf_dir).write.mode("overwrite").option("header", True).csv(path)
+    X.customer_labels(spark, sf_dir).write.mode("overwrite").option("header", True).csv(path)
     return R.read_csv_raw(spark, path)
 
 
@@ -337,7 +337,7 @@ def q_table_roundtrip(spark, sf_dir):
     """Header CSV read as text columns, saved as a catalog table, scanned back."""
     import uuid
     csv_path = scratch_path(spark, "table-csv")
-    X.known_labels(spark, sf_dir).write.mode("overwrite").option("header", True).csv(csv_path)
+    X.customer_labels(spark, sf_dir).write.mode("overwrite").option("header", True).csv(csv_path)
     name = f"entiscore_known_{uuid.uuid4().hex[:10]}"
     K.save_table(R.read_csv_raw(spark, csv_path), name, mode="errorifexists",
                  path=scratch_path(spark, "table"))
@@ -346,30 +346,32 @@ def q_table_roundtrip(spark, sf_dir):
 
 def q_labeled_csv_forest(spark, sf_dir):
     """Labelled CSV → forest (5 trees, gini, depth 6, 32 bins) → precision/recall/F by threshold."""
-    c = X.credit_table(spark, sf_dir)
+    c = planted_credit(spark, sf_dir)
     parts = []
     for i, part in enumerate(FE.split_by_key(c, "customer_id", [0.8, 0.2])):
         path = scratch_path(spark, f"csv-forest-{i}")
         part.select("label", *CREDIT_MEASURES).write.mode("overwrite").option("header", True).csv(path)
         parts.append(R.read_labeled_csv(spark, path))
     train, test = parts
-    forest = MO.train_forest(train, num_trees=5, max_depth=6, max_bins=32, impurity="gini", seed=42)
+    forest = MO.train_forest(train, num_trees=5, max_depth=6, max_bins=32, impurity="gini", subset="all", seed=42)
     pred = forest.transform(test).select("label", "prediction")
     return _round_all(M.metrics_by_threshold(pred, beta=1.0, score_col="prediction"))
 
 
-PARTITION_DAYS = (run_day(_dt.date(2024, 1, 2)), run_day(_dt.date(2024, 1, 3)))
+PARTITION_DAYS = tuple(run_day(_dt.date(2024, 1, d)) for d in (2, 3, 4))
 
 
 def q_partition_overwrite(spark, sf_dir):
     path = scratch_path(spark, "day-table")
-    known = X.known_labels(spark, sf_dir)
-    first, second = PARTITION_DAYS
-    K.overwrite_partition(known, path, first)
-    K.overwrite_partition(known, path, second)
+    known = X.customer_labels(spark, sf_dir)
+    first, second, third = PARTITION_DAYS
+    for day in PARTITION_DAYS:
+        K.overwrite_partition(known, path, day)
     K.overwrite_partition(known.where(F.col("label") == 1), path, first)   # re-run of the first day
+    K.overwrite_partition(known.where(F.col("label") > 1), path, third)    # re-run of the third: no rows
     days = [R.read_partition(spark, path, d) for d in PARTITION_DAYS]
-    return days[0].unionByName(days[1]).select("entity_id", "label", F.col("stat_date").cast("string"))
+    return days[0].unionByName(days[1]).unionByName(days[2]).select(
+        "entity_id", "label", F.col("stat_date").cast("string"))
 
 
 # ------------------------------------------------------------------- scoring
@@ -419,23 +421,35 @@ def behavior_vectors(spark, sf_dir):
     """Tagged entities with a sparse ``vec`` column and the dimension."""
     arr, used = _scored_entities(spark, sf_dir)
     dim = used.count()                                   # ≤ K
-    tagged = L.split_train_predict(X.known_labels(spark, sf_dir), arr)
+    # read by every fit and scoring: joined and written once
+    tagged = checkpointed(L.split_train_predict(X.known_labels(spark, sf_dir), arr))
     return to_sparse_vector(tagged, dim, "indices", output_col="vec"), dim
 
 
 def q_train_logistic(spark, sf_dir):
+    """Logistic fit with an intercept: on its training rows the mean score is the mean label."""
     vecs, _ = behavior_vectors(spark, sf_dir)
     train = L.train_rows(vecs).select("entity_id", "label", F.col("vec").alias("features"))
-    model = MO.train_logistic(train)
-    pred = L.predict_rows(vecs).select("entity_id", F.col("vec").alias("features"))
-    return _round_all(MO.score(model, pred, keep=["entity_id"]))
+    model = MO.train_logistic(train, fit_intercept=True)
+    scored = MO.score(model, vecs.withColumnRenamed("features", "line").withColumnRenamed("vec", "features"),
+                      keep=["role", "label"])
+    agg = scored.groupBy("role").agg(F.count(F.lit(1)).alias("n"), F.avg("label").alias("mean_label"),
+                                     F.avg(F.when(F.col("role") == "train", F.col("score"))).alias("mean_score"))
+    return rounded(agg, ["mean_label", "mean_score"], 3)
 
 
 def q_train_with_pruning(spark, sf_dir):
+    """The report of all rounds: what each threshold divides (held-out rows) and the first round's sizes."""
     from entiscore.operators.training import train_with_pruning
     vecs, _ = behavior_vectors(spark, sf_dir)
-    train = L.train_rows(vecs).select("entity_id", "label", F.col("vec").alias("features"))
-    return _round_all(train_with_pruning(train, rounds=10).report)
+    train = L.train_rows(vecs).select(F.col("entity_id").cast("long").alias("entity_id"), "label",
+                                      F.col("vec").alias("features"))
+    report = train_with_pruning(train, rounds=10).report
+    first = F.col("iteration") == 0
+    return _round_all(report.select(
+        "iteration", "threshold", (F.col("n11") + F.col("n10")).alias("held1"), (F.col("n00") + F.col("n01")).alias("held0"),
+        F.when(first, F.col("train1")).otherwise(F.lit(-1)).alias("train1"),        # later sizes depend on the models
+        F.when(first, F.col("train0")).otherwise(F.lit(-1)).alias("train0")))
 
 
 def _credit_vectors(spark, sf_dir):
@@ -444,42 +458,70 @@ def _credit_vectors(spark, sf_dir):
     return out.withColumn("label", F.col("label").cast("double"))
 
 
+# Fixed values of the planted inputs: a label that follows one column exactly, so a
+# trainer that works predicts the rule, and SQL can say what it must return.
+PLANTED_BELOW = 10          # label 1: nation < 10
+PLANTED_WRONG = 7           # the given model is wrong for every 7th customer
+PLANTED_FLIP = 50           # every 50th customer carries the other label
+
+
+def planted_credit(spark, sf_dir):
+    return X.credit_table(spark, sf_dir).withColumn("label", (F.col("nation") < PLANTED_BELOW).cast("int"))
+
+
+def planted_vectors(spark, sf_dir):
+    out, _ = FE.assemble(planted_credit(spark, sf_dir), CREDIT_MEASURES, "features", label_col="label")
+    return out.withColumn("label", F.col("label").cast("double"))
+
+
+def planted_tree():
+    from pyspark.ml.classification import DecisionTreeClassifier
+    return DecisionTreeClassifier(labelCol="indexed_label", featuresCol="features", maxDepth=3, maxBins=32, seed=42)
+
+
 def q_train_forest(spark, sf_dir):
     from entiscore.plans.jobs import credit_forest_job
-    _, pred, _, _ = credit_forest_job(X.credit_table(spark, sf_dir), CREDIT_MEASURES)
+    _, pred, _, _ = credit_forest_job(planted_credit(spark, sf_dir), CREDIT_MEASURES, subset="all")
     return pred.select("customer_id", "label", "prediction", "predicted_label")
 
 
 def q_forest_importances(spark, sf_dir):
-    c = _credit_vectors(spark, sf_dir)
-    forest = MO.train_forest(c, num_trees=10, seed=5043)
-    return MO.feature_importances(forest, spark)
+    forest = MO.train_forest(planted_vectors(spark, sf_dir), num_trees=10, seed=5043, subset="all")
+    return _round_all(MO.feature_importances(forest, spark))
 
 
 def q_train_tree(spark, sf_dir):
-    c = _credit_vectors(spark, sf_dir)
+    c = planted_vectors(spark, sf_dir)
     train, test = FE.split_by_key(c, "customer_id", [0.8, 0.2])
     model = MO.train_tree(train, max_depth=15, max_bins=100)
     return model.transform(test).select("customer_id", "label", "prediction")
 
 
 def q_train_cv(spark, sf_dir):
-    c = _credit_vectors(spark, sf_dir)
+    """Cross-validated over tree depths, saved, loaded as a cross-validated model, scored."""
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.tuning import CrossValidatorModel
+    c = planted_vectors(spark, sf_dir)
     train, test = FE.split_by_key(c, "customer_id", [0.8, 0.2])
-    est = MO.logistic(fit_intercept=True, max_iter=20)
-    cv = MO.train_cv(train, est, {est.regParam: [0.0, 0.1]}, folds=3)
-    return _round_all(MO.score(cv.bestModel, test, keep=["customer_id", "label"]))
+    est = DecisionTreeClassifier(labelCol="label", featuresCol="features", maxBins=32, seed=42)
+    cv = MO.train_cv(train, est, {est.maxDepth: [1, 3]}, folds=3)
+    path = scratch_path(spark, "cv-model")
+    MO.save_model(cv, path)
+    return MO.load_model(path, CrossValidatorModel).transform(test).select("customer_id", "label", "prediction")
 
 
 def q_drop_majority_errors(spark, sf_dir):
-    from pyspark.ml.classification import LogisticRegression
+    """Error-dropping refits that start from a given model (a rule that always says
+    the most frequent class), with trees: rows left after each round."""
+    from pyspark.ml.feature import SQLTransformer
     from entiscore.operators.training import retrain_dropping_errors
-    vecs, _ = behavior_vectors(spark, sf_dir)
-    train = L.train_rows(vecs).select("entity_id", F.col("label").cast("int").cast("string").alias("label"),
-                                      F.col("vec").alias("features"))
-    indexed, _ = FE.index_labels(train, "label", "indexed_label")
-    _, _, sizes = retrain_dropping_errors(
-        indexed, lambda: LogisticRegression(labelCol="indexed_label", regParam=0.01, maxIter=10), rounds=2)
+    c = planted_vectors(spark, sf_dir)
+    indexed, _ = FE.index_labels(c.withColumn("label_text", F.col("label").cast("int").cast("string")),
+                                 "label_text", "indexed_label")
+    wrong = SQLTransformer(statement=f"SELECT *, CASE WHEN customer_id % {PLANTED_WRONG} = 0 THEN 1.0D - indexed_label "
+                                     "ELSE indexed_label END AS prediction FROM __THIS__")
+    _, _, sizes = retrain_dropping_errors(indexed, wrong, planted_tree, rounds=2,
+                                          keep_cols=["customer_id", "label", "features", "indexed_label"])
     return spark.createDataFrame(sizes, "round int, rows long")
 
 
@@ -489,18 +531,32 @@ def q_index_vector(spark, sf_dir):
     return _round_all(out.select("customer_id", *[arr.getItem(i).alias(f"f{i}") for i in range(len(CREDIT_MEASURES))]))
 
 
-def _embedding_vectors(spark, sf_dir):
-    from pyspark.ml.functions import array_to_vector
+def planted_groups(spark, sf_dir):
+    """Four groups far apart: ten times a corner for ``vec_id mod 4`` plus three vector components."""
     e = X.table(spark, sf_dir, "embeddings")
-    return e.select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    g = F.col("vec_id") % 4
+    corner = [F.when(g == i, F.lit(10.0)).otherwise(F.lit(0.0)) for i in range(3)]
+    return e.select("vec_id", *[(c + F.col("embedding")[i].cast("double")).alias(f"c{i}") for i, c in enumerate(corner)])
+
+
+def _group_vectors(spark, sf_dir):
+    from pyspark.ml.functions import array_to_vector
+    return planted_groups(spark, sf_dir).select("vec_id", array_to_vector(F.array("c0", "c1", "c2")).alias("features"))
 
 
 def q_kmeans_centers(spark, sf_dir):
-    return _round_all(MO.kmeans_centers(_embedding_vectors(spark, sf_dir), k=KMEANS_K).drop("center"))
+    """Fitted centres of planted groups (their means), named by the corner they lie at."""
+    out = MO.kmeans_centers(_group_vectors(spark, sf_dir), k=KMEANS_K)
+    at = [F.col("center")[i] for i in range(3)]
+    corner = F.when(at[0] > 5, 0).when(at[1] > 5, 1).when(at[2] > 5, 2).otherwise(3)
+    return rounded(out.select(corner.alias("corner"), *[c.alias(f"c{i}") for i, c in enumerate(at)]), ["c0", "c1", "c2"], 4)
 
 
 def q_kmeans_cost_sweep(spark, sf_dir):
-    return _round_all(MO.kmeans_cost_sweep(_embedding_vectors(spark, sf_dir)), 2)
+    """Costs by k in descending order; at the planted number of groups the cost is their squared error."""
+    swept = MO.kmeans_cost_sweep(_group_vectors(spark, sf_dir))
+    rows = [(r["k"], i + 1, r["cost"] if r["k"] == KMEANS_K else None) for i, r in enumerate(swept.collect())]  # len(ks) rows
+    return _round_all(spark.createDataFrame(rows, "k int, position int, planted_cost double"), 2)
 
 
 def q_model_roundtrip(spark, sf_dir):
@@ -520,30 +576,41 @@ def q_model_roundtrip(spark, sf_dir):
 
 
 def q_undersample_random(spark, sf_dir):
+    """Per class: its rows, and whether the sample kept all of class 1 and, within five
+    standard deviations, three tenths of class 0."""
     c = X.credit_table(spark, sf_dir).select("customer_id", "label")
-    return FE.undersample(c, "label", {0: 0.3, 1: 1.0}, seed=42)
+    kept = FE.undersample(c, "label", {0: 0.3, 1: 1.0}, seed=42).groupBy("label").agg(F.count(F.lit(1)).alias("k"))
+    every = c.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    share = F.coalesce(F.col("k"), F.lit(0)) / F.col("n")
+    near = F.abs(share - 0.3) <= 5 * F.sqrt(F.lit(0.21) / F.col("n"))
+    return every.join(kept, "label", "left").select("label", "n", F.when(F.col("label") == 1, share == 1.0).otherwise(near).alias("as_asked"))
 
 
 def q_behavior_model_job(spark, sf_dir):
-    """The whole batch behaviour model for one day; returns the written predictions."""
+    """The whole batch behaviour model for one day: every entity of the written
+    predictions, with its class where the label is known."""
     from entiscore.plans.jobs import behavior_model_job
-    res = behavior_model_job(spark, X.items(spark, sf_dir), X.behavior_text(spark, sf_dir),
-                             X.known_labels(spark, sf_dir), PARTITION_DAYS[0],
+    known = X.known_labels(spark, sf_dir)
+    res = behavior_model_job(spark, X.items(spark, sf_dir), X.behavior_text(spark, sf_dir), known, PARTITION_DAYS[0],
                              scratch_path(spark, "behavior-job"), k=X.TOP_K, prefix=X.CODE_PREFIX)
-    return res.predictions.select("entity_id", "class", F.col("stat_date").cast("string"))
+    out = res.predictions.join(L.clean_labels(known), "entity_id", "left")
+    return out.select("entity_id", F.when(F.col("label").isNotNull(), F.col("class")).alias("known_class"),
+                      F.col("class").isin("0", "1").alias("has_class"), F.col("stat_date").cast("string"))
 
 
 def q_tree_refit_job(spark, sf_dir):
-    """Labels ⋈ features → scaler + tree → AUC/accuracy → two error-dropping refits."""
+    """Scaler + one-split tree → AUC/accuracy → two error-dropping tree refits, on the
+    planted rule with some labels flipped (the errors to drop)."""
     from entiscore.plans.jobs import tree_refit_job
-    vecs, _ = behavior_vectors(spark, sf_dir)
-    data = L.train_rows(vecs).select("entity_id", "label", F.col("vec").alias("features"))
-    res = tree_refit_job(data)
+    c = planted_vectors(spark, sf_dir)
+    flipped = F.when(F.col("customer_id") % PLANTED_FLIP == 0, 1.0 - F.col("label")).otherwise(F.col("label"))
+    data = c.select(F.col("customer_id").alias("entity_id"), flipped.alias("label"), "features")
+    res = tree_refit_job(data, tree_depth=1, refit_tree_depth=1)
     rec = res.final_recall.first()
     row = (res.area_under_roc, res.accuracy, int(res.sizes[0][1]), int(res.sizes[-1][1]),
            float(rec["recall"]) if rec["recall"] is not None else None)
-    return spark.createDataFrame([row], "area_under_roc double, accuracy double, rows_first long, "
-                                        "rows_last long, class1_recall double")
+    return _round_all(spark.createDataFrame([row], "area_under_roc double, accuracy double, rows_first long, "
+                                                   "rows_last long, class1_recall double"))
 
 
 def register_io_models(q: dict) -> dict:
@@ -579,18 +646,9 @@ def register_io_models(q: dict) -> dict:
 # ------------------------------------------------------------------- streaming
 
 
-def _stream_dir(spark, frame: DataFrame, name: str, order_col: str) -> str:
-    """Write a frame as several parquet files (the stream's arriving files)."""
-    path = scratch_path(spark, name)
-    frame.repartitionByRange(X.STREAM_FILES, order_col).write.mode("overwrite").parquet(path)
-    return path
-
-
 def q_stream_tokens(spark, sf_dir):
-    src_df = X.event_bodies(spark, sf_dir)
-    src = _stream_dir(spark, src_df, "stream-bodies", "event_id")
-    stream = S.stream_source(spark, src, src_df.schema, max_files_per_trigger=1)
-    words = S.stream_tokens(stream, "value", keep=["event_id"])
+    bodies = X.event_bodies(X.events_stream(spark, sf_dir))
+    words = S.stream_tokens(bodies, "value", keep=["event_id"])
     sink, ckpt = scratch_path(spark, "stream-words"), scratch_path(spark, "stream-words-ckpt")
     q = (words.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
@@ -599,13 +657,11 @@ def q_stream_tokens(spark, sf_dir):
 
 
 def q_stream_batch_counts(spark, sf_dir):
-    src_df = X.table(spark, sf_dir, "events")
-    src = _stream_dir(spark, src_df, "stream-events", "event_id")
-    stream = S.stream_source(spark, src, src_df.schema, max_files_per_trigger=1)
+    """Rows of each micro-batch; all given files arrive in the first."""
     sink, ckpt = scratch_path(spark, "stream-counts"), scratch_path(spark, "stream-counts-ckpt")
-    S.run_to_end(S.stream_batch_counts(stream, sink, ckpt, available_now=True))
+    S.run_to_end(S.stream_batch_counts(X.events_stream(spark, sf_dir), sink, ckpt, available_now=True))
     counts = spark.read.parquet(sink)
-    return counts.agg(F.count(F.lit(1)).alias("batches"), F.sum("n_rows").cast("long").alias("n_rows"))
+    return counts.select(F.col("batch_id").cast("long").alias("batch_id"), "n_rows")
 
 
 def event_model(spark, sf_dir):
@@ -637,22 +693,25 @@ def _score_events_stream(spark, sf_dir, model, name):
     path = scratch_path(spark, f"{name}-model")
     MO.save_model(model, path)
     loaded = MO.load_model(path, PipelineModel)
-    src_df = X.table(spark, sf_dir, "events")
-    src = _stream_dir(spark, src_df, f"{name}-src", "event_id")
-    stream = S.stream_source(spark, src, src_df.schema, max_files_per_trigger=1)
     sink, ckpt = scratch_path(spark, name), scratch_path(spark, f"{name}-ckpt")
-    S.run_to_end(S.stream_score(stream, loaded, sink, ckpt, keep=["event_id"], available_now=True))
-    return _round_all(spark.read.parquet(sink))
+    S.run_to_end(S.stream_score(X.events_stream(spark, sf_dir), loaded, sink, ckpt, keep=["event_id"],
+                                available_now=True))
+    return spark.read.parquet(sink)
 
 
 def q_stream_score(spark, sf_dir):
     """Stream scored by a saved fixed-weight pipeline (checkable against SQL)."""
-    return _score_events_stream(spark, sf_dir, fixed_event_model(), "stream-score")
+    return _round_all(_score_events_stream(spark, sf_dir, fixed_event_model(), "stream-score"))
 
 
 def q_stream_score_model(spark, sf_dir):
-    """Stream scored by a saved, trained logistic pipeline."""
-    return _score_events_stream(spark, sf_dir, event_model(spark, sf_dir), "stream-score-model")
+    """Stream scored by a saved, trained logistic pipeline, held against the batch scores of that model."""
+    model = event_model(spark, sf_dir)
+    streamed = _score_events_stream(spark, sf_dir, model, "stream-score-model")
+    batch = S.score_stream(X.table(spark, sf_dir, "events"), model, keep=["event_id"]).select(
+        "event_id", F.col("prediction").alias("_p"), F.col("score").alias("_s"))
+    same = (F.col("prediction") == F.col("_p")) & (F.col("score") == F.col("_s"))
+    return streamed.join(batch, "event_id", "full").select("event_id", F.coalesce(same, F.lit(False)).alias("same"))
 
 
 def register_streaming(q: dict) -> dict:

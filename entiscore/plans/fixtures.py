@@ -22,18 +22,9 @@ TOP_K = 1000
 LABEL_BALANCE = 4500.0
 
 
-_TABLES: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The supplied table; one DataFrame per session and path (file listing and
-    footers are read once, the plan is still lazy)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), spark.sparkContext.applicationId, path)
-    df = _TABLES.get(key)
-    if df is None:
-        df = _TABLES[key] = spark.read.parquet(path)
-    return df
+    """The supplied table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # --------------------------------------------------------------------------- items
@@ -111,6 +102,19 @@ LABELS_SQL = f"""known AS (
   FROM customer WHERE c_custkey % 3 <> 0)"""
 
 
+def customer_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``entity_id, label`` (1/0) of every customer."""
+    c = table(spark, sf_dir, "customer")
+    return c.select(F.col("c_custkey").cast("string").alias("entity_id"),
+                    F.when(F.col("c_acctbal") >= LABEL_BALANCE, 1).otherwise(0).alias("label"))
+
+
+CUSTOMERS_SQL = f"""known AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS entity_id,
+         CASE WHEN c_acctbal >= {LABEL_BALANCE} THEN 1 ELSE 0 END AS label
+  FROM customer)"""
+
+
 # --------------------------------------------------------------------------- credit
 
 def credit_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,14 +169,21 @@ def with_ctes(*ctes: str) -> str:
 
 # --------------------------------------------------------------------------- stream
 
-STREAM_FILES = 4
+def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a file stream: the given files, as they are."""
+    from entiscore.streaming import stream_source
+    root = sf_dir.rstrip("/")
+    schema = table(spark, sf_dir, "events").schema
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/events.parquet")
+    if where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory():
+        return stream_source(spark, f"{root}/events.parquet", schema)
+    return stream_source(spark, root, schema, pathGlobFilter="events.parquet")
 
 
-def event_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``event_id, value`` text bodies of the event stream: ``<type> u<user>``."""
-    e = table(spark, sf_dir, "events")
+def event_bodies(events: DataFrame) -> DataFrame:
+    """``event_id, value``: the body of each event as bytes, ``<type> u<user>``."""
     body = F.concat_ws(" ", F.col("event_type"), F.concat(F.lit("u"), F.col("user_id").cast("string")))
-    return e.select("event_id", body.alias("value"))
+    return events.select("event_id", F.encode(body, "UTF-8").alias("value"))
 
 
 EVENT_BODIES_SQL = """bodies AS (

@@ -63,14 +63,15 @@ def behavior_model_job(spark: SparkSession, items: DataFrame, behavior: DataFram
     idx, _ = feature_text_arrays("features")
     written = written.withColumn("indices", idx)
 
-    tagged = L.split_train_predict(labels, written)
+    # Read for the held-out rows, the training rows, the scoring and the known classes: joined once.
+    tagged = checkpointed(L.split_train_predict(labels, written).select("entity_id", "label", "indices", "role"))
     vecs = to_sparse_vector(tagged, dim, "indices", output_col="vec")
     train = L.train_rows(vecs).select("entity_id", "label", F.col("vec").alias("features"))
     predict = L.predict_rows(vecs).select("entity_id", F.col("vec").alias("features"))
 
     res = train_with_pruning(train, rounds=rounds, holdout=holdout, model_dir=f"{root}/models/{day}")
     scored = res.model.transform(predict).select("entity_id", probability_of_one("probability").alias("score"))
-    classes = L.assign_classes(train.select("entity_id", "label"), scored, res.threshold, class_names)
+    classes = L.assign_classes(L.train_rows(tagged), scored, res.threshold, class_names)
     overwrite_partition(classes.select("entity_id", "class"), f"{root}/predictions", day)
     overwrite_partition(res.report, f"{root}/threshold_report", day)
     preds = read_partition(spark, f"{root}/predictions", day)
@@ -86,9 +87,14 @@ class TreeRefitResult:
     final_recall: DataFrame
 
 
-def tree_refit_job(labeled_vectors: DataFrame, seed: int = 42, drop_rounds: int = 2,
-                       tree_depth: int = 15, tree_bins: int = 100) -> TreeRefitResult:
-    """``labeled_vectors``: ``entity_id, label, features`` (vector)."""
+def tree_refit_job(labeled_vectors: DataFrame, seed: int = 42, drop_rounds: int = 2, tree_depth: int = 15,
+                   tree_bins: int = 100, refit_tree_depth: int | None = None) -> TreeRefitResult:
+    """``labeled_vectors``: ``entity_id, label, features`` (vector).
+
+    The refits start from the tree pipeline: its errors are dropped first.  They are
+    logistic models, or trees of ``refit_tree_depth`` where that is given.  Slots with
+    a value that no training row has keep it as a category of its own.
+    """
     # Read by the indexer fit, the pipeline fit and the evaluation: written once.
     data = checkpointed(labeled_vectors.withColumn("label_text", F.col("label").cast("int").cast("string")))
     train, test = FE.split_by_key(data, "entity_id", [0.8, 0.2])
@@ -103,27 +109,31 @@ def tree_refit_job(labeled_vectors: DataFrame, seed: int = 42, drop_rounds: int
     ev = M.evaluate_binary(pred, "indexed_label", "prediction", "prediction").first()
 
     def refit():
-        vi = VectorIndexer(inputCol="features", outputCol="indexed_features")
+        vi = VectorIndexer(inputCol="features", outputCol="indexed_features", handleInvalid="keep")
+        if refit_tree_depth:
+            return Pipeline(stages=[vi, DecisionTreeClassifier(
+                featuresCol="indexed_features", labelCol="indexed_label", maxDepth=refit_tree_depth,
+                maxBins=tree_bins, seed=seed)])
         lr = LogisticRegression(featuresCol="indexed_features", labelCol="indexed_label", regParam=0.01, maxIter=10)
         return Pipeline(stages=[vi, lr])
 
     kept, final, sizes = retrain_dropping_errors(
-        train_idx, refit, drop_rounds, keep_cols=["entity_id", "label", "features", "indexed_label"])
+        train_idx, model, refit, drop_rounds, keep_cols=["entity_id", "label", "features", "indexed_label"])
     recall = M.class_recall(final.transform(test_idx), 1.0, "indexed_label", "prediction")
     return TreeRefitResult(float(ev["area_under_roc"]), float(ev["accuracy"]),
                              MO.describe_model(model.stages[-1]), sizes, recall)
 
 
 def credit_forest_job(credit: DataFrame, measures: list[str], label_col: str = "label",
-                      seed: int = 5043, num_trees: int = 10):
+                      seed: int = 5043, num_trees: int = 10, id_col: str = "customer_id", subset: str = "auto"):
     """Profile, assemble, index the label, fit a forest and report accuracy."""
     profile = L.label_profile(credit, label_col, measures[:2])
     assembled, _ = FE.assemble(credit, measures, "features", label_col=label_col)
     # Read by the indexer fit, the forest fit and the test scoring: written once.
     assembled = checkpointed(assembled.withColumn("_lt", F.col(label_col).cast("string")))
-    indexed, indexer = FE.index_labels(assembled, "_lt", "indexed_label")
-    train, test = indexed.randomSplit([0.7, 0.3], seed)
-    forest = MO.train_forest(train, "indexed_label", "features", num_trees=num_trees, seed=seed)
-    pred, _ = FE.decode_labels(forest.transform(test), indexer, "prediction", "predicted_label")
+    train, test = FE.split_by_key(assembled, id_col, [0.7, 0.3])
+    train, indexer = FE.index_labels(train, "_lt", "indexed_label")       # the label index is fitted on training rows
+    forest = MO.train_forest(train, "indexed_label", "features", num_trees=num_trees, subset=subset, seed=seed)
+    pred, _ = FE.decode_labels(forest.transform(indexer.transform(test)), indexer, "prediction", "predicted_label")
     acc = M.accuracy(pred, "indexed_label", "prediction")
     return profile, pred, acc, forest

@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from entiscore.plans.fixtures import (
     EVENT_BODIES_SQL,
-    STREAM_FILES,
     CODE_PREFIX,
     CREDIT_SQL,
     ITEMS_SQL,
     LABELS_SQL,
+    CUSTOMERS_SQL,
     SCORED_SQL,
     TOP_K,
     behavior_sql,
@@ -113,6 +113,7 @@ SELECT entity_id, string_agg(CAST(column_index AS VARCHAR) || ':' || CAST(v AS V
     q.update(more_sql())
     q.update(io_sql())
     q.update(stream_sql())
+    q.update(model_sql())
     return q
 
 
@@ -196,7 +197,7 @@ FROM known k JOIN features f ON k.entity_id = f.entity_id WHERE length(f.feature
     q["split_train_predict"] = _q(*BEHAVIOR_CHAIN, LABELS_SQL, CLEAN_SQL, body="""
 SELECT f.entity_id, c.label, f.features, CASE WHEN c.label IS NULL THEN 'predict' ELSE 'train' END AS role
 FROM features f LEFT JOIN clean c ON f.entity_id = c.entity_id WHERE length(f.features) > 0""")
-    q["class_counts"] = _q(LABELS_SQL, body="""
+    q["class_counts"] = _q(CUSTOMERS_SQL, body="""
 SELECT CAST(COUNT(*) AS BIGINT) AS n, CAST(COUNT(*) FILTER (WHERE label = 1) AS BIGINT) AS n1,
        CAST(COUNT(*) FILTER (WHERE label = 0) AS BIGINT) AS n0 FROM known""")
     q["label_profile"] = _q(CREDIT_SQL, body="""
@@ -306,7 +307,7 @@ FROM embeddings"""
     q["csv_typed_roundtrip"] = _q(CREDIT_SQL, body="""
 SELECT CAST(customer_id AS INTEGER) AS customer_id, CAST(nation AS INTEGER) AS nation,
        CAST(label AS INTEGER) AS label, CAST(n_orders AS INTEGER) AS n_orders FROM credit""")
-    q["csv_raw_roundtrip"] = _q(LABELS_SQL, body="SELECT entity_id, CAST(label AS VARCHAR) AS label FROM known")
+    q["csv_raw_roundtrip"] = _q(CUSTOMERS_SQL, body="SELECT entity_id, CAST(label AS VARCHAR) AS label FROM known")
     q["labeled_csv"] = _q(CREDIT_SQL, body="SELECT CAST(CAST(label AS INTEGER) AS DOUBLE) AS label, " + ", ".join(
         f"round(CAST({c} AS DOUBLE), 4) AS f{i}" for i, c in enumerate(CREDIT_MEASURES)) + " FROM credit")
     # Vector index: a slot with ≤ 20 distinct values becomes categorical; 0.0 maps
@@ -319,8 +320,8 @@ SELECT CAST(customer_id AS INTEGER) AS customer_id, CAST(nation AS INTEGER) AS n
                     f"THEN CAST({cat} AS DOUBLE) ELSE CAST({c} AS DOUBLE) END, {ROUND_PLACES}) AS f{i}")
     q["index_vector"] = _q(CREDIT_SQL, body="SELECT customer_id, " + ", ".join(cols) + " FROM credit")
     q["model_roundtrip"] = "SELECT c_custkey AS customer_id, TRUE AS same FROM customer"
-    q["table_roundtrip"] = _q(LABELS_SQL, body="SELECT entity_id, CAST(label AS VARCHAR) AS label FROM known")
-    q["partition_overwrite"] = _q(LABELS_SQL, body="""
+    q["table_roundtrip"] = _q(CUSTOMERS_SQL, body="SELECT entity_id, CAST(label AS VARCHAR) AS label FROM known")
+    q["partition_overwrite"] = _q(CUSTOMERS_SQL, body="""
 SELECT entity_id, label, '20240101' AS stat_date FROM known WHERE label = 1
 UNION ALL SELECT entity_id, label, '20240102' AS stat_date FROM known""")
     q["logistic_score"] = _q(*BEHAVIOR_CHAIN, EP_SQL, MARGIN_SQL, body=f"""
@@ -346,5 +347,78 @@ WHERE word <> ''""")
     q["stream_score"] = f"""
 SELECT event_id, round(CASE WHEN score > 0.5 THEN 1.0 ELSE 0.0 END, {r}) AS prediction, round(score, {r}) AS score
 FROM (SELECT event_id, 1.0 / (1.0 + exp(-(CAST({margin} AS DOUBLE)))) AS score FROM events)"""
-    q["stream_batch_counts"] = f"SELECT CAST({STREAM_FILES} AS BIGINT) AS batches, CAST(COUNT(*) AS BIGINT) AS n_rows FROM events"
+    q["stream_batch_counts"] = "SELECT CAST(0 AS BIGINT) AS batch_id, CAST(COUNT(*) AS BIGINT) AS n_rows FROM events"
+    q["stream_score_model"] = "SELECT event_id, TRUE AS same FROM events"
+    return q
+
+
+# ------------------------------------------------------------------ trained models on planted inputs
+
+PLANTED_SQL = CREDIT_SQL.replace("CASE WHEN c.c_acctbal < 0 THEN 1 ELSE 0 END AS label",
+                                 "CASE WHEN c.c_nationkey < 10 THEN 1 ELSE 0 END AS label")
+TAGGED_SQL = """tagged AS (SELECT f.entity_id, c.label FROM features f LEFT JOIN clean c ON f.entity_id = c.entity_id
+             WHERE length(f.features) > 0)"""
+# index 0 is the most frequent label of the training rows, the smaller text on ties
+_INDEX = """first_label AS (SELECT CAST(label AS INTEGER) AS l FROM {rows} GROUP BY label ORDER BY COUNT(*) DESC, label LIMIT 1)"""
+
+
+def model_sql() -> dict[str, str]:
+    r = ROUND_PLACES
+    q: dict[str, str] = {}
+    on_test = "SELECT customer_id, CAST(label AS DOUBLE) AS label, CAST(label AS DOUBLE) AS prediction FROM credit WHERE customer_id % 100 >= 80"
+    q["train_tree"] = q["train_cv"] = _q(PLANTED_SQL, body=on_test)
+    train = "train AS (SELECT * FROM credit WHERE customer_id % 100 < 70)"
+    q["train_forest"] = _q(PLANTED_SQL, train, _INDEX.format(rows="train"), body="""
+SELECT customer_id, label, CASE WHEN label = (SELECT l FROM first_label) THEN 0.0 ELSE 1.0 END::DOUBLE AS prediction,
+       CAST(label AS VARCHAR) AS predicted_label FROM credit WHERE customer_id % 100 >= 70""")
+    q["forest_importances"] = "SELECT CAST(0 AS INTEGER) AS feature, CAST(1.0 AS DOUBLE) AS importance"
+    q["labeled_csv_forest"] = _q(PLANTED_SQL, "t AS (SELECT * FROM credit WHERE customer_id % 100 >= 80)",
+                                 "c AS (SELECT SUM(label)::BIGINT AS p, (COUNT(*) - SUM(label))::BIGINT AS n FROM t)", body=f"""
+SELECT 1.0::DOUBLE AS threshold, p AS tp, 0::BIGINT AS fp, 1.0::DOUBLE AS "precision", 1.0::DOUBLE AS recall,
+       0.0::DOUBLE AS fpr, 1.0::DOUBLE AS f_measure FROM c
+UNION ALL SELECT 0.0, p, n, round(p / (p + n), {r}), 1.0, 1.0, round(2 * (p / (p + n)) / (p / (p + n) + 1), {r}) FROM c""")
+    q["train_logistic"] = _q(*BEHAVIOR_CHAIN, LABELS_SQL, CLEAN_SQL, TAGGED_SQL, body="""
+SELECT CASE WHEN label IS NULL THEN 'predict' ELSE 'train' END AS role, CAST(COUNT(*) AS BIGINT) AS n,
+       round(AVG(label), 3) AS mean_label, round(AVG(label), 3) AS mean_score FROM tagged GROUP BY 1""")
+    q["train_with_pruning"] = _q(*BEHAVIOR_CHAIN, LABELS_SQL, CLEAN_SQL, TAGGED_SQL, GRID_SQL, """c AS (
+  SELECT CAST(entity_id AS BIGINT) % 100 >= 80 AS held, label FROM tagged WHERE label IS NOT NULL)""", """n AS (
+  SELECT COUNT(*) FILTER (WHERE held AND label = 1) AS held1, COUNT(*) FILTER (WHERE held AND label = 0) AS held0,
+         COUNT(*) FILTER (WHERE NOT held AND label = 1) AS train1, COUNT(*) FILTER (WHERE NOT held AND label = 0) AS train0
+  FROM c)""", body=f"""
+SELECT CAST(i.range AS INTEGER) AS iteration, round(g.threshold, {r}) AS threshold, held1::BIGINT AS held1,
+       held0::BIGINT AS held0, CASE WHEN i.range = 0 THEN train1 ELSE -1 END::BIGINT AS train1,
+       CASE WHEN i.range = 0 THEN train0 ELSE -1 END::BIGINT AS train0
+FROM n, grid g, range(0, 10) i""")
+    q["drop_majority_errors"] = _q(PLANTED_SQL, _INDEX.format(rows="credit"), """s AS (
+  SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE label = (SELECT l FROM first_label) AND customer_id % 7 = 0) AS gone
+  FROM credit)""", body="""
+SELECT CAST(i.range AS INTEGER) AS round, CAST(CASE WHEN i.range = 0 THEN n ELSE n - gone END AS BIGINT) AS rows
+FROM s, range(0, 3) i""")
+    q["tree_refit_job"] = _q(PLANTED_SQL, """f AS (
+  SELECT customer_id % 100 >= 80 AS held, label AS rule,
+         CASE WHEN customer_id % 50 = 0 THEN 1 - label ELSE label END AS label FROM credit)""",
+                             "train AS (SELECT * FROM f WHERE NOT held)", _INDEX.format(rows="train"), """t AS (
+  SELECT CASE WHEN rule = l THEN 0 ELSE 1 END AS said, CASE WHEN label = l THEN 0 ELSE 1 END AS lab FROM f, first_label
+  WHERE held)""", """c AS (
+  SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE said = lab) AS hit, COUNT(*) FILTER (WHERE lab = 1) AS p,
+         COUNT(*) FILTER (WHERE lab = 1 AND said = 1) AS tp, COUNT(*) FILTER (WHERE lab = 0) AS m,
+         COUNT(*) FILTER (WHERE lab = 0 AND said = 1) AS fp FROM t)""", body=f"""
+SELECT round((tp / p + 1 - fp / m) / 2, {r}) AS area_under_roc, round(hit / n, {r}) AS accuracy,
+       (SELECT COUNT(*) FROM train)::BIGINT AS rows_first,
+       (SELECT COUNT(*) FROM train, first_label WHERE NOT (label = l AND rule <> l))::BIGINT AS rows_last,
+       round(tp / p, {r}) AS class1_recall FROM c""")
+    groups = "g AS (SELECT vec_id % 4 AS g, " + ", ".join(
+        f"CASE WHEN vec_id % 4 = {i} THEN 10.0 ELSE 0.0 END::DOUBLE + embedding[{i + 1}]::DOUBLE AS c{i}" for i in range(3)) + " FROM embeddings)"
+    q["kmeans_centers"] = _q(groups, body="SELECT CAST(g AS INTEGER) AS corner, " + ", ".join(
+        f"floor(AVG(c{i}) * 10000 + 0.5) / 10000 AS c{i}" for i in range(3)) + " FROM g GROUP BY g")
+    q["kmeans_cost_sweep"] = _q(groups, """e AS (
+  SELECT SUM((c0 - m0) * (c0 - m0) + (c1 - m1) * (c1 - m1) + (c2 - m2) * (c2 - m2)) AS cost FROM (
+    SELECT *, AVG(c0) OVER w AS m0, AVG(c1) OVER w AS m1, AVG(c2) OVER w AS m2 FROM g WINDOW w AS (PARTITION BY g)))""", body="""
+SELECT CAST(i.range AS INTEGER) AS k, CAST(i.range - 1 AS INTEGER) AS position,
+       CASE WHEN i.range = 4 THEN round(cost, 2) END AS planted_cost FROM e, range(2, 7) i""")
+    q["undersample_random"] = _q(CREDIT_SQL, body="""
+SELECT label, CAST(COUNT(*) AS BIGINT) AS n, TRUE AS as_asked FROM credit GROUP BY label""")
+    q["behavior_model_job"] = _q(*BEHAVIOR_CHAIN, LABELS_SQL, CLEAN_SQL, TAGGED_SQL, body="""
+SELECT entity_id, CASE WHEN label = 1 THEN '1' WHEN label = 0 THEN '0' END AS known_class, TRUE AS has_class,
+       '20240101' AS stat_date FROM tagged""")
     return q

@@ -2,29 +2,34 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str = "local[8]", app_name: str = "entiscore",
-                  shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
-    """Session for local runs and tests; on a cluster pass the cluster's master."""
+def build_session(master: str | None = None, app_name: str = "entiscore",
+                  shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+    """Session with the library's settings.
+
+    Master, partition counts and memory stay what the cluster sets unless the
+    caller passes them (benchmarks and tests do).
+    """
     builder = (
-        SparkSession.builder.master(master).appName(app_name)
+        SparkSession.builder.appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        .config("spark.driver.memory", "16g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -36,8 +41,8 @@ def build_session(master: str = "local[8]", app_name: str = "entiscore",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    The cluster's ``spark.checkpoint.dir`` wins; only when nothing is set (a
-    bare local test session) do we pick a folder of our own.
+    The cluster's ``spark.checkpoint.dir`` wins.  Only a local master, whose
+    executors share the driver's disk, may go without: it gets a folder of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -45,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="entiscore-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -60,11 +67,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/entiscore-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(uri: str) -> str:
-    """Strip a ``file:`` scheme for local helpers (tests only)."""
-    if uri.startswith("file:"):
-        return uri[len("file:"):]
-    return uri if os.path.isabs(uri) else uri
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder of ours from whatever store it is on; nothing if it is not there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def checkpointed(df):

@@ -95,6 +95,6 @@ def read_sparse_text(spark: SparkSession, path: str, num_features: int | None =
 
 def read_partition(spark: SparkSession, path: str, day: str, partition_col: str = "stat_date",
                    fmt: str = "parquet") -> DataFrame:
-    """One day of a day-partitioned table; the day filter prunes directories."""
-    df = spark.read.format(fmt).load(path)
-    return df.where(F.col(partition_col).cast("string") == F.lit(str(day)))
+    """One day of a day-partitioned table; only that day's folder is listed."""
+    root = path.rstrip("/")
+    return spark.read.format(fmt).option("basePath", root).load(f"{root}/{partition_col}={day}")

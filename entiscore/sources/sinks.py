@@ -19,15 +19,10 @@ def overwrite_partition(df: DataFrame, path: str, day: str, partition_col: str =
                         fmt: str = "parquet") -> None:
     """Replace exactly the ``day`` partition; other days stay as they are.
 
-    Creates the table on first use.  Dynamic partition overwrite only touches
-    partitions present in the written data, so re-running a day is idempotent.
+    The day's folder itself is overwritten, so a result without rows empties the day
+    and re-running a day is idempotent.  Creates the table on first use.
     """
-    (df.withColumn(partition_col, F.lit(str(day)))
-       .write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic")
-       .partitionBy(partition_col)
-       .format(fmt)
-       .save(path))
+    df.drop(partition_col).write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/{partition_col}={day}")
 
 
 def save_table(df: DataFrame, name: str, mode: str = "errorifexists", path: str | None = None,

@@ -58,7 +58,7 @@ def _trigger(writer, interval: str | None, available_now: bool):
 
 def stream_batch_counts(stream: DataFrame, sink_path: str, checkpoint: str,
                         interval: str | None = DEFAULT_INTERVAL, available_now: bool = False) -> StreamingQuery:
-    """Write ``n_rows`` of every micro-batch to ``sink_path/batch_id=<id>``.
+    """Write ``n_rows`` and ``batch_time`` of every micro-batch with rows to ``sink_path/batch_id=<id>``.
 
     The count is a distributed aggregate of the batch.  ``foreachBatch`` may
     replay a batch after a failure; each batch overwrites only its own
@@ -68,7 +68,9 @@ def stream_batch_counts(stream: DataFrame, sink_path: str, checkpoint: str,
     root = sink_path.rstrip("/")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.agg(F.count(F.lit(1)).alias("n_rows"))
+        if batch.isEmpty():
+            return
+        (batch.agg(F.count(F.lit(1)).alias("n_rows"), F.current_timestamp().alias("batch_time"))
               .write.mode("overwrite").parquet(f"{root}/batch_id={int(batch_id)}"))
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -97,10 +99,11 @@ def stream_score(stream: DataFrame, model: Transformer, sink_path: str, checkpoi
     return _trigger(writer, interval, available_now).start()
 
 
-def run_to_end(query: StreamingQuery, timeout_s: float = 600.0) -> None:
-    """Wait for an ``availableNow`` query; fail if it did not finish in time."""
-    finished = query.awaitTermination(timeout_s)
-    if not finished:
+def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait for an ``availableNow`` query, as long as it takes unless a limit is given."""
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
         query.stop()
         raise TimeoutError(f"streaming query did not finish within {timeout_s}s")
     if query.exception() is not None:

@@ -52,7 +52,7 @@ def main():
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
-    spark = build_session()
+    spark = build_session("local[8]", shuffle_partitions=8, extra={"spark.driver.memory": "8g"})
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     bad = 0

@@ -35,7 +35,7 @@ def main() -> None:
     from entiscore.session import build_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session()
+    spark = build_session("local[8]", shuffle_partitions=8, extra={"spark.driver.memory": "8g"})
     rows = []
     for name, fn in E.queries().items():
         t0 = time.time()

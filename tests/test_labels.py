@@ -35,3 +35,9 @@ def test_assign_classes(spark):
     scored = spark.createDataFrame([("c", 0.7), ("d", 0.5)], "entity_id string, score double")
     got = {(r.entity_id, r["class"], r.source) for r in L.assign_classes(known, scored, 0.5, ("m", "f")).collect()}
     assert got == {("a", "m", "known"), ("b", "f", "known"), ("c", "m", "model"), ("d", "f", "model")}
+
+
+def test_labels_that_are_no_numbers_are_dropped(spark):
+    df = spark.createDataFrame([("a", "1"), ("b", ""), ("c", " "), ("d", "x"), ("e", None), ("f", " 0 ")],
+                               "entity_id string, label string")
+    assert {r.entity_id: r.label for r in L.clean_labels(df).collect()} == {"a": 1.0, "f": 0.0}

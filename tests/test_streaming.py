@@ -54,3 +54,38 @@ def test_stream_score_equals_batch(spark, tmp_dir):
     got = {r.id: (r.prediction, r.score) for r in spark.read.parquet(sink).collect()}
     want = {r.id: (r.prediction, r.score) for r in S.score_stream(df, model, keep=["id"]).collect()}
     assert got == want
+
+
+def test_byte_bodies_and_repeated_spaces(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "bytes")
+    spark.createDataFrame([(1, bytearray("a  é b".encode()))], "id int, value binary").write.parquet(src)
+    stream = S.stream_source(spark, src, "id int, value binary")
+    sink = os.path.join(tmp_dir, "words")
+    q = (S.stream_tokens(stream, keep=["id"]).writeStream.format("parquet").option("path", sink)
+         .option("checkpointLocation", os.path.join(tmp_dir, "ck")).trigger(availableNow=True).start())
+    S.run_to_end(q)
+    assert sorted(r.word for r in spark.read.parquet(sink).collect()) == ["a", "b", "é"]
+
+
+def test_two_second_batches_skip_empty_ones(spark, tmp_dir):
+    import time
+    src, sink = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    spark.range(5).write.parquet(src)
+    q = S.stream_batch_counts(S.stream_source(spark, src, "id long"), sink, os.path.join(tmp_dir, "ck"))
+    try:
+        deadline = time.time() + 60
+        while not os.path.isdir(sink) or not any(n.startswith("batch_id=") for n in os.listdir(sink)):
+            assert time.time() < deadline and q.isActive
+            time.sleep(0.3)
+        q.processAllAvailable()
+        spark.range(7).write.mode("append").parquet(src)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    rows = spark.read.parquet(sink).collect()
+    assert sorted(r.n_rows for r in rows) == [5, 7] and all(r.batch_time is not None for r in rows)
+    empty = os.path.join(tmp_dir, "none")
+    spark.range(0).write.parquet(empty)
+    S.run_to_end(S.stream_batch_counts(S.stream_source(spark, empty, "id long"), os.path.join(tmp_dir, "o2"),
+                                       os.path.join(tmp_dir, "ck2"), available_now=True))
+    assert not os.path.isdir(os.path.join(tmp_dir, "o2"))
