@@ -205,14 +205,21 @@ def rank_items(top_items: DataFrame) -> DataFrame:
                             (F.row_number().over(order) - 1).cast("int").alias("top_rank"))
 
 
-def entity_top_ranks(pairs: DataFrame, ranked: DataFrame) -> DataFrame:
-    """Per entity: sorted distinct top-K ranks of the items it used (≤ K each)."""
+def entity_top_ranks(pairs: DataFrame, ranked: DataFrame, value_mode: str = "binary") -> DataFrame:
+    """Per entity: sorted distinct top-K ranks of the items it used (≤ K each); with
+    ``sum`` also the summed ``values``."""
     j = pairs.join(ranked.select("item_code", "top_rank"), "item_code")
-    return j.groupBy("entity_id").agg(F.array_sort(F.collect_set("top_rank")).alias("ranks"))
+    if value_mode == "binary":
+        return j.groupBy("entity_id").agg(F.array_sort(F.collect_set("top_rank")).alias("ranks"))
+    if value_mode != "sum":
+        raise ValueError(f"value_mode must be 'binary' or 'sum', got {value_mode!r}")
+    summed = j.groupBy("entity_id", "top_rank").agg(F.sum("value").alias("value"))
+    p = summed.groupBy("entity_id").agg(F.array_sort(F.collect_list(F.struct("top_rank", "value"))).alias("_p"))
+    return p.select("entity_id", F.col("_p.top_rank").alias("ranks"), F.col("_p.value").alias("values"))
 
 
 def build_item_features(pairs: DataFrame, top_items: DataFrame, prefix_len: int = 2,
-                        materialize: bool = True) -> tuple[DataFrame, DataFrame]:
+                        materialize: bool = True, value_mode: str = "binary") -> tuple[DataFrame, DataFrame]:
     """Used items and entity features from **one** pass over the behaviour.
 
     The top-K list (≤ K rows) is written once.  The raw pairs are read once:
@@ -223,14 +230,14 @@ def build_item_features(pairs: DataFrame, top_items: DataFrame, prefix_len: int
     the final features are a narrow ``transform`` with no second join.
 
     Returns ``(used, features)`` with the same rows as :func:`used_items` and
-    :func:`user_item_features` (binary mode).
+    :func:`user_item_features` in the same ``value_mode``.
     """
     ranked = rank_items(top_items)
     if materialize:
         # ≤ K rows, but they summarise a scan of the whole item source: written
         # once so the later jobs (used items, index lookup, weights) reuse them.
         ranked = checkpointed(ranked)
-    per_entity = entity_top_ranks(pairs, ranked)
+    per_entity = entity_top_ranks(pairs, ranked, value_mode)
     if materialize:
         per_entity = checkpointed(per_entity)
     seen = per_entity.select(F.explode("ranks").alias("top_rank")).distinct()
@@ -246,6 +253,11 @@ def build_item_features(pairs: DataFrame, top_items: DataFrame, prefix_len: int
         slots[r["top_rank"]] = int(r["column_index"])
     lookup = long_array(slots)
     idx = F.transform("ranks", lambda r: F.element_at(lookup, r + 1))
-    features = per_entity.select("entity_id", idx.alias("indices")).select(
-        "entity_id", indices_text("indices").alias("features"), "indices")
+    if value_mode == "binary":
+        features = per_entity.select("entity_id", idx.alias("indices")).select(
+            "entity_id", indices_text("indices").alias("features"), "indices")
+    else:
+        text = F.array_join(F.zip_with("indices", "values", lambda i, v: F.concat(i.cast("string"), F.lit(":"), v.cast("string"))), " ")
+        features = per_entity.select("entity_id", idx.alias("indices"), "values").select(
+            "entity_id", text.alias("features"), "indices", "values")
     return used.drop("top_rank"), features

@@ -393,8 +393,8 @@ def _scored_entities(spark, sf_dir):
 
 def q_user_item_features_sum(spark, sf_dir):
     """Features carrying the summed behaviour value instead of 1."""
-    pairs = _pairs(spark, sf_dir)
-    return B.user_item_features(pairs, B.used_items(_top(spark, sf_dir), pairs), value_mode="sum")
+    _, feats = B.build_item_features(_pairs(spark, sf_dir), _top(spark, sf_dir), value_mode="sum")
+    return feats.select("entity_id", "features")
 
 
 def q_user_item_features_join(spark, sf_dir):
