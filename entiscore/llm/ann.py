@@ -40,8 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from entiscore.llm.common import uniform
-from entiscore.session import checkpointed
+from entiscore.llm.common import uniform, written
 
 
 @dataclass(frozen=True)
@@ -209,7 +208,7 @@ def valid_vectors(vectors: DataFrame) -> DataFrame:
 def nearest(vectors: DataFrame, is_query, k: int = 20, settings: Settings = Settings()) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` largest inner products found for each query row."""
     s, spark = settings, vectors.sparkSession
-    every = checkpointed(valid_vectors(vectors))
+    every = written(valid_vectors(vectors))
     sizes = every.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(
         F.col("n").desc(), F.col("d").desc()).limit(1).collect()
     result = "query_id long, vec_id long, score double"
@@ -234,12 +233,12 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, settings: Settings = Sett
     def query_region(v: pd.Series) -> pd.Series:
         return pd.Series(tree.region(space.queries(np.stack(v.to_list())))).astype("int32")
 
-    placed = checkpointed(every.withColumn("region", region("v")))
+    placed = written(every.withColumn("region", region("v")))
     counts = placed.groupBy("region").agg(F.count(F.lit(1)).alias("m"))
     cells = F.broadcast(counts.select("region", F.ceil(F.col("m") / s.cell_rows).cast("int").alias("cells")))  # <= sample / 16 rows
     placed = placed.join(cells, "region").select(
         "vec_id", "v", "region", F.pmod(F.xxhash64("vec_id"), F.col("cells")).cast("int").alias("cell"))
-    queries = checkpointed(every.where(is_query))
+    queries = written(every.where(is_query))
     blocks = max(1, -(-queries.count() // s.query_rows))
     block = F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.lit(blocks)).cast("int").alias("block")
     points = placed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
@@ -262,7 +261,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, settings: Settings = Sett
     home = queries.select("vec_id", "v", query_region("v").alias("region"), block, none)
     home = home.join(cells, "region").withColumn(
         "cell", F.pmod(F.xxhash64("vec_id"), F.col("cells")).cast("int")).drop("cells")
-    first = checkpointed(searched(home))
+    first = written(searched(home))
     kth = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("m"), F.min("score").alias("least")).select(
         F.col("query_id").alias("vec_id"), F.when(F.col("m") >= k, F.col("least")).alias("least"))
     asked = queries.join(kth, "vec_id", "left").select(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from entiscore.session import checkpointed, scratch_path
+
 #: The characters that separate words (space, tab … carriage return).
 WORD_SPACE = " \t\n\x0b\x0c\r"
 WORD_SPLIT = "[\\x20\\x09-\\x0D]+"
@@ -80,3 +82,44 @@ def modest_batches(spark) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(key, "10000") == "10000":
         spark.conf.set(key, "512")
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """An eager checkpoint in the shared folder, after which its shuffle files are let go.
+
+    They are only needed to make the rows again, and those are on shared storage now;
+    else every step's shuffles stay on the executors' disks until the driver happens
+    to collect its garbage.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
+    try:
+        return checkpointed(df.select("*"))      # a frame planned under the setting
+    finally:
+        conf.set(_CLEANUP, before)
+
+
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written as Parquet in the shared folder and read again, and where.
+
+    For loops: unlike a checkpoint the rows come with their real size, so the size
+    the optimiser expects does not multiply from round to round.
+    """
+    spark = df.sparkSession
+    path, before = scratch_path(spark, name), spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def let_go(spark, path: str) -> None:
+    """Deletes what :func:`stored` wrote, once nothing reads it any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entiscore.session import checkpointed
+from entiscore.llm.common import let_go, stored, written
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -13,18 +13,24 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Each round takes the least label among the neighbours (combined before the
     shuffle, so a node with very many neighbours costs one row a task) and then the
-    label of that label; it ends when no label changes.  Every round is written with
-    ``checkpoint()``.
+    label of that label; it ends when no label changes.  Every round is written to
+    the shared folder and the one before it let go.
     """
-    both = checkpointed(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-    labels = checkpointed(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("m")).select(
-        "v", F.least("v", "m").alias("label")))
-    while True:
-        own = labels.select(F.col("v").alias("b"), "label")
-        near = both.join(own, "b").groupBy(F.col("a").alias("v")).agg(F.min("label").alias("m"))
-        step = checkpointed(labels.join(near, "v").select("v", F.col("label").alias("old"), F.least("label", "m").alias("label")))
+    spark = edges.sparkSession
+    both, both_at = stored(edges.select("a", "b").unionByName(
+        edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
+    labels, at = stored(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("m")).select(
+        "v", F.col("v").alias("old"), F.least("v", "m").alias("label")), "labels")
+    while labels.where("label <> old").limit(1).count():
+        near = both.join(labels.select(F.col("v").alias("b"), "label"), "b").groupBy(
+            F.col("a").alias("v")).agg(F.min("label").alias("m"))
+        step = labels.select("v", F.col("label").alias("old")).join(near, "v").select(
+            "v", "old", F.least("old", "m").alias("label"))
         jump = step.select(F.col("v").alias("label"), F.col("label").alias("next"))
-        moved = checkpointed(step.join(jump, "label").select("v", "old", F.col("next").alias("label")))
-        labels = moved.select("v", "label")
-        if moved.where("label <> old").limit(1).count() == 0:
-            return labels
+        moved, then = stored(step.join(jump, "label").select("v", "old", F.col("next").alias("label")), "labels")
+        let_go(spark, at)
+        labels, at = moved, then
+    result = written(labels.select("v", "label"))
+    let_go(spark, at)
+    let_go(spark, both_at)
+    return result

@@ -19,7 +19,8 @@ With 64 groups alone an R-tree prunes little (documents of one size look alike i
    groups) into leaves with bounding boxes.  Pairs of leaves, then pairs of points,
    are kept only if the summed coordinate minima reach the needed overlap.
 
-Pairs that survive are verified on the full shingle sets.  Equal sets are one class
+Pairs that survive are bounded once more on finer counts (more groups the larger
+the sets) and verified on the full shingle sets.  Equal sets are one class
 from the start.  Only the links that components need are sought: first each cell
 member against the cell's most connected member, then, where a cell still holds
 several components, its members of different components through the R-trees.  A
@@ -49,9 +50,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entiscore.llm.common import ROW, field, modest_batches, packed, unpacked
+from entiscore.llm.common import ROW, field, modest_batches, packed, unpacked, written
 from entiscore.llm.components import connected_components
-from entiscore.session import checkpointed
 
 #: A null doc_id in the order of documents.
 LAST = 2**63 - 1
@@ -65,6 +65,8 @@ class Settings:
     num: int = 85
     den: int = 100
     groups: int = 64              # coordinates of the R-trees
+    fine: int = 256               # coordinates of the last bound before verification, for small sets
+    per_group: int = 4            # larger sets are counted in more groups: about this many shingles each
     leaf: int = 16                # points of an R-tree leaf
     chunk: int = 512              # members of a cell searched in one piece
     unit_rows: int = 8192         # members dealt to one task's group of cells
@@ -121,8 +123,25 @@ def cells(shingles: np.ndarray, s: Settings) -> np.ndarray:
     return np.concatenate(out).view(np.int64)
 
 
-def coarse_counts(shingles: np.ndarray, s: Settings) -> np.ndarray:
-    return np.bincount((shingles % np.uint64(s.groups)).astype(np.int64), minlength=s.groups).astype(np.int32)
+def group_counts(shingles: np.ndarray, s: Settings) -> np.ndarray:
+    """Counts by group, in ``fine`` times a power of two groups that grows with the set:
+    in a fixed number of groups all large sets look alike."""
+    k = s.fine
+    while k * s.per_group < len(shingles):
+        k *= 2
+    return np.bincount((shingles % np.uint64(k)).astype(np.int64), minlength=k).astype(np.uint16)
+
+
+def folded(counts: np.ndarray, groups: int) -> np.ndarray:
+    """The counts of the same set in fewer groups."""
+    return counts.reshape(-1, groups).sum(0, dtype=np.int64) if len(counts) > groups else counts.astype(np.int64)
+
+
+def most_overlap(a: bytes, b: bytes) -> int:
+    """Summed coordinate minima of two sets' group counts."""
+    x, y = np.frombuffer(a, np.uint16), np.frombuffer(b, np.uint16)
+    k = min(len(x), len(y))
+    return int(np.minimum(folded(x, k), folded(y, k)).sum())
 
 
 def may_link(overlap, a, b, s: Settings):
@@ -159,15 +178,19 @@ def tree_pairs(n: np.ndarray, points: np.ndarray, part: np.ndarray, left: np.nda
 
 
 def unit_pairs(pdf: pd.DataFrame, s: Settings) -> pd.DataFrame:
-    """Pairs that survive the R-trees of the cells (or pairs of chunks) in ``pdf``."""
-    n, part, c = pdf["n"].to_numpy(), pdf["part"].to_numpy(), pdf["c"].to_numpy()
-    points = np.stack([np.frombuffer(v, np.int32) for v in pdf["counts"]])
-    out: set[tuple[int, int]] = set()
+    """Pairs that survive the R-trees of the cells (or pairs of chunks) in ``pdf`` and the bound on
+    their finer counts."""
+    n, part, c = pdf["n"].to_numpy(np.int64), pdf["part"].to_numpy(), pdf["c"].to_numpy()
+    counts = pdf["counts"].to_numpy()
+    points = np.stack([folded(np.frombuffer(v, np.uint16), s.groups) for v in counts])
+    out: dict[tuple[int, int], bool] = {}
     for _, at in pdf.groupby(["key", "i", "j"], sort=False).indices.items():
         i, j, own = pdf["i"].iat[at[0]], pdf["j"].iat[at[0]], pdf["chunk"].to_numpy()[at]
         for x, y in tree_pairs(n, points, part, at[own == i], at[own == j], s):
-            out.add((min(c[x], c[y]), max(c[x], c[y])))
-    return pd.DataFrame(sorted(out), columns=["a", "b"], dtype="int64")
+            pair = (min(c[x], c[y]), max(c[x], c[y]))
+            if pair not in out:                   # near pairs share many cells
+                out[pair] = bool(may_link(most_overlap(counts[x], counts[y]), n[x], n[y], s))
+    return pd.DataFrame(sorted(p for p, ok in out.items() if ok), columns=["a", "b"], dtype="int64")
 
 
 def _sets(rows: DataFrame, s: Settings) -> DataFrame:
@@ -176,20 +199,18 @@ def _sets(rows: DataFrame, s: Settings) -> DataFrame:
         for pdf in batches:
             sets = [shingle_set(t, s.shingle) for t in pdf["text"]]
             yield pd.DataFrame({"c": pdf["c"], "n": [len(x) for x in sets],
-                                "counts": [coarse_counts(x, s).tobytes() for x in sets],
+                                "counts": [group_counts(x, s).tobytes() for x in sets],
                                 "shingles": [x.tobytes() for x in sets]})
 
     return rows.mapInPandas(make, "c long, n int, counts binary, shingles binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
-    """The pairs ``a, b`` that are linked: bounded by coarse counts first, then on the full sets."""
+    """The pairs ``a, b`` that are linked: bounded by their group counts first, then on the full sets."""
     def bounded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            if len(pdf):
-                x, y = (np.stack([np.frombuffer(v, np.int32) for v in pdf[k]]) for k in ("ca", "cb"))
-                ok = may_link(np.minimum(x, y).sum(1), pdf["na"].to_numpy(), pdf["nb"].to_numpy(), s)
-                yield pdf.loc[ok, ["a", "b"]]
+            most = np.array([most_overlap(x, y) for x, y in zip(pdf["ca"], pdf["cb"])], np.int64)
+            yield pdf.loc[may_link(most, pdf["na"].to_numpy(), pdf["nb"].to_numpy(), s), ["a", "b"]]
 
     def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -204,8 +225,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
         return sets.select(F.col("c").alias(k), *[F.col(c).alias(n) for c, n in cols])
 
     near = pairs.join(side("a", ("n", "na"), ("counts", "ca")), "a").join(side("b", ("n", "nb"), ("counts", "cb")), "b")
-    near = near.mapInPandas(bounded, "a long, b long")
-    full = near.join(side("a", ("shingles", "sa")), "a").join(side("b", ("shingles", "sb")), "b")
+    near = written(near.mapInPandas(bounded, "a long, b long"))
+    # only the sets of these pairs travel on
+    wanted = near.select(F.col("a").alias("w")).union(near.select("b")).distinct()
+    own = sets.join(wanted, F.col("c") == F.col("w")).select("c", "shingles")
+    full = near.join(own.select(F.col("c").alias("a"), F.col("shingles").alias("sa")), "a").join(
+        own.select(F.col("c").alias("b"), F.col("shingles").alias("sb")), "b")
     return full.select("a", "b", "sa", "sb").mapInPandas(exact, "a long, b long")
 
 
@@ -217,38 +242,32 @@ def link_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("_id"),
                        F.xxhash64("text").alias("_key"), "text")
 
-    def classes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            sets = [shingle_set(t, s.shingle) for t in pdf["text"]]
-            yield pd.DataFrame({"_id": pdf["_id"], "_key": pdf["_key"], "n": [len(x) for x in sets],
-                                "c": [set_class(x) for x in sets]})
-
     def entered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()                    # copies met by this task enter their cells once
         for pdf in batches:
-            c, keys = [], []
+            n, c, keys = [], [], []
             for t in pdf["text"]:
                 x = shingle_set(t, s.shingle)
-                if (k := set_class(x)) not in seen:
-                    if len(seen) > 200_000:
-                        seen.clear()
-                    seen.add(k)
-                    c.append(k)
-                    keys.append(cells(x, s))
-            yield pd.DataFrame({"c": np.array(c, np.int64), "keys": keys})
-
-    rows = checkpointed(base.mapInPandas(classes, "_id long, _key long, n int, c long"))
-    members = base.select("text").mapInPandas(entered, "c long, keys array<long>").select(
-        "c", F.explode("keys").alias("key"))
+                n.append(len(x))
+                c.append(set_class(x))
+                keys.append(np.zeros(0, np.int64) if c[-1] in seen else cells(x, s))
+                if len(seen) > 200_000:
+                    seen.clear()
+                seen.add(c[-1])
+            yield pd.DataFrame({"_id": pdf["_id"], "_key": pdf["_key"], "n": n, "c": c, "keys": keys})
+
+    read = written(base.mapInPandas(entered, "_id long, _key long, n int, c long, keys array<long>"))
+    rows = read.select("_id", "_key", "n", "c")
+    members = read.select("c", F.explode("keys").alias("key"))
     several = members.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-    members = checkpointed(members.join(several, "key").select("key", "c").distinct())
+    members = written(members.join(several, "key").select("key", "c").distinct())
 
     # the full sets of the documents that share a cell, one document a class
     wanted = members.select("c").distinct()
     first = rows.join(wanted, "c").groupBy("c").agg(F.min(F.struct("_id", "_key")).alias("x")).select(
         "c", F.col("x._id").alias("_rid"), F.col("x._key").alias("_rkey"))
-    texts = base.join(first, (F.col("_id") == F.col("_rid")) & (F.col("_key") == F.col("_rkey"))).select("c", "text")
-    sets = checkpointed(_sets(texts.dropDuplicates(["c"]), s))
+    texts = base.join(first, (F.col("_id") == F.col("_rid")) & (F.col("_key") == F.col("_rkey")))
+    sets = written(_sets(texts.dropDuplicates(["_id", "_key"]).select("c", "text"), s))
 
     # every member against the member of its cell that shares most cells
     size = members.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
@@ -257,7 +276,7 @@ def link_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     top = weighed.groupBy("key").agg(F.max(F.struct("w", "c")).alias("x")).select("key", F.col("x.c").alias("top"))
     star = members.join(top, "key").where("c <> top").select(
         F.least("c", "top").alias("a"), F.greatest("c", "top").alias("b")).distinct()
-    links = checkpointed(_verified(star, sets, s))
+    links = written(_verified(star, sets, s))
     joined = connected_components(links)
 
     # cells that still hold several components
@@ -266,7 +285,7 @@ def link_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     open_ = parted.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"),
                                       F.count(F.lit(1)).alias("m")).where("lo < hi").select("key", "m")
     units = parted.join(open_, "key").withColumn("pieces", F.ceil(F.col("m") / s.chunk).cast("int"))
-    units = checkpointed(units.withColumn("chunk", F.pmod(F.xxhash64("c"), F.col("pieces")).cast("int")).select(
+    units = written(units.withColumn("chunk", F.pmod(F.xxhash64("c"), F.col("pieces")).cast("int")).select(
         "key", "c", "part", "pieces", "chunk", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("other")))
     tasks = max(1, math.ceil(units.count() / s.unit_rows))
     units = units.select("key", "c", "part", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
@@ -276,9 +295,9 @@ def link_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
         return unit_pairs(pdf, s)
 
-    found = units.groupBy("task").applyInPandas(pairs, "a long, b long").distinct()
+    found = written(units.groupBy("task").applyInPandas(pairs, "a long, b long").distinct())
     links = links.unionByName(_verified(found, sets, s))
-    joined = connected_components(checkpointed(links))
+    joined = connected_components(written(links))
 
     named = rows.join(joined.withColumnRenamed("v", "c"), "c", "left").select(
         "_id", "_key", "n", F.when(F.col("n") > 0, F.coalesce("label", "c")).alias("part"))

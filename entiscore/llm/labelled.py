@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entiscore.llm.common import class_sample, fold
-from entiscore.session import checkpointed
+from entiscore.llm.common import class_sample, fold, written
 
 #: Documents whose crc32(doc_id as text) mod 4 is 2 are never learned from.
 PARTS, HELD_OUT = 4, 2
@@ -29,7 +28,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     """``_id, _y, text`` of about ``per_class`` documents a class (twice that at most in all),
     and the share of label 1 among all labelled documents outside the held-out part."""
     known = known_labels(labels, label)
-    picked = checkpointed(class_sample(known, "_y", "_id", per_class, 2 * per_class, seed))
+    picked = written(class_sample(known, "_y", "_id", per_class, 2 * per_class, seed))
     share = known.agg(F.avg("_y")).first()[0]
     # at most 2 * per_class rows: bounded, whatever the input
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce("text", F.lit("")).alias("text"))

@@ -23,8 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from entiscore.llm.common import ROW, unpacked, word_count
-from entiscore.session import checkpointed
+from entiscore.llm.common import ROW, unpacked, word_count, written
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share_pct: int = 150,
@@ -73,9 +72,9 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share_pct
     cell = F.conv(F.substring(F.md5(F.coalesce(F.col("_id").cast("string"), F.lit(""))), 1, 2), 16, 10).cast("int")
     sized = sized.withColumn("_cell", cell)
     if "text" not in carry:
-        sized = checkpointed(sized)
+        sized = written(sized)
 
-    cells = checkpointed(sized.groupBy("source", "size", "_cell").agg(F.count(F.lit(1)).alias("_n")))
+    cells = written(sized.groupBy("source", "size", "_cell").agg(F.count(F.lit(1)).alias("_n")))
     by_size = cells.groupBy("source", "size").agg(F.sum("_n").alias("_m"))
     targets = source_targets(cells.select("source", (F.col("size") * F.col("_n")).alias("size")), weights, share_pct, most)
     in_source = Window.partitionBy("source").orderBy("size")
@@ -108,4 +107,4 @@ def emit_copies(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """The mix itself: ``columns`` of each document once per copy."""
     return mixed.where("copies > 0").select(
         *[F.col(f"`{c}`") for c in columns],
-        F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_copy")).drop("_copy")
+        F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_mix_copy_no")).drop("_mix_copy_no")

@@ -68,6 +68,46 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (failed & 3) <> 0 AS base_failed, failed = 0 AS kept, failed, n_upper, n_letters FROM bits
 """
 
+SUBSTRING_DEDUP = rf"""
+WITH w AS (
+  SELECT doc_id, {_WORDS} AS ws FROM documents
+), starts AS (
+  SELECT doc_id, unnest(range(1, len(ws) - 48)) AS p FROM w WHERE len(ws) >= 50
+), win AS (
+  SELECT a.doc_id, a.p, md5(array_to_string(w.ws[a.p : a.p + 49], ' ')) AS k FROM starts a JOIN w ON a.doc_id = w.doc_id
+), late AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY k) AS first FROM win) WHERE doc_id > first
+), gone AS (
+  SELECT doc_id, list(DISTINCT q) AS qs FROM (SELECT doc_id, unnest(range(p, p + 50)) AS q FROM late) GROUP BY doc_id
+), kept AS (
+  SELECT w.doc_id, w.ws, coalesce(len(g.qs), 0) AS n_removed, CASE WHEN g.qs IS NULL THEN w.ws ELSE
+           [w.ws[i] FOR i IN range(1, len(w.ws) + 1) IF NOT list_contains(g.qs, i)] END AS ks
+  FROM w LEFT JOIN gone g ON w.doc_id = g.doc_id
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha256(array_to_string(ks, ' ')) AS kept_sha256 FROM kept
+"""
+
+JACCARD_JOIN = r"""
+WITH RECURSIVE w AS MATERIALIZED (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[\x20\x09-\x0D]+') IF x <> ''] AS ws FROM documents
+), s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, hash(g) AS g FROM (
+    SELECT doc_id, unnest([array_to_string(ws[i : i + 3], ' ') FOR i IN range(1, greatest(len(ws) - 2, 2))]) AS g
+    FROM w WHERE len(ws) > 0)
+), n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), link AS MATERIALIZED (
+  SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)
+), edge AS MATERIALIZED (SELECT a, b FROM link UNION ALL SELECT b, a FROM link
+), reach(a, b) AS (
+  SELECT DISTINCT a, a FROM edge UNION SELECT r.a, e.b FROM reach r JOIN edge e ON r.b = e.a
+), least AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(l.c, w.doc_id) AS component_id
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN least l ON w.doc_id = l.a
+"""
+
 MIXING = rf"""
 WITH d AS (
   SELECT doc_id, source, len({_WORDS})::BIGINT AS size,
@@ -102,6 +142,8 @@ SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM c
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_dedup": LINE_DEDUP,
+        "op3_substring_dedup": SUBSTRING_DEDUP,
         "op4_quality_rules": QUALITY_RULES,
         "op8_mixing": MIXING,
+        "op10_jaccard_join": JACCARD_JOIN,
     }

@@ -30,6 +30,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from entiscore.llm.common import written
+
 #: Pieces of one length are numbered within this many hash cells, in parallel.
 CELLS = 512
 
@@ -262,9 +264,8 @@ def pack_pieces(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
 
 def best_fit_pack(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:
     """Pieces of all documents with the sequence and the place they are packed into."""
-    from entiscore.session import checkpointed
-
-    return pack_pieces(checkpointed(tokenize_pieces(docs, vocabulary, capacity, end_id)), capacity)
+    
+    return pack_pieces(written(tokenize_pieces(docs, vocabulary, capacity, end_id)), capacity)
 
 
 def sequences(docs: DataFrame, packed: DataFrame, vocabulary: str, capacity: int = 1024,

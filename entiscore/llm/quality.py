@@ -36,9 +36,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entiscore.llm.common import ROW, field, modest_batches, packed, unpacked
+from entiscore.llm.common import ROW, field, modest_batches, packed, unpacked, written
 from entiscore.llm.labelled import labelled_sample
-from entiscore.session import checkpointed
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SAME = np.uint64(xxhash.xxh3_64_intdigest(b"="))
@@ -166,7 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", settings:
                                 "g": [text_bins(t, s.bins, words).astype(np.int32) for t in pdf["text"]]})
 
     modest_batches(docs.sparkSession)
-    rows = checkpointed(sample.mapInPandas(grams, "_id long, _y int, g array<int>"))
+    rows = written(sample.mapInPandas(grams, "_id long, _y int, g array<int>"))
     count = np.zeros((2, s.bins))
     for r in rows.select("_y", F.explode("g").alias("g")).groupBy("g", "_y").count().collect():    # <= 2 * bins rows
         count[r["_y"], r["g"]] = r["count"]

@@ -41,8 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entiscore.llm.common import modest_batches
-from entiscore.session import checkpointed
+from entiscore.llm.common import modest_batches, written
 
 #: A null doc_id in the order of documents.
 LAST = 2**63 - 1
@@ -141,10 +140,10 @@ def repeated_windows(base: DataFrame, s: Settings) -> DataFrame:
                                 "start": [g[1].astype(np.int32) for g in got],
                                 "n": [g[2].astype(np.int32) for g in got]})
 
-    taken = checkpointed(base.mapInPandas(spans, "_id long, _key long, m array<long>, start array<int>, n array<int>"))
+    taken = written(base.mapInPandas(spans, "_id long, _key long, m array<long>, start array<int>, n array<int>"))
     rows = taken.select("_id", "_key", F.explode(F.arrays_zip("m", "start", "n")).alias("x")).select(
         "_id", "_key", "x.m", "x.start", "x.n")
-    shared = checkpointed(rows.groupBy("m").agg(
+    shared = written(rows.groupBy("m").agg(
         F.min("_id").alias("lo"), F.max("_id").alias("hi"), F.count(F.lit(1)).alias("strings"))
         .where("lo < hi").select("m", "strings"))
     total = shared.agg(F.sum("strings")).first()[0] or 0
@@ -187,7 +186,7 @@ def dedup_substrings(docs: DataFrame, settings: Settings = Settings()) -> DataFr
     modest_batches(docs.sparkSession)
     base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("_id"),
                        F.xxhash64("text").alias("_key"), "text")
-    found = checkpointed(repeated_windows(base, s))
+    found = written(repeated_windows(base, s))
     sure = found.where("digest IS NULL").select("_id", "_key", "start", "last")
     # across the buckets of a hot minimiser: the smallest doc_id of each window
     dealt = found.where("digest IS NOT NULL")

@@ -11,7 +11,7 @@ pass: half of |sum v|^2 - sum |v|^2.
 
 Fitting takes a bounded sample of labelled documents (``per_class`` a class).
 Spark counts the terms of the sample by class and keeps the ``terms`` of the
-largest chi-square; only those reach the driver, as one 0/1 row per sampled
+largest chi-square (at least ``least_chi``); only those reach the driver, as one 0/1 row per sampled
 document, where the machine is fitted by Adam on the logistic loss.  Scoring runs
 over every whole text.
 
@@ -34,9 +34,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entiscore.llm.common import ROW, field, modest_batches, packed, unpacked
+from entiscore.llm.common import ROW, field, modest_batches, packed, unpacked, written
 from entiscore.llm.labelled import labelled_sample
-from entiscore.session import checkpointed
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -46,12 +45,13 @@ class Settings:
     bits: int = 20
     terms: int = 4096
     least_docs: int = 3
+    least_chi: float = 10.8       # the 0.1 % level: terms below it are noise of a small sample
     factors: int = 8
     per_class: int = 4000
-    epochs: int = 30
+    steps: int = 300
     batch: int = 256
-    rate: float = 0.02
-    decay: float = 2e-3
+    rate: float = 0.03
+    decay: float = 1e-4
 
 
 @dataclass
@@ -80,7 +80,7 @@ def fit_machine(x: np.ndarray, y: np.ndarray, share: float, s: Settings) -> tupl
     p = [np.zeros(1), np.zeros(d), rng.normal(0, 0.01, (d, s.factors))]
     m, v = [np.zeros_like(a) for a in p], [np.zeros_like(a) for a in p]
     step = 0
-    for _ in range(s.epochs):
+    for _ in range(-(-s.steps // -(-n // s.batch))):
         order = rng.permutation(n)
         for at in range(0, n, s.batch):
             rows = order[at:at + s.batch]
@@ -111,7 +111,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Se
                                 "t": [sorted(text_terms(t, s.bits)) for t in pdf["text"]]})
 
     modest_batches(docs.sparkSession)
-    rows = checkpointed(sample.mapInPandas(terms, "_id long, _y int, t array<int>"))
+    rows = written(sample.mapInPandas(terms, "_id long, _y int, t array<int>"))
     total = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("k")).first()
     n, k = total["n"], total["k"] or 0
     none = Model(s, float(np.log((share + 1e-6) / (1 - share + 1e-6))), np.zeros(0, np.int64), np.zeros(0),
@@ -122,8 +122,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Se
     counts = rows.select("_y", F.explode("t").alias("t")).groupBy("t").agg(
         F.count(F.lit(1)).alias("a"), F.sum("_y").alias("b")).where(F.col("a") >= s.least_docs)
     off = F.col("b") * n - F.col("a") * k
-    chi = off.cast("double") * off / (F.col("a") * (n - F.col("a")) + F.lit(1))
-    chosen = np.array(sorted(r["t"] for r in counts.orderBy(chi.desc(), "t").limit(s.terms).collect()), np.int64)
+    chi = off.cast("double") * off / (F.col("a") * (n - F.col("a")) + F.lit(1)) * F.lit(n / (k * (n - k)))
+    counts = counts.where(chi >= s.least_chi).orderBy(chi.desc(), "t").limit(s.terms)
+    chosen = np.array(sorted(r["t"] for r in counts.collect()), np.int64)
 
     def active(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
