@@ -259,7 +259,9 @@ def link_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     read = written(base.mapInPandas(entered, "_id long, _key long, n int, c long, keys array<long>"))
     rows = read.select("_id", "_key", "n", "c")
     members = read.select("c", F.explode("keys").alias("key"))
-    several = members.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
+    # counts by cell are written before they are joined back: the join then has a shuffle of its
+    # own on both sides, which adaptive execution can split where one cell holds very many
+    several = written(members.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key"))
     members = written(members.join(several, "key").select("key", "c").distinct())
 
     # the full sets of the documents that share a cell, one document a class
@@ -270,10 +272,10 @@ def link_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     sets = written(_sets(texts.dropDuplicates(["_id", "_key"]).select("c", "text"), s))
 
     # every member against the member of its cell that shares most cells
-    size = members.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
+    size = written(members.groupBy("key").agg(F.count(F.lit(1)).alias("m")))
     weight = members.join(size, "key").groupBy("c").agg(F.sum("m").alias("w"))
     weighed = members.join(weight, "c")
-    top = weighed.groupBy("key").agg(F.max(F.struct("w", "c")).alias("x")).select("key", F.col("x.c").alias("top"))
+    top = written(weighed.groupBy("key").agg(F.max(F.struct("w", "c")).alias("x")).select("key", F.col("x.c").alias("top")))
     star = members.join(top, "key").where("c <> top").select(
         F.least("c", "top").alias("a"), F.greatest("c", "top").alias("b")).distinct()
     links = written(_verified(star, sets, s))
@@ -282,8 +284,8 @@ def link_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     # cells that still hold several components
     parted = members.join(joined.withColumnRenamed("v", "c"), "c", "left").select(
         "key", "c", F.coalesce("label", "c").alias("part"))
-    open_ = parted.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"),
-                                      F.count(F.lit(1)).alias("m")).where("lo < hi").select("key", "m")
+    open_ = written(parted.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"),
+                                              F.count(F.lit(1)).alias("m")).where("lo < hi").select("key", "m"))
     units = parted.join(open_, "key").withColumn("pieces", F.ceil(F.col("m") / s.chunk).cast("int"))
     units = written(units.withColumn("chunk", F.pmod(F.xxhash64("c"), F.col("pieces")).cast("int")).select(
         "key", "c", "part", "pieces", "chunk", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("other")))
@@ -301,7 +303,7 @@ def link_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     named = rows.join(joined.withColumnRenamed("v", "c"), "c", "left").select(
         "_id", "_key", "n", F.when(F.col("n") > 0, F.coalesce("label", "c")).alias("part"))
-    least = named.where("part IS NOT NULL").groupBy("part").agg(F.min("_id").alias("component"))
+    least = written(named.where("part IS NOT NULL").groupBy("part").agg(F.min("_id").alias("component")))
     return named.join(least, "part", "left").select(
         "_id", "_key", F.col("n").cast("long").alias("n_shingles"), "part",
         F.coalesce("component", "_id").alias("component_id"))

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entiscore.llm.common import ROW, WORD_SPACE, field, once, packed, unpacked
+from entiscore.llm.common import ROW, WORD_SPACE, field, once, packed, unpacked, written
 
 #: A null doc_id in the order of documents.
 LAST = 2**63 - 1
@@ -52,8 +52,10 @@ def dedup_lines(docs: DataFrame, window: int = 3) -> DataFrame:
 
     found = rows.select("_id", "_key", F.explode(_windows(F.col("_lines"), window)).alias("w")).select(
         "_id", "_key", "w.h1", "w.h2", "w.pos")
-    repeated = (found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
-                .where("_n > 1").select("h1", "h2", "_first"))
+    # written before it is joined back: the join then shuffles both sides itself, and adaptive
+    # execution can split a window that very many documents hold
+    repeated = written(found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+                       .where("_n > 1").select("h1", "h2", "_first"))
     starts = found.join(repeated, ["h1", "h2"]).groupBy("_id", "_key").agg(
         F.collect_set(F.struct("h1", "h2", "pos", (F.col("_id") > F.col("_first")).alias("later"))).alias("_found"))
     # inside one text: later starts follow the first one in the order (hash, position)

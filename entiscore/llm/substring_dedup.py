@@ -190,7 +190,7 @@ def dedup_substrings(docs: DataFrame, settings: Settings = Settings()) -> DataFr
     sure = found.where("digest IS NULL").select("_id", "_key", "start", "last")
     # across the buckets of a hot minimiser: the smallest doc_id of each window
     dealt = found.where("digest IS NOT NULL")
-    least = dealt.groupBy("digest").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).where("lo < hi")
+    least = written(dealt.groupBy("digest").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).where("lo < hi"))
     late = dealt.join(least.select("digest", "lo"), "digest").where("_id > lo").select("_id", "_key", "start", "last")
     runs = sure.unionByName(late).groupBy(F.col("_id").alias("_rid"), F.col("_key").alias("_rkey")).agg(
         F.collect_set(F.struct("start", "last")).alias("runs"))
