@@ -9,10 +9,11 @@ text.  A factorization machine gives each term a weight and a short vector:
 so two terms can mean together what neither means alone.  The pair sum costs one
 pass: half of |sum v|^2 - sum |v|^2.
 
-Fitting takes a bounded sample of labelled documents (``per_class`` a class).
-Spark counts the terms of the sample by class and keeps the ``terms`` of the
-largest chi-square (at least ``least_chi``); only those reach the driver, as one 0/1 row per sampled
-document, where the machine is fitted by Adam on the logistic loss.  Scoring runs
+Fitting takes a bounded sample of labelled documents (``per_class`` a class) and every
+hashed term of ``least_docs`` of them.  The driver reads them as the places of each
+document's terms and fits the machine by Adam on the logistic loss: first over the
+terms that tell the label alone or, by a test of all pairs, together with another,
+then over all terms, as long as the loss of a quarter left out falls.  Scoring runs
 over every whole text.
 
 Edge cases: null and empty texts are scored by the constant term; without both
@@ -43,14 +44,16 @@ _WORD = re.compile(r"[^\W\d_]+")
 @dataclass(frozen=True)
 class Settings:
     bits: int = 20
-    terms: int = 4096
     least_docs: int = 3
-    least_chi: float = 10.8       # the 0.1 % level: terms below it are noise of a small sample
+    least_chi: float = 10.8       # the 0.1 % level: terms above it tell the label alone
     factors: int = 8
     per_class: int = 4000
     steps: int = 300
+    pair_steps: int = 1200        # if there are pairs to learn
+    all_steps: int = 100          # at most, over all terms
     batch: int = 256
     rate: float = 0.03
+    all_rate: float = 0.0005
     decay: float = 1e-4
 
 
@@ -73,32 +76,162 @@ def text_terms(text: str, bits: int) -> set[int]:
     return {t for w in set(_WORD.findall(text.lower())) for t in word_terms(w, bits)}
 
 
-def fit_machine(x: np.ndarray, y: np.ndarray, share: float, s: Settings) -> tuple[float, np.ndarray, np.ndarray]:
-    """Bias, weights and vectors for 0/1 rows ``x``; the bias is set for ``share`` of label 1."""
-    rng = np.random.default_rng(7)
-    n, d = x.shape
-    p = [np.zeros(1), np.zeros(d), rng.normal(0, 0.01, (d, s.factors))]
+def _sums(by: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Rows of ``values`` summed by ``by``."""
+    return np.stack([np.bincount(by, values[:, f], size) for f in range(values.shape[1])], axis=1)
+
+
+def margins(x: list[np.ndarray], p: list[np.ndarray]) -> np.ndarray:
+    """Scores before the logistic curve of rows that list their places."""
+    out = np.empty(len(x))
+    for i, at in enumerate(x):
+        v = p[2][at]
+        out[i] = p[0][0, 0] + p[1][at].sum() + 0.5 * ((v.sum(0)**2).sum() - (v**2).sum())
+    return out
+
+
+def passes(x: list[np.ndarray], y: np.ndarray, p: list[np.ndarray], steps: int, rate: float,
+           s: Settings) -> Iterator[None]:
+    """Moves bias, weights and vectors ``p`` by about ``steps`` Adam steps; yields after every pass
+    over the rows.  A step moves the places of its rows only."""
+    rng, n = np.random.default_rng(7), len(x)
     m, v = [np.zeros_like(a) for a in p], [np.zeros_like(a) for a in p]
     step = 0
-    for _ in range(-(-s.steps // -(-n // s.batch))):
+    for _ in range(-(-steps // -(-n // s.batch))):
         order = rng.permutation(n)
         for at in range(0, n, s.batch):
             rows = order[at:at + s.batch]
-            xb = x[rows].astype(np.float64)
-            xv = xb @ p[2]
-            z = p[0] + xb @ p[1] + 0.5 * ((xv**2).sum(1) - xb @ (p[2]**2).sum(1))
+            row = np.repeat(np.arange(len(rows)), [len(x[i]) for i in rows])
+            own, place = np.unique(np.concatenate([x[i] for i in rows]), return_inverse=True)
+            w, u = p[1][own], p[2][own]
+            both = _sums(row, np.concatenate([w, u, u**2], axis=1)[place], len(rows))
+            xv = both[:, 1:1 + s.factors]
+            z = p[0][0, 0] + both[:, 0] + 0.5 * (xv**2 - both[:, 1 + s.factors:]).sum(1)
             err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[rows]) / len(rows)
-            gx = xb.T @ err
-            g = [np.array([err.sum()]), gx + s.decay * p[1],
-                 xb.T @ (err[:, None] * xv) - p[2] * gx[:, None] + s.decay * p[2]]
+            back = _sums(place, (err[:, None] * np.column_stack([np.ones(len(rows)), xv]))[row], len(own))
+            g = [np.full((1, 1), err.sum()), back[:, :1] + s.decay * w, back[:, 1:] - u * back[:, :1] + s.decay * u]
             step += 1
-            for k in range(3):
-                m[k] = 0.9 * m[k] + 0.1 * g[k]
-                v[k] = 0.999 * v[k] + 0.001 * g[k]**2
-                p[k] -= s.rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
+            for k, i in enumerate((np.zeros(1, np.int64), own, own)):
+                m[k][i] = 0.9 * m[k][i] + 0.1 * g[k]
+                v[k][i] = 0.999 * v[k][i] + 0.001 * g[k]**2
+                p[k][i] -= rate * (m[k][i] / (1 - 0.9**step)) / (np.sqrt(v[k][i] / (1 - 0.999**step)) + 1e-8)
+        yield
+
+
+def started(d: int, s: Settings) -> list[np.ndarray]:
+    return [np.zeros((1, 1)), np.zeros((d, 1)), np.random.default_rng(7).normal(0, 0.01, (d, s.factors))]
+
+
+def finished(p: list[np.ndarray], y: np.ndarray, share: float) -> tuple[float, np.ndarray, np.ndarray]:
+    """Bias, weights and vectors, the bias set for ``share`` of label 1."""
     seen = y.mean()
     shift = np.log(share / (1 - share)) - np.log(seen / (1 - seen)) if 0 < share < 1 and 0 < seen < 1 else 0.0
-    return float(p[0][0] + shift), p[1], p[2]
+    return float(p[0][0, 0] + shift), p[1][:, 0], p[2]
+
+
+def fit_machine(x: np.ndarray, y: np.ndarray, share: float, s: Settings) -> tuple[float, np.ndarray, np.ndarray]:
+    """Bias, weights and vectors for 0/1 rows ``x``; the bias is set for ``share`` of label 1."""
+    p = started(x.shape[1], s)
+    for _ in passes([np.flatnonzero(r) for r in x], y, p, s.steps, s.rate, s):
+        pass
+    return finished(p, y, share)
+
+
+def strong_terms(x: list[np.ndarray], y: np.ndarray, d: int, s: Settings) -> np.ndarray:
+    """Places whose terms tell the label alone: chi-square of presence of at least ``least_chi``."""
+    n, k = len(y), y.sum()
+    at = np.concatenate(x)
+    a = np.bincount(at, minlength=d)
+    b = np.bincount(at, np.repeat(y, [len(r) for r in x]), d)
+    return (b * n - a * k)**2 / (a * (n - a) + 1) * (n / (k * (n - k))) >= s.least_chi
+
+
+def paired_terms(x: list[np.ndarray], d: int, rest: np.ndarray) -> np.ndarray:
+    """Places of terms that tell together with another what the machine of the strong terms leaves.
+
+    ``rest`` is label minus probability by a machine fitted on other rows.  In the c rows of a pair
+    it is taken less what the two terms leave alone (their means added); with sums S of that and Q
+    of its square (at least of its variance under that machine), S^2 / Q is chi-square under chance
+    and at most c: all pairs that can reach the level (5 % over all pairs of terms) are looked at.
+    """
+    level = 2 * np.log(10.0 * max(d, 1)**2)
+    at = np.concatenate(x)
+    row = np.repeat(np.arange(len(x)), [len(r) for r in x])
+    able = np.flatnonzero(np.bincount(at, minlength=d) >= level)
+    out = np.zeros(d, bool)
+    order = np.argsort(at, kind="stable")
+    first = np.searchsorted(at[order], np.arange(d + 1))
+
+    def block(terms: np.ndarray) -> np.ndarray:
+        dense = np.zeros((len(x), len(terms)), np.float32)
+        for j, t in enumerate(terms):
+            dense[row[order[first[t]:first[t + 1]]], j] = 1
+        return dense
+
+    r, size = rest.astype(np.float32)[:, None], 2048
+    alone = np.bincount(at, rest[row], d) / np.maximum(np.bincount(at, minlength=d), 1) - rest.mean() / 2
+    for i in range(0, len(able), size):
+        left = block(able[i:i + size])
+        weighed, squared = (left * r).T, (left * np.maximum(r**2, abs(r) * (1 - abs(r)))).T
+        for j in range(i, len(able), size):
+            right = left if j == i else block(able[j:j + size])
+            e = (alone[able[i:i + size], None] + alone[None, able[j:j + size]]).astype(np.float32)
+            c, t = left.T @ right, weighed @ right
+            hit = (c >= level) & ((t - e * c)**2 >= level * np.maximum(squared @ right - 2 * e * t + e**2 * c, 1e-6))
+            if j == i:
+                np.fill_diagonal(hit, False)
+            out[able[i:i + size][hit.any(1)]] = True
+            out[able[j:j + size][hit.any(0)]] = True
+    return out
+
+
+def fit_rows(x: list[np.ndarray], d: int, y: np.ndarray, share: float,
+             s: Settings) -> tuple[float, np.ndarray, np.ndarray]:
+    """Bias, weights and vectors of all ``d`` terms for rows that list their places.
+
+    Terms that tell the label alone or in a pair are fitted first, then all; the passes over
+    all terms end where the loss of a quarter left out of them was least.
+    """
+    def fitted(rows: np.ndarray, use: np.ndarray, steps: int) -> list[np.ndarray]:
+        p = started(d, s)
+        p[2][~use] = 0
+        for _ in passes([x[i][use[x[i]]] for i in rows], y[rows], p, steps, s.rate, s):
+            pass
+        return p
+
+    def both(rows: np.ndarray) -> bool:
+        return 0 < y[rows].sum() < len(rows)
+
+    rows = np.arange(len(y))
+    part = np.random.default_rng(3).permutation(len(y)) % 4
+    rest = np.zeros(len(y))
+    for half in range(2):
+        own, other = rows[part % 2 == half], rows[part % 2 != half]
+        if len(own) and both(other):
+            use = strong_terms([x[i] for i in other], y[other], d, s)
+            z = margins([x[i] for i in own], fitted(other, use, s.steps))
+            rest[own] = y[own] - 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    paired = paired_terms(x, d, rest)
+    steps = s.pair_steps if paired.any() else s.steps
+
+    def fit(rows: np.ndarray) -> Iterator[list[np.ndarray]]:
+        """The machine after the passes over the telling terms, then after each pass over all."""
+        use = strong_terms([x[i] for i in rows], y[rows], d, s) | paired
+        p = fitted(rows, use, steps)
+        yield p
+        p[2][~use] = started(d, s)[2][~use]
+        for _ in passes([x[i] for i in rows], y[rows], p, s.all_steps, s.all_rate, s):
+            yield p
+
+    out, best = rows[part == 0], 0
+    if both(out) and both(rows[part > 0]):
+        sign = np.where(y[out] > 0, -1, 1)
+        best = int(np.argmin([np.logaddexp(0, sign * margins([x[i] for i in out], p)).mean()
+                              for p in fit(rows[part > 0])]))
+    for i, p in enumerate(fit(rows)):
+        if i == best:
+            break
+    return finished(p, y, share)
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Settings = Settings()) -> Model:
@@ -118,26 +251,25 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Se
                  np.zeros((0, s.factors)))
     if not 0 < k < n:
         return none
-    # chi-square of term presence against the label, from counts by term
-    counts = rows.select("_y", F.explode("t").alias("t")).groupBy("t").agg(
-        F.count(F.lit(1)).alias("a"), F.sum("_y").alias("b")).where(F.col("a") >= s.least_docs)
-    off = F.col("b") * n - F.col("a") * k
-    chi = off.cast("double") * off / (F.col("a") * (n - F.col("a")) + F.lit(1)) * F.lit(n / (k * (n - k)))
-    counts = counts.where(chi >= s.least_chi).orderBy(chi.desc(), "t").limit(s.terms)
-    chosen = np.array(sorted(r["t"] for r in counts.collect()), np.int64)
+    # every hashed term of the sample that least_docs documents have; at most 2^bits
+    counts = rows.select(F.explode("t").alias("t")).groupBy("t").count().where(F.col("count") >= s.least_docs)
+    chosen = np.sort(np.array([r["t"] for r in counts.select("t").toLocalIterator()], np.int64))
+
+    def places(t: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(chosen, t), max(len(chosen) - 1, 0))
+        return at[chosen[at] == t].astype(np.int32) if len(chosen) else np.zeros(0, np.int32)
 
     def active(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            at = [np.flatnonzero(np.isin(chosen, t)).astype(np.int32) for t in pdf["t"]]
+            at = [places(np.array(t, np.int64)) for t in pdf["t"]]
             yield pd.DataFrame({"_id": pdf["_id"], "_y": pdf["_y"], "t": at})
 
-    # 2 * per_class rows at most, each of at most `terms` places
-    got = sorted(rows.mapInPandas(active, "_id long, _y int, t array<int>").collect(), key=lambda r: r["_id"])
-    x = np.zeros((len(got), len(chosen)), np.uint8)
-    for i, r in enumerate(got):
-        x[i, r["t"]] = 1
-    y = np.array([r["_y"] for r in got], float)
-    bias, weights, vectors = fit_machine(x, y, share, s)
+    # 2 * per_class rows at most
+    x, y = [], []
+    for r in rows.mapInPandas(active, "_id long, _y int, t array<int>").orderBy("_id").toLocalIterator():
+        x.append(np.array(r["t"], np.int32))
+        y.append(r["_y"])
+    bias, weights, vectors = fit_rows(x, len(chosen), np.array(y, float), share, s)
     return Model(s, bias, chosen, weights, vectors)
 
 

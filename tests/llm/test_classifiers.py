@@ -141,3 +141,19 @@ def test_shapes_and_dual_descent():
     y = np.where([v[0] - 2 * v[1] + 0.3 > 0 for _, v in x], 1.0, -1.0)
     w = quality.dual_descent(x, y, 3, quality.Settings(passes=100))
     assert np.mean([np.sign(w[:3] @ v + w[3]) == k for (_, v), k in zip(x, y)]) > 0.97
+
+
+def test_trained_machine_scores_pairs_of_terms_neutral_alone(spark, make_docs, prose):
+    """Toxic are texts with exactly one of two words, each as common in clean as in toxic texts."""
+    rows, truth = [], {}
+    for i in range(1000):
+        ws, a, b = prose(i, 30 + i % 50), i // 2 % 2, i % 2
+        ws[i % len(ws):i % len(ws)] = ["gelb"] * a
+        ws[7 * i % len(ws):7 * i % len(ws)] = ["hut"] * b
+        rows.append((i, " ".join(ws)))
+        truth[i] = a ^ b
+    docs = make_docs(rows)
+    model = toxicity.train(docs, label_rows(spark, [(i, 1, y) for i, y in truth.items()]))
+    held = toxicity.score_documents(docs, model).where(labelled.held_out(F.col("doc_id"))).collect()
+    assert len(held) > 150
+    assert np.mean([(r["score"] >= 0.5) == (truth[r["doc_id"]] == 1) for r in held]) >= 0.95
