@@ -165,10 +165,11 @@ def search_cell(space: Space, ids: np.ndarray, x: np.ndarray, qids: np.ndarray,
     own = leaves(points, space.s.leaf_rows)
     distance = box_distance(at, np.array([points[i].min(0) for i in own]), np.array([points[i].max(0) for i in own]))
     order = np.argsort(distance, axis=1, kind="stable")
-    unit = np.linalg.norm(q, axis=1) * space.top          # scores are compared to 12 digits of this
+    # a matrix product is off the sum of a row by less than this, times both norms
+    off = 4 * (q.shape[1] + 2) * np.finfo(float).eps
+    long_q, long_x = np.linalg.norm(q, axis=1), np.linalg.norm(x, axis=1)
     best = np.full((len(q), k), -np.inf)
     name = np.full((len(q), k), np.iinfo(np.int64).max)
-    row = np.full((len(q), k), -1)
     for r in range(len(own)):
         radius = space.radius(q, np.maximum(kth, best[:, -1]))
         go = np.flatnonzero(distance[np.arange(len(q)), order[:, r]] <= radius)
@@ -176,23 +177,29 @@ def search_cell(space: Space, ids: np.ndarray, x: np.ndarray, qids: np.ndarray,
             break
         for leaf in np.unique(order[go, r]):
             who, members = go[order[go, r] == leaf], own[leaf]
-            score = np.round((q[who] @ x[members].T) / unit[who, None], 12) * unit[who, None]
+            score = q[who] @ x[members].T
             score[qids[who, None] == ids[members][None, :]] = -np.inf
-            better = (score >= np.maximum(best[who, -1], kth[who])[:, None]) & (score > -np.inf)
+            slack = off * long_q[who, None] * long_x[members][None, :]
+            least = np.maximum(best[who, -1], kth[who])
+            may = np.maximum(least, np.partition(score - slack, -k, axis=1)[:, -k]) if len(members) > k else least
+            better = (score + slack >= may[:, None]) & (score > -np.inf)
+            one, other = np.nonzero(better)
+            for i in range(0, len(one), 1 << 16):          # the same sum wherever a vector lies
+                a, b = one[i:i + (1 << 16)], other[i:i + (1 << 16)]
+                score[a, b] = (x[members[b]] * q[who[a]]).sum(1)
+            better &= score >= least[:, None]
             has = better.any(1)
             who, score = who[has], np.where(better, score, -np.inf)[has]
             cols = better[has].any(0)
             score, members = score[:, cols], members[cols]
             s = np.concatenate([best[who], score], axis=1)
             n = np.concatenate([name[who], np.broadcast_to(ids[members], score.shape)], axis=1)
-            m = np.concatenate([row[who], np.broadcast_to(members, score.shape)], axis=1)
             top = np.lexsort((n, -s), axis=1)[:, :k]
-            best[who], name[who], row[who] = (np.take_along_axis(a, top, 1) for a in (s, n, m))
+            best[who], name[who] = (np.take_along_axis(a, top, 1) for a in (s, n))
     out = []
     for i in range(len(q)):
-        hit = row[i][best[i] > -np.inf]
-        exact = (x[hit] * q[i]).sum(1)                     # the same sum wherever a vector lies
-        out += [(int(qids[i]), int(ids[j]), float(e)) for j, e in zip(hit, exact)]
+        hit = best[i] > -np.inf
+        out += [(int(qids[i]), int(j), float(e)) for j, e in zip(name[i][hit], best[i][hit])]
     return out
 
 

@@ -59,6 +59,24 @@ def test_recall_over_cells_and_blocks(spark, settings):
     assert all(len(got[q]) == 20 for q in want) and hit / (20 * len(want)) >= 0.95
 
 
+@pytest.mark.parametrize("huge", [False, True])
+def test_ties_over_several_cells_go_to_the_smallest_ids(spark, huge):
+    """Copies that top the lists lie over several cells of a region."""
+    r = np.random.default_rng(4)
+    unit = lambda v: (v / np.linalg.norm(v)).tolist()
+    top = r.normal(0, 1, 24)
+    rows = [(i, unit(top + r.normal(0, 0.5, 24)), 0) for i in range(300)] + [(300 + i, unit(top), 0) for i in range(400)]
+    if huge:
+        rows.append((999, (-1e6 * top).tolist(), 0))
+    df = spark.createDataFrame(rows, SCHEMA.replace("float", "double"))
+    small = ann.Settings(cell_rows=50, leaf_rows=16, query_rows=200, sample=16, confidence=1 - 1e-12)
+    got = grouped(ann.nearest(df, F.col("vec_id") % 3 == 0, k=20, settings=small))
+    exact = {i: np.array(v) for i, v, _ in rows}
+    for q in got:
+        want = sorted((i for i in exact if i != q), key=lambda i: (-(exact[i] * exact[q]).sum(), i))[:20]
+        assert [i for i, _ in got[q]] == want
+
+
 def test_fewer_candidates_and_empty_table(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0], 0), (1, [2.0, 1.0], 0), (20, [0.5, 0.5], 0), (3, [1.0, 2.0, 3.0], 0)], SCHEMA)
     got = grouped(ann.nearest(df, F.col("vec_id") % 20 == 0, k=20))
