@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from entiscore.session import checkpointed, scratch_path
@@ -61,8 +61,8 @@ def uniform(key: Column, seed: str) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 40)).cast("double") / F.lit(float(1 << 40))
 
 
-def class_sample(rows: DataFrame, label: str, key: str, per_class: int, most: int, seed: str) -> DataFrame:
-    """About ``per_class`` rows of each class by a hash of ``key``, ``most`` rows at most in all.
+def class_sample(rows: DataFrame, label: str, key: str, per_class: int, seed: str) -> DataFrame:
+    """About ``per_class`` rows of each class by a hash of ``key``, and no more than that.
 
     For fitting only.  The class counts are one small aggregate; the rows that are
     picked are a filter on the hash, so no class is sorted or gathered as a whole.
@@ -74,7 +74,8 @@ def class_sample(rows: DataFrame, label: str, key: str, per_class: int, most: in
     for value, n in counts.items():
         rate = F.when(F.col(label) == F.lit(value), F.lit(min(1.0, per_class / n))).otherwise(rate)
     u = uniform(F.col(key), seed)
-    return rows.where(u < rate).orderBy(u, key).limit(most)
+    least = Window.partitionBy(label).orderBy(u, key)        # of the picked rows: about per_class of a class
+    return rows.where(u < rate).withColumn("_at", F.row_number().over(least)).where(F.col("_at") <= per_class).drop("_at")
 
 
 def modest_batches(spark) -> None:

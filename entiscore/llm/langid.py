@@ -6,7 +6,7 @@ N-grams are hashed into ``bins``; the presence vectors are scaled to length 1, s
 the kernel is a dot product of two 0/1 vectors over the root of their sizes.
 
 Fitting takes a bounded sample of labelled documents (``per_language`` each,
-``most_docs`` in all, ``stretches_per_doc`` evenly spaced stretches of each), picks
+however many languages; ``stretches_per_doc`` evenly spaced stretches of each), picks
 ``landmarks`` of them, maps the sample to the Nyström features
 ``K(x, landmarks) K(landmarks, landmarks)^(-1/2)`` and solves one-versus-rest
 kernel ridge regression there.  Scoring covers the whole text in stretches of
@@ -43,7 +43,7 @@ class Settings:
     ridge: float = 1e-2
     sharpness: float = 4.0
     per_language: int = 300
-    most_docs: int = 1200
+    most_docs: int = 1200         # no longer a bound: that is per_language times the languages
     stretches_per_doc: int = 2
 
 
@@ -101,14 +101,21 @@ def fit(texts: list[str], languages: list[str], settings: Settings = Settings())
         return Model(settings)
     names = sorted(set(languages))
     y = np.array([names.index(x) for x in languages])
-    x = np.concatenate([presence(c, np.array([0, len(c)]), settings.bins) for c in map(letter_codes, texts)])
-    size = np.maximum(x.sum(1), 1)
     # the same number of landmarks from every language, as they come
     rank = np.zeros(len(y), int)
     for k in range(len(names)):
         rank[y == k] = np.arange((y == k).sum())
-    chosen = np.sort(np.lexsort((y, rank))[:settings.landmarks])
-    k_nm = x @ x[chosen].T / np.sqrt(np.outer(size, size[chosen]))
+    chosen = np.sort(np.lexsort((y, rank))[:max(settings.landmarks, len(names))])
+
+    def grams(some: list[str]) -> np.ndarray:
+        return np.concatenate([presence(c, np.array([0, len(c)]), settings.bins) for c in map(letter_codes, some)])
+
+    marks = grams([texts[i] for i in chosen])
+    sizes = np.maximum(marks.sum(1), 1)
+    k_nm = np.empty((len(texts), len(chosen)), np.float32)
+    for i in range(0, len(texts), 256):                      # as many n-gram rows at a time, however many languages
+        x = grams(texts[i:i + 256])
+        k_nm[i:i + 256] = x @ marks.T / np.sqrt(np.outer(np.maximum(x.sum(1), 1), sizes))
     values, vectors = np.linalg.eigh(k_nm[chosen].astype(np.float64))
     inverse = np.where(values > 1e-6 * values.max(), 1 / np.sqrt(np.maximum(values, 1e-12)), 0)
     root = (vectors * inverse) @ vectors.T
@@ -118,7 +125,7 @@ def fit(texts: list[str], languages: list[str], settings: Settings = Settings())
     weight = (1 / share)[y]                                  # languages count alike
     gram = (z * weight[:, None]).T @ z + settings.ridge * len(y) * np.eye(len(chosen)) / 100
     beta = np.linalg.solve(gram, (z * weight[:, None]).T @ target)
-    return Model(settings, names, x[chosen].T.astype(np.uint8), size[chosen], (root @ beta).astype(np.float32))
+    return Model(settings, names, marks.T.astype(np.uint8), sizes, (root @ beta).astype(np.float32))
 
 
 def score(texts: pd.Series, model: Model, batch: int = 256) -> pd.DataFrame:
@@ -170,7 +177,7 @@ def training_sample(docs: DataFrame, settings: Settings) -> tuple[list[str], lis
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), "text")
     keys = rows.select("_id", "_lang")                       # the texts are not read to pick the sample
-    picked = class_sample(keys, "_lang", "_id", settings.per_language, settings.most_docs, "langid")
+    picked = class_sample(keys, "_lang", "_id", settings.per_language, "langid")
 
     def stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -184,9 +191,9 @@ def training_sample(docs: DataFrame, settings: Settings) -> tuple[list[str], lis
                         out.append((i, lang, part))
             yield pd.DataFrame(out, columns=["_id", "_lang", "part"])
 
-    # at most most_docs rows: bounded, whatever the input
-    sample = rows.join(F.broadcast(picked.distinct()), ["_id", "_lang"]).mapInPandas(
-        stretches, "_id long, _lang string, part string").limit(settings.most_docs * settings.stretches_per_doc)
+    # at most per_language rows a language: bounded, whatever the input; of rows sharing an id the smallest text
+    one = rows.join(F.broadcast(picked.distinct()), ["_id", "_lang"]).groupBy("_id", "_lang").agg(F.min("text").alias("text"))
+    sample = one.mapInPandas(stretches, "_id long, _lang string, part string")
     got = sorted((r["_id"] is None, r["_id"] or 0, r["part"], r["_lang"]) for r in sample.collect())
     return [g[2] for g in got], [g[3] for g in got]
 

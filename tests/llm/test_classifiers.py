@@ -157,3 +157,15 @@ def test_trained_machine_scores_pairs_of_terms_neutral_alone(spark, make_docs, p
     held = toxicity.score_documents(docs, model).where(labelled.held_out(F.col("doc_id"))).collect()
     assert len(held) > 150
     assert np.mean([(r["score"] >= 0.5) == (truth[r["doc_id"]] == 1) for r in held]) >= 0.95
+
+
+def test_rare_language_keeps_its_sample(spark, make_docs, prose):
+    stems = {**ALPHABETS, "ww": ("ghar", "jhu", "bho", "khe")}
+    rows = [(i, " ".join(prose(i, 20, stems[k])), k) for i, k in enumerate(k for _ in range(300) for k in stems)]
+    rows += [(5000 + i, " ".join(prose(5000 + i, 20, ("ngwa", "mbe", "nzo"))), "rare") for i in range(40)]
+    s = langid.Settings(landmarks=24, per_language=30, most_docs=90)
+    _, langs = langid.training_sample(make_docs(rows), s)
+    assert min(langs.count(k) for k in (*stems, "rare")) >= 15 and max(langs.count(k) for k in stems) <= 30
+    fresh = make_docs([(i, " ".join(prose(9000 + i, 20, ("ngwa", "mbe", "nzo"))), None) for i in range(20)])
+    got = langid.identify(fresh, langid.train(make_docs(rows), s)).collect()
+    assert {r["lang_pred"] for r in got} == {"rare"}
