@@ -139,6 +139,99 @@ SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM c
 """
 
 
+# crc32 by half bytes; the table of 16 remainders follows from the polynomial 0xEDB88320
+SPELLING_VARIANTS = r"""
+WITH RECURSIVE bits(i, k, v) AS (
+  SELECT i, 0, i::UBIGINT FROM (SELECT unnest(range(16)) AS i)
+  UNION ALL SELECT i, k + 1, xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384::UBIGINT ELSE 0 END) FROM bits WHERE k < 4
+), tab AS MATERIALIZED (SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 4
+), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents
+), own AS MATERIALIZED (
+  SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x
+  FROM runs WHERE length(run) >= 7 GROUP BY doc_id, run
+), crc(doc_id, run, n, x, v, p) AS (
+  SELECT doc_id, run, n, x, 4294967295::UBIGINT, 1 FROM own
+  UNION ALL
+  SELECT doc_id, run, n, x, xor(u >> 4, t[((xor(u, h) & 15) + 1)::BIGINT]), p + 2 FROM (
+    SELECT doc_id, run, n, x, p, ('0x' || substr(x, p, 1))::UBIGINT AS h, t,
+           xor(v >> 4, t[((xor(v, ('0x' || substr(x, p + 1, 1))::UBIGINT) & 15) + 1)::BIGINT]) AS u
+    FROM crc, tab WHERE p < length(x))
+), h AS (SELECT run, n, xor(v, 4294967295::UBIGINT) AS h FROM crc WHERE p > length(x)
+), w AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2)
+              ELSE run END AS word, n FROM h
+), words AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n FROM w WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), gone AS MATERIALIZED (
+  SELECT word, n, i, substr(word, 1, i) || '_' || substr(word, i + 2) AS k, substr(word, 1, i) || substr(word, i + 2) AS less
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+), near AS MATERIALIZED (
+  SELECT a.word AS a, b.word AS b, b.n FROM gone a JOIN gone b ON a.k = b.k AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM gone a JOIN words b ON a.less = b.word
+  UNION SELECT b.word, a.word, a.n FROM gone a JOIN words b ON a.less = b.word
+), best AS (
+  SELECT a, count(*)::BIGINT AS n_near, max(n) AS n FROM near GROUP BY a
+), form AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(b.n_near, 0)::BIGINT AS n_near,
+         CASE WHEN b.n >= 10 * w.n THEN (SELECT min(x.b) FROM near x WHERE x.a = w.word AND x.n = b.n) END AS form,
+         CASE WHEN b.n >= 10 * w.n THEN b.n END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.a
+), steps(word, here, k) AS (
+  SELECT word, word, 0 FROM form UNION ALL SELECT f.word, x.form, k + 1 FROM steps f JOIN form x ON f.here = x.word AND x.form IS NOT NULL
+), root AS (SELECT word, arg_max(here, k) AS root FROM steps GROUP BY word)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, r.root FROM form f JOIN root r ON f.word = r.word
+"""
+
+EXACT_TOP_K = """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+SOURCE_DIVERGENCE = r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), t AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), tf AS MATERIALIZED (SELECT r, lang, source, term, count(*) AS n FROM t GROUP BY ALL
+), kept AS MATERIALIZED (SELECT lang, term FROM tf GROUP BY ALL HAVING count(*) >= 10
+), vs AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), g AS MATERIALIZED (SELECT DISTINCT lang, source FROM d
+), c AS (SELECT lang, source, term, sum(n) AS n FROM tf JOIN kept USING (lang, term) GROUP BY ALL
+), cell AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n FROM g JOIN kept k ON g.lang = k.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), sums AS (
+  SELECT lang, source, term, n, sum(n) OVER (PARTITION BY lang, source) AS gn,
+         sum(n) OVER (PARTITION BY lang, term) AS ln, sum(n) OVER (PARTITION BY lang) AS lt FROM cell
+), p AS MATERIALIZED (
+  SELECT lang, source, term, n, 1 + (1000000000 * (n + 2)::HUGEINT) // (gn + 2 * v) AS p,
+         1 + (1000000000 * (ln + 2)::HUGEINT) // (lt + 2 * v) AS q FROM sums JOIN vs USING (lang)
+), f AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+), own AS (
+  SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // (p + q) AS value FROM p WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value,
+       (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)))::INT AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM own) QUALIFY part = 'pair' OR rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_dedup": LINE_DEDUP,
@@ -146,4 +239,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_quality_rules": QUALITY_RULES,
         "op8_mixing": MIXING,
         "op10_jaccard_join": JACCARD_JOIN,
+        "op11_spelling_variants": SPELLING_VARIANTS,
+        "op12_exact_top_k": EXACT_TOP_K,
+        "op13_source_divergence": SOURCE_DIVERGENCE,
     }

@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entiscore.llm import ann, jaccard, labelled, langid, line_dedup, mixing, packing, quality, quality_rules, substring_dedup, toxicity
+from entiscore.llm import (
+    ann, ball_search, divergence, jaccard, labelled, langid, line_dedup, mixing, packing, quality, quality_rules, spelling,
+    substring_dedup, toxicity)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +88,18 @@ def q_jaccard_join(spark, sf_dir):
     return jaccard.jaccard_classes(read(spark, sf_dir, "documents"))
 
 
+def q_spelling_variants(spark, sf_dir):
+    return spelling.variant_groups(spelling.word_counts(read(spark, sf_dir, "documents")))
+
+
+def q_exact_top_k(spark, sf_dir):
+    return ball_search.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def q_source_divergence(spark, sf_dir):
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_nearest": q_nearest,
@@ -98,4 +112,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": q_mixing,
         "op9_quality": q_quality,
         "op10_jaccard_join": q_jaccard_join,
+        "op11_spelling_variants": q_spelling_variants,
+        "op12_exact_top_k": q_exact_top_k,
+        "op13_source_divergence": q_source_divergence,
     }
