@@ -10,6 +10,7 @@ import sys
 import time
 
 import duckdb
+import pandas as pd
 
 sys.path.insert(0, ".")
 
@@ -18,12 +19,12 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return int(v) if v.is_integer() else round(v, 6)      # a column with nulls comes as floats on one side
     if hasattr(v, "tolist"):
         v = v.tolist()
     if isinstance(v, (list, tuple)):
