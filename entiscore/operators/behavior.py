@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from entiscore.functions.text import jvm_trim, prefixed_code, rtrim_chars, strip_newlines, strip_prefix
 from entiscore.functions.literals import long_array
 from entiscore.functions.vectors import indices_text
+from entiscore.operators.cumulative import ONE_TASK, dense_index
 from entiscore.session import checkpointed
 
 PAIR_SEPARATOR = " "
@@ -131,7 +132,19 @@ def malformed_pairs(behavior: DataFrame, entity_col: str = "entity_id", text_col
             .select("entity_id", "token", "status"))
 
 
-def used_items(top_items: DataFrame, pairs: DataFrame, prefix_len: int = 2) -> DataFrame:
+def _top_order():
+    return [F.desc("installs"), F.desc("item_code"), F.desc("item_name")]
+
+
+def _ordered(df: DataFrame, order: list, output_col: str, k: int | None) -> DataFrame:
+    """Adds the 0-based place in ``order``: a window over the whole (≤ K rows), or a range-wise
+    index where ``k`` says that one task should not sort them all."""
+    if k is not None and k > ONE_TASK:
+        return dense_index(df, order, output_col)
+    return df.withColumn(output_col, (F.row_number().over(Window.orderBy(*order)) - 1).cast("long"))
+
+
+def used_items(top_items: DataFrame, pairs: DataFrame, prefix_len: int = 2, k: int | None = None) -> DataFrame:
     """Top items that occur in behaviour, with a dense 0-based column index.
 
     The index follows the top-K order (installs, code, name descending), so it
@@ -141,20 +154,14 @@ def used_items(top_items: DataFrame, pairs: DataFrame, prefix_len: int = 2) -> D
     Plan: behaviour codes are semi-joined against the top-K codes (broadcast by
     Catalyst when the list is as small as a top-K list is), de-duplicated with a
     partial aggregate (at most K keys per task) and only then shuffled; the index
-    window runs over at most K rows.
+    window runs over at most K rows, or by ranges where ``k`` (the K of the list) is large.
     """
     top = top_items.select("item_code", "item_name", "installs")
     seen = (pairs.select("item_code")
             .join(top.select("item_code"), "item_code", "left_semi")
             .distinct())
-    used = top.join(seen, "item_code", "left_semi")
-    order = Window.orderBy(F.desc("installs"), F.desc("item_code"), F.desc("item_name"))
-    return used.select(
-        "item_code",
-        strip_prefix("item_code", prefix_len).alias("dim_code"),
-        "item_name",
-        (F.row_number().over(order) - 1).cast("long").alias("column_index"),
-    )
+    used = _ordered(top.join(seen, "item_code", "left_semi"), _top_order(), "column_index", k)
+    return used.select("item_code", strip_prefix("item_code", prefix_len).alias("dim_code"), "item_name", "column_index")
 
 
 def entity_item_indices(pairs: DataFrame, used: DataFrame, value_mode: str = "binary") -> DataFrame:
@@ -198,11 +205,10 @@ def user_item_features(pairs: DataFrame, used: DataFrame, value_mode: str = "bin
 
 # ----------------------------------------------------------------- one-pass build
 
-def rank_items(top_items: DataFrame) -> DataFrame:
+def rank_items(top_items: DataFrame, k: int | None = None) -> DataFrame:
     """Top-K items with their 0-based rank in top-K order (≤ K rows)."""
-    order = Window.orderBy(F.desc("installs"), F.desc("item_code"), F.desc("item_name"))
-    return top_items.select("item_code", "item_name", "installs",
-                            (F.row_number().over(order) - 1).cast("int").alias("top_rank"))
+    ranked = _ordered(top_items.select("item_code", "item_name", "installs"), _top_order(), "top_rank", k)
+    return ranked.withColumn("top_rank", F.col("top_rank").cast("int"))
 
 
 def entity_top_ranks(pairs: DataFrame, ranked: DataFrame, value_mode: str = "binary") -> DataFrame:
@@ -219,7 +225,8 @@ def entity_top_ranks(pairs: DataFrame, ranked: DataFrame, value_mode: str = "bin
 
 
 def build_item_features(pairs: DataFrame, top_items: DataFrame, prefix_len: int = 2,
-                        materialize: bool = True, value_mode: str = "binary") -> tuple[DataFrame, DataFrame]:
+                        materialize: bool = True, value_mode: str = "binary",
+                        k: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Used items and entity features from **one** pass over the behaviour.
 
     The top-K list (≤ K rows) is written once.  The raw pairs are read once:
@@ -232,7 +239,7 @@ def build_item_features(pairs: DataFrame, top_items: DataFrame, prefix_len: int
     Returns ``(used, features)`` with the same rows as :func:`used_items` and
     :func:`user_item_features` in the same ``value_mode``.
     """
-    ranked = rank_items(top_items)
+    ranked = rank_items(top_items, k)
     if materialize:
         # ≤ K rows, but they summarise a scan of the whole item source: written
         # once so the later jobs (used items, index lookup, weights) reuse them.
@@ -242,13 +249,10 @@ def build_item_features(pairs: DataFrame, top_items: DataFrame, prefix_len: int
         per_entity = checkpointed(per_entity)
     seen = per_entity.select(F.explode("ranks").alias("top_rank")).distinct()
     used_ranked = ranked.join(F.broadcast(seen), "top_rank", "left_semi")
-    order = Window.orderBy("top_rank")
-    used = used_ranked.select(
-        "item_code", strip_prefix("item_code", prefix_len).alias("dim_code"), "item_name",
-        (F.row_number().over(order) - 1).cast("long").alias("column_index"), "top_rank")
+    used = _ordered(used_ranked, [F.asc("top_rank")], "column_index", k).select(
+        "item_code", strip_prefix("item_code", prefix_len).alias("dim_code"), "item_name", "column_index", "top_rank")
     pairs_list = used.select("top_rank", "column_index").collect()        # ≤ K rows
-    k = max([r["top_rank"] for r in pairs_list], default=-1) + 1
-    slots = [-1] * k
+    slots = [-1] * (max([r["top_rank"] for r in pairs_list], default=-1) + 1)
     for r in pairs_list:
         slots[r["top_rank"]] = int(r["column_index"])
     lookup = long_array(slots)

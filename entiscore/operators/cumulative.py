@@ -1,4 +1,4 @@
-"""Exact running sums in descending order without a single-partition window.
+"""Exact running sums and positions without a single-partition window.
 
 A window ordered over a whole table runs in one task.  Here the order column
 is cut into about ``num_buckets`` value ranges at approximate quantiles (a
@@ -13,9 +13,16 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from entiscore.functions.literals import long_array
+from entiscore.session import checkpointed
+
+#: Rows one task sorts without help; beyond it an order is cut into ranges.
+ONE_TASK = 100_000
+
+_AT = "_entiscore_at"
 _BUCKET = "_entiscore_bucket"
 _VALUE = "_entiscore_value"
 
@@ -42,9 +49,19 @@ def range_bucket(df: DataFrame, col: str, splits: list[float], output_col: str =
 
 def descending_cumsum(df: DataFrame, order_col: str, sum_cols: list[str],
                       num_buckets: int | None = None) -> DataFrame:
-    """Add ``cum_<c>`` (sum over rows with ``order_col`` ≥ this row's) and ``total_<c>``."""
+    """Add ``cum_<c>`` (sum over rows with ``order_col`` ≥ this row's) and ``total_<c>``.
+
+    The number of ranges follows the number of rows (``ONE_TASK`` each) unless it is
+    given; up to that many rows are one range, summed by a plain window.  ``df`` is read
+    more than once: hand in a checkpointed frame.
+    """
     if num_buckets is None:
-        num_buckets = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        num_buckets = -(-df.count() // ONE_TASK)
+    if num_buckets <= 1:
+        down = Window.orderBy(F.desc(order_col)).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        whole = Window.orderBy(F.desc(order_col)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        return df.select(*df.columns, *[F.sum(c).over(down).alias(f"cum_{c}") for c in sum_cols],
+                         *[F.sum(c).over(whole).alias(f"total_{c}") for c in sum_cols])
     splits = quantile_splits(df, order_col, num_buckets)
     bucketed = range_bucket(df, order_col, splits)
     totals = bucketed.groupBy(_BUCKET).agg(*[F.sum(c).alias(c) for c in sum_cols])
@@ -64,3 +81,22 @@ def descending_cumsum(df: DataFrame, order_col: str, sum_cols: list[str],
         *[(F.sum(c).over(within) + F.col(f"_off_{c}")).alias(f"cum_{c}") for c in sum_cols],
         *[F.col(f"total_{c}") for c in sum_cols],
     )
+
+
+def dense_index(df: DataFrame, order: list[Column], output_col: str) -> DataFrame:
+    """Add the 0-based position of each row in ``order``, whatever the number of rows.
+
+    Rows are dealt into ranges of the order and sorted within them, in parallel, and written
+    with their place in the range; the ranges' sizes (one number a partition) are the only
+    thing the driver sees.  Rows equal in ``order`` come in any sequence.
+    """
+    placed = checkpointed(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                          .withColumn(_AT, F.monotonically_increasing_id()))      # partition << 33 | place
+    part = F.shiftright(_AT, 33).cast("int")
+    sizes = {r["p"]: r["n"] for r in placed.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    offsets, at = [], 0
+    for p in range(max(sizes, default=-1) + 1):
+        offsets.append(at)
+        at += sizes.get(p, 0)
+    place = F.col(_AT).bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.withColumn(output_col, F.element_at(long_array(offsets), part + 1) + place).drop(_AT)

@@ -8,6 +8,9 @@ parameters.
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+
 from pyspark.ml import Transformer
 from pyspark.ml.feature import (
     IndexToString,
@@ -21,6 +24,8 @@ from pyspark.ml.feature import (
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from entiscore.session import checkpointed
+
 
 def assemble(df: DataFrame, input_cols: list[str], output_col: str = "features",
              label_col: str | None = None, handle_invalid: str = "error") -> tuple[DataFrame, Transformer]:
@@ -117,3 +122,43 @@ def undersample_by_key(df: DataFrame, label_col: str, fractions: dict, key: str,
     for cls, frac in fractions.items():
         keep = keep | ((lab == F.lit(cls)) & (slot < F.lit(round(frac * modulus, 9))))
     return df.where(keep)
+
+
+def exact_fraction(df: DataFrame, key: str, fraction: float, few: int = 1_000_000) -> DataFrame:
+    """Exactly ``floor(fraction * rows)`` rows of ``df``, those of the least hashes of ``key``.
+
+    Repeatable, and nothing is sorted as a whole: a histogram of the hash's leading 16
+    bits (one aggregate, at most 65,536 rows to the driver) tells the slot the cut falls in; all
+    lower slots stay.  A slot of more than ``few`` rows is divided by the next 16 bits, then by a
+    hash of the whole row, then (equal rows only) by a running number; the rest of the cut
+    slot is sorted.  ``df`` is read several times: hand in a checkpointed frame.
+    """
+    want = math.floor(Fraction(str(fraction)) * df.count())
+    row = [F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t]
+    hashed = df.withColumns({"_h": F.xxhash64(F.col(key)), "_g": F.xxhash64(*row), "_i": F.monotonically_increasing_id()})
+    below, inside = F.lit(False), F.lit(True)
+    for name, shift in ((c, s) for c in ("_h", "_g", "_i") for s in (48, 32, 16, 0)):
+        slot = F.shiftrightunsigned(name, shift).bitwiseAND(F.lit(65535).cast("long"))
+        sizes = {r["s"]: r["n"] for r in hashed.where(inside).groupBy(slot.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
+        cut = 65536                                  # all slots stay
+        for s in sorted(sizes):
+            if sizes[s] > want:
+                cut = s
+                break
+            want -= sizes[s]
+        below, inside = below | (inside & (slot < cut)), inside & (slot == cut)
+        if not want or sizes.get(cut, 0) <= few:
+            break
+    taken = hashed.where(below)
+    if want:
+        taken = taken.unionByName(hashed.where(inside).orderBy("_h", "_g", "_i").limit(want))
+    return taken.drop("_h", "_g", "_i")
+
+
+def undersample_correct(predictions: DataFrame, key: str, fraction: float = 0.3, indexed_label_col: str = "indexed_label",
+                        prediction_col: str = "prediction") -> DataFrame:
+    """Undersampling after a model has spoken: of the majority class (index 0) only the rows predicted
+    right, and of those exactly ``fraction``; every row of class 1."""
+    lab = F.col(indexed_label_col).cast("double")
+    kept = checkpointed(predictions.where(((lab == 0.0) & (F.col(prediction_col).cast("double") == lab)) | (lab == 1.0)))
+    return exact_fraction(kept.where(lab == 0.0), key, fraction).unionByName(kept.where(lab == 1.0))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entiscore.functions.dates import run_day
+from entiscore.functions.text import normalize_columns
 from entiscore.functions.vectors import to_sparse_vector, vector_elements
 from entiscore.operators import behavior as B
 from entiscore.operators import features as FE
@@ -339,25 +340,41 @@ def q_table_roundtrip(spark, sf_dir):
     csv_path = scratch_path(spark, "table-csv")
     X.customer_labels(spark, sf_dir).write.mode("overwrite").option("header", True).csv(csv_path)
     name = f"entiscore_known_{uuid.uuid4().hex[:10]}"
-    K.save_table(R.read_csv_raw(spark, csv_path), name, mode="errorifexists",
+    K.save_table(normalize_columns(R.read_csv_raw(spark, csv_path)), name, mode="errorifexists",
                  path=scratch_path(spark, "table"))
     return spark.table(name).select("entity_id", "label")
 
 
 def q_labeled_csv_forest(spark, sf_dir):
-    """Labelled CSV → forest (5 trees, gini, depth 6, 32 bins) → precision/recall/F by threshold."""
-    c = planted_credit(spark, sf_dir)
+    """Labelled CSV → forest (5 trees, gini, depth 6, 32 bins, features drawn per split) → precision/recall/F by threshold."""
+    c = planted_wide(spark, sf_dir)
     parts = []
     for i, part in enumerate(FE.split_by_key(c, "customer_id", [0.8, 0.2])):
         path = scratch_path(spark, f"csv-forest-{i}")
-        part.select("label", *CREDIT_MEASURES).write.mode("overwrite").option("header", True).csv(path)
+        part.select("label", *WIDE_MEASURES).write.mode("overwrite").option("header", True).csv(path)
         parts.append(R.read_labeled_csv(spark, path))
     train, test = parts
-    forest = MO.train_forest(train, num_trees=5, max_depth=6, max_bins=32, impurity="gini", subset="all", seed=42)
+    forest = MO.train_forest(train, num_trees=5, max_depth=6, max_bins=32, impurity="gini", seed=42)
     pred = forest.transform(test).select("label", "prediction")
     return _round_all(M.metrics_by_threshold(pred, beta=1.0, score_col="prediction"))
 
 
+def q_partition_table(spark, sf_dir):
+    """A catalog table by day: three days, a re-run of the first, a re-run of the third without rows; read by day."""
+    import uuid
+    known = X.customer_labels(spark, sf_dir)
+    name = f"entiscore_days_{uuid.uuid4().hex[:10]}"
+    first, second, third = PARTITION_DAYS
+    path = scratch_path(spark, "day-catalog")
+    for _ in range(2):                                                      # there already: nothing happens
+        K.create_day_table(spark, name, known.schema, path=path)
+    for day in PARTITION_DAYS:
+        K.overwrite_table_day(known, name, day)
+    K.overwrite_table_day(known.where(F.col("label") == 1), name, first)
+    K.overwrite_table_day(known.where(F.col("label") > 1), name, third)
+    return R.read_table_days(spark, name, list(PARTITION_DAYS)).select("entity_id", "label", "stat_date")
+
+
 PARTITION_DAYS = tuple(run_day(_dt.date(2024, 1, d)) for d in (2, 3, 4))
 
 
@@ -408,6 +425,26 @@ def q_logistic_score(spark, sf_dir):
     return _round_all(MO.logistic_score(arr, fixed_weights(used)))
 
 
+def q_logistic_score_join(spark, sf_dir):
+    """The same scores through the join that serves any number of weights."""
+    arr, used = _scored_entities(spark, sf_dir)
+    return _round_all(MO.logistic_score(arr, fixed_weights(used), most_slots=0))
+
+
+def q_logistic_gradient(spark, sf_dir):
+    """The reference's fit (no intercept, no penalty) is at its optimum: the loss has no slope along any used column."""
+    arr, used = _scored_entities(spark, sf_dir)
+    dim = used.count()                                   # ≤ K
+    tagged = checkpointed(L.split_train_predict(X.known_labels(spark, sf_dir), arr))
+    train = L.train_rows(to_sparse_vector(tagged, dim, "indices", output_col="vec"))
+    train = train.select("entity_id", "label", "indices", F.col("vec").alias("features"))
+    model = MO.train_logistic(train)
+    slope = MO.logistic_gradient(MO.score(model, train, keep=["label", "indices"]))
+    rows = used.select("column_index").join(slope, "column_index", "left")
+    return rows.select("column_index", F.coalesce("n_rows", F.lit(0).cast("long")).alias("n_rows"),
+                       F.abs(half_up(F.coalesce("gradient", F.lit(0.0)), 3)).alias("slope"))
+
+
 def q_assign_classes(spark, sf_dir):
     arr, used = _scored_entities(spark, sf_dir)
     tagged = L.split_train_predict(X.known_labels(spark, sf_dir), arr)
@@ -474,14 +511,56 @@ def planted_vectors(spark, sf_dir):
     return out.withColumn("label", F.col("label").cast("double"))
 
 
-def planted_tree():
-    from pyspark.ml.classification import DecisionTreeClassifier
-    return DecisionTreeClassifier(labelCol="indexed_label", featuresCol="features", maxDepth=3, maxBins=32, seed=42)
+# Several equal columns with a wide gap at the rule: any of them, drawn or not, tells the label, for trees
+# of any depth and for a penalised logistic model alike; rows of one nation cannot be told apart.
+WIDE_MEASURES = ["wide0", "wide1", "wide2", "wide3"]
+
+
+def planted_wide(spark, sf_dir):
+    wide = F.when(F.col("nation") < PLANTED_BELOW, F.col("nation")).otherwise(F.col("nation") + 30.0)
+    return planted_credit(spark, sf_dir).select("customer_id", "label", *[wide.alias(c) for c in WIDE_MEASURES])
+
+
+def wide_vectors(spark, sf_dir):
+    out, _ = FE.assemble(planted_wide(spark, sf_dir), WIDE_MEASURES, "features", label_col="label")
+    return out.withColumn("label", F.col("label").cast("double"))
+
+
+def wrong_by_rule():
+    """A given model: right but for every ``PLANTED_WRONG``-th customer."""
+    from pyspark.ml.feature import SQLTransformer
+    return SQLTransformer(statement=f"SELECT *, CASE WHEN customer_id % {PLANTED_WRONG} = 0 THEN 1.0D - indexed_label "
+                                    "ELSE indexed_label END AS prediction FROM __THIS__")
+
+
+def indexed_wide(spark, sf_dir):
+    c = wide_vectors(spark, sf_dir)
+    return FE.index_labels(c.withColumn("label_text", F.col("label").cast("int").cast("string")), "label_text", "indexed_label")[0]
+
+
+def q_undersample_correct(spark, sf_dir):
+    """Majority rows predicted right, exactly three tenths of them; every row of class 1."""
+    said = wrong_by_rule().transform(indexed_wide(spark, sf_dir))
+    kept = FE.undersample_correct(said, "customer_id", 0.3)
+    right = F.col("prediction") == F.col("indexed_label")
+    return kept.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("customer_id").alias("n_distinct"),
+                                     F.sum((~right).cast("long")).alias("n_wrong"))
+
+
+def q_tree_nodes(spark, sf_dir):
+    """The fitted tree of the planted rule as a relation, with each node's rule."""
+    nodes = MO.tree_nodes(MO.train_tree(planted_vectors(spark, sf_dir), max_depth=15, max_bins=100), spark)
+    rules = MO.tree_rules(nodes)
+    between = (F.col("threshold") >= PLANTED_BELOW - 1) & (F.col("threshold") < PLANTED_BELOW)
+    rule = F.regexp_replace("rule", "[0-9.]+$", str(PLANTED_BELOW - 1))         # any threshold in the gap
+    return nodes.join(rules, ["tree", "node"]).select(
+        "node", "parent", "feature", between.alias("in_gap"), "prediction", F.col("rows").cast("long").alias("rows"), "depth",
+        rule.alias("rule"))
 
 
 def q_train_forest(spark, sf_dir):
     from entiscore.plans.jobs import credit_forest_job
-    _, pred, _, _ = credit_forest_job(planted_credit(spark, sf_dir), CREDIT_MEASURES, subset="all")
+    _, pred, _, _ = credit_forest_job(planted_wide(spark, sf_dir), WIDE_MEASURES)
     return pred.select("customer_id", "label", "prediction", "predicted_label")
 
 
@@ -511,16 +590,17 @@ def q_train_cv(spark, sf_dir):
 
 
 def q_drop_majority_errors(spark, sf_dir):
-    """Error-dropping refits that start from a given model (a rule that always says
-    the most frequent class), with trees: rows left after each round."""
-    from pyspark.ml.feature import SQLTransformer
+    """Error-dropping refits that start from a given model and refit the reference's logistic model
+    (ridge 0.01, 10 iterations): rows left after each round."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorIndexer
     from entiscore.operators.training import retrain_dropping_errors
-    c = planted_vectors(spark, sf_dir)
-    indexed, _ = FE.index_labels(c.withColumn("label_text", F.col("label").cast("int").cast("string")),
-                                 "label_text", "indexed_label")
-    wrong = SQLTransformer(statement=f"SELECT *, CASE WHEN customer_id % {PLANTED_WRONG} = 0 THEN 1.0D - indexed_label "
-                                     "ELSE indexed_label END AS prediction FROM __THIS__")
-    _, _, sizes = retrain_dropping_errors(indexed, wrong, planted_tree, rounds=2,
+
+    def refit():
+        return Pipeline(stages=[VectorIndexer(inputCol="features", outputCol="indexed_features", handleInvalid="keep"),
+                                MO.logistic("indexed_label", "indexed_features", 0.01, 10, fit_intercept=True)])
+
+    _, _, sizes = retrain_dropping_errors(indexed_wide(spark, sf_dir), wrong_by_rule(), refit, rounds=2,
                                           keep_cols=["customer_id", "label", "features", "indexed_label"])
     return spark.createDataFrame(sizes, "round int, rows long")
 
@@ -532,31 +612,35 @@ def q_index_vector(spark, sf_dir):
 
 
 def planted_groups(spark, sf_dir):
-    """Four groups far apart: ten times a corner for ``vec_id mod 4`` plus three vector components."""
+    """Four groups far apart: all vector components, with ten more in component ``vec_id mod 4`` (none for 3)."""
     e = X.table(spark, sf_dir, "embeddings")
-    g = F.col("vec_id") % 4
-    corner = [F.when(g == i, F.lit(10.0)).otherwise(F.lit(0.0)) for i in range(3)]
-    return e.select("vec_id", *[(c + F.col("embedding")[i].cast("double")).alias(f"c{i}") for i, c in enumerate(corner)])
+    own = F.transform("embedding", lambda x, i: x.cast("double") + F.when(
+        (i == F.col("vec_id") % 4) & (i < KMEANS_K - 1), F.lit(10.0)).otherwise(F.lit(0.0)))
+    return e.select("vec_id", own.alias("point"))
 
 
 def _group_vectors(spark, sf_dir):
     from pyspark.ml.functions import array_to_vector
-    return planted_groups(spark, sf_dir).select("vec_id", array_to_vector(F.array("c0", "c1", "c2")).alias("features"))
+    return planted_groups(spark, sf_dir).select("vec_id", array_to_vector("point").alias("features"))
 
 
 def q_kmeans_centers(spark, sf_dir):
-    """Fitted centres of planted groups (their means), named by the corner they lie at."""
+    """Fitted centres of planted groups (their means) in all components, named by the corner they lie at."""
     out = MO.kmeans_centers(_group_vectors(spark, sf_dir), k=KMEANS_K)
     at = [F.col("center")[i] for i in range(3)]
     corner = F.when(at[0] > 5, 0).when(at[1] > 5, 1).when(at[2] > 5, 2).otherwise(3)
-    return rounded(out.select(corner.alias("corner"), *[c.alias(f"c{i}") for i, c in enumerate(at)]), ["c0", "c1", "c2"], 4)
+    rows = out.select(corner.alias("corner"), F.posexplode("center").alias("component", "value"))
+    return rounded(rows, ["value"], 4)
 
 
 def q_kmeans_cost_sweep(spark, sf_dir):
-    """Costs by k in descending order; at the planted number of groups the cost is their squared error."""
-    swept = MO.kmeans_cost_sweep(_group_vectors(spark, sf_dir))
-    rows = [(r["k"], i + 1, r["cost"] if r["k"] == KMEANS_K else None) for i, r in enumerate(swept.collect())]  # len(ks) rows
-    return _round_all(spark.createDataFrame(rows, "k int, position int, planted_cost double"), 2)
+    """Costs by k in descending order: each that of its fitted centres, no worse than what the fit saw
+    last and near it, and beside each the cost at the planted number of groups."""
+    swept = MO.kmeans_cost_sweep(_group_vectors(spark, sf_dir)).collect()       # len(ks) rows
+    planted = next(r["cost"] for r in swept if r["k"] == KMEANS_K)
+    rows = [(r["k"], i + 1, 0.95 * r["trained_cost"] <= r["cost"] <= r["trained_cost"] * (1 + 1e-9), planted)
+            for i, r in enumerate(swept)]
+    return _round_all(spark.createDataFrame(rows, "k int, position int, as_trained boolean, planted_cost double"), 2)
 
 
 def q_model_roundtrip(spark, sf_dir):
@@ -598,14 +682,38 @@ def q_behavior_model_job(spark, sf_dir):
                       F.col("class").isin("0", "1").alias("has_class"), F.col("stat_date").cast("string"))
 
 
-def q_tree_refit_job(spark, sf_dir):
-    """Scaler + one-split tree → AUC/accuracy → two error-dropping tree refits, on the
-    planted rule with some labels flipped (the errors to drop)."""
+def q_behavior_model_job_planted(spark, sf_dir):
+    """The whole batch behaviour model on planted behaviour: every class it writes."""
+    from entiscore.plans.jobs import behavior_model_job
+    res = behavior_model_job(spark, X.planted_items(spark, sf_dir), X.planted_behavior(spark, sf_dir),
+                             X.planted_labels(spark, sf_dir), PARTITION_DAYS[0], scratch_path(spark, "behavior-planted"),
+                             k=X.TOP_K, prefix=X.CODE_PREFIX)
+    return res.predictions.select("entity_id", "class", F.col("stat_date").cast("string"))
+
+
+def q_pruning_trajectory(spark, sf_dir):
+    """Ten pruning rounds on planted behaviour: the sizes of each round's training set, its best threshold
+    and geometric mean, and the round that is kept."""
+    from entiscore.operators.training import train_with_pruning
+    top = B.top_k_items(X.planted_items(spark, sf_dir), k=X.TOP_K, prefix=X.CODE_PREFIX)
+    used, arr = B.build_item_features(B.parse_pairs(X.planted_behavior(spark, sf_dir)), top)
+    tagged = L.train_rows(L.split_train_predict(X.planted_labels(spark, sf_dir), arr))
+    train = to_sparse_vector(tagged, used.count(), "indices", output_col="vec").select(
+        F.col("entity_id").cast("long").alias("entity_id"), "label", F.col("vec").alias("features"))
+    res = train_with_pruning(train, rounds=10)
+    best = F.max(F.struct("gmean", (-F.col("threshold")).alias("less"))).alias("best")
+    by_round = res.report.groupBy("iteration", "train1", "train0").agg(best)
+    return _round_all(by_round.select("iteration", "train1", "train0", (-F.col("best.less")).alias("threshold"),
+                                      F.col("best.gmean").alias("gmean"), (F.col("iteration") == res.best_round).alias("kept")))
+
+
+def _tree_refits(spark, sf_dir, **settings):
+    """The tree job at the reference's settings on the planted rule with some labels flipped (the errors to drop)."""
     from entiscore.plans.jobs import tree_refit_job
-    c = planted_vectors(spark, sf_dir)
+    c = wide_vectors(spark, sf_dir)
     flipped = F.when(F.col("customer_id") % PLANTED_FLIP == 0, 1.0 - F.col("label")).otherwise(F.col("label"))
     data = c.select(F.col("customer_id").alias("entity_id"), flipped.alias("label"), "features")
-    res = tree_refit_job(data, tree_depth=1, refit_tree_depth=1)
+    res = tree_refit_job(data, **settings)
     rec = res.final_recall.first()
     row = (res.area_under_roc, res.accuracy, int(res.sizes[0][1]), int(res.sizes[-1][1]),
            float(rec["recall"]) if rec["recall"] is not None else None)
@@ -613,6 +721,16 @@ def q_tree_refit_job(spark, sf_dir):
                                                    "rows_last long, class1_recall double"))
 
 
+def q_tree_refit_job(spark, sf_dir):
+    """Scaler + tree (depth 15, 100 bins) → AUC/accuracy → two error-dropping logistic refits."""
+    return _tree_refits(spark, sf_dir)
+
+
+def q_tree_refit_job_trees(spark, sf_dir):
+    """The same with refits by trees of depth 10."""
+    return _tree_refits(spark, sf_dir, refit_tree_depth=10)
+
+
 def register_io_models(q: dict) -> dict:
     q.update({
         "sparse_text_roundtrip": q_sparse_text_roundtrip,
@@ -639,6 +757,14 @@ def register_io_models(q: dict) -> dict:
         "undersample_random": q_undersample_random,
         "behavior_model_job": q_behavior_model_job,
         "tree_refit_job": q_tree_refit_job,
+        "tree_refit_job_trees": q_tree_refit_job_trees,
+        "behavior_model_job_planted": q_behavior_model_job_planted,
+        "pruning_trajectory": q_pruning_trajectory,
+        "partition_table": q_partition_table,
+        "logistic_score_join": q_logistic_score_join,
+        "logistic_gradient": q_logistic_gradient,
+        "tree_nodes": q_tree_nodes,
+        "undersample_correct": q_undersample_correct,
     })
     return q
 
@@ -704,6 +830,15 @@ def q_stream_score(spark, sf_dir):
     return _round_all(_score_events_stream(spark, sf_dir, fixed_event_model(), "stream-score"))
 
 
+def q_stream_score_batches(spark, sf_dir):
+    """Stream scored batch by batch through the batch hook; all given files arrive in the first batch."""
+    sink, ckpt = scratch_path(spark, "score-batches"), scratch_path(spark, "score-batches-ckpt")
+    S.run_to_end(S.score_batches(X.events_stream(spark, sf_dir), fixed_event_model(), sink, ckpt, keep=["event_id"],
+                                 available_now=True))
+    out = spark.read.parquet(sink).where("batch_time IS NOT NULL")
+    return _round_all(out.select("event_id", "prediction", "score", F.col("batch_id").cast("long").alias("batch_id")))
+
+
 def q_stream_score_model(spark, sf_dir):
     """Stream scored by a saved, trained logistic pipeline, held against the batch scores of that model."""
     model = event_model(spark, sf_dir)
@@ -720,5 +855,6 @@ def register_streaming(q: dict) -> dict:
         "stream_batch_counts": q_stream_batch_counts,
         "stream_score": q_stream_score,
         "stream_score_model": q_stream_score_model,
+        "stream_score_batches": q_stream_score_batches,
     })
     return q

@@ -146,6 +146,41 @@ CREDIT_SQL = """credit AS (
                              FROM orders GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey)"""
 
 
+# --------------------------------------------------------------------------- planted behaviour
+
+#: The nations of label 1, and every how many-th of their customers behaves like label 0.
+PLANTED_BELOW, PLANTED_WEAK = 10, 7
+
+
+def planted_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part; the smaller its key, the more installs."""
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("item_id"), F.col("p_name").alias("item_name"),
+        (F.lit(1_000_000_000) - F.col("p_partkey")).cast("long").alias("installs"))
+
+
+def planted_behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One behaviour row a customer: part 1 for the strong customers of the first nations, part 2 for all others.
+
+    Every ``PLANTED_WEAK``-th customer of those nations is weak: labelled 1, but with the behaviour of label 0.
+    """
+    strong = (F.col("c_nationkey") < PLANTED_BELOW) & (F.col("c_custkey") % PLANTED_WEAK != 0)
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("entity_id"),
+        F.when(strong, F.lit(f"{CODE_PREFIX}1:3")).otherwise(F.lit(f"{CODE_PREFIX}2:1")).alias("text"))
+
+
+def planted_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two thirds of the customers are known; label 1: the first nations."""
+    return table(spark, sf_dir, "customer").where("c_custkey % 3 <> 0").select(
+        F.col("c_custkey").cast("string").alias("entity_id"), (F.col("c_nationkey") < PLANTED_BELOW).cast("int").alias("label"))
+
+
+PLANTED_CUSTOMERS_SQL = f"""planted AS (
+  SELECT c_custkey AS id, c_nationkey < {PLANTED_BELOW} AS first, c_nationkey < {PLANTED_BELOW} AND c_custkey % {PLANTED_WEAK} <> 0 AS strong,
+         c_custkey % 3 <> 0 AS known, c_custkey % 100 >= 80 AS held FROM customer)"""
+
+
 # --------------------------------------------------------------------------- scored
 
 def scored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

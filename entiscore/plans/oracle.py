@@ -15,6 +15,7 @@ from entiscore.plans.fixtures import (
     ITEMS_SQL,
     LABELS_SQL,
     CUSTOMERS_SQL,
+    PLANTED_CUSTOMERS_SQL,
     SCORED_SQL,
     TOP_K,
     behavior_sql,
@@ -324,10 +325,15 @@ SELECT CAST(customer_id AS INTEGER) AS customer_id, CAST(nation AS INTEGER) AS n
     q["partition_overwrite"] = _q(CUSTOMERS_SQL, body="""
 SELECT entity_id, label, '20240101' AS stat_date FROM known WHERE label = 1
 UNION ALL SELECT entity_id, label, '20240102' AS stat_date FROM known""")
-    q["logistic_score"] = _q(*BEHAVIOR_CHAIN, EP_SQL, MARGIN_SQL, body=f"""
+    q["partition_table"] = q["partition_overwrite"]
+    q["logistic_score_join"] = q["logistic_score"] = _q(*BEHAVIOR_CHAIN, EP_SQL, MARGIN_SQL, body=f"""
 SELECT entity_id, round(margin, {r}) AS margin, round(1 / (1 + exp(-margin)), {r}) AS score FROM sc""")
     tagged = """tagged AS (SELECT f.entity_id, c.label FROM features f LEFT JOIN clean c ON f.entity_id = c.entity_id
                  WHERE length(f.features) > 0)"""
+    q["logistic_gradient"] = _q(*BEHAVIOR_CHAIN, LABELS_SQL, CLEAN_SQL, tagged, EP_SQL, body="""
+SELECT u.column_index, CAST(COUNT(t.entity_id) AS BIGINT) AS n_rows, CAST(0.0 AS DOUBLE) AS slope
+FROM used u LEFT JOIN ep e ON e.column_index = u.column_index
+LEFT JOIN tagged t ON t.entity_id = e.entity_id AND t.label IS NOT NULL GROUP BY u.column_index""")
     q["assign_classes"] = _q(*BEHAVIOR_CHAIN, LABELS_SQL, CLEAN_SQL, tagged, EP_SQL, MARGIN_SQL, body="""
 SELECT entity_id, CASE WHEN label = 1 THEN '1' ELSE '0' END AS class, 'known' AS source
 FROM tagged WHERE label IS NOT NULL
@@ -347,6 +353,7 @@ WHERE word <> ''""")
     q["stream_score"] = f"""
 SELECT event_id, round(CASE WHEN score > 0.5 THEN 1.0 ELSE 0.0 END, {r}) AS prediction, round(score, {r}) AS score
 FROM (SELECT event_id, 1.0 / (1.0 + exp(-(CAST({margin} AS DOUBLE)))) AS score FROM events)"""
+    q["stream_score_batches"] = f"SELECT *, CAST(0 AS BIGINT) AS batch_id FROM ({q['stream_score']})"
     q["stream_batch_counts"] = "SELECT CAST(0 AS BIGINT) AS batch_id, CAST(COUNT(*) AS BIGINT) AS n_rows FROM events"
     q["stream_score_model"] = "SELECT event_id, TRUE AS same FROM events"
     return q
@@ -394,7 +401,30 @@ FROM n, grid g, range(0, 10) i""")
   FROM credit)""", body="""
 SELECT CAST(i.range AS INTEGER) AS round, CAST(CASE WHEN i.range = 0 THEN n ELSE n - gone END AS BIGINT) AS rows
 FROM s, range(0, 3) i""")
-    q["tree_refit_job"] = _q(PLANTED_SQL, """f AS (
+    q["undersample_correct"] = _q(PLANTED_SQL, _INDEX.format(rows="credit"), """c AS (
+  SELECT label, label = (SELECT l FROM first_label) AS major, COUNT(*) AS n, COUNT(*) FILTER (WHERE customer_id % 7 = 0) AS wrong
+  FROM credit GROUP BY label)""", body="""
+SELECT CAST(label AS DOUBLE) AS label, CAST(CASE WHEN major THEN (n - wrong) * 3 // 10 ELSE n END AS BIGINT) AS n,
+       CAST(CASE WHEN major THEN (n - wrong) * 3 // 10 ELSE n END AS BIGINT) AS n_distinct,
+       CAST(CASE WHEN major THEN 0 ELSE wrong END AS BIGINT) AS n_wrong FROM c""")
+    q["tree_nodes"] = _q(PLANTED_SQL, "n AS (SELECT label, COUNT(*) AS n FROM credit GROUP BY label)", """major AS (
+  SELECT label FROM n ORDER BY n DESC, label LIMIT 1)""", body="""
+SELECT 0::INT AS node, NULL::INT AS parent, 0::INT AS feature, TRUE AS in_gap, (SELECT label FROM major)::DOUBLE AS prediction,
+       (SELECT SUM(n) FROM n)::BIGINT AS rows, 0::INT AS depth, '' AS rule
+UNION ALL SELECT CASE WHEN label = 1 THEN 1 ELSE 2 END, 0, NULL, NULL, label::DOUBLE, n::BIGINT, 1,
+                 CASE WHEN label = 1 THEN 'feature 0 <= 9' ELSE 'feature 0 > 9' END FROM n""")
+    q["behavior_model_job_planted"] = _q(PLANTED_CUSTOMERS_SQL, body="""
+SELECT CAST(id AS VARCHAR) AS entity_id, CASE WHEN CASE WHEN known THEN first ELSE strong END THEN '1' ELSE '0' END AS class,
+       '20240101' AS stat_date FROM planted""")
+    # part 2 is scored with the share of label 1 among its training rows until the weak ones are pruned, then with about 0
+    q["pruning_trajectory"] = _q(PLANTED_CUSTOMERS_SQL, GRID_SQL, """n AS (
+  SELECT COUNT(*) FILTER (WHERE NOT held AND first) AS p, COUNT(*) FILTER (WHERE NOT held AND strong) AS s,
+         COUNT(*) FILTER (WHERE NOT held AND NOT first) AS m, COUNT(*) FILTER (WHERE held AND first) AS hp,
+         COUNT(*) FILTER (WHERE held AND strong) AS hs FROM planted WHERE known)""", body=f"""
+SELECT CAST(i.range AS INTEGER) AS iteration, CAST(CASE WHEN i.range = 0 THEN p ELSE s END AS BIGINT) AS train1, CAST(m AS BIGINT) AS train0,
+       round(CASE WHEN i.range = 0 THEN (SELECT MIN(threshold) FROM grid WHERE threshold >= (p - s) / (p - s + m)) ELSE 0.01 END, {r}) AS threshold,
+       round(sqrt(hs / hp), {r}) AS gmean, i.range = 0 AS kept FROM n, range(0, 10) i""")
+    q["tree_refit_job"] = q["tree_refit_job_trees"] = _q(PLANTED_SQL, """f AS (
   SELECT customer_id % 100 >= 80 AS held, label AS rule,
          CASE WHEN customer_id % 50 = 0 THEN 1 - label ELSE label END AS label FROM credit)""",
                              "train AS (SELECT * FROM f WHERE NOT held)", _INDEX.format(rows="train"), """t AS (
@@ -407,15 +437,17 @@ SELECT round((tp / p + 1 - fp / m) / 2, {r}) AS area_under_roc, round(hit / n, {
        (SELECT COUNT(*) FROM train)::BIGINT AS rows_first,
        (SELECT COUNT(*) FROM train, first_label WHERE NOT (label = l AND rule <> l))::BIGINT AS rows_last,
        round(tp / p, {r}) AS class1_recall FROM c""")
-    groups = "g AS (SELECT vec_id % 4 AS g, " + ", ".join(
-        f"CASE WHEN vec_id % 4 = {i} THEN 10.0 ELSE 0.0 END::DOUBLE + embedding[{i + 1}]::DOUBLE AS c{i}" for i in range(3)) + " FROM embeddings)"
-    q["kmeans_centers"] = _q(groups, body="SELECT CAST(g AS INTEGER) AS corner, " + ", ".join(
-        f"floor(AVG(c{i}) * 10000 + 0.5) / 10000 AS c{i}" for i in range(3)) + " FROM g GROUP BY g")
+    groups = """p AS (
+  SELECT vec_id, vec_id % 4 AS g, generate_subscripts(embedding, 1) - 1 AS component, unnest(embedding)::DOUBLE AS x FROM embeddings
+), g AS (
+  SELECT vec_id, g, component, x + CASE WHEN component = g AND g < 3 THEN 10.0 ELSE 0.0 END::DOUBLE AS v FROM p
+), m AS (SELECT g, component, AVG(v) AS m FROM g GROUP BY g, component)"""
+    q["kmeans_centers"] = _q(groups, body="""
+SELECT CAST(g AS INTEGER) AS corner, CAST(component AS INTEGER) AS component, floor(m * 10000 + 0.5) / 10000 AS value FROM m""")
     q["kmeans_cost_sweep"] = _q(groups, """e AS (
-  SELECT SUM((c0 - m0) * (c0 - m0) + (c1 - m1) * (c1 - m1) + (c2 - m2) * (c2 - m2)) AS cost FROM (
-    SELECT *, AVG(c0) OVER w AS m0, AVG(c1) OVER w AS m1, AVG(c2) OVER w AS m2 FROM g WINDOW w AS (PARTITION BY g)))""", body="""
-SELECT CAST(i.range AS INTEGER) AS k, CAST(i.range - 1 AS INTEGER) AS position,
-       CASE WHEN i.range = 4 THEN round(cost, 2) END AS planted_cost FROM e, range(2, 7) i""")
+  SELECT SUM((v - m) * (v - m)) AS cost FROM g JOIN m ON g.g = m.g AND g.component = m.component)""", body="""
+SELECT CAST(i.range AS INTEGER) AS k, CAST(i.range - 1 AS INTEGER) AS position, TRUE AS as_trained,
+       round(planted.cost, 2) AS planted_cost FROM e AS planted, range(2, 7) i""")
     q["undersample_random"] = _q(CREDIT_SQL, body="""
 SELECT label, CAST(COUNT(*) AS BIGINT) AS n, TRUE AS as_asked FROM credit GROUP BY label""")
     q["behavior_model_job"] = _q(*BEHAVIOR_CHAIN, LABELS_SQL, CLEAN_SQL, TAGGED_SQL, body="""

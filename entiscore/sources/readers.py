@@ -93,6 +93,11 @@ def read_sparse_text(spark: SparkSession, path: str, num_features: int | None =
     return out if keep_arrays else out.select("label", "features")
 
 
+def read_table_days(spark: SparkSession, name: str, days: list[str], partition_col: str = "stat_date") -> DataFrame:
+    """Some days of a day-partitioned catalog table; the filter prunes partitions through the catalog."""
+    return spark.table(name).where(F.col(partition_col).isin(list(days)))
+
+
 def read_partition(spark: SparkSession, path: str, day: str, partition_col: str = "stat_date",
                    fmt: str = "parquet") -> DataFrame:
     """One day of a day-partitioned table; only that day's folder is listed."""

@@ -9,6 +9,8 @@ exactly-once.  Nothing is collected per batch.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import Transformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,6 +101,28 @@ def stream_score(stream: DataFrame, model: Transformer, sink_path: str, checkpoi
     return _trigger(writer, interval, available_now).start()
 
 
+def score_batches(stream: DataFrame, model: Transformer, sink_path: str, checkpoint: str, keep: list[str] | None = None,
+                  interval: str | None = DEFAULT_INTERVAL, available_now: bool = False,
+                  after_batch: Callable[[int], None] | None = None) -> StreamingQuery:
+    """Score batch by batch through a batch hook: ``sink_path/batch_id=<id>`` holds the scored rows and ``batch_time``.
+
+    A batch that is replayed after a stop (its rows written, its end not yet recorded in
+    ``checkpoint``) overwrites its own folder, so after any number of restarts every row is
+    there once.  ``after_batch`` is called with the id when a batch's rows are written.
+    """
+    root = sink_path.rstrip("/")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            (score_stream(batch, model, keep).withColumn("batch_time", F.current_timestamp())
+             .write.mode("overwrite").parquet(f"{root}/batch_id={int(batch_id)}"))
+        if after_batch:
+            after_batch(int(batch_id))
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _trigger(writer, interval, available_now).start()
+
+
 def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> None:
     """Wait for an ``availableNow`` query, as long as it takes unless a limit is given."""
     if timeout_s is None:

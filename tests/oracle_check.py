@@ -19,11 +19,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def _norm(v):
-    if v is None or v is pd.NA:
+    if v is None or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
         return None
     if isinstance(v, float):
-        if math.isnan(v):
-            return "nan"
         return int(v) if v.is_integer() else round(v, 6)      # a column with nulls comes as floats on one side
     if hasattr(v, "tolist"):
         v = v.tolist()
