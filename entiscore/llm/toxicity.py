@@ -13,8 +13,9 @@ Fitting takes a bounded sample of labelled documents (``per_class`` a class) and
 hashed term of ``least_docs`` of them.  The driver reads them as the places of each
 document's terms and fits the machine by Adam on the logistic loss: first over the
 terms that tell the label alone or, by a test of all pairs, together with another,
-then over all terms, as long as the loss of a quarter left out falls.  Scoring runs
-over every whole text.
+then over all terms, as long as the loss of a quarter left out falls.  The pair test,
+whose cost grows with the square of the terms, runs as Spark tasks; the fits cost the
+driver a time that ``per_class`` bounds.  Scoring runs over every whole text.
 
 Edge cases: null and empty texts are scored by the constant term; without both
 classes to learn from every score is the share of label 1; repeated rows are scored
@@ -27,7 +28,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -146,47 +148,89 @@ def strong_terms(x: list[np.ndarray], y: np.ndarray, d: int, s: Settings) -> np.
     return (b * n - a * k)**2 / (a * (n - a) + 1) * (n / (k * (n - k))) >= s.least_chi
 
 
-def paired_terms(x: list[np.ndarray], d: int, rest: np.ndarray) -> np.ndarray:
-    """Places of terms that tell together with another what the machine of the strong terms leaves.
+class PairTest:
+    """Which terms tell together with another what the machine of the strong terms leaves.
 
     ``rest`` is label minus probability by a machine fitted on other rows.  In the c rows of a pair
     it is taken less what the two terms leave alone (their means added); with sums S of that and Q
     of its square (at least of its variance under that machine), S^2 / Q is chi-square under chance
     and at most c: all pairs that can reach the level (5 % over all pairs of terms) are looked at.
+    The terms are cut into blocks, and every pair of blocks is a unit of work of its own.
     """
-    level = 2 * np.log(10.0 * max(d, 1)**2)
-    at = np.concatenate(x)
-    row = np.repeat(np.arange(len(x)), [len(r) for r in x])
-    able = np.flatnonzero(np.bincount(at, minlength=d) >= level)
+
+    BLOCK = 1024
+
+    def __init__(self, x: list[np.ndarray], d: int, rest: np.ndarray):
+        self.n, self.level = len(x), 2 * np.log(10.0 * max(d, 1)**2)
+        at = np.concatenate(x) if len(x) else np.zeros(0, np.int32)
+        row = np.repeat(np.arange(len(x), dtype=np.int32), [len(r) for r in x])
+        count = np.bincount(at, minlength=d)
+        self.able = np.flatnonzero(count >= self.level)
+        order = np.argsort(at, kind="stable")
+        order = order[count[at[order]] >= self.level]
+        self.row = row[order]
+        self.first = np.concatenate([[0], np.cumsum(count[self.able])])
+        self.rest = rest.astype(np.float32)
+        self.alone = (np.bincount(at, rest[row], d) / np.maximum(count, 1) - (rest.mean() if len(rest) else 0.0) / 2)[self.able]
+
+    def units(self) -> list[tuple[int, int]]:
+        blocks = range(-(-len(self.able) // self.BLOCK))
+        return [(i, j) for i in blocks for j in blocks if i <= j]
+
+    def _dense(self, block: int) -> np.ndarray:
+        lo, hi = block * self.BLOCK, min((block + 1) * self.BLOCK, len(self.able))
+        out = np.zeros((self.n, hi - lo), np.float32)
+        for j in range(lo, hi):
+            out[self.row[self.first[j]:self.first[j + 1]], j - lo] = 1
+        return out
+
+    def hits(self, i: int, j: int) -> np.ndarray:
+        """Places of the terms of blocks i and j that reach the level with one of the other block."""
+        a, b = (slice(k * self.BLOCK, (k + 1) * self.BLOCK) for k in (i, j))
+        r, left = self.rest[:, None], self._dense(i)
+        right = left if j == i else self._dense(j)
+        c, t = left.T @ right, (left * r).T @ right
+        q = (left * np.maximum(r**2, abs(r) * (1 - abs(r)))).T @ right
+        e = (self.alone[a, None] + self.alone[None, b]).astype(np.float32)
+        hit = (c >= self.level) & ((t - e * c)**2 >= self.level * np.maximum(q - 2 * e * t + e**2 * c, 1e-6))
+        if j == i:
+            np.fill_diagonal(hit, False)
+        return np.unique(np.concatenate([self.able[a][hit.any(1)], self.able[b][hit.any(0)]]))
+
+
+def tested_here(test: PairTest) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *(test.hits(i, j) for i, j in test.units())])
+
+
+def tested_in_tasks(spark) -> Callable[[PairTest], np.ndarray]:
+    """Runs the units of a pair test as Spark tasks; only the places that were hit come back."""
+    def run(test: PairTest) -> np.ndarray:
+        units = test.units()
+        if not units:
+            return np.zeros(0, np.int64)
+
+        def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                for i, j in zip(pdf["i"], pdf["j"]):
+                    yield pd.DataFrame({"place": test.hits(i, j)})
+
+        rows = spark.createDataFrame(pd.DataFrame(units, columns=["i", "j"])).repartition(min(len(units), 4096), "i", "j")
+        # the sample's distinct terms at most
+        return rows.mapInPandas(work, "place long").distinct().toPandas()["place"].to_numpy(np.int64)
+
+    return run
+
+
+def paired_terms(x: list[np.ndarray], d: int, rest: np.ndarray,
+                 tested: Callable[[PairTest], np.ndarray] = tested_here) -> np.ndarray:
+    """For each place, whether :class:`PairTest` finds it in a pair."""
     out = np.zeros(d, bool)
-    order = np.argsort(at, kind="stable")
-    first = np.searchsorted(at[order], np.arange(d + 1))
-
-    def block(terms: np.ndarray) -> np.ndarray:
-        dense = np.zeros((len(x), len(terms)), np.float32)
-        for j, t in enumerate(terms):
-            dense[row[order[first[t]:first[t + 1]]], j] = 1
-        return dense
-
-    r, size = rest.astype(np.float32)[:, None], 2048
-    alone = np.bincount(at, rest[row], d) / np.maximum(np.bincount(at, minlength=d), 1) - rest.mean() / 2
-    for i in range(0, len(able), size):
-        left = block(able[i:i + size])
-        weighed, squared = (left * r).T, (left * np.maximum(r**2, abs(r) * (1 - abs(r)))).T
-        for j in range(i, len(able), size):
-            right = left if j == i else block(able[j:j + size])
-            e = (alone[able[i:i + size], None] + alone[None, able[j:j + size]]).astype(np.float32)
-            c, t = left.T @ right, weighed @ right
-            hit = (c >= level) & ((t - e * c)**2 >= level * np.maximum(squared @ right - 2 * e * t + e**2 * c, 1e-6))
-            if j == i:
-                np.fill_diagonal(hit, False)
-            out[able[i:i + size][hit.any(1)]] = True
-            out[able[j:j + size][hit.any(0)]] = True
+    out[tested(PairTest(x, d, rest))] = True
     return out
 
 
-def fit_rows(x: list[np.ndarray], d: int, y: np.ndarray, share: float,
-             s: Settings) -> tuple[float, np.ndarray, np.ndarray]:
+def fit_rows(x: list[np.ndarray], d: int, y: np.ndarray, share: float, s: Settings,
+             tested: Callable[[PairTest], np.ndarray] = tested_here) -> tuple[float, np.ndarray, np.ndarray]:
     """Bias, weights and vectors of all ``d`` terms for rows that list their places.
 
     Terms that tell the label alone or in a pair are fitted first, then all; the passes over
@@ -211,7 +255,7 @@ def fit_rows(x: list[np.ndarray], d: int, y: np.ndarray, share: float,
             use = strong_terms([x[i] for i in other], y[other], d, s)
             z = margins([x[i] for i in own], fitted(other, use, s.steps))
             rest[own] = y[own] - 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-    paired = paired_terms(x, d, rest)
+    paired = paired_terms(x, d, rest, tested)
     steps = s.pair_steps if paired.any() else s.steps
 
     def fit(rows: np.ndarray) -> Iterator[list[np.ndarray]]:
@@ -269,32 +313,68 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Se
     for r in rows.mapInPandas(active, "_id long, _y int, t array<int>").orderBy("_id").toLocalIterator():
         x.append(np.array(r["t"], np.int32))
         y.append(r["_y"])
-    bias, weights, vectors = fit_rows(x, len(chosen), np.array(y, float), share, s)
+    bias, weights, vectors = fit_rows(x, len(chosen), np.array(y, float), share, s, tested_in_tasks(docs.sparkSession))
     return Model(s, bias, chosen, weights, vectors)
 
 
+class Scorer:
+    """Scores batches of texts; a word's terms are looked up once a task.
+
+    The words known so far have numbers, and ``first[i]:first[i + 1]`` of ``places`` are the terms of
+    word i.  The places of a batch's texts are joined into one array, made distinct within each text,
+    and summed by text.
+    """
+
+    MOST_WORDS = 500_000
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.place = {int(t): i for i, t in enumerate(model.terms)}
+        # a row a term: weight, vector, squared length of the vector
+        self.table = np.column_stack([model.weights, model.vectors, (model.vectors**2).sum(1)])
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.places, self.first = array("i"), array("q", [0])
+
+    def known(self, word: str) -> int:
+        n = self.number[word] = len(self.first) - 1
+        self.places.extend(self.place[t] for t in word_terms(word, self.model.settings.bits) if t in self.place)
+        self.first.append(len(self.places))
+        return n
+
+    def scores(self, texts: Iterable[str | None]) -> np.ndarray:
+        if len(self.number) > self.MOST_WORDS:
+            self.forget()
+        get, words, sizes = self.number.get, array("q"), []
+        for text in texts:
+            own = set(_WORD.findall(text.lower())) if isinstance(text, str) else ()
+            numbers = list(map(get, own))
+            if None in numbers:
+                numbers = [self.known(w) if n is None else n for w, n in zip(own, numbers)]
+            words.extend(numbers)
+            sizes.append(len(numbers))
+        m = self.model
+        out = np.full(len(sizes), m.bias)
+        if len(words):
+            word = np.frombuffer(words, np.int64)
+            first = np.frombuffer(self.first, np.int64)
+            start, size = first[word], first[word + 1] - first[word]
+            ends = np.cumsum(size)
+            at = np.repeat(start - (ends - size), size) + np.arange(ends[-1])
+            row = np.repeat(np.repeat(np.arange(len(sizes)), sizes), size)
+            pairs = np.unique(row * max(len(m.terms), 1) + np.frombuffer(self.places, np.int32)[at]) if len(at) else np.zeros(0, np.int64)
+            if len(pairs):
+                row, place = np.divmod(pairs, len(m.terms))
+                begin = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+                sums = np.add.reduceat(self.table[place], begin, axis=0)
+                out[row[begin]] += sums[:, 0] + 0.5 * ((sums[:, 1:-1]**2).sum(1) - sums[:, -1])
+        return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
+
+
 def score_texts(texts: pd.Series, model: Model) -> pd.Series:
-    place = {int(t): i for i, t in enumerate(model.terms)}
-    known: dict[str, tuple[int, ...]] = {}
-    square = (model.vectors**2).sum(1)
-
-    def places(word: str) -> tuple[int, ...]:
-        if len(known) > 500_000:
-            known.clear()
-        got = known[word] = tuple(place[t] for t in word_terms(word, model.settings.bits) if t in place)
-        return got
-
-    out = np.empty(len(texts))
-    for i, text in enumerate(texts):
-        found: set[int] = set()
-        if isinstance(text, str):
-            for w in set(_WORD.findall(text.lower())):
-                if p := known[w] if w in known else places(w):
-                    found.update(p)
-        at = sorted(found)
-        pair = 0.5 * ((model.vectors[at].sum(0)**2).sum() - square[at].sum())
-        out[i] = model.bias + model.weights[at].sum() + pair
-    return pd.Series(1 / (1 + np.exp(-np.clip(out, -30, 30))))
+    return pd.Series(Scorer(model).scores(texts))
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
@@ -302,8 +382,10 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     modest_batches(docs.sparkSession)
 
     @F.pandas_udf("double")
-    def predict(texts: pd.Series) -> pd.Series:
-        return score_texts(texts, model)
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = Scorer(model)                                # once a task
+        for texts in batches:
+            yield pd.Series(scorer.scores(texts))
 
     rows = packed(docs)
     return unpacked(rows.select(ROW, predict(field("text")).alias("_p")), {"score": F.col("_p")})
