@@ -15,7 +15,7 @@ itself is solved on that bounded histogram, as runs of identical sequences:
 Each run of equal sequences gives ranges of piece numbers, and an equi-join on
 the length with those (few) ranges places every piece.
 
-Edge cases: null text counts as empty; an empty text is one piece holding only
+Edge cases: the literal text of a special token is that token's id; null text counts as empty; an empty text is one piece holding only
 the end id; repeated rows are packed as separate pieces; null ``doc_id`` rows are
 packed like any other; an empty table gives no rows; other columns are ignored.
 """
@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import base64
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -40,19 +40,33 @@ PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 # --- tokens -> pieces ------------------------------------------------------
 
-def load_encoder(path: str):
-    """``encode_ordinary`` for a byte-level BPE vocabulary.
+def load_encoder(path: str) -> Callable[[str], list[int]]:
+    """Text to ids for a byte-level BPE vocabulary.
 
-    ``path`` names the ``.tiktoken`` rank file or the tokenizer ``.json`` beside it;
-    both hold one vocabulary and give the same ids, the ranks several times faster.
+    ``path`` names the tokenizer ``.json`` or the ``.tiktoken`` rank file beside it; both hold
+    one vocabulary, and the ranks encode several times faster.  The added tokens of the
+    ``.json`` (such as ``<|endoftext|>``) are one id wherever they stand in a text, as in the
+    tokenizers library; the ranks alone do not know them.
     """
+    import json
+
     import public_tokenizers
     import tiktoken
 
-    path = path.removesuffix(".json").removesuffix(".tiktoken") + ".tiktoken"
-    with open(path, "rb") as f:
+    stem = path.removesuffix(".json").removesuffix(".tiktoken")
+    with open(stem + ".tiktoken", "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    with open(stem + ".json", encoding="utf-8") as f:
+        special = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+    enc = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, special_tokens=special,
+                            mergeable_ranks={b: i for b, i in ranks.items() if i not in set(special.values())})
+
+    def encode(text: str) -> list[int]:
+        if any(t in text for t in special):
+            return enc.encode(text, allowed_special="all")
+        return enc.encode_ordinary(text)
+
+    return encode
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -70,12 +84,12 @@ def tokenize_pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_
         import numpy as np
         import pandas as pd
 
-        enc = load_encoder(vocabulary)
+        encode = load_encoder(vocabulary)
         for pdf in batches:
             for at in range(0, len(pdf), 512):
                 part, out = pdf.iloc[at:at + 512], []
                 for doc_id, text in zip(part["doc_id"], part["text"]):
-                    ids = np.asarray([*(enc.encode_ordinary(text) if text else ()), end_id], dtype="<u4")
+                    ids = np.asarray([*(encode(text) if text else ()), end_id], dtype="<u4")
                     for k, (s, n) in enumerate(cut(len(ids), capacity)):
                         own = ids[s:s + n]
                         row = (None if pd.isna(doc_id) else int(doc_id), k, s, n, zlib.crc32(own.tobytes()))
@@ -264,7 +278,6 @@ def pack_pieces(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
 
 def best_fit_pack(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:
     """Pieces of all documents with the sequence and the place they are packed into."""
-    
     return pack_pieces(written(tokenize_pieces(docs, vocabulary, capacity, end_id)), capacity)
 
 
