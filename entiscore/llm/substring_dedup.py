@@ -9,13 +9,13 @@ windows have equal minimisers, so
    minimisers that occur in one ``doc_id`` only are set aside by counting: none of
    their windows can repeat across documents;
 2. the words of each remaining super-k-mer travel as one packed string to the
-   bucket of its minimiser;
+   bucket of its minimiser (runs of more than ``span`` windows as several strings);
 3. a bucket sorts its windows exactly (ranks of 1, 2, 4 ... words, doubled up to the
    window), which gives the smallest ``doc_id`` of every window and so the starts
    that another document has earlier.
 
 Buckets hold about ``bucket_rows`` strings.  A minimiser with more than ``hot_rows``
-strings is dealt over several buckets by document; what is the first of its kind in
+strings is dealt over several buckets by document and place; what is the first of its kind in
 each is then compared across them by a 128-bit digest of the window.  So no task
 gets more than its share of a passage that many documents hold, and no string is
 left out.
@@ -53,6 +53,7 @@ _MIX = 0x9E3779B97F4A7C15
 class Settings:
     window: int = 50
     gram: int = 12
+    span: int = 256               # windows of one packed string at most: bounds strings of a text of one word
     bucket_rows: int = 4000
     hot_rows: int = 1000
 
@@ -83,7 +84,13 @@ def super_kmers(words: list[bytes], s: Settings) -> tuple[np.ndarray, np.ndarray
     if have < width:
         least = np.minimum(least[:len(least) - (width - have)], least[width - have:])
     first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-    return least[first].view(np.int64), first, np.diff(np.append(first, n))
+    count = np.diff(np.append(first, n))
+    pieces = -(-count // s.span)
+    if pieces.max() > 1:
+        run = np.repeat(np.arange(len(first)), pieces)
+        nth = np.arange(len(run)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        first, count = first[run] + nth * s.span, np.minimum(s.span, count[run] - nth * s.span)
+    return least[first].view(np.int64), first, count
 
 
 def window_ranks(codes: np.ndarray, window: int) -> np.ndarray:
@@ -140,6 +147,8 @@ def repeated_windows(base: DataFrame, s: Settings) -> DataFrame:
                                 "start": [g[1].astype(np.int32) for g in got],
                                 "n": [g[2].astype(np.int32) for g in got]})
 
+    # rows that repeat a text under one doc_id cannot remove each other's words: one of them stands for all
+    base = base.dropDuplicates(["_id", "_key"])
     taken = written(base.mapInPandas(spans, "_id long, _key long, m array<long>, start array<int>, n array<int>"))
     rows = taken.select("_id", "_key", F.explode(F.arrays_zip("m", "start", "n")).alias("x")).select(
         "_id", "_key", "x.m", "x.start", "x.n")
@@ -149,7 +158,7 @@ def repeated_windows(base: DataFrame, s: Settings) -> DataFrame:
     total = shared.agg(F.sum("strings")).first()[0] or 0
     buckets = max(1, -(-total // s.bucket_rows))
 
-    deal = F.when(F.col("strings") > s.hot_rows, F.pmod(F.xxhash64("_id", "_key"), F.ceil(F.col("strings") / s.hot_rows)))
+    deal = F.when(F.col("strings") > s.hot_rows, F.pmod(F.xxhash64("_id", "_key", "start"), F.ceil(F.col("strings") / s.hot_rows)))
     bucket = F.pmod(F.xxhash64("m", F.coalesce(deal, F.lit(-1).cast("long"))), F.lit(buckets)).alias("bucket")
     own = rows.join(shared, "m").select(
         "_id", "_key", F.struct("start", "n", (F.col("strings") > s.hot_rows).alias("hot"), bucket).alias("x"))

@@ -76,3 +76,18 @@ def test_window_ranks_are_exact():
         for a in range(len(codes) - w + 1):
             assert seen.setdefault(tuple(codes[a:a + w]), rank[a]) == rank[a]
         assert len(set(seen.values())) == len(seen)
+
+
+def test_repeated_rows_and_texts_of_one_word(spark, make_docs, prose):
+    text = " ".join(prose(4, 120))
+    rows = [(None, text)] * 400 + [(9, text)] * 30 + [(9, "other " + text), (12, "one " * 3000), (11, "one " * 2500), (13, "uno " * 900)]
+    for s in (S.Settings(), S.Settings(hot_rows=5, bucket_rows=40, span=16)):
+        got = S.dedup_substrings(make_docs(rows), s).collect()
+        assert sorted(((r["doc_id"], r["text"], r["n_words"], r["n_removed"]) for r in got), key=repr) == brute(rows, 50)
+
+
+def test_strings_stay_bounded_whatever_the_text():
+    s = S.Settings(span=64)
+    m, start, n = S.super_kmers([b"one"] * 100_000, s)
+    assert len(set(m.tolist())) == 1 and n.max() <= 64 and n.sum() == 100_000 - 49
+    assert np.array_equal(start, np.concatenate([[0], np.cumsum(n)[:-1]]))
