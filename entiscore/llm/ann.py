@@ -20,7 +20,7 @@ verifies the vectors of each on the original vectors.  It stops before leaf L wh
 with d_k the distance of its k-th best so far: a vector nearer than d_k would have
 been met by then with at least that probability.  First each query searches a cell
 of its own region, which gives d_k; then only regions that pass the same test with
-that d_k are searched, in blocks of queries against cells.
+that d_k are searched.  A cell travels once for every ``query_rows`` queries that ask it.
 
 Edge cases: vectors that are null, zero, or hold null or non-finite components, null
 ids, and vectors whose length is not the most frequent one (the larger on a tie)
@@ -246,9 +246,6 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, settings: Settings = Sett
     placed = placed.join(cells, "region").select(
         "vec_id", "v", "region", F.pmod(F.xxhash64("vec_id"), F.col("cells")).cast("int").alias("cell"))
     queries = written(every.where(is_query))
-    blocks = max(1, -(-queries.count() // s.query_rows))
-    block = F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.lit(blocks)).cast("int").alias("block")
-    points = placed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def search(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         found = []
@@ -260,12 +257,18 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, settings: Settings = Sett
     key = ["region", "cell", "block"]
 
     def searched(asked: DataFrame) -> DataFrame:
-        own = asked.select(*[F.col(c).alias(f"q_{c}") for c in ("vec_id", "v", "kth", *key)])
+        # a cell nobody asks does not travel; one that more than query_rows queries ask, once for each so many
+        blocks = asked.groupBy("region", "cell").agg(F.ceil(F.count(F.lit(1)) / s.query_rows).cast("int").alias("blocks"))
+        own = asked.join(blocks, ["region", "cell"]).withColumn(
+            "block", F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.col("blocks")).cast("int"))
+        own = own.select(*[F.col(c).alias(f"q_{c}") for c in ("vec_id", "v", "kth", *key)])
+        points = placed.join(blocks, ["region", "cell"]).withColumn(
+            "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
         return points.groupBy(*key).cogroup(own.groupBy(*[f"q_{c}" for c in key])).applyInPandas(search, result)
 
     # a cell of the query's own region first
     none = F.lit(float("-inf")).alias("kth")
-    home = queries.select("vec_id", "v", query_region("v").alias("region"), block, none)
+    home = queries.select("vec_id", "v", query_region("v").alias("region"), none)
     home = home.join(cells, "region").withColumn(
         "cell", F.pmod(F.xxhash64("vec_id"), F.col("cells")).cast("int")).drop("cells")
     first = written(searched(home))
@@ -282,7 +285,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, settings: Settings = Sett
                 yield pdf.assign(regions=[np.flatnonzero(r).astype(np.int32) for r in near])
 
     then = (asked.mapInPandas(regions, "vec_id long, v array<double>, kth double, regions array<int>")
-            .select("vec_id", "v", "kth", block, F.explode("regions").alias("region")).join(cells, "region")
+            .select("vec_id", "v", "kth", F.explode("regions").alias("region")).join(cells, "region")
             .withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).drop("cells")
             .join(home.select("vec_id", "region", "cell"), ["vec_id", "region", "cell"], "left_anti"))
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
