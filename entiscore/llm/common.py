@@ -66,18 +66,14 @@ def uniform(key: Column, seed: str) -> Column:
 def class_sample(rows: DataFrame, label: str, key: str, per_class: int, seed: str) -> DataFrame:
     """About ``per_class`` rows of each class by a hash of ``key``, and no more than that.
 
-    For fitting only.  The class counts are one small aggregate; the rows that are
-    picked are a filter on the hash, so no class is sorted or gathered as a whole.
+    For fitting only.  The class counts are one aggregate joined back (a row a class, however many
+    there are); the rows that are picked are a filter on the hash, so no class is sorted or gathered as a whole.
     """
-    counts = {r[label]: r["n"] for r in rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
-        return rows.limit(0)
-    rate = F.lit(0.0)
-    for value, n in counts.items():
-        rate = F.when(F.col(label) == F.lit(value), F.lit(min(1.0, per_class / n))).otherwise(rate)
+    rates = rows.groupBy(label).agg((F.lit(float(per_class)) / F.count(F.lit(1))).alias("_rate"))
     u = uniform(F.col(key), seed)
     least = Window.partitionBy(label).orderBy(u, key)        # of the picked rows: about per_class of a class
-    return rows.where(u < rate).withColumn("_at", F.row_number().over(least)).where(F.col("_at") <= per_class).drop("_at")
+    return (rows.join(rates, label).where(u < F.col("_rate")).withColumn("_at", F.row_number().over(least))
+            .where(F.col("_at") <= per_class).drop("_at", "_rate"))
 
 
 def modest_batches(spark) -> None:

@@ -26,7 +26,7 @@ member against the cell's most connected member, then, where a cell still holds
 several components, its members of different components through the R-trees.  A
 pair that is linked is either verified or already joined by other links, so the
 classes are exact however large a group of near copies is, without listing its
-pairs.  Cells of more than ``chunk`` members are searched as pairs of chunks.
+pairs; :func:`linked_pairs` and :func:`link_counts` verify every pair.  Cells of more than ``chunk`` members are searched as pairs of chunks.
 
 Edge cases: null texts and texts without a word have an empty set and are linked
 with nothing; texts shorter than a shingle have their whole word sequence as their
@@ -50,7 +50,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entiscore.llm.common import ROW, field, modest_batches, packed, unpacked, written
+from entiscore.llm.common import ROW, WORD_SPACE, field, modest_batches, packed, unpacked, written
 from entiscore.llm.components import connected_components
 
 #: A null doc_id in the order of documents.
@@ -234,10 +234,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     return full.select("a", "b", "sa", "sb").mapInPandas(exact, "a long, b long")
 
 
-def link_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``_id, _key, n_shingles, part, component_id`` of every row; ``_id`` is ``doc_id`` with null
-    last, ``_key`` a hash of the text, and ``part`` names the class (null for an empty set)."""
-    s = settings
+def _indexed(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows ``_id, _key, n, c``, members ``key, c`` of the cells that hold different sets, and the sets
+    ``c, n, counts, shingles`` in such cells; ``c`` names the set of a row."""
     modest_batches(docs.sparkSession)
     base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("_id"),
                        F.xxhash64("text").alias("_key"), "text")
@@ -270,6 +269,31 @@ def link_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         "c", F.col("x._id").alias("_rid"), F.col("x._key").alias("_rkey"))
     texts = base.join(first, (F.col("_id") == F.col("_rid")) & (F.col("_key") == F.col("_rkey")))
     sets = written(_sets(texts.dropDuplicates(["_id", "_key"]).select("c", "text"), s))
+    return rows, members, sets
+
+
+def _searched(members: DataFrame, cells_: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """Pairs ``a, b`` of members (key, c, part) of different parts in the cells (key, m) that survive the
+    R-trees and the finer counts; cells of more than ``chunk`` members as pairs of chunks."""
+    units = members.join(cells_, "key").withColumn("pieces", F.ceil(F.col("m") / s.chunk).cast("int"))
+    units = written(units.withColumn("chunk", F.pmod(F.xxhash64("c"), F.col("pieces")).cast("int")).select(
+        "key", "c", "part", "pieces", "chunk", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("other")))
+    tasks = max(1, math.ceil(units.count() / s.unit_rows))
+    units = units.select("key", "c", "part", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
+    units = units.join(sets.select("c", "n", "counts"), "c").withColumn(
+        "task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks)))
+
+    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+        return unit_pairs(pdf, s)
+
+    return written(units.groupBy("task").applyInPandas(pairs, "a long, b long").distinct())
+
+
+def link_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """``_id, _key, n_shingles, part, component_id`` of every row; ``_id`` is ``doc_id`` with null
+    last, ``_key`` a hash of the text, and ``part`` names the class (null for an empty set)."""
+    s = settings
+    rows, members, sets = _indexed(docs, s)
 
     # every member against the member of its cell that shares most cells
     size = written(members.groupBy("key").agg(F.count(F.lit(1)).alias("m")))
@@ -286,18 +310,7 @@ def link_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         "key", "c", F.coalesce("label", "c").alias("part"))
     open_ = written(parted.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"),
                                               F.count(F.lit(1)).alias("m")).where("lo < hi").select("key", "m"))
-    units = parted.join(open_, "key").withColumn("pieces", F.ceil(F.col("m") / s.chunk).cast("int"))
-    units = written(units.withColumn("chunk", F.pmod(F.xxhash64("c"), F.col("pieces")).cast("int")).select(
-        "key", "c", "part", "pieces", "chunk", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("other")))
-    tasks = max(1, math.ceil(units.count() / s.unit_rows))
-    units = units.select("key", "c", "part", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
-    units = units.join(sets.select("c", "n", "counts"), "c").withColumn(
-        "task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks)))
-
-    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-        return unit_pairs(pdf, s)
-
-    found = written(units.groupBy("task").applyInPandas(pairs, "a long, b long").distinct())
+    found = _searched(parted, open_, sets, s)
     links = links.unionByName(_verified(found, sets, s))
     joined = connected_components(written(links))
 
@@ -319,14 +332,47 @@ def jaccard_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 def keep_one(docs: DataFrame, settings: Settings = Settings(shingle=5, num=80, den=100)) -> DataFrame:
     """The rows of ``docs``, one of each class of linked documents: that of the smallest ``doc_id``.
 
-    Documents with an empty set are linked with nothing and stay.  Among rows that
-    share a ``doc_id`` the smaller text hash stays; a row repeated as a whole stays once.
+    Rows without a word are linked with nothing and stay, each of them.  Of a class, among rows
+    that share a ``doc_id`` the smaller text hash stays, and of rows that share both the smallest.
     """
     classes = link_classes(docs, settings)
     first = classes.where("part IS NOT NULL").groupBy("part").agg(F.min(F.struct("_id", "_key")).alias("x"))
-    keep = first.select("x._id", "x._key").unionByName(classes.where("part IS NULL").select("_id", "_key")).distinct()
-    keep = keep.select(F.col("_id").alias("_kid"), F.col("_key").alias("_kkey"))
-    rows = packed(docs).select(ROW, F.coalesce(field("doc_id").cast("long"), F.lit(LAST)).alias("_id"),
-                               F.xxhash64(field("text")).alias("_key"))
-    kept = rows.join(keep, (F.col("_id") == F.col("_kid")) & (F.col("_key") == F.col("_kkey")))
-    return unpacked(kept.groupBy("_id", "_key").agg(F.min(ROW).alias(ROW)), {})
+    keep = first.select(F.col("x._id").alias("_kid"), F.col("x._key").alias("_kkey"))
+    rows = packed(docs)
+    wordless = F.btrim(F.coalesce(field("text"), F.lit("")), F.lit(WORD_SPACE)) == ""
+    named = rows.where(~wordless).select(ROW, F.coalesce(field("doc_id").cast("long"), F.lit(LAST)).alias("_id"),
+                                         F.xxhash64(field("text")).alias("_key"))
+    kept = named.join(keep, (F.col("_id") == F.col("_kid")) & (F.col("_key") == F.col("_kkey")))
+    return unpacked(kept.groupBy("_id", "_key").agg(F.min(ROW).alias(ROW)).select(ROW).unionByName(rows.where(wordless)), {})
+
+
+def linked_pairs(docs: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
+    """Every link: ``a, b, n_a, n_b`` between classes of equal sets (each pair once), and the membership
+    ``doc_id, class, n_shingles`` of every row (null class: an empty set).
+
+    Unlike the components, which need no more links than join a class to its group, all pairs of
+    different sets that share a cell go through the R-trees and are verified.
+    """
+    s = settings
+    rows, members, sets = _indexed(docs, s)
+    every = members.withColumn("part", F.col("c"))
+    found = _searched(every, members.groupBy("key").agg(F.count(F.lit(1)).alias("m")), sets, s)
+    size = sets.select("c", "n")
+    pairs = _verified(found, sets, s).join(size.select(F.col("c").alias("a"), F.col("n").alias("n_a")), "a").join(
+        size.select(F.col("c").alias("b"), F.col("n").alias("n_b")), "b")
+    return written(pairs.select("a", "b", "n_a", "n_b")), rows.select(
+        F.nullif(F.col("_id"), F.lit(LAST)).alias("doc_id"), F.when(F.col("n") > 0, F.col("c")).alias("class"),
+        F.col("n").cast("long").alias("n_shingles"))
+
+
+def link_counts(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """``doc_id, n_shingles, class, n_links`` of every row: the number of other rows it is linked with, from
+    :func:`linked_pairs` and the sizes of the classes, without listing copies."""
+    pairs, membership = linked_pairs(docs, settings)
+    sizes = membership.where("class IS NOT NULL").groupBy("class").agg(F.count(F.lit(1)).alias("rows"))
+    both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = both.join(sizes.withColumnRenamed("class", "b"), "b").groupBy(F.col("a").alias("class")).agg(F.sum("rows").alias("near"))
+    links = sizes.join(near, "class", "left").select(
+        "class", (F.col("rows") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"))
+    return membership.join(links, "class", "left").select(
+        "doc_id", "n_shingles", "class", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))

@@ -43,7 +43,6 @@ class Settings:
     ridge: float = 1e-2
     sharpness: float = 4.0
     per_language: int = 300
-    most_docs: int = 1200         # no longer a bound: that is per_language times the languages
     stretches_per_doc: int = 2
 
 

@@ -15,7 +15,7 @@ def spoken(make_docs, prose):
     return rows
 
 
-SMALL = langid.Settings(landmarks=24, per_language=40, most_docs=200)
+SMALL = langid.Settings(landmarks=24, per_language=40)
 
 
 def test_language_held_out_accuracy_and_edges(spark, make_docs, spoken):
@@ -163,7 +163,7 @@ def test_rare_language_keeps_its_sample(spark, make_docs, prose):
     stems = {**ALPHABETS, "ww": ("ghar", "jhu", "bho", "khe")}
     rows = [(i, " ".join(prose(i, 20, stems[k])), k) for i, k in enumerate(k for _ in range(300) for k in stems)]
     rows += [(5000 + i, " ".join(prose(5000 + i, 20, ("ngwa", "mbe", "nzo"))), "rare") for i in range(40)]
-    s = langid.Settings(landmarks=24, per_language=30, most_docs=90)
+    s = langid.Settings(landmarks=24, per_language=30)
     _, langs = langid.training_sample(make_docs(rows), s)
     assert min(langs.count(k) for k in (*stems, "rare")) >= 15 and max(langs.count(k) for k in stems) <= 30
     fresh = make_docs([(i, " ".join(prose(9000 + i, 20, ("ngwa", "mbe", "nzo"))), None) for i in range(20)])

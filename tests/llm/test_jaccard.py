@@ -129,6 +129,37 @@ def test_keep_one(spark, make_docs, prose):
     # 503 heads two classes: its two texts have nothing in common
     assert {r["doc_id"] for r in kept} == first and len(kept) == len(first) + 1
     empty = sorted(((r["doc_id"], r["text"]) for r in out if not J.shingle_set(r["text"], 5).size), key=repr)
-    assert empty == sorted([(500, None), (501, ""), (502, "  \n"), (None, None)], key=repr)
+    assert empty == sorted([(i, t) for i, t in rows if not J.shingle_set(t, 5).size], key=repr)
     assert all(r["_id"] == "mine" and r["part"] == 3 for r in out)
     assert J.keep_one(make_docs([])).count() == 0 and J.jaccard_classes(make_docs([])).count() == 0
+
+
+def test_keep_one_keeps_every_row_without_words(make_docs):
+    rows = [(None, None, "en", "a"), (None, "", "de", "b"), (None, "", "de", "c"), (None, " \t\x0b", "en", "d"), (4, "", "en", "a"),
+            (4, "", "fr", "a"), (None, "one two", "en", "a"), (None, "one two", "de", "b")]
+    out = J.keep_one(make_docs(rows)).collect()
+    assert sorted(((r["doc_id"], r["text"], r["lang"], r["source"]) for r in out), key=repr) == sorted(rows[:6] + [rows[7]], key=repr)
+
+
+@pytest.mark.parametrize("settings", [J.Settings(), J.Settings(shingle=1, num=60, den=100, chunk=4, unit_rows=20, leaf=2)])
+def test_every_link_is_found(make_docs, prose, settings):
+    rows = near_copies(prose, 3, 90) + EDGES
+    sets = [frozenset(J.shingle_set(t, settings.shingle).tolist()) for _, t in rows]
+
+    def linked(a, b):
+        return bool(a and b) and settings.den * len(a & b) >= settings.num * len(a | b)
+
+    pairs, membership = J.linked_pairs(make_docs(rows, n="x", c=1), settings)
+    got = {(frozenset((r["a"], r["b"])), frozenset((r["n_a"], r["n_b"]))) for r in pairs.collect()}
+    assert pairs.count() == len(got)
+    name = lambda s: J.set_class(np.array(sorted(s), np.uint64))
+    distinct = list(set(sets))
+    assert got == {(frozenset((name(a), name(b))), frozenset((len(a), len(b)))) for i, a in enumerate(distinct)
+                   for b in distinct[:i] if linked(a, b)}
+    assert len(got) > 20
+    assert sorted(((r["doc_id"], r["class"], r["n_shingles"]) for r in membership.collect()), key=repr) == sorted(
+        ((i, name(s) if s else None, len(s)) for (i, _), s in zip(rows, sets)), key=repr)
+    counts = J.link_counts(make_docs(rows), settings).collect()
+    assert sorted(((r["doc_id"], r["n_shingles"], r["n_links"]) for r in counts), key=repr) == sorted(
+        ((i, len(s), sum(linked(s, t) for k, t in enumerate(sets) if k != j)) for j, ((i, _), s) in enumerate(zip(rows, sets))), key=repr)
+    assert J.link_counts(make_docs([])).count() == 0

@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__
 import corpus_pipeline as C
-from entiscore.llm import jaccard, packing, queries
+from entiscore.llm import jaccard, langid, packing, queries
 from tests.llm.test_classifiers import ALPHABETS
 from tests.llm.test_jaccard import brute as classes
 from tests.llm.test_line_dedup import brute as deduped
@@ -91,14 +91,31 @@ def test_run_equals_its_stages_and_is_registered(spark, corpus):
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and out.count() > 60
     names = __spark_entry__.queries()
     assert names["pipeline"] is C.run
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")) == list(range(1, 14))
+
+
+def test_language_stage_without_any_language_keeps_texts_with_letters(spark, make_docs):
+    rows = [(1, "ba ke lo", None, "s"), (2, "12 !", None, "s"), (3, None, None, "s"), (None, "é", None, None), (4, "", None, "s"), (1, "ba ke lo", None, "s")]
+    out = C.language_id(spark, make_docs(rows, lang_pred="mine", score=2), "")
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr) == sorted([(1, "ba ke lo"), (1, "ba ke lo"), (None, "é")], key=repr)
+    assert {(r["lang_pred"], r["score"]) for r in out.collect()} == {("mine", 2)}
+
+
+def test_language_stage_follows_the_verdict_of_the_model(spark, make_docs, prose):
+    rows = [(i, " ".join(prose(i, 60, ALPHABETS[k])), k, "s") for i, k in enumerate(k for _ in range(20) for k in ALPHABETS)]
+    docs = make_docs(rows + [(900, "漢字仮名交文書体系 " * 30, None, "s"), (901, "12 34", None, "s"), (902, "a", None, "s")])
+    model = langid.train(docs)
+    told = langid.identify(docs, model).collect()
+    out = {r["doc_id"] for r in C.language_id(spark, docs, "").collect()}
+    assert out == {r["doc_id"] for r in told if r["lang_pred"] != "und" and r["score"] >= C.LEAST_ODDS / len(model.languages)}
+    assert {r[0] for r in rows} <= out and not {900, 901} & out
 
 
 def test_empty_documents_pass_through(spark, make_docs, tmp_path):
     make_docs([]).write.parquet(str(tmp_path / "documents.parquet"))
     assert C.run(spark, str(tmp_path)).count() == 0
     for name, q in queries.queries().items():
-        if not re.match(r"op[169]_", name):                # those read other tables too
+        if not re.match(r"op(1|6|9|12)_", name):           # those read other tables too
             assert q(spark, str(tmp_path)).count() == 0, name
 
 
@@ -117,9 +134,13 @@ def test_result_columns(spark, corpus):
         "op8_mixing": {"doc_id": "bigint", "size": "bigint", "source_size": "bigint", "target": "double", "taken": "bigint"},
         "op9_quality": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
         "op10_jaccard_join": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
+        "op11_spelling_variants": {"word": "string", "n": "bigint", "n_near": "bigint", "form": "string", "form_n": "bigint",
+                                   "root": "string"},
+        "op13_source_divergence": {"lang": "string", "source": "string", "part": "string", "item": "string", "value": "bigint",
+                                   "rank": "int"},
     }
     for name, columns in want.items():
         out = queries.queries()[name](spark, folder)
         assert columns.items() <= dict(out.dtypes).items(), name
-        if name != "op5_best_fit_packing":
+        if not re.match("op(5|11|13)_", name):
             assert out.count() == len(rows), name
