@@ -5,7 +5,10 @@ as Parquet and read again as the next one's ``docs``; all but the last return th
 columns of ``documents`` (other columns of the input go along).
 
 1. ``language_id``: the string-kernel classifier, fitted on the documents with a
-   known language.  Documents it rejects (``und``: no letter in the text) go.
+   known language.  It rejects texts without a letter, and texts whose best language is
+   hardly likelier than chance (below ``LEAST_ODDS`` over the number of languages: none of the
+   languages it knows).  Where no document has a language there is nothing to be told apart,
+   and every text with a letter stays.
 2. ``line_dedup``: lines of three-line windows that start earlier in the corpus go;
    ``n_chars`` follows the text.  Documents stay, if need be without text.
 3. ``jaccard_join``: of documents linked by 5-word shingles at a similarity of 0.8 or
@@ -24,13 +27,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entiscore.llm import jaccard, langid, line_dedup, mixing, packing
+from entiscore.llm.common import ROW, field, packed, unpacked
 from entiscore.llm.queries import read, vocabulary
 from entiscore.session import scratch_path
 
 
+#: A text stays if its best language is this many times as likely as chance (one known language: no such test).
+LEAST_ODDS = 1.1
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    named = langid.identify(docs, langid.train(docs))
-    return named.where(F.col("lang_pred") != langid.UNKNOWN).select(*[F.col(f"`{c}`") for c in docs.columns])
+    model = langid.train(docs)
+    rows = packed(docs)
+    if model.languages:
+        told = langid.identify(rows.select(ROW, field("text").alias("text")), model)
+        rows = told.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= min(LEAST_ODDS / len(model.languages), 1.0)))
+    else:
+        rows = rows.where(field("text").rlike("\\p{L}"))
+    return unpacked(rows.select(ROW), {})
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
