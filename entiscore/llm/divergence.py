@@ -55,42 +55,59 @@ def text_groups(docs: DataFrame) -> DataFrame:
     return texts.join(own, ["lang", "_at"]).select("lang", "text", "own")
 
 
-def term_counts(groups: DataFrame, held: int = 400_000) -> DataFrame:
-    """``lang, source, term, n``: occurrences by source; with a null source, documents of the language."""
+def term_counts(groups: DataFrame, held: int = 1_000_000) -> DataFrame:
+    """``lang, source, term, n, docs``: occurrences by source, and documents of the language by term and
+    task beside the first of its sources (add them up).  Partitioned by lang and term.
+
+    A task sends one row a term, with its counts by source, so the term travels once.
+    """
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[tuple, Counter] = {}
+        sums: dict[str, dict[str, Counter]] = {}
+        docs: dict[str, Counter] = {}
 
         def let_out() -> Iterator[pd.DataFrame]:
-            for (lang, source), own in sums.items():
-                items = list(own.items())
-                for at in range(0, len(items), 1 << 16):
-                    part = items[at:at + (1 << 16)]
-                    yield pd.DataFrame({"lang": lang, "source": [source] * len(part), "term": [t for t, _ in part],
-                                        "n": [n for _, n in part]})
+            for lang, by_source in sums.items():
+                rows: dict[bytes, tuple[list, list]] = {}
+                for source, own in by_source.items():
+                    for t, n in own.items():
+                        row = rows.get(t)
+                        if row is None:
+                            rows[t] = ([source], [n])
+                        else:
+                            row[0].append(source)
+                            row[1].append(n)
+                names, lists, every = list(rows), list(rows.values()), docs[lang]
+                for at in range(0, len(names), 1 << 15):
+                    part = lists[at:at + (1 << 15)]
+                    yield pd.DataFrame({"lang": lang, "term": names[at:at + (1 << 15)], "docs": [every[t] for t in names[at:at + (1 << 15)]],
+                                        "source": [x for x, _ in part], "n": [n for _, n in part]})
             sums.clear()
+            docs.clear()
 
         for pdf in batches:
             for lang, text, own in zip(pdf["lang"], pdf["text"], pdf["own"]):
                 found = terms(bytes(text))
                 if not found:
                     continue
+                by_source, every = sums.setdefault(lang, {}), docs.setdefault(lang, Counter())
                 if len(own) == 1 and own[0]["copies"] == 1:
-                    sums.setdefault((lang, own[0]["source"]), Counter()).update(found)
-                    sums.setdefault((lang, None), Counter()).update(set(found))
+                    by_source.setdefault(own[0]["source"], Counter()).update(found)
+                    every.update(set(found))
                 else:
                     once = Counter(found)
                     for o in own:
-                        sums.setdefault((lang, o["source"]), Counter()).update({t: n * o["copies"] for t, n in once.items()})
-                    every = sum(o["copies"] for o in own)
-                    sums.setdefault((lang, None), Counter()).update(dict.fromkeys(once, every))
-            if sum(map(len, sums.values())) > held:
+                        by_source.setdefault(o["source"], Counter()).update({t: n * o["copies"] for t, n in once.items()})
+                    every.update(dict.fromkeys(once, sum(o["copies"] for o in own)))
+            if sum(len(c) for by_source in sums.values() for c in by_source.values()) > held:
                 yield from let_out()
         yield from let_out()
 
-    with batches_of(groups.sparkSession, 256):
-        rows = groups.withColumn("text", F.col("text").cast("binary")).mapInPandas(
-            counted, "lang string, source string, term binary, n long")
-        return written(rows.groupBy("lang", "source", F.col("term").cast("string").alias("term")).agg(F.sum("n").alias("n")))
+    rows = groups.withColumn("text", F.col("text").cast("binary")).mapInPandas(
+        counted, "lang string, term binary, docs long, source array<string>, n array<long>")
+    dealt = rows.select("lang", F.col("term").cast("string").alias("term"), "docs", "source", "n").repartition("lang", "term")
+    cells = dealt.select("lang", "term", "docs", F.posexplode(F.arrays_zip("source", "n")).alias("i", "x"))
+    return cells.groupBy("lang", "term", F.col("x.source").alias("source")).agg(
+        F.sum("x.n").alias("n"), F.sum(F.when(F.col("i") == 0, F.col("docs")).otherwise(0)).alias("docs"))
 
 
 def share(count: str, total: str, kept: str) -> Column:
@@ -142,15 +159,14 @@ def block_pairs(source: np.ndarray, term: np.ndarray, p: np.ndarray, rare: np.nd
     return out
 
 
-def audit(docs: DataFrame, least_docs: int = 10, most_terms: int = 10, block_cells: int = 500_000) -> DataFrame:
+def audit(docs: DataFrame, least_docs: int = 10, most_terms: int = 10, block_cells: int = 65_536) -> DataFrame:
     """``lang, source, part, item, value, rank``: part ``pair`` ranks the other sources of the
     language by how far they differ, part ``term`` the terms a source uses more than its language."""
-    counts = term_counts(text_groups(docs))
     one = Window.partitionBy("lang", "term")
-    use = F.col("source").isNotNull()
-    cells = written(counts.select(
-        "lang", "source", "term", "n", F.sum(F.when(use, F.col("n"))).over(one).alias("lang_n"),
-        F.max(F.when(~use, F.col("n"))).over(one).alias("docs")).where(use & (F.col("docs") >= least_docs)).drop("docs"))
+    with batches_of(docs.sparkSession, 256):
+        cells = written(term_counts(text_groups(docs)).select(
+            "lang", "source", "term", "n", F.sum("n").over(one).alias("lang_n"), F.sum("docs").over(one).alias("docs"))
+            .where(F.col("docs") >= least_docs).drop("docs"))
     sums = cells.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("cells"))
     kept = cells.groupBy("lang").agg(F.countDistinct("term").alias("kept"), F.sum("n").alias("lang_total"),
                                      F.ceil(F.count(F.lit(1)) / block_cells).cast("long").alias("blocks"))
