@@ -68,10 +68,19 @@ class Model:
     vectors: np.ndarray     # one row per term
 
 
+#: The crc32 of a term goes on from that of what stands before it: "w " for words, "4 " for four letters, ...
+_WHOLE = zlib.crc32(b"w ")
+_HEADS = [(n, zlib.crc32(f"{n} ".encode())) for n in (4, 5, 6)]
+
+
 def word_terms(word: str, bits: int) -> list[int]:
     """Hashed terms of one lower-cased word."""
-    own = ["w " + word, *(f"{n} {word[:n]}" for n in (4, 5, 6) if len(word) > n)]
-    return [zlib.crc32(t.encode()) >> (32 - bits) for t in own]
+    size, down = len(word), 32 - bits
+    own = [zlib.crc32(word.encode(), _WHOLE) >> down]
+    for n, start in _HEADS:
+        if size > n:
+            own.append(zlib.crc32(word[:n].encode(), start) >> down)
+    return own
 
 
 def text_terms(text: str, bits: int) -> set[int]:
@@ -155,12 +164,13 @@ class PairTest:
     it is taken less what the two terms leave alone (their means added); with sums S of that and Q
     of its square (at least of its variance under that machine), S^2 / Q is chi-square under chance
     and at most c: all pairs that can reach the level (5 % over all pairs of terms) are looked at.
-    The terms are cut into blocks, and every pair of blocks is a unit of work of its own.
+    A unit of work holds a block of the terms that are not ``known`` to tell alone against block
+    after block of all terms; a term leaves it once it is hit, for one partner is enough.
     """
 
     BLOCK = 1024
 
-    def __init__(self, x: list[np.ndarray], d: int, rest: np.ndarray):
+    def __init__(self, x: list[np.ndarray], d: int, rest: np.ndarray, known: np.ndarray):
         self.n, self.level = len(x), 2 * np.log(10.0 * max(d, 1)**2)
         at = np.concatenate(x) if len(x) else np.zeros(0, np.int32)
         row = np.repeat(np.arange(len(x), dtype=np.int32), [len(r) for r in x])
@@ -173,33 +183,40 @@ class PairTest:
         self.rest = rest.astype(np.float32)
         self.alone = (np.bincount(at, rest[row], d) / np.maximum(count, 1) - (rest.mean() if len(rest) else 0.0) / 2)[self.able]
 
-    def units(self) -> list[tuple[int, int]]:
-        blocks = range(-(-len(self.able) // self.BLOCK))
-        return [(i, j) for i in blocks for j in blocks if i <= j]
+        self.open = np.flatnonzero(~known[self.able])              # places in able
+
+    def units(self) -> range:
+        return range(-(-len(self.open) // self.BLOCK))
 
-    def _dense(self, block: int) -> np.ndarray:
-        lo, hi = block * self.BLOCK, min((block + 1) * self.BLOCK, len(self.able))
-        out = np.zeros((self.n, hi - lo), np.float32)
-        for j in range(lo, hi):
-            out[self.row[self.first[j]:self.first[j + 1]], j - lo] = 1
+    def _dense(self, terms: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.n, len(terms)), np.float32)
+        for j, t in enumerate(terms):
+            out[self.row[self.first[t]:self.first[t + 1]], j] = 1
         return out
 
-    def hits(self, i: int, j: int) -> np.ndarray:
-        """Places of the terms of blocks i and j that reach the level with one of the other block."""
-        a, b = (slice(k * self.BLOCK, (k + 1) * self.BLOCK) for k in (i, j))
-        r, left = self.rest[:, None], self._dense(i)
-        right = left if j == i else self._dense(j)
-        c, t = left.T @ right, (left * r).T @ right
-        q = (left * np.maximum(r**2, abs(r) * (1 - abs(r)))).T @ right
-        e = (self.alone[a, None] + self.alone[None, b]).astype(np.float32)
-        hit = (c >= self.level) & ((t - e * c)**2 >= self.level * np.maximum(q - 2 * e * t + e**2 * c, 1e-6))
-        if j == i:
-            np.fill_diagonal(hit, False)
-        return np.unique(np.concatenate([self.able[a][hit.any(1)], self.able[b][hit.any(0)]]))
+    def hits(self, unit: int) -> np.ndarray:
+        """Places of the unit's terms that reach the level with any other term."""
+        left = self.open[unit * self.BLOCK:(unit + 1) * self.BLOCK]
+        r = self.rest[:, None]
+        weigh, squares = self._dense(left), np.maximum(r**2, abs(r) * (1 - abs(r)))
+        found, blocks = [], -(-len(self.able) // self.BLOCK)
+        for k in range(blocks):
+            at = (left[0] // self.BLOCK + k) % blocks * self.BLOCK
+            other = np.arange(at, min(at + self.BLOCK, len(self.able)))
+            right = self._dense(other)
+            c, t, q = weigh.T @ right, weigh.T @ (right * r), weigh.T @ (right * squares)
+            e = (self.alone[left][:, None] + self.alone[other][None, :]).astype(np.float32)
+            hit = (c >= self.level) & ((t - e * c)**2 >= self.level * np.maximum(q - 2 * e * t + e**2 * c, 1e-6))
+            hit = (hit & (left[:, None] != other[None, :])).any(1)
+            found.append(left[hit])
+            left, weigh = left[~hit], weigh[:, ~hit]
+            if not len(left):
+                break
+        return self.able[np.concatenate(found)]
 
 
 def tested_here(test: PairTest) -> np.ndarray:
-    return np.concatenate([np.zeros(0, np.int64), *(test.hits(i, j) for i, j in test.units())])
+    return np.concatenate([np.zeros(0, np.int64), *map(test.hits, test.units())])
 
 
 def tested_in_tasks(spark) -> Callable[[PairTest], np.ndarray]:
@@ -211,21 +228,21 @@ def tested_in_tasks(spark) -> Callable[[PairTest], np.ndarray]:
 
         def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                for i, j in zip(pdf["i"], pdf["j"]):
-                    yield pd.DataFrame({"place": test.hits(i, j)})
+                for unit in pdf["unit"]:
+                    yield pd.DataFrame({"place": test.hits(unit)})
 
-        rows = spark.createDataFrame(pd.DataFrame(units, columns=["i", "j"])).repartition(min(len(units), 4096), "i", "j")
+        rows = spark.range(0, len(units), 1, len(units)).select(F.col("id").alias("unit"))
         # the sample's distinct terms at most
         return rows.mapInPandas(work, "place long").distinct().toPandas()["place"].to_numpy(np.int64)
 
     return run
 
 
-def paired_terms(x: list[np.ndarray], d: int, rest: np.ndarray,
+def paired_terms(x: list[np.ndarray], d: int, rest: np.ndarray, known: np.ndarray,
                  tested: Callable[[PairTest], np.ndarray] = tested_here) -> np.ndarray:
-    """For each place, whether :class:`PairTest` finds it in a pair."""
-    out = np.zeros(d, bool)
-    out[tested(PairTest(x, d, rest))] = True
+    """For each place, whether it is ``known`` or :class:`PairTest` finds it in a pair."""
+    out = known.copy()
+    out[tested(PairTest(x, d, rest, known))] = True
     return out
 
 
@@ -255,8 +272,9 @@ def fit_rows(x: list[np.ndarray], d: int, y: np.ndarray, share: float, s: Settin
             use = strong_terms([x[i] for i in other], y[other], d, s)
             z = margins([x[i] for i in own], fitted(other, use, s.steps))
             rest[own] = y[own] - 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-    paired = paired_terms(x, d, rest, tested)
-    steps = s.pair_steps if paired.any() else s.steps
+    known = strong_terms(x, y, d, s) if both(rows) else np.zeros(d, bool)
+    paired = paired_terms(x, d, rest, known, tested)
+    steps = s.pair_steps if (paired & ~known).any() else s.steps
 
     def fit(rows: np.ndarray) -> Iterator[list[np.ndarray]]:
         """The machine after the passes over the telling terms, then after each pass over all."""
@@ -340,8 +358,12 @@ class Scorer:
 
     def known(self, word: str) -> int:
         n = self.number[word] = len(self.first) - 1
-        self.places.extend(self.place[t] for t in word_terms(word, self.model.settings.bits) if t in self.place)
-        self.first.append(len(self.places))
+        get, places = self.place.get, self.places
+        for t in word_terms(word, self.model.settings.bits):
+            at = get(t)
+            if at is not None:
+                places.append(at)
+        self.first.append(len(places))
         return n
 
     def scores(self, texts: Iterable[str | None]) -> np.ndarray:
@@ -364,11 +386,12 @@ class Scorer:
             ends = np.cumsum(size)
             at = np.repeat(start - (ends - size), size) + np.arange(ends[-1])
             row = np.repeat(np.repeat(np.arange(len(sizes)), sizes), size)
-            pairs = np.unique(row * max(len(m.terms), 1) + np.frombuffer(self.places, np.int32)[at]) if len(at) else np.zeros(0, np.int64)
-            if len(pairs):
-                row, place = np.divmod(pairs, len(m.terms))
+            if len(at):
+                pairs = row * len(m.terms) + np.frombuffer(self.places, np.int32)[at]
+                pairs.sort()
+                row, place = np.divmod(pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])], len(m.terms))
                 begin = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-                sums = np.add.reduceat(self.table[place], begin, axis=0)
+                sums = np.add.reduceat(np.take(self.table, place, axis=0), begin, axis=0)
                 out[row[begin]] += sums[:, 0] + 0.5 * ((sums[:, 1:-1]**2).sum(1) - sums[:, -1])
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
