@@ -201,16 +201,20 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
     return fit(*training_sample(docs, settings), settings)
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``."""
-    modest_batches(docs.sparkSession)
-
+def verdict(text: Column, model: Model) -> Column:
+    """Struct of ``lang_pred`` and ``score`` of a text column."""
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
         return score(texts, model)
 
+    return predict(text)
+
+
+def identify(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score``."""
+    modest_batches(docs.sparkSession)
     rows = packed(docs)
-    rows = rows.select(ROW, predict(field("text")).alias("_p"))
+    rows = rows.select(ROW, verdict(field("text"), model).alias("_p"))
     return unpacked(rows, {"lang_pred": F.col("_p.lang_pred"), "score": F.col("_p.score")})
 
 

@@ -40,26 +40,31 @@ PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 # --- tokens -> pieces ------------------------------------------------------
 
-def load_encoder(path: str) -> Callable[[str], list[int]]:
+def special_tokens(path: str) -> dict[str, int]:
+    """Text and id of the added tokens of a tokenizer ``.json`` (or of the one beside ``path``)."""
+    import json
+
+    with open(path.removesuffix(".json").removesuffix(".tiktoken") + ".json", encoding="utf-8") as f:
+        return {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+
+
+def load_encoder(path: str, special: dict[str, int]) -> Callable[[str], list[int]]:
     """Text to ids for a byte-level BPE vocabulary.
 
     ``path`` names the tokenizer ``.json`` or the ``.tiktoken`` rank file beside it; both hold
-    one vocabulary, and the ranks encode several times faster.  The added tokens of the
+    one vocabulary, and the ranks encode several times faster.  The ``special`` tokens of the
     ``.json`` (such as ``<|endoftext|>``) are one id wherever they stand in a text, as in the
     tokenizers library; the ranks alone do not know them.
     """
-    import json
-
     import public_tokenizers
     import tiktoken
 
-    stem = path.removesuffix(".json").removesuffix(".tiktoken")
-    with open(stem + ".tiktoken", "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    with open(stem + ".json", encoding="utf-8") as f:
-        special = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
-    enc = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, special_tokens=special,
-                            mergeable_ranks={b: i for b, i in ranks.items() if i not in set(special.values())})
+    own, ranks = set(special.values()), {}
+    with open(path.removesuffix(".json").removesuffix(".tiktoken") + ".tiktoken", "rb") as f:
+        for token, rank in map(bytes.split, f):
+            if int(rank) not in own:
+                ranks[base64.b64decode(token)] = int(rank)
+    enc = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, special_tokens=special, mergeable_ranks=ranks)
 
     def encode(text: str) -> list[int]:
         if any(t in text for t in special):
@@ -78,13 +83,15 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 def tokenize_pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2,
                     with_ids: bool = False) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32`` (and ``ids`` if asked)."""
+    special = special_tokens(vocabulary)           # a few: read once, they travel with the job
+
     def pieces(batches: Iterator) -> Iterator:
         import zlib
 
         import numpy as np
         import pandas as pd
 
-        encode = load_encoder(vocabulary)
+        encode = load_encoder(vocabulary, special)
         for pdf in batches:
             for at in range(0, len(pdf), 512):
                 part, out = pdf.iloc[at:at + 512], []
