@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entiscore.llm import jaccard, langid, line_dedup, mixing, packing
-from entiscore.llm.common import ROW, field, packed, unpacked
+from entiscore.llm.common import ROW, field, modest_batches, packed, unpacked
 from entiscore.llm.queries import read, vocabulary
 from entiscore.session import scratch_path
 
@@ -40,8 +40,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train(docs)
     rows = packed(docs)
     if model.languages:
-        told = langid.identify(rows.select(ROW, field("text").alias("text")), model)
-        rows = told.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= min(LEAST_ODDS / len(model.languages), 1.0)))
+        modest_batches(spark)
+        told = rows.select(ROW, langid.verdict(field("text"), model).alias("_p"))
+        rows = told.where((F.col("_p.lang_pred") != langid.UNKNOWN)
+                          & (F.col("_p.score") >= min(LEAST_ODDS / len(model.languages), 1.0)))
     else:
         rows = rows.where(field("text").rlike("\\p{L}"))
     return unpacked(rows.select(ROW), {})
