@@ -1,6 +1,6 @@
 """Quality classifier: Naive Bayes support vectors.
 
-Features are n-gram indicators, hashed into ``bins``: single words and word pairs
+Features are n-gram indicators, named by 64-bit hashes: single words and word pairs
 (lower-cased), and one to three consecutive *shapes*.  A shape keeps what a word
 looks like (runs of small letters ``x``, of capitals ``X``, of digits ``9``, other
 characters as they are, each run once) and is ``=`` for a word equal to the one
@@ -8,15 +8,18 @@ before it.  Each indicator is scaled by its class log-count ratio
 
     r = log((alpha + count in label 1) / total 1) - log((alpha + count in label 0) / total 0)
 
-(0 for n-grams of fewer than ``least_docs`` sampled documents), rows are scaled to
+(n-grams of fewer than ``least_docs`` sampled documents are left out), rows are scaled to
 length 1, and a linear model with hinge loss is fitted by dual coordinate descent.
 Margins become scores through a logistic curve fitted on margins of documents left
 out of the fit (three folds), set for the share of label 1 among the labelled
 documents.
 
 Spark takes the n-grams of a bounded sample of labelled documents (``per_class`` a
-class) and counts them by class, at most ``bins`` counts; the driver then reads
-the sampled rows, at most ``bins`` places each.  Scoring runs over every whole text.
+class, together ``most_grams`` n-grams and the last text of each class) and counts them
+by class; the driver reads the counts of n-grams in ``least_docs`` documents (so at most
+``most_grams / least_docs``) and the sampled rows.  Scoring runs over every whole text
+and looks its n-grams up by their whole hash: one that was not learned counts for nothing,
+so the longest texts are told apart like short ones.
 
 Edge cases: null and empty texts have no n-gram and are scored by the constant
 term; without both classes to learn from every score is the share of label 1;
@@ -33,10 +36,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from entiscore.llm.common import ROW, field, modest_batches, packed, unpacked, written
+from entiscore.llm.common import ROW, field, modest_batches, packed, uniform, unpacked, written
 from entiscore.llm.labelled import labelled_sample
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -45,24 +48,44 @@ _SAME = np.uint64(xxhash.xxh3_64_intdigest(b"="))
 
 @dataclass(frozen=True)
 class Settings:
-    bins: int = 1 << 15
     least_docs: int = 3
     alpha: float = 1.0
     cost: float = 1.0
     passes: int = 20
     per_class: int = 3000
+    most_grams: int = 1 << 24
 
 
 @dataclass
 class Model:
     settings: Settings
-    scaled: np.ndarray      # weight * ratio by bin
-    squares: np.ndarray     # ratio^2 by bin
+    keys: np.ndarray        # the n-grams that count, ascending (uint64)
+    scaled: np.ndarray      # weight * ratio by key
+    squares: np.ndarray     # ratio^2 by key
     bias: float
     slope: float
     shift: float
 
 
+class Keys:
+    """Finds n-grams among ascending keys; most others fall to a look at their first bits."""
+
+    SHIFT = np.uint64(42)
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.seen = np.zeros(1 << (64 - int(self.SHIFT)), bool)
+        self.seen[keys >> self.SHIFT] = True
+
+    def found(self, grams: np.ndarray) -> np.ndarray:
+        """Ascending places of the keys that occur in ``grams``, each once."""
+        g = grams[self.seen[grams >> self.SHIFT]]       # so a key at or above each of their first bits exists
+        at = np.searchsorted(self.keys, g)
+        near = at < len(self.keys)
+        at, g = at[near], g[near]
+        return np.unique(at[self.keys[at] == g])
+
+
 def shape(word: str) -> str:
     """``Hello,`` -> ``Xx,``; ``AB12!!`` -> ``X9!``."""
     out = []
@@ -85,11 +108,11 @@ class _Words(dict):
         return got
 
 
-def text_bins(text: str | None, bins: int, words: _Words) -> np.ndarray:
-    """Ascending bins of the n-grams of a text, each once."""
+def text_grams(text: str | None, words: _Words) -> np.ndarray:
+    """The n-grams of a text (uint64), repeated ones more than once."""
     own = text.encode("utf-8", "replace").split() if text else []      # bytes: ASCII white space only
     if not own:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64)
     h = np.array([words[w] for w in own], np.uint64)
     word, form = h[:, 0], h[:, 1].copy()
     form[1:][word[1:] == word[:-1]] = _SAME
@@ -97,9 +120,7 @@ def text_bins(text: str | None, bins: int, words: _Words) -> np.ndarray:
     grams = [word, word[:-1] * _MIX + word[1:] + np.uint64(2), form + np.uint64(11), pairs + np.uint64(12),
              pairs[:-1] * _MIX + form[2:] + np.uint64(13)]
     g = np.concatenate(grams) * np.uint64(0xD6E8FEB86659FD93)
-    hit = np.zeros(bins, bool)
-    hit[((g ^ (g >> np.uint64(31))) % np.uint64(bins)).astype(np.int64)] = True
-    return np.flatnonzero(hit)
+    return g ^ (g >> np.uint64(31))
 
 
 def dual_descent(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, bins: int, s: Settings) -> np.ndarray:
@@ -149,9 +170,21 @@ def logistic_curve(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def ratios(count1: np.ndarray, count0: np.ndarray, s: Settings) -> np.ndarray:
-    r = (np.log((s.alpha + count1) / (s.alpha + count1).sum())
-         - np.log((s.alpha + count0) / (s.alpha + count0).sum()))
-    return np.where(count1 + count0 >= s.least_docs, r, 0.0)
+    return (np.log((s.alpha + count1) / (s.alpha + count1).sum())
+            - np.log((s.alpha + count0) / (s.alpha + count0).sum()))
+
+
+def within(rows: DataFrame, most: int) -> DataFrame:
+    """Of each class the rows, in the order of a hash, until they hold ``most / 2`` n-grams (the last one may go beyond).
+
+    The window runs over ids and sizes of the bounded sample only.
+    """
+    before = (Window.partitionBy("_y").orderBy(uniform(F.col("_id"), "grams"), "_id")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    sizes = rows.select("_id", "_y", F.size("g").cast("long").alias("n"))
+    kept = (sizes.withColumn("b", F.coalesce(F.sum("n").over(before), F.lit(0)))
+            .where(F.col("b") < max(most // 2, 1)).select("_id"))
+    return rows.join(F.broadcast(kept), "_id", "left_semi")      # at most 2 * per_class ids
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", settings: Settings = Settings()) -> Model:
@@ -162,45 +195,47 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", settings:
         words = _Words()
         for pdf in batches:
             yield pd.DataFrame({"_id": pdf["_id"], "_y": pdf["_y"],
-                                "g": [text_bins(t, s.bins, words).astype(np.int32) for t in pdf["text"]]})
+                                "g": [np.unique(text_grams(t, words)).view(np.int64) for t in pdf["text"]]})
 
     modest_batches(docs.sparkSession)
-    rows = written(sample.mapInPandas(grams, "_id long, _y int, g array<int>"))
-    count = np.zeros((2, s.bins))
-    for r in rows.select("_y", F.explode("g").alias("g")).groupBy("g", "_y").count().collect():    # <= 2 * bins rows
-        count[r["_y"], r["g"]] = r["count"]
-    ratio = ratios(count[1], count[0], s)
+    rows = within(written(sample.mapInPandas(grams, "_id long, _y int, g array<long>")), s.most_grams)
+    counts = (rows.select("_y", F.explode("g").alias("g")).groupBy("g")
+              .agg(F.sum("_y").alias("n1"), F.count(F.lit(1)).alias("n"))
+              .where(F.col("n") >= s.least_docs).toArrow())          # most_grams / least_docs rows at most
+    keys, count1, count = (counts.column(c).to_numpy() for c in ("g", "n1", "n"))
+    order = np.argsort(keys.view(np.uint64))
+    keys, ratio = keys.view(np.uint64)[order], ratios(count1, count - count1, s)[order]
+    look = Keys(keys)
 
     x, y = [], []
-    for r in rows.orderBy("_id").toLocalIterator():          # 2 * per_class rows at most
-        at = np.array(r["g"], np.int64)
-        at = at[ratio[at] != 0]
+    for r in rows.orderBy("_id").toLocalIterator():          # 2 * per_class rows, most_grams n-grams at most
+        at = look.found(np.array(r["g"], np.int64).view(np.uint64))
         v = ratio[at]
-        x.append((at, v / max(np.sqrt(v @ v), 1e-12)))
+        x.append((at.astype(np.int32), v / max(np.sqrt(v @ v), 1e-12)))
         y.append(r["_y"])
     y = np.array(y, int)
     level = float(np.log((share + 1e-6) / (1 - share + 1e-6)))
     if len(set(y.tolist())) < 2:
-        return Model(s, np.zeros(s.bins), np.zeros(s.bins), 0.0, 0.0, level)
+        return Model(s, keys[:0], ratio[:0], ratio[:0], 0.0, 0.0, level)
     sign = np.where(y > 0, 1.0, -1.0)
     part = np.arange(len(y)) % 3
     margin = np.zeros(len(y))
     for k in range(3):
         if len(set(y[part != k].tolist())) < 2:
             continue
-        w = dual_descent([r for r, p in zip(x, part) if p != k], sign[part != k], s.bins, s)
+        w = dual_descent([r for r, p in zip(x, part) if p != k], sign[part != k], len(ratio), s)
         for i in np.flatnonzero(part == k):
             margin[i] = w[x[i][0]] @ x[i][1] + w[-1]
     slope, shift = logistic_curve(margin, y)
     shift += level - float(np.log(y.mean() / (1 - y.mean())))       # from the sample's to the labels' share
-    w = dual_descent(x, sign, s.bins, s)
-    return Model(s, w[:-1] * ratio, ratio**2, float(w[-1]), slope, shift)
+    w = dual_descent(x, sign, len(ratio), s)
+    return Model(s, keys, w[:-1] * ratio, ratio**2, float(w[-1]), slope, shift)
 
 
-def score_texts(texts: pd.Series, model: Model, words: _Words) -> pd.Series:
+def score_texts(texts: pd.Series, model: Model, words: _Words, look: Keys) -> pd.Series:
     out = np.full(len(texts), model.bias)
     for i, text in enumerate(texts):
-        at = text_bins(text if isinstance(text, str) else None, model.settings.bins, words)
+        at = look.found(text_grams(text if isinstance(text, str) else None, words))
         if len(at):
             out[i] += model.scaled[at].sum() / max(np.sqrt(model.squares[at].sum()), 1e-12)
     return pd.Series(1 / (1 + np.exp(-np.clip(model.slope * out + model.shift, -30, 30))))
@@ -212,9 +247,9 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
 
     @F.pandas_udf("double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words = _Words()
+        words, look = _Words(), Keys(model.keys)
         for texts in batches:
-            yield score_texts(texts, model, words)
+            yield score_texts(texts, model, words, look)
 
     rows = packed(docs)
     return unpacked(rows.select(ROW, predict(field("text")).alias("_p")), {"score": F.col("_p")})

@@ -169,3 +169,35 @@ def test_rare_language_keeps_its_sample(spark, make_docs, prose):
     fresh = make_docs([(i, " ".join(prose(9000 + i, 20, ("ngwa", "mbe", "nzo"))), None) for i in range(20)])
     got = langid.identify(fresh, langid.train(make_docs(rows), s)).collect()
     assert {r["lang_pred"] for r in got} == {"rare"}
+
+
+def test_quality_tells_very_long_texts_apart(spark, rated):
+    """100,000 different words, most of them unknown: only n-grams that were learned count."""
+    docs, labels, _ = rated
+    model = quality.train(docs, labels)
+    r = np.random.default_rng(5)
+    good = ["".join(w) for w in r.choice(list("abcdefghijklmnopqrstuvwxyz"), (100_000, 7))]
+    low = [w + "***" for w in good]
+    words, look = quality._Words(), quality.Keys(model.keys)
+    for n in (60, 100_000):
+        got = quality.score_texts(pd.Series([" ".join(good[:n]), " ".join(low[:n])]), model, words, look)
+        assert got[0] >= 0.7 > got[1] and got[0] - got[1] > 0.3
+
+
+def test_quality_keys_are_found_whole():
+    r = np.random.default_rng(3)
+    keys = np.sort(r.integers(0, 1 << 64, 500, np.uint64, endpoint=False))
+    grams = np.concatenate([keys[::3], keys[:50], keys + np.uint64(1), np.array([0, 2**64 - 1], np.uint64)])
+    want = [i for i, k in enumerate(keys.tolist()) if k in set(grams.tolist())]
+    assert quality.Keys(keys).found(grams).tolist() == want
+    assert quality.Keys(keys[:0]).found(grams).tolist() == [] and quality.Keys(keys).found(grams[:0]).tolist() == []
+
+
+def test_quality_sample_stops_at_its_ngrams_in_each_class(spark):
+    rows = spark.createDataFrame([(i, i % 2, list(range(10 + i % 3))) for i in range(40)], "_id long, _y int, g array<long>")
+    size = {i: 10 + i % 3 for i in range(40)}
+    for most in (1, 100, 10_000):
+        kept = [r["_id"] for r in quality.within(rows, most).collect()]
+        for y in (0, 1):
+            own = [size[i] for i in kept if i % 2 == y]
+            assert own and (len(own) == 20 or most // 2 <= sum(own) < max(most // 2, 1) + 12)
