@@ -63,16 +63,28 @@ def uniform(key: Column, seed: str) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 40)).cast("double") / F.lit(float(1 << 40))
 
 
-def class_sample(rows: DataFrame, label: str, key: str, per_class: int, seed: str) -> DataFrame:
+#: Parts of a class when its rows meet the class's rate.
+_SALTS = 64
+
+
+def class_sample(rows: DataFrame, label: str, key: str, per_class: int, seed: str, few: bool = False) -> DataFrame:
     """About ``per_class`` rows of each class by a hash of ``key``, and no more than that.
 
     For fitting only.  The class counts are one aggregate joined back (a row a class, however many
-    there are); the rows that are picked are a filter on the hash, so no class is sorted or gathered as a whole.
+    there are; ``few``: a handful by definition, so they are broadcast); a class is dealt over
+    ``_SALTS`` parts for that.  The rows that are picked are a filter on the hash, so no class is sorted
+    or gathered as a whole.
     """
     rates = rows.groupBy(label).agg((F.lit(float(per_class)) / F.count(F.lit(1))).alias("_rate"))
     u = uniform(F.col(key), seed)
     least = Window.partitionBy(label).orderBy(u, key)        # of the picked rows: about per_class of a class
-    return (rows.join(rates, label).where(u < F.col("_rate")).withColumn("_at", F.row_number().over(least))
+    if few:
+        rated = rows.join(F.broadcast(rates), label)
+    else:       # any part will do: each holds the rate
+        parts = rates.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+        own = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(_SALTS)).cast("int"))
+        rated = own.join(parts, [label, "_salt"]).drop("_salt")
+    return (rated.where(u < F.col("_rate")).withColumn("_at", F.row_number().over(least))
             .where(F.col("_at") <= per_class).drop("_at", "_rate"))
 
 

@@ -28,7 +28,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     """``_id, _y, text`` of about ``per_class`` documents a class (twice that at most in all),
     and the share of label 1 among all labelled documents outside the held-out part."""
     known = known_labels(labels, label)
-    picked = written(class_sample(known, "_y", "_id", per_class, seed))
+    picked = written(class_sample(known, "_y", "_id", per_class, seed, few=True))     # 0 and 1
     share = known.agg(F.avg("_y")).first()[0]
     # at most 2 * per_class rows: bounded, whatever the input
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce("text", F.lit("")).alias("text"))

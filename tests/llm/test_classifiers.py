@@ -201,3 +201,25 @@ def test_quality_sample_stops_at_its_ngrams_in_each_class(spark):
         for y in (0, 1):
             own = [size[i] for i in kept if i % 2 == y]
             assert own and (len(own) == 20 or most // 2 <= sum(own) < max(most // 2, 1) + 12)
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_class_sample_is_the_least_hashes_of_each_class(spark, few):
+    from entiscore.llm.common import class_sample, uniform
+
+    rows = spark.createDataFrame([(i, "often" if i % 10 else "seldom") for i in range(2000)] + [(9999, "once"), (None, None)],
+                                 "_id long, k string").repartition(7)
+    got = class_sample(rows, "k", "_id", 60, "s", few)
+    assert sorted(got.columns) == ["_id", "k"]
+    u = {r["_id"]: r["u"] for r in rows.select("_id", uniform(F.col("_id"), "s").alias("u")).collect()}
+    by: dict = {}
+    for r in got.collect():
+        by.setdefault(r["k"], []).append(r["_id"])
+    n = {"often": 1800, "seldom": 200, "once": 1}
+    for k, m in n.items():
+        ids = [i for i in range(2000) if (i % 10 != 0) == (k == "often")] if k != "once" else [9999]
+        want = sorted((u[i], i) for i in ids if u[i] < 60 / m)[:60]
+        assert sorted(by.get(k, [])) == sorted(i for _, i in want)
+    assert None not in by
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin" in plan) or not few
