@@ -87,7 +87,7 @@ WITH w AS (
 SELECT doc_id, len(ws)::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha256(array_to_string(ks, ' ')) AS kept_sha256 FROM kept
 """
 
-JACCARD_JOIN = r"""
+_JACCARD_EDGES = r"""
 WITH RECURSIVE w AS MATERIALIZED (
   SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                   '[\x20\x09-\x0D]+') IF x <> ''] AS ws FROM documents
@@ -101,13 +101,20 @@ WITH RECURSIVE w AS MATERIALIZED (
 ), link AS MATERIALIZED (
   SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)
 ), edge AS MATERIALIZED (SELECT a, b FROM link UNION ALL SELECT b, a FROM link
-), reach(a, b) AS (
+)"""
+
+JACCARD_JOIN = _JACCARD_EDGES + r""", reach(a, b) AS (
   SELECT DISTINCT a, a FROM edge UNION SELECT r.a, e.b FROM reach r JOIN edge e ON r.b = e.a
 ), least AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
 SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(l.c, w.doc_id) AS component_id
 FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN least l ON w.doc_id = l.a
 """
 
+JACCARD_LINKS = _JACCARD_EDGES + r""", links AS (SELECT a, count(*) AS m FROM edge GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(l.m, 0)::BIGINT AS n_links
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN links l ON w.doc_id = l.a
+"""
+
 MIXING = rf"""
 WITH d AS (
   SELECT doc_id, source, len({_WORDS})::BIGINT AS size,
@@ -239,6 +246,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_quality_rules": QUALITY_RULES,
         "op8_mixing": MIXING,
         "op10_jaccard_join": JACCARD_JOIN,
+        "jaccard_links": JACCARD_LINKS,
         "op11_spelling_variants": SPELLING_VARIANTS,
         "op12_exact_top_k": EXACT_TOP_K,
         "op13_source_divergence": SOURCE_DIVERGENCE,

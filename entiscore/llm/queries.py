@@ -88,6 +88,11 @@ def q_jaccard_join(spark, sf_dir):
     return jaccard.jaccard_classes(read(spark, sf_dir, "documents"))
 
 
+def q_jaccard_links(spark, sf_dir):
+    """Per document the number of documents it is linked with, every link verified."""
+    return jaccard.link_counts(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "n_links")
+
+
 def q_spelling_variants(spark, sf_dir):
     return spelling.variant_groups(spelling.word_counts(read(spark, sf_dir, "documents")))
 
@@ -112,6 +117,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": q_mixing,
         "op9_quality": q_quality,
         "op10_jaccard_join": q_jaccard_join,
+        "jaccard_links": q_jaccard_links,
         "op11_spelling_variants": q_spelling_variants,
         "op12_exact_top_k": q_exact_top_k,
         "op13_source_divergence": q_source_divergence,
