@@ -26,7 +26,7 @@ member against the cell's most connected member, then, where a cell still holds
 several components, its members of different components through the R-trees.  A
 pair that is linked is either verified or already joined by other links, so the
 classes are exact however large a group of near copies is, without listing its
-pairs; :func:`linked_pairs` and :func:`link_counts` verify every pair.  Cells of more than ``chunk`` members are searched as pairs of chunks.
+pairs; :func:`linked_pairs` and :func:`link_counts` verify every pair, once, in blocks.  Cells of more than ``chunk`` members are searched as pairs of chunks.
 
 Edge cases: null texts and texts without a word have an empty set and are linked
 with nothing; texts shorter than a shingle have their whole word sequence as their
@@ -70,6 +70,7 @@ class Settings:
     leaf: int = 16                # points of an R-tree leaf
     chunk: int = 512              # members of a cell searched in one piece
     unit_rows: int = 8192         # members dealt to one task's group of cells
+    homes: int = 8                # largest cells of a set that are compared before a pair is searched again
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -177,20 +178,54 @@ def tree_pairs(n: np.ndarray, points: np.ndarray, part: np.ndarray, left: np.nda
     return out
 
 
+def finer_bound(counts: list[np.ndarray], n: np.ndarray, x: np.ndarray, y: np.ndarray, s: Settings) -> np.ndarray:
+    """Whether the summed minima of all their groups allow the pairs (x, y) of sets to be linked."""
+    ok = np.zeros(len(x), bool)
+    size = np.array([len(v) for v in counts], np.int64)
+    least = np.minimum(size[x], size[y])
+    for k in np.unique(least):
+        at = np.flatnonzero(least == k)
+        used, code = np.unique(np.concatenate([x[at], y[at]]), return_inverse=True)
+        points = np.stack([folded(counts[u], k) for u in used]).astype(np.int32)
+        a, b = code[:len(at)], code[len(at):]
+        step = max(1, (1 << 20) // int(k))
+        for i in range(0, len(at), step):
+            part = slice(i, i + step)
+            most = np.minimum(points[a[part]], points[b[part]]).sum(1)
+            ok[at[part]] = may_link(most, n[x[at[part]]], n[y[at[part]]], s)
+    return ok
+
+
+def open_pairs(earlier: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which pairs (one of ``left``, one of ``right``) have none of their ``earlier`` cells in common."""
+    names, code = np.unique(np.concatenate([earlier[x] for x in (*left, *right)]), return_inverse=True)
+    shared = np.zeros((len(left) + len(right), len(names)), np.float32)
+    shared[np.repeat(np.arange(len(shared)), [len(earlier[x]) for x in (*left, *right)]), code] = 1
+    return shared[:len(left)] @ shared[len(left):].T == 0
+
+
 def unit_pairs(pdf: pd.DataFrame, s: Settings) -> pd.DataFrame:
     """Pairs that survive the R-trees of the cells (or pairs of chunks) in ``pdf`` and the bound on
-    their finer counts."""
+    their finer counts, with the blocks of both.  Pairs that meet in one of their ``earlier`` cells
+    are left to that cell."""
     n, part, c = pdf["n"].to_numpy(np.int64), pdf["part"].to_numpy(), pdf["c"].to_numpy()
-    counts = pdf["counts"].to_numpy()
-    points = np.stack([folded(np.frombuffer(v, np.uint16), s.groups) for v in counts])
-    out: dict[tuple[int, int], bool] = {}
+    counts = [np.frombuffer(v, np.uint16) for v in pdf["counts"]]
+    points = np.stack([folded(v, s.groups) for v in counts])
+    earlier, block, chunk = list(pdf["earlier"]), pdf["block"].to_numpy(), pdf["chunk"].to_numpy()
+    found = []
     for _, at in pdf.groupby(["key", "i", "j"], sort=False).indices.items():
-        i, j, own = pdf["i"].iat[at[0]], pdf["j"].iat[at[0]], pdf["chunk"].to_numpy()[at]
-        for x, y in tree_pairs(n, points, part, at[own == i], at[own == j], s):
-            pair = (min(c[x], c[y]), max(c[x], c[y]))
-            if pair not in out:                   # near pairs share many cells
-                out[pair] = bool(may_link(most_overlap(counts[x], counts[y]), n[x], n[y], s))
-    return pd.DataFrame(sorted(p for p, ok in out.items() if ok), columns=["a", "b"], dtype="int64")
+        left, right = at[chunk[at] == pdf["i"].iat[at[0]]], at[chunk[at] == pdf["j"].iat[at[0]]]
+        if not len(left) or not len(right):
+            continue
+        free = open_pairs(earlier, left, right)
+        row, col = dict(zip(left, range(len(left)))), dict(zip(right, range(len(right))))
+        pairs = tree_pairs(n, points, part, left[free.any(1)], right[free.any(0)], s)
+        found += [(x, y) for x, y in pairs if free[row[x], col[y]]]
+    x, y = np.array(found, np.int64).reshape(-1, 2).T
+    x, y = np.where(c[x] < c[y], x, y), np.where(c[x] < c[y], y, x)
+    out = pd.DataFrame({"a": c[x], "b": c[y], "block_a": block[x], "block_b": block[y], "x": x, "y": y}).astype("int64")
+    out = out.drop_duplicates(["a", "b"])             # near pairs share many cells
+    return out.loc[finer_bound(counts, n, out["x"].to_numpy(), out["y"].to_numpy(), s), ["a", "b", "block_a", "block_b"]]
 
 
 def _sets(rows: DataFrame, s: Settings) -> DataFrame:
@@ -273,20 +308,66 @@ def _indexed(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame, DataFr
 
 
 def _searched(members: DataFrame, cells_: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
-    """Pairs ``a, b`` of members (key, c, part) of different parts in the cells (key, m) that survive the
-    R-trees and the finer counts; cells of more than ``chunk`` members as pairs of chunks."""
+    """Pairs ``a, b, block_a, block_b`` of members (key, c, part) of different parts in the cells (key, m) that
+    survive the R-trees and the finer counts; cells of more than ``chunk`` members as pairs of chunks.  ``sets``
+    have the ``block`` of a set and those of its cells in ``homes`` (m, key) that are searched before smaller ones."""
     units = members.join(cells_, "key").withColumn("pieces", F.ceil(F.col("m") / s.chunk).cast("int"))
     units = written(units.withColumn("chunk", F.pmod(F.xxhash64("c"), F.col("pieces")).cast("int")).select(
-        "key", "c", "part", "pieces", "chunk", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("other")))
+        "key", "c", "part", "m", "chunk", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("other")))
     tasks = max(1, math.ceil(units.count() / s.unit_rows))
-    units = units.select("key", "c", "part", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
-    units = units.join(sets.select("c", "n", "counts"), "c").withColumn(
+    units = units.select("key", "c", "part", "m", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
+    before = F.filter("homes", lambda h: (h["m"] > F.col("m")) | ((h["m"] == F.col("m")) & (h["key"] > F.col("key"))))
+    units = units.join(sets.select("c", "n", "counts", "homes", "block"), "c").withColumn(
+        "earlier", F.transform(before, lambda h: h["key"])).drop("homes", "m").withColumn(
         "task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks)))
 
     def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
         return unit_pairs(pdf, s)
 
-    return written(units.groupBy("task").applyInPandas(pairs, "a long, b long").distinct())
+    return written(units.groupBy("task").applyInPandas(pairs, "a long, b long, block_a long, block_b long").distinct())
+
+
+def common_sizes(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the pairs (x, y) of sets that are not empty."""
+    if not len(x):
+        return np.zeros(0, np.int64)
+    size = np.array([len(v) for v in sets], np.int64)
+    code = np.split(np.unique(np.concatenate(sets), return_inverse=True)[1], np.cumsum(size)[:-1])
+    own, out = np.zeros(size.sum(), bool), np.zeros(len(x), np.int64)
+    order = np.argsort(x, kind="stable")
+    for at in np.split(order, np.flatnonzero(np.diff(x[order])) + 1):
+        for part in np.array_split(at, math.ceil(len(at) / 256)):
+            others = y[part]
+            own[code[x[part[0]]]] = True
+            hits = own[np.concatenate([code[j] for j in others])]
+            out[part] = np.add.reduceat(hits, np.concatenate([[0], np.cumsum(size[others])[:-1]]), dtype=np.int64)
+            own[code[x[part[0]]]] = False
+    return out
+
+
+def _verified_blocks(found: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """The pairs of :func:`_searched` that are linked as ``a, b, n_a, n_b``, verified on the full sets.
+
+    The pairs of two blocks are verified together, so a set travels once for each block it is
+    compared with, however many of its pairs there are.
+    """
+    ends = F.least("block_a", "block_b"), F.greatest("block_a", "block_b")
+    needed = written(found.select(F.xxhash64(*ends).alias("unit"), F.explode(F.array("a", "b")).alias("c")).distinct())
+    task = F.pmod("unit", F.lit(max(1, math.ceil(needed.count() / (4 * s.chunk)))))
+    pairs = found.select("a", "b", F.xxhash64(*ends).alias("unit")).select("a", "b", task.alias("task"))
+    own = needed.select(task.alias("task"), "c").distinct().join(sets.select("c", "shingles"), "c")
+
+    def exact(pairs: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        if not len(pairs):
+            return pd.DataFrame({k: np.zeros(0, np.int64) for k in ("a", "b", "n_a", "n_b")})
+        at = pd.Index(own["c"])
+        x, y = at.get_indexer(pairs["a"]), at.get_indexer(pairs["b"])
+        full = [np.frombuffer(v, np.uint64) for v in own["shingles"]]
+        size, both = np.array([len(v) for v in full], np.int64), common_sizes(full, x, y)
+        ok = s.den * both >= s.num * (size[x] + size[y] - both)
+        return pd.DataFrame({"a": pairs["a"], "b": pairs["b"], "n_a": size[x], "n_b": size[y]}).loc[ok]
+
+    return pairs.groupBy("task").cogroup(own.groupBy("task")).applyInPandas(exact, "a long, b long, n_a int, n_b int")
 
 
 def link_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -310,7 +391,8 @@ def link_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         "key", "c", F.coalesce("label", "c").alias("part"))
     open_ = written(parted.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"),
                                               F.count(F.lit(1)).alias("m")).where("lo < hi").select("key", "m"))
-    found = _searched(parted, open_, sets, s)
+    found = _searched(parted, open_, sets.withColumn("homes", F.expr("CAST(array() AS array<struct<m: bigint, key: bigint>>)"))
+                      .withColumn("block", F.lit(0)), s).select("a", "b")
     links = links.unionByName(_verified(found, sets, s))
     joined = connected_components(written(links))
 
@@ -351,16 +433,23 @@ def linked_pairs(docs: DataFrame, settings: Settings = Settings()) -> tuple[Data
     ``doc_id, class, n_shingles`` of every row (null class: an empty set).
 
     Unlike the components, which need no more links than join a class to its group, all pairs of
-    different sets that share a cell go through the R-trees and are verified.
+    different sets that share a cell go through the R-trees and are verified.  Near copies share very many
+    cells: a pair is searched in the largest of them (order: members, key), as far as the ``homes`` largest
+    cells of both sets tell, and a cell whose members all have one larger cell in common is not searched.
     """
     s = settings
     rows, members, sets = _indexed(docs, s)
-    every = members.withColumn("part", F.col("c"))
-    found = _searched(every, members.groupBy("key").agg(F.count(F.lit(1)).alias("m")), sets, s)
-    size = sets.select("c", "n")
-    pairs = _verified(found, sets, s).join(size.select(F.col("c").alias("a"), F.col("n").alias("n_a")), "a").join(
-        size.select(F.col("c").alias("b"), F.col("n").alias("n_b")), "b")
-    return written(pairs.select("a", "b", "n_a", "n_b")), rows.select(
+    size = written(members.groupBy("key").agg(F.count(F.lit(1)).alias("m")))
+    own = written(members.join(size, "key").groupBy("c").agg(
+        F.sort_array(F.collect_list(F.struct("m", "key")), asc=False).alias("cells")))
+    home = F.col("cells")[0]
+    block = F.xxhash64(home["key"], F.pmod(F.xxhash64("c"), F.ceil(home["m"] / s.chunk)))
+    homes = own.select("c", F.slice("cells", 1, s.homes).alias("homes"), block.alias("block"))
+    placed = own.select("c", F.col("c").alias("part"), home["key"].alias("home"), F.explode("cells").alias("x"))
+    search = written(placed.groupBy(F.col("x.key").alias("key")).agg(
+        F.min("home").alias("lo"), F.max("home").alias("hi"), F.min("x.m").alias("m")).where("lo < hi OR lo = key").select("key", "m"))
+    found = _searched(placed.select("x.key", "c", "part"), search, sets.join(homes, "c"), s)
+    return written(_verified_blocks(found, sets, s)), rows.select(
         F.nullif(F.col("_id"), F.lit(LAST)).alias("doc_id"), F.when(F.col("n") > 0, F.col("c")).alias("class"),
         F.col("n").cast("long").alias("n_shingles"))
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from entiscore.llm import jaccard as J
@@ -163,3 +164,47 @@ def test_every_link_is_found(make_docs, prose, settings):
     assert sorted(((r["doc_id"], r["n_shingles"], r["n_links"]) for r in counts), key=repr) == sorted(
         ((i, len(s), sum(linked(s, t) for k, t in enumerate(sets) if k != j)) for j, ((i, _), s) in enumerate(zip(rows, sets))), key=repr)
     assert J.link_counts(make_docs([])).count() == 0
+
+
+def test_near_copies_are_searched_in_one_cell_and_sent_once_a_block(make_docs, prose, monkeypatch):
+    """Near copies share a hundred cells, and each of their pairs was found in every one of them."""
+    stem = prose(77, 700)
+    rows = [(i, " ".join([*stem[:7 * i], "neu", *stem[7 * i + 1:]])) for i in range(60)]
+    units, verified, local = [], J._verified_blocks, J.Settings()
+
+    def counted(found, sets, s):
+        units.append(found.count())
+        return verified(found, sets, s)
+
+    monkeypatch.setattr(J, "_verified_blocks", counted)
+    pairs, _ = J.linked_pairs(make_docs(rows), local)
+    assert pairs.count() == 60 * 59 // 2 and units == [60 * 59 // 2]
+    assert {r["n_links"] for r in J.link_counts(make_docs(rows), local).collect()} == {59}
+
+    sets = [J.shingle_set(t, 4) for _, t in rows]
+    keys = [J.cells(x, local) for x in sets]
+    held = {}
+    for i, own in enumerate(keys):
+        for k in own.tolist():
+            held.setdefault(k, []).append(i)
+    order = {k: (len(v), k) for k, v in held.items()}
+    homes = [sorted((order[k] for k in own.tolist()), reverse=True)[:local.homes] for own in keys]
+    found = []
+    for k, v in held.items():
+        if len(v) > 1:
+            found.append(len(J.unit_pairs(pd.DataFrame({
+                "key": k, "i": 0, "j": 0, "chunk": 0, "c": v, "part": v, "block": 0, "n": [len(sets[i]) for i in v],
+                "counts": [J.group_counts(sets[i], local).tobytes() for i in v],
+                "earlier": [np.array([h[1] for h in homes[i] if h > order[k]], np.int64) for i in v]}), local)))
+    assert len(found) > 40 and 60 * 59 // 2 <= sum(found) < 1.2 * 60 * 59 // 2      # 64 times as many before
+
+
+def test_common_sizes_and_finer_bound():
+    r = np.random.default_rng(8)
+    sets = [np.unique(r.integers(0, 3 * k, k).astype(np.uint64)) for k in (1, 5, 40, 900, 1100, 3000, 9000) for _ in range(4)]
+    x, y = map(np.ravel, np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    assert J.common_sizes(sets, x, y).tolist() == [len(np.intersect1d(sets[a], sets[b])) for a, b in zip(x, y)]
+    assert J.common_sizes(sets, x[:0], y[:0]).tolist() == []
+    s, n, counts = J.Settings(), np.array([len(v) for v in sets]), [J.group_counts(v, J.Settings()) for v in sets]
+    assert J.finer_bound(counts, n, x, y, s).tolist() == [
+        bool(J.may_link(J.most_overlap(counts[a].tobytes(), counts[b].tobytes()), n[a], n[b], s)) for a, b in zip(x, y)]
